@@ -188,18 +188,25 @@ def eligibility_clauses(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def normalized_clause(c: Column | str) -> Column:
-    """struct(field, comparator, value, unit) of ``age >= 18 years``-like text; null without one."""
+    """struct(field, comparator, value, unit) of ``age >= 18 years``-like text; null without one.
+
+    The field is the run of words before the comparator. The pattern only starts where a run starts
+    and never gives characters back, so it is linear in the text.
+    """
     c = F.col(c) if isinstance(c, str) else c
-    pattern = r"(?i)([a-z][a-z0-9 _\-]*?)\s*(>=|<=|≥|≤|>|<|=)\s*(\d+(?:\.\d+)?)\s*([a-z%/]*)"
-    part = lambda i: F.regexp_extract(c, pattern, i)
+    pattern = (
+        r"(?i)(?<![a-z0-9 _\-])[0-9 _\-]*+([a-z][a-z0-9 _\-]*+)(>=|<=|≥|≤|>|<|=)\s*+(\d+(?:\.\d+)?)\s*([a-z%/]*)"
+    )
+    found = F.regexp_extract(c, pattern, 0)
+    part = lambda i: F.regexp_extract(found, pattern, i)
     comparator = F.replace(F.replace(part(2), F.lit("≥"), F.lit(">=")), F.lit("≤"), F.lit("<="))
     unit = F.lower(part(4))
     return F.when(
-        c.rlike(pattern),
+        found != "",
         F.struct(
             F.lower(F.trim(part(1))).alias("field"),
             comparator.alias("comparator"),
-            part(3).cast("double").alias("value"),
+            part(3).try_cast("double").alias("value"),
             F.when(unit != "", unit).alias("unit"),
         ),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trialspark.plans.tables import Tables, duck_views
 
-AREAS = ("harmonizing",)
+AREAS = ("harmonizing", "geography", "retrieving", "texts")
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
@@ -21,7 +21,12 @@ def query(name: str, oracle: str | None = None, views: str = ""):
     def wrap(build: Callable[[Tables], DataFrame]):
         if name in _QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        _QUERIES[name] = lambda spark, sf_dir: build(Tables(spark, sf_dir))
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return build(Tables(spark, sf_dir))
+
+        run.__name__, run.__module__, run.__doc__ = name, build.__module__, build.__doc__
+        _QUERIES[name] = run
         if oracle is not None:
             sql = oracle.strip()
             if views:
