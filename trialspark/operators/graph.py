@@ -199,11 +199,11 @@ def k_hop(edges: DataFrame, start: str, k: int, directed: bool = False) -> DataF
     """(node, hops, path) within k steps of a node, each by its smallest shortest path.
 
     A step keeps one path per node, chosen by a map-side minimum, so hubs do not multiply paths.
-    Levels are written to the checkpoint folder.
+    Edges are written once and each level after it.
     """
-    links = edges.select("src", "dst")
+    links = cut_lineage(edges.select("src", "dst"))
     if not directed:
-        links = links.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+        links = links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     spark = edges.sparkSession
     frontier = spark.range(1).select(
         F.lit(start).alias("node"), F.lit(0).alias("hops"), F.array(F.lit(start)).alias("path")

@@ -114,18 +114,18 @@ def lineage_closure(edges: DataFrame, starts: DataFrame, direction: str = "down"
     """(node, depth): everything reachable from the start nodes, at its smallest depth.
 
     ``edges`` has ``parent`` and ``child``; ``starts`` has ``node``. One level per step until a
-    level adds nothing; nodes already reached are dropped, so cycles end. Each level is written to
-    the checkpoint folder, which keeps the plan one level deep.
+    level adds nothing; nodes already reached are dropped, so cycles end. The edges are written
+    once and each level after it, so a step scans a table and its plan is one level deep.
     """
     src, dst = ("parent", "child") if direction == "down" else ("child", "parent")
+    edges = cut_lineage(edges.select("parent", "child").filter(F.col("parent") != F.col("child")))
     frontier = cut_lineage(starts.select("node", F.lit(0).alias("depth")).distinct())
     reached = frontier
     depth = 0
     while True:
         depth += 1
         step = (
-            edges.filter(F.col("parent") != F.col("child"))
-            .join(frontier.select(F.col("node").alias(src)), src)
+            edges.join(frontier.select(F.col("node").alias(src)), src)
             .select(F.col(dst).alias("node"))
             .distinct()
             .join(reached, "node", "left_anti")

@@ -27,7 +27,8 @@ def value_statistics(df: DataFrame, id_col: str, fields: Iterable[str], top: int
         .groupBy("field", "value")
         .agg(F.count("*").alias("n"), F.min("_id").alias("owner"))
     )
-    longest = F.min_by(F.struct("value", "owner"), F.struct(-F.length("value"), F.col("value")))
+    by_length = F.when(F.col("value").isNotNull(), F.struct(-F.length("value"), F.col("value")))
+    longest = F.min_by(F.struct("value", "owner"), by_length)
     summary = counts.groupBy("field").agg(
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("missing_count"),
         F.count("value").alias("unique_values"),

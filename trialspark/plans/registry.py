@@ -9,7 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trialspark.plans.tables import Tables, duck_views
 
-AREAS = ("harmonizing", "geography", "retrieving", "texts")
+AREAS = (
+    "harmonizing",
+    "geography",
+    "retrieving",
+    "texts",
+    "profiling",
+    "searching",
+    "lineages",
+    "graphs",
+    "storing",
+    "streams",
+)
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
@@ -31,7 +42,12 @@ def query(name: str, oracle: str | None = None, views: str = ""):
             sql = oracle.strip()
             if views:
                 head = duck_views(*views.split())
-                sql = f"{head},\n{sql[5:]}" if sql[:5].upper() == "WITH " else f"{head}\n{sql}"
+                if sql.startswith("WITH RECURSIVE "):
+                    sql = f"WITH RECURSIVE {head[5:]},\n{sql[15:]}"
+                elif sql.startswith("WITH "):
+                    sql = f"{head},\n{sql[5:]}"
+                else:
+                    sql = f"{head}\n{sql}"
             _ORACLES[name] = sql
         return build
 

@@ -45,8 +45,12 @@ def run_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result outlives the executors that computed it."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+    """Write to the shared folder and read back.
+
+    The result outlives the executors that computed it and starts a new plan; unlike a checkpointed
+    RDD, the written table has a known size, so a small one is joined without shuffling the other
+    side.
+    """
+    path = run_dir(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,9 +16,14 @@ def write_table(df: DataFrame, path: str, compression: str = "zstd") -> str:
 
 
 def write_partitioned(df: DataFrame, path: str, partition: str = "source_snapshot_id") -> str:
-    """Replace only the partitions present in ``df``; running it again changes nothing."""
+    """Replace only the partitions present in ``df``; running it again changes nothing.
+
+    Rows are rebalanced by the partition column: small partitions become one file each, and a
+    partition with a large share of the rows is split over tasks.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", F.col(partition))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
@@ -33,13 +38,12 @@ def with_shard(df: DataFrame, key: str, shards: int = 256) -> DataFrame:
 def write_shards(df: DataFrame, key: str, path: str, shards: int = 256, rows_per_file: int = 5_000_000) -> DataFrame:
     """One folder per non-empty shard; returns the rows per shard as written.
 
-    Rows move by (shard, slice): the md5 shard is even over distinct keys, and the slice, taken
-    from the whole row, splits a shard that one repeated key fills.
+    Rows are rebalanced by shard: the md5 shard is even over distinct keys, and a shard that one
+    repeated key fills is split over tasks.
     """
-    placed = with_shard(df, key, shards)
-    slices = F.pmod(F.xxhash64(*df.columns), F.lit(8))
     (
-        placed.repartition("shard_id", slices)
+        with_shard(df, key, shards)
+        .hint("rebalance", F.col("shard_id"))
         .write.mode("overwrite")
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy("shard_id")
