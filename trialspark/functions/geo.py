@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARTH_RADIUS_KM = 6371.0088
@@ -46,14 +46,10 @@ def bounding_box(lat: float, lon: float, radius_km: float, lat_col: str, lon_col
     return box & F.col(lon_col).between(west, east)
 
 
-def cube_cell(lat: str, lon: str, edge_km: float) -> Column:
-    """Cell of the Earth-centred cube grid that holds the point.
-
-    A chord is never longer than its arc, so points at most ``edge_km`` apart lie in the same cell
-    or in touching ones; poles and the date line need no special case.
-    """
+def earth_xyz(lat: str, lon: str) -> Column:
+    """Earth-centred coordinates in km."""
     phi, lam = F.radians(_c(lat)), F.radians(_c(lon))
-    axis = lambda v: F.floor(v * EARTH_RADIUS_KM / edge_km)
+    axis = lambda v: v * EARTH_RADIUS_KM
     return F.struct(
         axis(F.cos(phi) * F.cos(lam)).alias("x"),
         axis(F.cos(phi) * F.sin(lam)).alias("y"),
@@ -61,19 +57,50 @@ def cube_cell(lat: str, lon: str, edge_km: float) -> Column:
     )
 
 
-def touching_cells(cell: Column) -> Column:
-    """The cell itself and its 26 neighbours."""
-    step = (-1, 0, 1)
-    return F.array(
-        *[
-            F.struct(
-                (cell["x"] + dx).alias("x"), (cell["y"] + dy).alias("y"), (cell["z"] + dz).alias("z")
-            )
-            for dx in step
-            for dy in step
-            for dz in step
-        ]
-    )
+def _cell_key(x: Column, y: Column, z: Column, edge_km: float) -> Column:
+    span = 2 * math.ceil(EARTH_RADIUS_KM / edge_km) + 8
+    return (x * span + y) * span + z
+
+
+def cube_cell(point: Column, edge_km: float) -> Column:
+    """Number of the grid cube that holds an Earth-centred point."""
+    return _cell_key(*[F.floor(point[a] / edge_km) for a in "xyz"], edge_km)
+
+
+def cells_in_reach(df: DataFrame, point: str, edge_km: float, alias: str = "cell") -> DataFrame:
+    """One row per cube that can hold a point within ``edge_km`` of ``point``.
+
+    A chord is never longer than its arc, so such points lie in the same cube or in touching ones;
+    poles and the date line need no special case. Of the 27 cubes only those stay that come within
+    reach and that the sphere passes through.
+    """
+    slack = 1e-6
+    gap = near = far = F.lit(0.0)
+    for a in "xyz":
+        p, index = F.col(f"{point}.{a}"), F.col(f"_{a}")
+        reach = F.sequence(F.floor((p - edge_km) / edge_km), F.floor((p + edge_km) / edge_km))
+        df = df.withColumn(f"_{a}", F.explode(reach))
+        low, high = index * edge_km, (index + 1) * edge_km
+        outside = F.greatest(low - p, p - high, F.lit(0.0))
+        closest = F.greatest(low, -high, F.lit(0.0))
+        farthest = F.greatest(F.abs(low), F.abs(high))
+        gap, near, far = gap + outside * outside, near + closest * closest, far + farthest * farthest
+    reachable = gap <= (edge_km + slack) ** 2
+    on_sphere = (near <= (EARTH_RADIUS_KM + slack) ** 2) & (far >= (EARTH_RADIUS_KM - slack) ** 2)
+    key = _cell_key(F.col("_x"), F.col("_y"), F.col("_z"), edge_km)
+    return df.filter(reachable & on_sphere).withColumn(alias, key).drop("_x", "_y", "_z")
+
+
+def within_km(a: str, b: str, radius_km: float, exact_km: Column) -> Column:
+    """Whether two Earth-centred points are at most ``radius_km`` apart along the surface.
+
+    The chord decides without trigonometry; the exact distance is taken only next to the limit.
+    """
+    squares = [(F.col(f"{a}.{c}") - F.col(f"{b}.{c}")) * (F.col(f"{a}.{c}") - F.col(f"{b}.{c}")) for c in "xyz"]
+    chord2 = squares[0] + squares[1] + squares[2]
+    limit = (2 * EARTH_RADIUS_KM * math.sin(min(radius_km / EARTH_RADIUS_KM, math.pi) / 2)) ** 2
+    slack = 1e-6 * limit + 1e-6
+    return F.when(chord2 <= limit - slack, True).when(chord2 > limit + slack, False).otherwise(exact_km <= radius_km)
 
 
 def distance_decay(km: Column, func: str, scale_km: float, offset_km: float = 0.0, decay: float = 0.5) -> Column:

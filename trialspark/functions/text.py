@@ -32,11 +32,21 @@ def tokens(c: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(TOKEN), F.lit(0))
 
 
+def alphabetic(c: Column | str) -> Column:
+    """Tokens made of letters only."""
+    c = F.col(c) if isinstance(c, str) else c
+    text = F.lower(F.coalesce(c, F.lit("")))
+    return F.regexp_extract_all(text, F.lit("(?<![a-z0-9])[a-z]++(?![0-9])"), F.lit(0))
+
+
+def not_stop(word: Column, stop_words: Iterable[str] = STOP_WORDS) -> Column:
+    return ~word.isin(*stop_words)
+
+
 def words(c: Column | str, stop_words: Iterable[str] = STOP_WORDS) -> Column:
     """Alphabetic tokens without stop words."""
     stop = list(stop_words)
-    kept = lambda t: t.rlike("^[a-z]+$") & ~t.isin(stop) if stop else t.rlike("^[a-z]+$")
-    return F.filter(tokens(c), kept)
+    return F.filter(alphabetic(c), lambda t: not_stop(t, stop)) if stop else alphabetic(c)
 
 
 def query_tokens(query: str) -> list[str]:
@@ -54,9 +64,10 @@ def lexical_overlap(query: str, c: Column | str) -> Column:
     counted = Counter(query_tokens(query))
     if not counted:
         return F.lit(0.0)
+    found = tokens(c)
     hits = F.lit(0)
     for token, times in counted.items():
-        hits = hits + F.when(contains_token(c, token), times).otherwise(0)
+        hits = hits + F.when(F.array_contains(found, token), times).otherwise(0)
     return hits / F.lit(float(sum(counted.values())))
 
 
@@ -69,11 +80,11 @@ def clean_text(c: Column | str) -> Column:
 
 def ngrams(token_array: Column, n: int) -> Column:
     """Runs of ``n`` tokens joined by blanks."""
-    starts = F.sequence(F.lit(1), F.size(token_array) - (n - 1))
-    grams = F.transform(
-        starts,
-        lambda i: F.array_join(F.array(*[F.element_at(token_array, (i + k).cast("int")) for k in range(n)]), " "),
-    )
+    def gram(i: Column) -> Column:
+        parts = [p for k in range(n) for p in (F.lit(" "), F.get(token_array, i + k))][1:]
+        return F.concat(*parts)
+
+    grams = F.transform(F.sequence(F.lit(0), F.size(token_array) - n), gram)
     return F.when(F.size(token_array) >= n, grams).otherwise(F.array().cast("array<string>"))
 
 

@@ -18,14 +18,11 @@ def parse_studies(df: DataFrame, json_col: str = "study_json") -> DataFrame:
         schemas.STUDY_DDL + ", corrupt_record string",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt_record"},
     )
-    return (
-        df.withColumn("study", parsed)
-        .withColumn(
-            "corrupt_record",
-            F.when(F.col("study").isNull(), F.col(json_col)).otherwise(F.col("study.corrupt_record")),
-        )
-        .withColumn("study", F.col("study").dropFields("corrupt_record"))
-    )
+    # A generator keeps the parse in one place: as a plain column the optimizer would copy it into
+    # every filter and projection that reads a field of it, and parse again for each.
+    once = df.select("*", F.inline(F.array(F.struct(parsed.alias("study")))))
+    unreadable = F.when(F.col("study").isNull(), F.col(json_col)).otherwise(F.col("study.corrupt_record"))
+    return once.withColumn("corrupt_record", unreadable)
 
 
 def normalize_phases(phases: Column | str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialspark.functions.geo import bounding_box, cube_cell, haversine_km, touching_cells
+from trialspark.functions.geo import bounding_box, cells_in_reach, cube_cell, earth_xyz, haversine_km, within_km
 
 _LOCATED = "latitude is not null and longitude is not null"
 
@@ -47,17 +47,20 @@ def site_catchment(sites: DataFrame, trials: DataFrame, radius_km: float = 50.0)
     """
     at = ["latitude", "longitude"]
     point_trials = sites.filter(_LOCATED).groupBy(*at, "trial_id").agg(F.count("*").alias("n"))
-    points = sites.filter(_LOCATED).select(*at).distinct()
+    points = point_trials.select(*at).distinct().withColumn("point", earth_xyz(*at))
 
-    anchors = points.select(*at, F.explode(touching_cells(cube_cell(*at, radius_km))).alias("cell"))
+    anchors = cells_in_reach(points, "point", radius_km)
     neighbours = point_trials.select(
         F.col("latitude").alias("n_lat"),
         F.col("longitude").alias("n_lon"),
         F.col("trial_id").alias("near_trial"),
         "n",
-        cube_cell(*at, radius_km).alias("cell"),
-    )
-    near = anchors.join(neighbours, "cell").filter(haversine_km(*at, "n_lat", "n_lon") <= radius_km)
+        earth_xyz(*at).alias("n_point"),
+    ).withColumn("cell", cube_cell(F.col("n_point"), radius_km))
+    close = within_km("point", "n_point", radius_km, haversine_km(*at, "n_lat", "n_lon"))
+    # the planner cannot see how much the cells multiply the anchors, so broadcast is ruled out here;
+    # a merge join spills, and its skewed partitions are split
+    near = anchors.hint("merge").join(neighbours, "cell").filter(close)
     per_trial = near.groupBy(*at, "near_trial").agg(F.sum("n").alias("sites_of_trial"))
     per_point = per_trial.groupBy(*at).agg(
         F.sum("sites_of_trial").alias("sites_near"), F.count("*").alias("trials_near")

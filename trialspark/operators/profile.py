@@ -8,6 +8,7 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 
@@ -165,7 +166,7 @@ def top_level_keys(df: DataFrame, json_col: str) -> DataFrame:
     return counted.withColumn("percentage", F.col("records") / total * 100)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _paths_of(texts: pd.Series) -> pd.Series:
     """Dotted paths of all object keys; a list is represented by its first element, as ``[0]``."""
 

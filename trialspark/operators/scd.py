@@ -52,10 +52,12 @@ def as_of(
     Intervals of one key do not overlap.
     """
     fields = [c for c in versions.columns if c != key]
+    # of versions that start together the longest one, valid when the others have ended, comes last
+    until = F.coalesce(F.unix_micros(F.col("valid_to").cast("timestamp")), F.lit(2**63 - 1))
     events = versions.select(
         F.col(key),
         F.col("valid_from").alias(ts),
-        F.struct(F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("id")).alias("_tie"),
+        F.struct(F.lit(0).alias("kind"), until.alias("id")).alias("_tie"),
         F.struct(*fields).alias("_version"),
         F.lit(None).cast(dict(lookups.dtypes)[lookup_id]).alias(lookup_id),
     ).unionByName(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trialspark.functions.text import STOP_WORDS, clean_text, match_spans, ngrams, tokens, words
+from trialspark.functions.text import STOP_WORDS, alphabetic, clean_text, match_spans, ngrams, not_stop, tokens, words
 
 
 def combined_text(
@@ -72,7 +72,8 @@ def top_words(
     df: DataFrame, id_col: str, text_col: str, n: int = 10, stop_words: Iterable[str] = STOP_WORDS
 ) -> DataFrame:
     """The n most frequent words of each text, ties by first appearance."""
-    placed = df.select(id_col, F.posexplode(words(text_col, stop_words)).alias("pos", "word"))
+    placed = df.select(id_col, F.posexplode(alphabetic(text_col)).alias("pos", "word"))
+    placed = placed.filter(not_stop(F.col("word"), stop_words))
     counted = placed.groupBy(id_col, "word").agg(F.count("*").alias("freq"), F.min("pos").alias("first_pos"))
     order = Window.partitionBy(id_col).orderBy(F.desc("freq"), F.asc("first_pos"))
     return (
@@ -110,7 +111,8 @@ def tfidf(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     a common term's rows are a skewed left side, which the adaptive join splits.
     """
     counts = (
-        df.select(id_col, F.explode(words(text_col)).alias("term"))
+        df.select(id_col, F.explode(alphabetic(text_col)).alias("term"))
+        .filter(not_stop(F.col("term")))
         .groupBy(id_col, "term")
         .agg(F.count("*").alias("tf"))
     )

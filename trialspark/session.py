@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,11 @@ def build_session(app_name: str = "trialspark", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="trialspark-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``); a temp folder only in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -34,9 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    created = tempfile.mkdtemp(prefix="trialspark-")
-    spark.conf.set("spark.checkpoint.dir", created)
-    return created
+    return _local_dir()
 
 
 def run_dir(spark: SparkSession, purpose: str) -> str:

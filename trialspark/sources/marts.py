@@ -82,7 +82,7 @@ def export_marts(
     require_sources(spark, canonical_dir, list(mapping.values()))
     for fact, table in mapping.items():
         source = spark.read.parquet(f"{canonical_dir}/{table}.parquet")
-        write_partitioned(mart_rows(source, snapshot_id, exported_at), f"{output_dir}/{fact}")
+        write_partitioned(mart_rows(source, snapshot_id, exported_at), f"{output_dir}/{fact}", rebalance=False)
     lineage_map(spark, canonical_dir, output_dir, mapping).write.mode("overwrite").json(
         f"{output_dir}/mart_lineage_map"
     )

@@ -23,7 +23,7 @@ def read_study_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def read_study_json(spark: SparkSession, path: str) -> DataFrame:
     """A folder of JSON files, one study each: (nct_id = file stem, study_json)."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "NCT*.json").text(path)
+    files = spark.read.option("pathGlobFilter", "NCT*.json").text(path, wholetext=True)
     return files.select(
         F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "").alias("nct_id"),
         F.col("value").alias("study_json"),

@@ -15,14 +15,15 @@ def write_table(df: DataFrame, path: str, compression: str = "zstd") -> str:
     return path
 
 
-def write_partitioned(df: DataFrame, path: str, partition: str = "source_snapshot_id") -> str:
+def write_partitioned(df: DataFrame, path: str, partition: str = "source_snapshot_id", rebalance: bool = True) -> str:
     """Replace only the partitions present in ``df``; running it again changes nothing.
 
     Rows are rebalanced by the partition column: small partitions become one file each, and a
-    partition with a large share of the rows is split over tasks.
+    partition with a large share of the rows is split over tasks. Rows of a single partition need
+    no rebalancing.
     """
     (
-        df.hint("rebalance", F.col(partition))
+        (df.hint("rebalance", F.col(partition)) if rebalance else df)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
