@@ -43,13 +43,27 @@ def connect(sf_dir: str):
     return con
 
 
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+}
+
+
 def difference(df, con, sql: str) -> str | None:
     """None when both sides agree, else a short account of the difference."""
-    spark_columns, spark_rows = table(df.columns, df.collect())
     cursor = con.execute(sql)
+    spark_columns, spark_rows = table(df.columns, df.collect())
     duck_columns, duck_rows = table([c[0] for c in cursor.description], cursor.fetchall())
     if spark_columns != duck_columns:
         return f"columns {spark_columns} != {duck_columns}"
+    ours = {name: TYPES.get(kind, kind) for name, kind in df.dtypes}
+    theirs = {c[0]: str(c[1]) for c in cursor.description}
+    if ours != theirs:
+        return f"types {[(c, ours[c], theirs[c]) for c in ours if ours[c] != theirs[c]]}"
     if len(spark_rows) != len(duck_rows):
         return f"rows {len(spark_rows)} != {len(duck_rows)}"
     for ours, theirs in zip(spark_rows, duck_rows):

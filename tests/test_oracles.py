@@ -10,7 +10,13 @@ from trialspark.plans import registry
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLES = registry.load()
 # filters that keep nothing on the smallest tables; both sides must agree on that
-MAY_BE_EMPTY = {"val04_duplicate_keys", "jn09_orphan_rows", "sl04_page_among_nulls", "prj15_area_search"}
+MAY_BE_EMPTY = {
+    "val04_duplicate_keys",
+    "jn09_orphan_rows",
+    "sl04_page_among_nulls",
+    "prj13_metadata_predicate",
+    "prj15_area_search",
+}
 
 
 @pytest.fixture(scope="module")

@@ -231,7 +231,7 @@ def snapshot_summary(t: Tables):
        SELECT total_expected, total_processed, round(tokens, 6) AS avg_token_count, round(diversity, 6) AS avg_lexical_diversity,
          round(total_processed / total_expected * 100, 6) AS processing_rate, round(1 - total_processed / total_expected, 6) AS error_rate,
          total_processed >= 500 AND 1 - total_processed / total_expected <= 0.05 AS passed,
-         concat_ws('; ', CASE WHEN total_processed < 500 THEN 'few' END,
+         concat_ws('; ', CASE WHEN total_processed < 500 THEN printf('Processed studies (%d) below threshold (500)', total_processed) END,
            CASE WHEN 1 - total_processed / total_expected > 0.05 THEN printf('Error rate (%.2f%%) above threshold (5.00%%)', (1 - total_processed / total_expected) * 100) END,
            CASE WHEN tokens < 100000 THEN printf('Average tokens (%.1f) below threshold (100000)', tokens) END) AS issues FROM e""",
 )

@@ -149,6 +149,6 @@ def json_files(t: Tables):
 def land_files(t: Tables):
     """The folder as a stream of new files, landed as Parquet over several batches."""
     target = run_dir(t.spark, "landed")
-    stream = landing.study_file_stream(t.spark, study_files(t), max_files=4000)
+    stream = landing.study_file_stream(t.spark, study_files(t), max_files=8000)
     landing.land(stream, target, run_dir(t.spark, "offsets"))
     return _titles(t.spark.read.parquet(target))
