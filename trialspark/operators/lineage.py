@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trialspark.session import cut_lineage
+from trialspark.session import cut_lineage, run_dir
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -115,23 +115,25 @@ def lineage_closure(edges: DataFrame, starts: DataFrame, direction: str = "down"
 
     ``edges`` has ``parent`` and ``child``; ``starts`` has ``node``. One level per step until a
     level adds nothing; nodes already reached are dropped, so cycles end. The edges are written
-    once and each level after it, so a step scans a table and its plan is one level deep.
+    once and each level becomes a partition of one table, so a step plans two scans at any depth.
     """
     src, dst = ("parent", "child") if direction == "down" else ("child", "parent")
+    spark = edges.sparkSession
     edges = cut_lineage(edges.select("parent", "child").filter(F.col("parent") != F.col("child")))
-    frontier = cut_lineage(starts.select("node", F.lit(0).alias("depth")).distinct())
-    reached = frontier
+    base = run_dir(spark, "closure")
+    node_type = dict(starts.dtypes)["node"]
+    level = starts.select("node").distinct()
     depth = 0
     while True:
-        depth += 1
-        step = (
+        level.write.parquet(f"{base}/depth={depth}")
+        frontier = spark.read.schema(f"node {node_type}").parquet(f"{base}/depth={depth}")
+        reached = spark.read.schema(f"node {node_type}, depth int").parquet(base)
+        if frontier.isEmpty():
+            return reached
+        level = (
             edges.join(frontier.select(F.col("node").alias(src)), src)
             .select(F.col(dst).alias("node"))
             .distinct()
             .join(reached, "node", "left_anti")
-            .withColumn("depth", F.lit(depth))
         )
-        frontier = cut_lineage(step)
-        if frontier.isEmpty():
-            return reached
-        reached = reached.unionByName(frontier)
+        depth += 1
