@@ -24,7 +24,16 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(BPE_JSON))
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trialspark.llm.fingerprints import fingerprint_edits
+
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing,)
+    f.__name__: f for f in (
+        op1_best_fit_packing,
+        op3_document_fingerprints,
+    )
 }
 ORACLES: dict[str, str] = {}
