@@ -37,11 +37,18 @@ def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op10_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trialspark.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing,
         op2_exact_top_k,
         op3_document_fingerprints,
+        op10_simhash_near_duplicates,
     )
 }
 ORACLES: dict[str, str] = {
