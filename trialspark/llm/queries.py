@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trialspark.llm.common import table
 
@@ -37,6 +38,14 @@ def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trialspark.llm.substrings import repeated_windows
+
+    cut = repeated_windows(table(spark, sf_dir, "documents"))
+    kept = F.when(F.col("n_removed") == 0, F.col("words_sha256")).otherwise(F.sha2(F.col("kept").cast("binary"), 256))
+    return cut.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
 def op10_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trialspark.llm.neardup import near_duplicates
 
@@ -48,10 +57,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_best_fit_packing,
         op2_exact_top_k,
         op3_document_fingerprints,
+        op7_substring_dedup,
         op10_simhash_near_duplicates,
     )
 }
 ORACLES: dict[str, str] = {
+    "op7_substring_dedup": r"""
+        WITH w AS (
+          SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+        ), s AS (
+          SELECT doc_id, p, array_to_string(ws[p:p + 49], ' ') AS t
+          FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 49)) AS p FROM w WHERE len(ws) >= 50)
+        ), f AS (SELECT t, min(doc_id) AS first FROM s GROUP BY t HAVING count(DISTINCT doc_id) > 1),
+        c AS (
+          SELECT doc_id, list_sort(list(p)) AS ps FROM s JOIN f USING (t) WHERE doc_id > first GROUP BY doc_id
+        ), r AS (
+          SELECT doc_id, list_distinct(flatten(list_transform(ps, lambda p: range(p, p + 50)))) AS gone FROM c
+        )
+        SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+          sha256(array_to_string(CASE WHEN gone IS NULL THEN ws
+            ELSE list_filter(ws, lambda x, i: NOT list_contains(gone, i)) END, ' ')) AS kept_sha256
+        FROM w LEFT JOIN r USING (doc_id)
+    """,
     "op2_exact_top_k": """
         WITH v AS (
           SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
