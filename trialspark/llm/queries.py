@@ -38,6 +38,15 @@ def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from trialspark.llm.tokens import encode_decode
+
+    docs = table(spark, sf_dir, "documents")
+    return encode_decode(docs, tokenizer_path(BPE_RANKS), public_tokenizers.PATTERN, digests=True)
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trialspark.llm.substrings import repeated_windows
 
@@ -46,6 +55,12 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trialspark.llm.lm import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trialspark.llm.neardup import near_duplicates
 
@@ -57,7 +72,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_best_fit_packing,
         op2_exact_top_k,
         op3_document_fingerprints,
+        op5_byte_bpe,
         op7_substring_dedup,
+        op9_lm_scoring,
         op10_simhash_near_duplicates,
     )
 }
