@@ -38,6 +38,12 @@ def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trialspark.llm.toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -47,6 +53,12 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(docs, tokenizer_path(BPE_RANKS), public_tokenizers.PATTERN, digests=True)
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trialspark.llm.quality import score_quality
+
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trialspark.llm.substrings import repeated_windows
 
@@ -72,7 +84,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_best_fit_packing,
         op2_exact_top_k,
         op3_document_fingerprints,
+        op4_toxicity,
         op5_byte_bpe,
+        op6_quality_classifier,
         op7_substring_dedup,
         op9_lm_scoring,
         op10_simhash_near_duplicates,
