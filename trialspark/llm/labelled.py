@@ -30,7 +30,7 @@ def labelled_sample(labels: DataFrame, name: str, rows: int) -> tuple[DataFrame,
     )
     sizes = {r["y"]: r["n"] for r in usable.groupBy("y").agg(F.count("*").alias("n")).collect()}
     place = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 20)) / float(1 << 20)
-    share = F.when(F.col("y") == 1, rows / max(rows, sizes.get(1, 0))).otherwise(rows / max(rows, sizes.get(0, 0)))
+    share = F.when(F.col("y") == 1, rows / max(1, rows, sizes.get(1, 0))).otherwise(rows / max(1, rows, sizes.get(0, 0)))
     return usable.where(place < share), sizes
 
 

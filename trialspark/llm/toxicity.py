@@ -10,19 +10,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialspark.llm.common import text_blocks, texts_of, words_of
+from trialspark.llm.common import text_blocks, texts_of, words_of, written
 from trialspark.llm.labelled import held_out, labelled_sample, linear, logistic, sigmoid
 from trialspark.llm.recompress import mix, word_names
 
 #: Labelled documents of each class that are learned from, at most (documented sample bound).
-SAMPLE_ROWS = 12_000
+SAMPLE_ROWS = 20_000
 #: Of those, one in so many is kept from the counts to calibrate the score.
 CALIBRATION = 4
-#: Words and word pairs in the model, at most; the most frequent stay, rarer ones are left to backoff.
-MODEL_WORDS, MODEL_PAIRS = 400_000, 200_000
-#: A pair must stand in so many sampled documents to have a probability of its own.
-PAIR_SUPPORT = 8
-DISCOUNT = 0.75
+#: Words in the model, at most; the most frequent stay, rarer ones are left to the shared backoff.
+MODEL_WORDS = 400_000
+#: Discounts: each gives a pair of models of its own, the larger ones trust only frequent expressions.
+DISCOUNTS = (0.75, 2.0, 4.0, 8.0)
+#: A word counts in the shared backoff by its distinct predecessors, up to this number.
+SHARED_CAP = 20
 THRESHOLD = 0.7
 _EDGES = b".,!?;:\"'()[]"
 _START = np.uint64(3)
@@ -34,171 +35,154 @@ def _names(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return word_names([w for words in split for w in words]), np.fromiter(map(len, split), np.int64, len(split))
 
 
-def _pairs(names: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The word before each word (or the start) and the name of both together."""
+def _pairs(names: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The name of each word together with the one before it (or the start)."""
     before = np.empty_like(names)
     before[1:] = names[:-1]
     starts = (np.cumsum(counts) - counts)[counts > 0]
     before[starts] = _START
-    return before, mix(mix(before) * np.uint64(3) + names)
+    return mix(mix(before) * np.uint64(3) + names)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences of words and pairs by class, and the documents of pairs."""
+    """Documents of each word by class (kind 0), and the distinct pairs of a word and the one before (kind 1)."""
     for _, texts, more in text_blocks(batches, 8_000_000):
         names, counts = _names(texts)
-        before, pairs = _pairs(names, counts)
-        y = np.repeat(np.array(more["y"], np.int64), counts)
         doc = np.repeat(np.arange(len(texts)), counts)
-        word, at, of = np.unique(names, return_index=True, return_inverse=True)
-        pair, pair_at, pair_of = np.unique(pairs, return_index=True, return_inverse=True)
-        new = np.unique(pair_of * len(texts) + doc) // len(texts)
-        for kind, keys, place, own in ((0, word, at, of), (1, pair, pair_at, pair_of)):
+        y = np.array(more["y"], np.int64)
+        word, of = np.unique(names, return_inverse=True)
+        seen = np.unique(of * len(texts) + doc)
+        own, toxic = seen // len(texts), y[seen % len(texts)] == 1
+        pair, at = np.unique(_pairs(names, counts), return_index=True)
+        zero = np.zeros(len(pair), np.int64)
+        for kind, keys, of_word, n0, n1 in (
+            (0, word, word, np.bincount(own[~toxic], minlength=len(word)), np.bincount(own[toxic], minlength=len(word))),
+            (1, pair, names[at], zero, zero),
+        ):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(len(keys), kind, np.int32)),
                     pa.array(keys.view(np.int64)),
-                    pa.array(before[place].view(np.int64) if kind else np.zeros(len(keys), np.int64)),
-                    pa.array(names[place].view(np.int64)),
-                    pa.array(np.bincount(own, y == 0, len(keys)).astype(np.int64)),
-                    pa.array(np.bincount(own, y == 1, len(keys)).astype(np.int64)),
-                    pa.array(np.bincount(new, minlength=len(keys)) if kind else np.zeros(len(keys), np.int64)),
+                    pa.array(of_word.view(np.int64)),
+                    pa.array(n0.astype(np.int64)),
+                    pa.array(n1.astype(np.int64)),
                 ],
-                ["kind", "key", "before", "word", "n0", "n1", "docs"],
+                ["kind", "key", "word", "n0", "n1"],
             )
 
 
 @dataclass
 class Model:
-    """Log-likelihood ratios: toxic against ordinary. Keys are sorted."""
+    """Log-likelihood ratios of words, toxic against ordinary, a row for each discount; ``words`` is sorted."""
 
     words: np.ndarray
-    word_ratio: np.ndarray
-    unknown: float
-    contexts: np.ndarray
-    context_ratio: np.ndarray
-    pairs: np.ndarray
-    pair_ratio: np.ndarray
+    ratios: np.ndarray
+    mean: np.ndarray
+    scale: np.ndarray
     weights: np.ndarray
 
     def features(self, texts: list[str]) -> np.ndarray:
-        """Mean ratio of the words of each text, and the same by the root of their number."""
+        """Per discount the length-normalised likelihood ratio, as a whole and of expressions that stand out.
+
+        A text's median ratio is taken off first: it is what its language and topic weigh.
+        """
         names, counts = _names(texts)
-        before, pairs = _pairs(names, counts)
-        single = _find(self.words, self.word_ratio, names, self.unknown) + _find(
-            self.contexts, self.context_ratio, before, 0.0
-        )
-        both = _find(self.pairs, self.pair_ratio, pairs, np.nan)
-        ratio = np.where(np.isnan(both), single, both)
+        at = np.minimum(np.searchsorted(self.words, names), len(self.words) - 1)
+        ratio = np.where(self.words[at] == names, self.ratios[:, at], 0.0)
+        out = np.zeros((len(texts), 3 * len(self.ratios) + 1))
+        out[:, -1] = np.log1p(counts)
         ends = np.cumsum(counts)
-        sums = np.concatenate([[0.0], np.cumsum(ratio)])
-        total = sums[ends] - sums[ends - counts]
-        return np.column_stack([total / np.maximum(counts, 1), total / np.sqrt(np.maximum(counts, 1))])
+        for i, (a, b) in enumerate(zip(ends - counts, ends)):
+            if b > a:
+                own = ratio[:, a:b]
+                own = own - np.median(own, axis=1)[:, None]
+                high = np.maximum(own - 1, 0).sum(1)
+                out[i, :-1] = np.concatenate(
+                    [np.clip(own, -1, 9).mean(1), np.minimum(high / (b - a), 0.2), np.log1p(high)]
+                )
+        return out
 
     def score(self, texts: list[str]) -> np.ndarray:
-        return sigmoid(linear(self.features(texts), self.weights))
-
-
-def _find(keys: np.ndarray, values: np.ndarray, asked: np.ndarray, missing: float) -> np.ndarray:
-    if not len(keys):
-        return np.full(len(asked), missing)
-    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-    return np.where(keys[at] == asked, values[at], missing)
+        return sigmoid(linear((self.features(texts) - self.mean) / self.scale, self.weights))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
-    """Two Kneser-Ney bigram models with one shared backoff.
-
-    P_c(w | v) = max(n_c(v, w) - D, 0) / n_c(v) + g_c(v) P_c(w), and
-    P_c(w) = max(n_c(w) - D, 0) / N_c + g_c S(w), where S is the share of distinct pairs that end in w
-    in either class: an expression that is rare in both classes has nearly the same probability in
-    both. The model holds bounded tables made from a bounded sample (:data:`SAMPLE_ROWS` of each
-    class); a logistic fit on a part of the sample that was not counted turns the length-normalised
-    difference into a probability. None without labels of both classes.
+    """Kneser-Ney models of both classes with one shared backoff.
+
+    P_c(w) = max(n_c(w) - D, 0) / N_c + g_c S(w): n_c counts the documents of class c that hold w, D is
+    discounted from each count, g_c is the discounted mass, and S(w) is w's share of the continuation
+    counts (distinct words before it, up to a cap) over both classes. So an expression that is rare in
+    both has nearly the same probability in both. Equal texts count once. The model is a bounded table
+    from a bounded sample (:data:`SAMPLE_ROWS` of each class); a logistic fit on a part of the sample that
+    was not counted turns length-normalised differences into a probability. None without labels of both
+    classes in both parts.
     """
     sample, sizes = labelled_sample(labels, "toxic", rows)
     if not (sizes.get(0) and sizes.get(1)):
         return None
     # at most 2 * rows ids, by the bound of the sample
     chosen = texts_of(docs).join(F.broadcast(sample), "doc_id")
+    chosen = chosen.groupBy(F.sha2(F.col("text").cast("binary"), 256).alias("h")).agg(
+        F.min("doc_id").alias("doc_id"), F.max("y").alias("y"), F.first("text").alias("text")
+    )
+    chosen = written(chosen, "toxicity-sample")
     part = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(CALIBRATION))
     counted = (
         chosen.where(part > 0)
-        .mapInArrow(_count, "kind int, key long, before long, word long, n0 long, n1 long, docs long")
-        .groupBy("kind", "key")
-        .agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "docs")], F.min("before").alias("before"), F.min("word").alias("word"))
+        .select("doc_id", "text", "y")
+        .mapInArrow(_count, "kind int, key long, word long, n0 long, n1 long")
+        .groupBy("kind", "key", "word")
+        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        .groupBy("word")
+        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("kind").alias("before"))
     )
-    counted = _kept(counted)
-    continued = counted.where("kind = 1").groupBy("word").agg(F.count("*").alias("followed"))
-    words = counted.where("kind = 0").join(continued, "word", "left").na.fill(0, ["followed"])
-    totals = words.agg(F.sum("n0"), F.sum("n1"), F.sum((F.col("n0") > 0).cast("long")), F.sum((F.col("n1") > 0).cast("long")), F.sum("followed")).first()
-    n = np.array([totals[0] or 0, totals[1] or 0], float)
-    if not n.all():
+    counted = written(counted.withColumn("before", F.least("before", F.lit(SHARED_CAP))), "toxicity-words")
+    sums = [F.sum("n0"), F.sum("n1"), F.sum("before")]
+    for d in DISCOUNTS:
+        sums += [F.sum(F.least(F.col(n).cast("double"), F.lit(d))) for n in ("n0", "n1")]
+    totals = [float(v or 0) for v in counted.agg(*sums).first()]
+    n, continued = np.array(totals[:2]), totals[2]
+    if not (n.all() and continued):
         return None
-    back = DISCOUNT * np.array([totals[2], totals[3]], float) / n
-    pairs_in_all = float(totals[4]) or 1.0
-    top = words.orderBy(F.desc(F.col("n0") + F.col("n1")), "key").limit(MODEL_WORDS).toPandas()
-    key = top["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(key)
-    key = key[order]
+    top = counted.orderBy(F.desc(F.col("n0") + F.col("n1")), "word").limit(MODEL_WORDS).toPandas()
+    words = top["word"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(words)
     counts = top[["n0", "n1"]].to_numpy(float)[order]
-    shared = (top["followed"].to_numpy(float)[order] + 0.5) / (pairs_in_all + 0.5 * len(top))
-    p = np.maximum(counts - DISCOUNT, 0) / n + back * shared[:, None]
-    pair = (
-        counted.where(f"kind = 1 and docs >= {PAIR_SUPPORT}")
-        .orderBy(F.desc("docs"), "key").limit(MODEL_PAIRS).select("key", "before", "word", "n0", "n1").toPandas()
-    )
-    word_ratio = np.log(p[:, 1] / p[:, 0])
-    unknown = float(np.log(back[1] / back[0]))
-    before = pair["before"].to_numpy(np.int64).view(np.uint64)
-    last = pair["word"].to_numpy(np.int64).view(np.uint64)
-    own = pair[["n0", "n1"]].to_numpy(float)
-    contexts, of = np.unique(before, return_inverse=True)
-    at = np.minimum(np.searchsorted(key, contexts), max(0, len(key) - 1))
-    visits = np.where((key[at] == contexts)[:, None], counts[at], 0.0) if len(key) else np.zeros((len(contexts), 2))
-    kept = np.column_stack([np.bincount(of, np.maximum(own[:, c] - DISCOUNT, 0), len(contexts)) for c in (0, 1)])
-    visits = np.maximum(visits, kept + 1.0)  # the start has no count of its own
-    rest = 1 - kept / visits
-    at = np.minimum(np.searchsorted(key, last), max(0, len(key) - 1))
-    base = p[at] if len(key) else np.ones((len(last), 2))
-    full = np.maximum(own - DISCOUNT, 0) / visits[of] + rest[of] * base
-    names = pair["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(names)
-    model = Model(
-        key, word_ratio, unknown, contexts, np.log(rest[:, 1] / rest[:, 0]), names[order],
-        np.log(full[:, 1] / full[:, 0])[order], np.zeros(3),
-    )
+    shared = np.maximum(top["before"].to_numpy(float)[order], 1)[:, None] / continued
+    ratios = []
+    for i, d in enumerate(DISCOUNTS):
+        back = np.array(totals[3 + 2 * i : 5 + 2 * i]) / n
+        p = np.maximum(counts - d, 0) / n + back * shared
+        ratios.append(np.log(p[:, 1] / p[:, 0]))
+    width = 3 * len(DISCOUNTS) + 1
+    model = Model(words[order], np.array(ratios), np.zeros(width), np.ones(width), np.zeros(width + 1))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts, more in text_blocks(batches, 4_000_000):
-            x = model.features(texts)
+        for ids, texts, more in text_blocks(batches, 4_000_000):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(more["y"], pa.int32()), pa.array(x[:, 0]), pa.array(x[:, 1])], ["y", "a", "b"]
+                [pa.array(ids, pa.int64()), pa.array(more["y"], pa.int32()), pa.array(list(model.features(texts)))],
+                ["doc_id", "y", "x"],
             )
 
-    found = chosen.where(part == 0).mapInArrow(features, "y int, a double, b double").toPandas()
+    found = chosen.where(part == 0).select("doc_id", "text", "y").mapInArrow(features, "doc_id long, y int, x array<double>")
+    found = found.toPandas().sort_values("doc_id")
     y = found["y"].to_numpy(float)
     if not (0 < y.sum() < len(y)):
         return None
     # each class counts as often as it occurs among the labels, not in the sample
     share = np.where(y == 1, sizes[1] / y.sum(), sizes[0] / (len(y) - y.sum())) * len(y) / (sizes[0] + sizes[1])
-    model.weights = logistic(found[["a", "b"]].to_numpy(float), y, share, 1e-3)
+    x = np.stack(found["x"])
+    model.mean, model.scale = x.mean(0), x.std(0) + 1e-9
+    model.weights = logistic((x - model.mean) / model.scale, y, share, 1.0)
     return model
 
 
-def _kept(counted: DataFrame) -> DataFrame:
-    from trialspark.llm.common import written
-
-    return written(counted, "toxicity-counts")
-
-
 def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of each whole text.
 
     Labels are learned only from documents outside the held-out fold; the score sees the text alone.
     Null and empty texts get the score of no evidence; without labels of both classes every score is 0.
-    The model travels with the tasks: its tables have fixed bounds (:data:`MODEL_WORDS`,
-    :data:`MODEL_PAIRS`). All rows stay; an empty table gives no rows.
+    The model travels with the tasks: its table is bounded by :data:`MODEL_WORDS`. All rows stay; an empty table gives no rows.
     """
     model = fit(docs, labels, rows)
     shared = docs.sparkSession.sparkContext.broadcast(model)
