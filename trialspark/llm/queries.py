@@ -67,6 +67,12 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trialspark.llm.html import extract_text
+
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trialspark.llm.lm import score_documents
 
@@ -88,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_byte_bpe,
         op6_quality_classifier,
         op7_substring_dedup,
+        op8_html_extraction,
         op9_lm_scoring,
         op10_simhash_near_duplicates,
     )
