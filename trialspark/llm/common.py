@@ -65,6 +65,12 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
 
 
+def slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """A batch in shorter ones, for work that holds several arrays for each word."""
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
 def text_blocks(
     batches: Iterator[pa.RecordBatch], chars: int
 ) -> Iterator[tuple[list[int], list[str], dict[str, list]]]:

@@ -223,3 +223,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(of, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each near-duplicate component, that of the smallest id; repeated rows once."""
+    kept = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept"))
+    rows = docs.join(kept.distinct(), docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
+    return rows.dropDuplicates(["doc_id", "text"])

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialspark.llm.common import text_blocks, words_of
+from trialspark.llm.common import slices, text_blocks, words_of
 from trialspark.llm.labelled import held_out, labelled_sample, linear, logistic, sigmoid
 
 #: Labelled documents of each class and documents without a usable label that are learned from, at most.
@@ -188,3 +188,24 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
         "doc_id", held_out().alias("held_out"), "content_score", "metadata_score", "score",
         (F.col("score") >= threshold).alias("keep"),
     )
+
+
+def of_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score at least the threshold, all columns as they are; see :func:`score_quality`."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for whole in batches:
+            for batch in slices(whole):
+                if own:
+                    texts = [t or "" for t in batch.column("text").to_pylist()]
+                    more = {
+                        c: batch.column(c).to_pylist() if c in names else [None] * len(texts)
+                        for c in ("lang", "source", "n_chars")
+                    }
+                    batch = batch.filter(pa.array(own.scores(*_views(texts, more))[:, 2] >= threshold))
+                yield batch
+
+    return docs.mapInArrow(run, docs.schema)

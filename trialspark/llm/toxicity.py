@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialspark.llm.common import text_blocks, texts_of, words_of, written
+from trialspark.llm.common import slices, text_blocks, texts_of, words_of, written
 from trialspark.llm.labelled import held_out, labelled_sample, linear, logistic, sigmoid
 from trialspark.llm.recompress import mix, word_names
 
@@ -195,3 +195,17 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
 
     scored = texts_of(docs).mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose text scores below the threshold, all columns as they are; see :func:`score_toxicity`."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, rows))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for whole in batches:
+            for batch in slices(whole):
+                texts = [t or "" for t in batch.column("text").to_pylist()]
+                yield batch.filter(pa.array(own.score(texts) < threshold)) if own else batch
+
+    return docs.mapInArrow(run, docs.schema)
