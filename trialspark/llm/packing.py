@@ -6,6 +6,8 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +18,8 @@ from trialspark.llm.common import ranges, text_blocks, texts_of, written
 
 #: Tokens of a packed sequence.
 CAPACITY = 2048
-#: Cached text chunks of one task; the cache starts anew beyond it.
-CACHED_CHUNKS = 400_000
+#: Text chunks whose ids a worker keeps; those that come later are encoded where they occur.
+CACHED_CHUNKS = 500_000
 
 ITEM, GAP, PLACED = 0, 1, 2
 
@@ -50,15 +52,22 @@ class ChunkEncoder:
     def _learn(self, chunks: list[str]) -> None:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
         self.index.update(zip(chunks, range(len(self.index), len(self.index) + len(chunks))))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.flat = np.concatenate([self.flat, flat])
 
+    def _forget(self, kept: int) -> None:
+        """Back to the first ``kept`` chunks."""
+        for chunk in list(islice(self.index, kept, None)):
+            del self.index[chunk]
+        self.flat = self.flat[: int(self.lengths[:kept].sum())].copy()
+        self.starts, self.lengths = self.starts[:kept].copy(), self.lengths[:kept].copy()
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.index) > CACHED_CHUNKS:
-            self._reset()
+            self._forget(CACHED_CHUNKS)
         chunked: list[list[str] | None] = []
         fresh: dict[str, None] = {}
         for text in texts:
@@ -83,6 +92,12 @@ class ChunkEncoder:
         return out
 
 
+@cache
+def encoder(path: str) -> ChunkEncoder:
+    """One for each worker, kept from task to task."""
+    return ChunkEncoder(path)
+
+
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` of each document cut into pieces of at most ``capacity``.
 
@@ -91,10 +106,10 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY)
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer_path)
+        chunks = encoder(tokenizer_path)
         for docs_, texts, _ in text_blocks(batches, 2_000_000):
             rows: list[tuple] = []
-            for doc, ids in zip(docs_, encoder.encode(texts)):
+            for doc, ids in zip(docs_, chunks.encode(texts)):
                 ids = np.append(ids, np.uint32(0)).astype("<u4")
                 first = len(ids) % capacity or capacity
                 edges = [0, *range(first, len(ids) + 1, capacity)]
