@@ -66,10 +66,14 @@ def share_edges(keys: np.ndarray, shares: int) -> np.ndarray:
     return np.append(np.searchsorted(keys, bounds), len(keys))
 
 
-def blocks(docs: DataFrame, build: Callable[[list, list[str]], list[tuple]], purpose: str) -> DataFrame:
+def blocks(
+    docs: DataFrame, build: Callable[[list, list[str]], list[tuple]], purpose: str, replayed: bool = False
+) -> DataFrame:
     """Rows of ``build(ids, texts)`` for each block, written to the shared folder.
 
     ``build`` gives (share, kind, a, b, c, d); the number of a block is the task's and its place there.
+    Where ``docs`` is a plain read of files, every reading gives the same rows in the same tasks;
+    ``replayed`` then saves the copy on disk and builds the blocks as often as they are used.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,7 +82,8 @@ def blocks(docs: DataFrame, build: Callable[[list, list[str]], list[tuple]], pur
             yield rows([(block, *row) for row in build(ids, texts)])
             block += 1
 
-    return written(texts_of(docs).mapInArrow(run, SCHEMA), purpose)
+    built = texts_of(docs).mapInArrow(run, SCHEMA)
+    return built if replayed else written(built, purpose)
 
 
 def pack_ids(ids: list) -> bytes:

@@ -50,7 +50,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trialspark.llm.tokens import encode_decode
 
     docs = table(spark, sf_dir, "documents")
-    return encode_decode(docs, tokenizer_path(BPE_RANKS), public_tokenizers.PATTERN, digests=True)
+    return encode_decode(docs, tokenizer_path(BPE_RANKS), public_tokenizers.PATTERN, digests=True, replayed=True)
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -141,7 +141,9 @@ def _by_document(ranks_path: str, digests: bool):
     return gather
 
 
-def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, digests: bool = False) -> DataFrame:
+def encode_decode(
+    docs: DataFrame, ranks_path: str, pattern: str, digests: bool = False, replayed: bool = False
+) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded``: the token ids of each whole text and the bytes they stand for.
 
     With ``digests`` the last two come as ``ids_sha256`` (decimal ids joined by a space) and
@@ -152,11 +154,13 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, digests: bool
     once, and its ids return to the blocks that hold it, where texts are put together by position and
     decoded by the table of token bytes (as many entries as the vocabulary).
 
+    ``replayed`` says that ``docs`` is a plain read of files; see :func:`exchange.blocks`.
+
     Null text is empty: no tokens. An empty table gives no rows; repeated rows and null ids stay; other
     columns are not read. One very long text without white space is one word.
     """
     shares = X.shares_for(docs)
-    table = X.blocks(docs, _request(shares), "bpe-blocks")
+    table = X.blocks(docs, _request(shares), "bpe-blocks", replayed)
     answers = table.where("share >= 0").groupBy("share").applyInArrow(_answer(ranks_path, pattern), X.SCHEMA)
     schema = "doc_id long, n_tokens long, " + (
         "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded binary"
