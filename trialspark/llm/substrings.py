@@ -72,31 +72,28 @@ def _suspects(named: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts, more in text_blocks(batches, BLOCK_CHARS):
             split = [words_of(t) for t in texts]
-            own = [_digest(w) == h for w, h in zip(split, zip(more["h1"], more["h2"]))]
+            hashes = [_digest(w) for w in split]
             block = Block([word_names(w) for w in split], window)
             anchor = block.anchors().view(np.int64)
             suspect = np.zeros(len(anchor), bool)
             edges = np.searchsorted(block.doc_of, np.arange(len(ids) + 1))
             for i, shared in enumerate(more["shared"]):
-                if own[i]:  # else another text under the same id
-                    a, b = edges[i], edges[i + 1]
-                    suspect[a:b] = np.isin(anchor[a:b], np.array(shared, np.int64))
+                a, b = edges[i], edges[i + 1]
+                suspect[a:b] = np.isin(anchor[a:b], np.array(shared, np.int64))
             chosen = np.flatnonzero(suspect)
             w1, w2 = block.window_hashes(chosen)
             place = (block.starts[chosen] - block.offsets[block.doc_of[chosen]]).astype(np.int32)
             offsets = np.searchsorted(block.doc_of[chosen], np.arange(len(ids) + 1)).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(v)) for v in (place, w1, w2)]
-            batch = pa.RecordBatch.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
-                    pa.array(more["h1"], pa.int64()),
-                    pa.array(more["h2"], pa.int64()),
+                    pa.array([h[0] for h in hashes], pa.int64()),
+                    pa.array([h[1] for h in hashes], pa.int64()),
                     pa.array(texts, pa.string()),
-                    *lists,
+                    *[pa.ListArray.from_arrays(pa.array(offsets), pa.array(v)) for v in (place, w1, w2)],
                 ],
                 ["doc_id", "h1", "h2", "text", "place", "w1", "w2"],
             )
-            yield batch.filter(pa.array(own))
 
     return named.mapInArrow(
         run,
@@ -151,19 +148,21 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     copies = base.select(*key).join(firsts, ["h1", "h2"]).where(F.col("doc_id") > F.col("first")).select(*key).distinct()
     copies = written(copies, "copies")
     alone = base.select(*key, "anchors").join(copies, key, "left_anti")
-    rows = alone.select(*key, F.explode("anchors").alias("anchor"))
+    rows = alone.select("doc_id", F.explode("anchors").alias("anchor"))
     shared = rows.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
-    flagged = rows.join(shared, "anchor").groupBy(*key).agg(F.collect_set("anchor").alias("shared"))
-    suspects = written(_suspects(_keyed(docs).join(flagged, "doc_id"), window), "windows")
-    windows = suspects.select(*key, F.explode(F.arrays_zip("place", "w1", "w2")).alias("w")).select(
-        *key, "w.place", "w.w1", "w.w2"
+    flagged = rows.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared"))
+    # a document is known by its row in the written table: shorter than its id and hash
+    found = _suspects(_keyed(docs).join(flagged, "doc_id"), window).withColumn("row", F.monotonically_increasing_id())
+    suspects = written(found, "windows")
+    windows = suspects.select("row", "doc_id", F.explode(F.arrays_zip("place", "w1", "w2")).alias("w")).select(
+        "row", "doc_id", "w.place", "w.w1", "w.w2"
     )
     earliest = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     earliest = earliest.where("first < last").select("w1", "w2", "first")
     late = windows.join(earliest, ["w1", "w2"]).where(F.col("doc_id") > F.col("first"))
-    starts = late.groupBy(*key).agg(F.collect_list("place").alias("starts"))
-    held = suspects.select(*key, "text").dropDuplicates(key)
-    cut = _cut(held.join(starts, key), window)
+    starts = late.groupBy("row").agg(F.collect_list("place").alias("starts"))
+    held = suspects.select("row", *key, "text")
+    cut = _cut(held.join(starts, "row").drop("row"), window).dropDuplicates(key)
     cut = cut.unionByName(
         base.join(copies, key, "left_semi").where(F.col("n_words") >= window).select(
             *key, F.col("n_words").alias("n_removed"), F.lit("").alias("kept")
