@@ -102,14 +102,13 @@ def blocks_of(page: str) -> list[tuple[str, str]]:
                 raw = name
             continue
         if skip:
-            if name == skip:
-                depth += -1 if closing else 1
-                if not depth:
-                    skip = ""
-                continue
-            if skip in _CLOSED_BY_BLOCK and name in _BLOCK:
+            if skip in _CLOSED_BY_BLOCK and name in _BLOCK and not (closing and name == skip):
                 skip, depth = "", 0
             else:
+                if name == skip:
+                    depth += -1 if closing else 1
+                    if not depth:
+                        skip = ""
                 continue
         if name in _BLOCK:
             flush()
