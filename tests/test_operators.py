@@ -269,26 +269,70 @@ def test_clauses_and_tree(spark):
     criteria = "Age >= 18 years\nInclusion Criteria:\n * HbA1c < 7.5 %\n\nExclusion criteria\n1. Prior stroke\n"
     df = spark.createDataFrame([(1, criteria)], "id long, t string")
     found = textjobs.eligibility_clauses(df, "id", "t")
-    rows = found.select("*", textjobs.normalized_clause("raw_text").alias("n")).orderBy("line_no").collect()
+    rows = found.select("*", textjobs.normalized_clauses("raw_text").alias("n")).orderBy("line_no").collect()
     assert [(r["criterion_type"], r["raw_text"]) for r in rows] == [
         ("inclusion", "Age >= 18 years"), ("inclusion", "HbA1c < 7.5 %"), ("exclusion", "Prior stroke"),
     ]
     assert all(criteria[r["char_start"] : r["char_end"]] == r["raw_text"] for r in rows)
-    assert tuple(rows[0]["n"]) == ("age", ">=", 18.0, "years")
-    assert tuple(rows[1]["n"]) == ("hba1c", "<", 7.5, "%") and rows[2]["n"] is None
+    assert [tuple(n) for n in rows[0]["n"]] == [("age", ">=", 18.0, "years")]
+    assert [tuple(n) for n in rows[1]["n"]] == [("hba1c", "<", 7.5, "%")] and rows[2]["n"] == []
     tree = textjobs.eligibility_tree(found, "id").first()
     assert (tree["inclusion_clauses"], tree["exclusion_clauses"]) == (2, 1)
 
 
+@pytest.mark.parametrize(
+    ("line", "kind", "rest"),
+    [
+        ("Key Exclusion Criteria:", "exclusion", []),
+        ("Exclusion Criteria (Part A):", "exclusion", []),
+        ("  ** EXCLUSION CRITERIA **", "exclusion", []),
+        ("Exclusion Criteria for part B: pregnant", "exclusion", ["pregnant"]),
+        ("Main exclusion criteria: - stroke", "exclusion", ["stroke"]),
+        ("Meets none of the exclusion criteria of the protocol", "inclusion", ["Meets none of the exclusion criteria of the protocol"]),
+    ],
+)
+def test_criteria_headers(spark, line, kind, rest):
+    df = spark.createDataFrame([(1, f"{line}\nlast")], "id long, t string")
+    rows = textjobs.eligibility_clauses(df, "id", "t").orderBy("line_no").collect()
+    assert [r["raw_text"] for r in rows] == [*rest, "last"]
+    assert {r["criterion_type"] for r in rows} == {kind}
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("Age >= 18 years and <= 65 years", [("age", ">=", 18.0, "years"), ("age", "<=", 65.0, "years")]),
+        ("BMI >= 20 and BMI <= 30", [("bmi", ">=", 20.0, None), ("bmi", "<=", 30.0, None)]),
+        ("1. Dose > 5 mg, or weight ≤ 80.5kg", [("dose", ">", 5.0, "mg"), ("weight", "<=", 80.5, "kg")]),
+        ("no comparison", []),
+        (None, []),
+    ],
+)
+def test_every_comparison_is_found(spark, text, found):
+    df = spark.createDataFrame([(text,)], "t string")
+    got = df.select(textjobs.normalized_clauses("t").alias("n")).first()["n"]
+    assert [tuple(n) for n in got] == found
+
+
+def test_words_and_terms_of_any_length_and_script(spark):
+    df = spark.createDataFrame([(1, "Vièle éréier, non small cell lung cancer")], "id long, t string")
+    assert df.select(textjobs.words("t").alias("w")).first()["w"][:2] == ["vièle", "éréier"]
+    terms = [("lung cancer", "C1", "disease"), ("non small cell lung cancer", "C2", "disease"), ("vièle", "C3", "lab")]
+    dictionary = spark.createDataFrame(terms, "term string, concept_id string, concept_type string")
+    links = textjobs.link_concepts(df, "id", "t", dictionary)
+    assert {r["concept_id"] for r in links.collect()} == {"C1", "C2", "C3"}
+    assert textjobs.first_entities(links, "id").first()["entity_count"] == 3
+
+
 def test_embeddings(spark):
     rows = [("NCT1", "lung cancer", "x" * 600), ("NCT2", None, "  "), ("NCT3", "lung cancer", "x" * 700)]
     df = spark.createDataFrame(rows, "nct_id string, title string, brief_summary string")
-    made = {r["nct_id"]: r["embedding"] for r in embed.generate_embeddings(df).collect()}
+    made = {r["nct_id"]: r["embedding"] for r in embed.generate_embeddings(df, summary_limit=500).collect()}
     assert set(made) == {"NCT1", "NCT3"}
     assert made["NCT1"] == made["NCT3"]  # the summary is cut to 500 characters
     assert np.linalg.norm(made["NCT1"]) == pytest.approx(1) and len(made["NCT1"]) == 384
     own = embed.generate_embeddings(df, load=lambda: lambda texts: np.array([[len(t), 1] for t in texts]), batch_size=1)
-    assert {r["nct_id"]: r["embedding"] for r in own.collect()}["NCT1"] == [512.0, 1.0]
+    assert {r["nct_id"]: r["embedding"] for r in own.collect()}["NCT1"] == [612.0, 1.0]
     stats = embed.embedding_statistics(embed.generate_embeddings(df.filter("nct_id = 'NCT2'"))).first()
     assert stats["total_embeddings"] == 0 and stats["error"] == "No texts to embed"
 

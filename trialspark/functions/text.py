@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TOKEN = "[a-z0-9]+"
+WORD = r"[\p{L}\p{M}\p{N}]+"
 
 # English function words left out of token features.
 STOP_WORDS = tuple(
@@ -32,11 +33,17 @@ def tokens(c: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(TOKEN), F.lit(0))
 
 
+def word_tokens(c: Column | str) -> Column:
+    """Lower-case runs of letters, marks and digits of any script; null text has none."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(WORD), F.lit(0))
+
+
 def alphabetic(c: Column | str) -> Column:
-    """Tokens made of letters only."""
+    """Those without a digit."""
     c = F.col(c) if isinstance(c, str) else c
     text = F.lower(F.coalesce(c, F.lit("")))
-    return F.regexp_extract_all(text, F.lit("(?<![a-z0-9])[a-z]++(?![0-9])"), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(r"(?<![\p{L}\p{M}\p{N}])[\p{L}\p{M}]++(?!\p{N})"), F.lit(0))
 
 
 def not_stop(word: Column, stop_words: Iterable[str] = STOP_WORDS) -> Column:

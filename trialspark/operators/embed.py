@@ -48,13 +48,17 @@ def generate_embeddings(
     df: DataFrame,
     id_col: str = "nct_id",
     text_cols: Iterable[str] = ("title", "brief_summary"),
-    summary_limit: int = 500,
+    summary_limit: int | None = None,
     load: Callable[[], Encoder] | None = None,
     batch_size: int = 32,
     dim: int = 384,
 ) -> DataFrame:
-    """Embeddings of the combined text columns; rows without text have none."""
-    texts = combined_text(df, text_cols, {"brief_summary": summary_limit}, drop_blank=True)
+    """Embeddings of the combined text columns; rows without text have none.
+
+    ``summary_limit`` cuts the summary to that many characters; by default whole texts are read.
+    """
+    limits = {} if summary_limit is None else {"brief_summary": summary_limit}
+    texts = combined_text(df, text_cols, limits, drop_blank=True)
     if load is None:
         return hashing_embedding(texts, id_col, "combined_text", dim)
     return embed_with(texts, id_col, "combined_text", load, batch_size)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trialspark.functions.text import STOP_WORDS, alphabetic, clean_text, match_spans, ngrams, not_stop, tokens, words
+from trialspark.functions.text import STOP_WORDS, alphabetic, clean_text, match_spans, ngrams, not_stop, tokens, word_tokens, words
 
 
 def combined_text(
@@ -124,7 +124,7 @@ def tfidf(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def trigram_counts(df: DataFrame, text_col: str, n: int = 3) -> DataFrame:
-    grams = df.select(tokens(text_col).alias("_t")).select(F.explode(ngrams(F.col("_t"), n)).alias("trigram"))
+    grams = df.select(word_tokens(text_col).alias("_t")).select(F.explode(ngrams(F.col("_t"), n)).alias("trigram"))
     return grams.groupBy("trigram").agg(F.count("*").alias("occurrences"))
 
 
@@ -159,16 +159,29 @@ def chunk_documents(df: DataFrame, id_col: str, text_col: str, size: int, overla
     )
 
 
+# Words that qualify a criteria header.
+_QUALIFIERS = (
+    "key|main|major|minor|general|primary|secondary|additional|other|specific|common|study|subject|patient|"
+    "participant|trial|cohort|part|group|arm|phase|[a-z0-9]"
+)
+#: A line that starts a section: the phrase, before it qualifiers, after it a remark, a colon or nothing.
+HEADER = (
+    rf"(?i)^\W*(?:(?:{_QUALIFIERS})\W+){{0,4}}(inclusion|exclusion)\s+criteria\b"
+    r"\s*(?:\([^)]*\)\s*|(?:for|of|in)\b[^:]*)?(?::|\W*$)"
+)
+BULLET = r"^(?:[\s*•\-]|\d+[.)]\s)*"
+
+
 def eligibility_clauses(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Lines of the criteria text as inclusion or exclusion clauses with character offsets.
 
-    A line such as ``Inclusion Criteria:`` or ``Exclusion Criteria:`` starts its section and is not
-    a clause itself; lines before any header belong to inclusion. Bullets are not part of a clause.
+    A line that matches :data:`HEADER`, such as ``Key Exclusion Criteria (Part A):``, starts its section;
+    what follows its colon is a clause. Lines before any header belong to inclusion. Bullets are not
+    part of a clause.
     """
     spans = match_spans(r"[^\r\n]+")
-    header = r"(?i)^\W*(inclusion|exclusion)\s+criteria\W*$"
     lines = df.select(id_col, F.posexplode(spans(F.col(text_col))).alias("line_no", "s"))
-    kind = F.lower(F.regexp_extract("line", header, 1))
+    kind = F.lower(F.regexp_extract("line", HEADER, 1))
     lines = lines.select(
         id_col, "line_no", F.col("s.text").alias("line"), F.col("s.start").alias("line_start")
     ).withColumn("kind", F.when(kind != "", kind))
@@ -177,11 +190,12 @@ def eligibility_clauses(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     lines = lines.withColumn(
         "criterion_type", F.coalesce(F.last("kind", ignorenulls=True).over(above), F.lit("inclusion"))
     )
-    lead = F.length(F.regexp_extract("line", r"^(?:[\s*•\-]|\d+[.)]\s)*", 0))
+    head = F.length(F.regexp_extract("line", HEADER, 0))
+    rest = F.substring(F.col("line"), head + 1, F.length("line"))
+    lead = head + F.length(F.regexp_extract(rest, BULLET, 0))
     body = F.regexp_replace(F.substring(F.col("line"), lead + 1, F.length("line")), r"\s+$", "")
     return (
-        lines.filter(F.col("kind").isNull())
-        .withColumn("raw_text", body)
+        lines.withColumn("raw_text", body)
         .filter(F.col("raw_text") != "")
         .withColumn("char_start", (F.col("line_start") + lead).cast("int"))
         .withColumn("char_end", (F.col("char_start") + F.length("raw_text")).cast("int"))
@@ -189,34 +203,43 @@ def eligibility_clauses(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def normalized_clause(c: Column | str) -> Column:
-    """struct(field, comparator, value, unit) of ``age >= 18 years``-like text; null without one.
+def normalized_clauses(c: Column | str) -> Column:
+    """array of struct(field, comparator, value, unit): every comparison, such as ``age >= 18 years``.
 
-    The field is the run of words before the comparator. The pattern only starts where a run starts
-    and never gives characters back, so it is linear in the text.
+    The field is the run of words before the comparator without a joining word; a comparison without one
+    (``>= 18 years and <= 65 years``) has the field of the one before. A joining word is never a unit.
+    The pattern only starts where a run starts or a match ended and never gives characters back, so it
+    is linear in the text. Text without a comparison has an empty array.
     """
     c = F.col(c) if isinstance(c, str) else c
     pattern = (
-        r"(?i)(?<![a-z0-9 _\-])[0-9 _\-]*+([a-z][a-z0-9 _\-]*+)(>=|<=|≥|≤|>|<|=)\s*+(\d+(?:\.\d+)?)\s*([a-z%/]*)"
+        r"(?:(?<![A-Za-z0-9 _\-])|\G)[0-9 _\-]*+([A-Za-z][A-Za-z0-9 _\-]*+)?(>=|<=|≥|≤|>|<|=)\s*+"
+        r"(\d+(?:\.\d+)?)(?:\s*+(?!(?:and|or|to)\b)([A-Za-z%/]+))?"
     )
-    found = F.regexp_extract(c, pattern, 0)
-    part = lambda i: F.regexp_extract(found, pattern, i)
-    comparator = F.replace(F.replace(part(2), F.lit("≥"), F.lit(">=")), F.lit("≤"), F.lit("<="))
-    unit = F.lower(part(4))
-    return F.when(
-        found != "",
-        F.struct(
-            F.lower(F.trim(part(1))).alias("field"),
+    found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(pattern), F.lit(0))
+    joining = r"^(?:(?:and|or|to|but)(?:\s+|$))+"
+    inside = r"^[0-9 _\-]*([A-Za-z][A-Za-z0-9 _\-]*)?(>=|<=|≥|≤|>|<|=)\s*(\d+(?:\.\d+)?)(?:\s*([A-Za-z%/]+))?$"
+
+    def parts(m: Column) -> Column:
+        unit = F.lower(F.regexp_extract(m, inside, 4))
+        comparator = F.replace(F.replace(F.regexp_extract(m, inside, 2), F.lit("≥"), F.lit(">=")), F.lit("≤"), F.lit("<="))
+        return F.struct(
+            F.regexp_replace(F.lower(F.trim(F.regexp_extract(m, inside, 1))), joining, "").alias("field"),
             comparator.alias("comparator"),
-            part(3).try_cast("double").alias("value"),
+            F.regexp_extract(m, inside, 3).try_cast("double").alias("value"),
             F.when(unit != "", unit).alias("unit"),
-        ),
+        )
+
+    split = F.transform(found, parts)
+    last_field = lambda i: F.try_element_at(
+        F.filter(F.transform(F.slice(split, F.lit(1), i + 1), lambda m: m["field"]), lambda f: f != ""), F.lit(-1)
     )
+    return F.transform(split, lambda m, i: F.struct(last_field(i).alias("field"), m["comparator"], m["value"], m["unit"]))
 
 
 def eligibility_tree(clauses: DataFrame, id_col: str) -> DataFrame:
     """One JSON tree per record: all inclusion clauses and none of the exclusion clauses."""
-    node = F.struct("line_no", "raw_text", normalized_clause("raw_text").alias("normalized"))
+    node = F.struct("line_no", "raw_text", normalized_clauses("raw_text").alias("normalized"))
     side = lambda kind: F.transform(
         F.array_sort(F.collect_list(F.when(F.col("criterion_type") == kind, node))), lambda n: n.dropFields("line_no")
     )
@@ -228,13 +251,16 @@ def eligibility_tree(clauses: DataFrame, id_col: str) -> DataFrame:
     )
 
 
-def link_concepts(df: DataFrame, id_col: str, text_col: str, dictionary: DataFrame, max_words: int = 3) -> DataFrame:
+def link_concepts(df: DataFrame, id_col: str, text_col: str, dictionary: DataFrame) -> DataFrame:
     """Dictionary terms in texts with offsets: (id, concept, type, start, end).
 
+    Terms may have any number of words: the longest one in the dictionary sets how far n-grams go.
+
     ``dictionary`` has ``term`` (lower-case tokens joined by blanks), ``concept_id`` and
     ``concept_type``. N-grams are made inside the scan stage; the join is on the term.
     """
-    spans = match_spans("[A-Za-z0-9]+", lower=True)
+    longest = dictionary.agg(F.max(F.size(F.split("term", " ")))).first()[0] or 1
+    spans = match_spans(r"[^\W_]+", lower=True)
     placed = df.select(id_col, spans(F.col(text_col)).alias("_s"))
 
     def grams(n: int) -> Column:
@@ -253,20 +279,20 @@ def link_concepts(df: DataFrame, id_col: str, text_col: str, dictionary: DataFra
         ).otherwise(F.array().cast("array<struct<term:string,char_start:int,char_end:int>>"))
 
     candidates = placed.select(
-        id_col, F.explode(F.concat(*[grams(n) for n in range(1, max_words + 1)])).alias("g")
+        id_col, F.explode(F.concat(*[grams(n) for n in range(1, longest + 1)])).alias("g")
     ).select(id_col, "g.*")
     return candidates.join(dictionary, "term").select(
         id_col, "term", "concept_id", "concept_type", "char_start", "char_end"
     )
 
 
-def first_entities(links: DataFrame, id_col: str, keep: int = 20) -> DataFrame:
-    """Per text: how many links there are, and the first ``keep`` in text order."""
+def first_entities(links: DataFrame, id_col: str, keep: int | None = None) -> DataFrame:
+    """Per text: how many links there are, and the first ``keep`` (all, without a number) in text order."""
     order = Window.partitionBy(id_col).orderBy("char_start", "char_end", "concept_id")
     counts = links.groupBy(id_col).agg(F.count("*").alias("entity_count"))
     head = (
         links.withColumn("_n", F.row_number().over(order))
-        .filter(F.col("_n") <= keep)
+        .filter(F.lit(True) if keep is None else F.col("_n") <= keep)
         .groupBy(id_col)
         .agg(
             F.transform(

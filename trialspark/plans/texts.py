@@ -11,8 +11,8 @@ from trialspark.plans.tables import Tables
 
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 _WORDS = f"""w AS (SELECT doc_id, i AS pos, token FROM (SELECT doc_id, unnest(t) AS token, generate_subscripts(t, 1) AS i
-  FROM (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[a-z0-9]+'),
-    lambda x: regexp_full_match(x, '[a-z]+') AND x NOT IN ({_STOP})) AS t FROM documents)))"""
+  FROM (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}\\p{{N}}]+'),
+    lambda x: regexp_full_match(x, '[\\p{{L}}\\p{{M}}]+') AND x NOT IN ({_STOP})) AS t FROM documents)))"""
 
 
 @query(
@@ -108,8 +108,8 @@ def combined(t: Tables):
 @query(
     "tx04_clean_text_and_stop_words",
     f"""WITH c AS (SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^<>]*>', ' ', 'g'), '[\\x00-\\x20\\x7F]+', ' ', 'g')) AS t FROM pages)
-        SELECT page_id, md5(t) AS clean_md5, array_to_string(list_filter(regexp_extract_all(lower(t), '[a-z0-9]+'),
-          lambda x: regexp_full_match(x, '[a-z]+') AND x NOT IN ({_STOP})), ' ') AS words FROM c""",
+        SELECT page_id, md5(t) AS clean_md5, array_to_string(list_filter(regexp_extract_all(lower(t), '[\\p{{L}}\\p{{M}}\\p{{N}}]+'),
+          lambda x: regexp_full_match(x, '[\\p{{L}}\\p{{M}}]+') AND x NOT IN ({_STOP})), ' ') AS words FROM c""",
 )
 def clean(t: Tables):
     found = textjobs.cleaned_words(t.pages, "page_id", "html")
@@ -129,7 +129,7 @@ def tfidf(t: Tables):
 
 @query(
     "tx06_trigrams",
-    """WITH t AS (SELECT regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents),
+    r"""WITH t AS (SELECT regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+') AS w FROM documents),
        g AS (SELECT unnest(list_transform(range(1, len(w) - 1), lambda i: concat(w[i], ' ', w[i + 1], ' ', w[i + 2]))) AS trigram FROM t WHERE len(w) >= 3)
        SELECT trigram, count(*) AS occurrences FROM g GROUP BY 1""",
 )
@@ -162,20 +162,21 @@ def wide_chunks(t: Tables):
 
 def _criteria(t: Tables):
     """Criteria text of a document: its lines, the later half under an exclusion header."""
-    text = F.concat(F.lit("Inclusion Criteria:\n- "), F.col("source"), F.lit(" >= 18 years\n"), F.col("text"),
-                    F.lit("\n\nExclusion Criteria:\n 1. "), F.col("lang"), F.lit(" < 5 mg\n* "), F.col("text"))
+    text = F.concat(F.lit("Main Inclusion Criteria:\n- "), F.col("source"), F.lit(" >= 18 years and <= 65 years\n"), F.col("text"),
+                    F.lit("\n\nKey Exclusion Criteria (Part A): "), F.col("lang"), F.lit(" < 5 mg\n* "), F.col("text"))
     return t.documents.select("doc_id", text.alias("criteria"))
 
 
-_CLAUSES = r"""
-WITH c AS (SELECT doc_id, concat('Inclusion Criteria:', chr(10), '- ', source, ' >= 18 years', chr(10), text, chr(10), chr(10),
-  'Exclusion Criteria:', chr(10), ' 1. ', lang, ' < 5 mg', chr(10), '* ', text) AS criteria FROM documents),
+_CLAUSES = rf"""
+WITH c AS (SELECT doc_id, concat('Main Inclusion Criteria:', chr(10), '- ', source, ' >= 18 years and <= 65 years', chr(10), text, chr(10), chr(10),
+  'Key Exclusion Criteria (Part A): ', lang, ' < 5 mg', chr(10), '* ', text) AS criteria FROM documents),
 pieces AS (SELECT doc_id, unnest(string_split_regex(criteria, '[\r\n]')) AS piece, generate_subscripts(string_split_regex(criteria, '[\r\n]'), 1) AS no FROM c),
 placed AS (SELECT *, (sum(length(piece) + 1) OVER (PARTITION BY doc_id ORDER BY no))::BIGINT - length(piece) - 1 AS start_at FROM pieces),
 lines AS (SELECT doc_id, piece, start_at, no, row_number() OVER (PARTITION BY doc_id ORDER BY no) - 1 AS line_no,
-  nullif(lower(regexp_extract(piece, '(?i)^\W*(inclusion|exclusion)\s+criteria\W*$', 1)), '') AS header FROM placed WHERE piece <> ''),
+  regexp_extract(piece, '{textjobs.HEADER}', 0) AS head, nullif(lower(regexp_extract(piece, '{textjobs.HEADER}', 1)), '') AS header FROM placed WHERE piece <> ''),
 typed AS (SELECT *, coalesce(last_value(header IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY no), 'inclusion') AS criterion_type FROM lines),
-clause AS (SELECT doc_id, line_no, criterion_type, length(regexp_extract(piece, '^(?:[\s*•\-]|\d+[.)]\s)*', 0)) AS lead, piece, start_at FROM typed WHERE header IS NULL),
+clause AS (SELECT doc_id, line_no, criterion_type, piece, start_at,
+  length(head) + length(regexp_extract(substr(piece, length(head) + 1), '{textjobs.BULLET}', 0)) AS lead FROM typed),
 body AS (SELECT doc_id, line_no, criterion_type, regexp_replace(substr(piece, lead + 1), '\s+$', '') AS raw_text, start_at + lead AS char_start FROM clause)
 """
 
@@ -194,14 +195,21 @@ def clauses(t: Tables):
 
 @query(
     "tx09_normalized_clauses",
-    """SELECT doc_id, 'inclusion' AS criterion_type, source AS field, '>=' AS comparator, 18.0::DOUBLE AS value, 'years' AS unit FROM documents
-       UNION ALL SELECT doc_id, 'exclusion', lang, '<', 5.0, 'mg' FROM documents""",
+    _CLAUSES
+    + r""", found AS (SELECT doc_id, line_no, criterion_type, unnest(m) AS m, generate_subscripts(m, 1) AS n FROM (
+         SELECT *, regexp_extract_all(raw_text, '(?:[A-Za-z][A-Za-z0-9 _\-]*)?(?:>=|<=|≥|≤|>|<|=)\s*\d+(?:\.\d+)?(?:\s*[A-Za-z%/]+)?') AS m FROM body)),
+       parts AS (SELECT *, regexp_extract(m, '^([A-Za-z][A-Za-z0-9 _\-]*)?(>=|<=|≥|≤|>|<|=)\s*(\d+(?:\.\d+)?)(?:\s*([A-Za-z%/]+))?$', ['f', 'c', 'v', 'u']) AS p FROM found),
+       named AS (SELECT *, nullif(regexp_replace(lower(trim(p.f)), '^(?:(?:and|or|to|but)(?:\s+|$))+', ''), '') AS f FROM parts)
+       SELECT doc_id, line_no::BIGINT AS line_no, criterion_type, n::BIGINT AS place,
+         last_value(f IGNORE NULLS) OVER (PARTITION BY doc_id, line_no ORDER BY n) AS field,
+         replace(replace(p.c, '≥', '>='), '≤', '<=') AS comparator, p.v::DOUBLE AS value,
+         CASE WHEN p.u IN ('', 'and', 'or', 'to') THEN NULL ELSE lower(p.u) END AS unit FROM named""",
 )
 def normalized(t: Tables):
     found = textjobs.eligibility_clauses(_criteria(t), "doc_id", "criteria")
-    typed = found.select("doc_id", "criterion_type", textjobs.normalized_clause("raw_text").alias("n"))
-    pair = (F.col("n.unit") == "years") | (F.col("n.unit") == "mg")
-    return typed.filter(pair).select("doc_id", "criterion_type", "n.*")
+    each = F.posexplode(textjobs.normalized_clauses("raw_text")).alias("place", "n")
+    typed = found.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "criterion_type", each)
+    return typed.select("doc_id", "line_no", "criterion_type", (F.col("place") + 1).cast("bigint").alias("place"), "n.*")
 
 
 @query(
