@@ -33,8 +33,16 @@ def fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def register(existing: DataFrame, new: DataFrame, natural_key: list[str]) -> DataFrame:
-    """Rows of ``new`` to append: one per natural key, and only keys not registered yet."""
-    return new.dropDuplicates(natural_key).join(existing.select(*natural_key), natural_key, "left_anti")
+    """Rows of ``new`` to append: one per natural key, and only keys not registered yet.
+
+    Of several rows with one key the smallest by the other columns, in their order, is registered.
+    """
+    others = [c for c in new.columns if c not in natural_key]
+    if others:
+        first = new.groupBy(*natural_key).agg(F.min(F.struct(*others)).alias("_row")).select(*natural_key, "_row.*")
+    else:
+        first = new.distinct()
+    return first.select(*new.columns).join(existing.select(*natural_key), natural_key, "left_anti")
 
 
 def promote(

@@ -72,7 +72,7 @@ def snapshot_summary(documents: DataFrame, snapshot_id: str) -> DataFrame:
 
 
 def quality_gate(metrics: DataFrame, limits: QualityThresholds = QualityThresholds()) -> DataFrame:
-    """Metrics row → the same with rates, ``passed`` and ``issues``.
+    """Metrics row → the same with rates, ``passed`` and ``issues`` (metric, its value, its limit).
 
     Input: total_expected, total_processed, avg_token_count, avg_lexical_diversity. Too few studies
     or a high error rate fail; low tokens or diversity are only reported. The error rate may be
@@ -87,37 +87,36 @@ def quality_gate(metrics: DataFrame, limits: QualityThresholds = QualityThreshol
     )
     few = processed < limits.min_studies_processed
     failing = F.col("error_rate") > limits.max_error_rate
-    issue = lambda broken, fmt, *args: F.when(broken, F.format_string(fmt, *args))
-    percent_limit = f"{limits.max_error_rate:.2%}".replace("%", "%%")
+    rules = (
+        ("total_processed", few, limits.min_studies_processed),
+        ("error_rate", failing, limits.max_error_rate),
+        ("avg_token_count", F.col("avg_token_count") < limits.min_avg_tokens, limits.min_avg_tokens),
+        ("avg_lexical_diversity", F.col("avg_lexical_diversity") < limits.min_lexical_diversity, limits.min_lexical_diversity),
+    )
     issues = [
-        issue(few, f"Processed studies (%d) below threshold ({limits.min_studies_processed})", processed),
-        issue(
-            failing,
-            f"Error rate (%.2f%%) above threshold ({percent_limit})",
-            F.col("error_rate") * 100,
-        ),
-        issue(
-            F.col("avg_token_count") < limits.min_avg_tokens,
-            f"Average tokens (%.1f) below threshold ({limits.min_avg_tokens})",
-            F.col("avg_token_count"),
-        ),
-        issue(
-            F.col("avg_lexical_diversity") < limits.min_lexical_diversity,
-            f"Average lexical diversity (%.3f) below threshold ({limits.min_lexical_diversity})",
-            F.col("avg_lexical_diversity"),
-        ),
+        F.when(
+            broken,
+            F.struct(F.lit(name).alias("metric"), F.col(name).cast("double").alias("value"), F.lit(float(limit)).alias("limit")),
+        )
+        for name, broken, limit in rules
     ]
     return rated.withColumns({"passed": ~few & ~failing, "issues": F.array_compact(F.array(*issues))})
 
 
 def quality_results(judged: DataFrame, version_col: str, suite: str) -> DataFrame:
-    """Gate outcomes as check results, one per (version, suite)."""
-    return judged.select(
-        F.col(version_col).alias("dataset_version_id"),
+    """Gate outcomes as check results, one per (version, suite).
+
+    A version that is judged more than once has failed if any judgement failed; the issues shown are
+    the first in text order of those with that outcome.
+    """
+    shown = judged.select(
+        F.col(version_col).alias("dataset_version_id"), F.coalesce("passed", F.lit(False)).alias("ok"), F.to_json("issues").alias("issues")
+    )
+    return shown.groupBy("dataset_version_id").agg(
         F.lit(suite).alias("check_suite"),
-        F.when(F.col("passed"), "passed").otherwise("failed").alias("gate_status"),
-        F.to_json("issues").alias("issues"),
-    ).dropDuplicates(["dataset_version_id", "check_suite"])
+        F.when(F.bool_and("ok"), "passed").otherwise("failed").alias("gate_status"),
+        F.coalesce(F.min(F.when(~F.col("ok"), F.col("issues"))), F.min("issues")).alias("issues"),
+    )
 
 
 # signal → (stay limit, pass limit); stay needs a smaller value, pass at least the limit
