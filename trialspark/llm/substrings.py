@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,60 +67,72 @@ def anchored(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
+def _squeezed(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``squeezed``: texts compressed before they are moved, with no other column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for ids, texts, _ in text_blocks(batches, BLOCK_CHARS):
+            raw = [squeeze(t.encode("utf-8", "surrogatepass")) for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(raw, pa.binary())], ["doc_id", "squeezed"])
+
+    return _keyed(docs).mapInArrow(run, "doc_id long, squeezed binary")
+
+
+def _text(raw: bytes) -> str:
+    return zstandard.ZstdDecompressor().decompress(raw).decode("utf-8", "surrogatepass")
+
+
 def _suspects(named: DataFrame, window: int) -> DataFrame:
     """Windows whose anchor occurs in several documents: their place and the hash of their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts, more in text_blocks(batches, BLOCK_CHARS):
-            split = [words_of(t) for t in texts]
-            hashes = [_digest(w) for w in split]
-            block = Block([word_names(w) for w in split], window)
-            anchor = block.anchors().view(np.int64)
-            suspect = np.zeros(len(anchor), bool)
-            edges = np.searchsorted(block.doc_of, np.arange(len(ids) + 1))
-            for i, shared in enumerate(more["shared"]):
-                a, b = edges[i], edges[i + 1]
-                suspect[a:b] = np.isin(anchor[a:b], np.array(shared, np.int64))
-            chosen = np.flatnonzero(suspect)
-            w1, w2 = block.window_hashes(chosen)
-            place = (block.starts[chosen] - block.offsets[block.doc_of[chosen]]).astype(np.int32)
-            offsets = np.searchsorted(block.doc_of[chosen], np.arange(len(ids) + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids, pa.int64()),
-                    pa.array([h[0] for h in hashes], pa.int64()),
-                    pa.array([h[1] for h in hashes], pa.int64()),
-                    pa.array(texts, pa.string()),
-                    *[pa.ListArray.from_arrays(pa.array(offsets), pa.array(v)) for v in (place, w1, w2)],
-                ],
-                ["doc_id", "h1", "h2", "text", "place", "w1", "w2"],
-            )
-
-    return named.mapInArrow(
-        run,
-        "doc_id long, h1 long, h2 long, text string, place array<int>, w1 array<long>, w2 array<long>",
-    )
+        for whole in batches:
+            for start in range(0, whole.num_rows, 500):
+                batch = whole.slice(start, 500)
+                names = [word_names(words_of(_text(t))) for t in batch.column("squeezed").to_pylist()]
+                block = Block(names, window)
+                anchor = block.anchors().view(np.int64)
+                suspect = np.zeros(len(anchor), bool)
+                edges = np.searchsorted(block.doc_of, np.arange(len(names) + 1))
+                for i, shared in enumerate(batch.column("shared")):
+                    a, b = edges[i], edges[i + 1]
+                    suspect[a:b] = np.isin(anchor[a:b], np.array(shared.as_py(), np.int64))
+                chosen = np.flatnonzero(suspect)
+                w1, w2 = block.window_hashes(chosen)
+                owner = block.doc_of[chosen]
+                place = (block.starts[chosen] - block.offsets[owner]).astype(np.int32)
+                take = pa.array(owner)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row").take(take), batch.column("doc_id").take(take), pa.array(place), pa.array(w1),
+                     pa.array((w2 >> 32).astype(np.int32))],
+                    ["row", "doc_id", "place", "w1", "w2"],
+                )
+
+    return named.mapInArrow(run, "row long, doc_id long, place int, w1 long, w2 int")
 
 
 def _cut(covered: DataFrame, window: int) -> DataFrame:
-    """The words that no repeated window covers."""
+    """The words that no repeated window covers, with the hash of all words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            removed, kept = [], []
-            for text, starts in zip(batch.column("text"), batch.column("starts")):
-                words = words_of(text.as_py())
+            hashes, removed, kept = [], [], []
+            for raw, starts in zip(batch.column("squeezed"), batch.column("starts")):
+                words = words_of(_text(raw.as_py()))
                 edge = np.zeros(len(words) + 1, np.int64)
                 at = np.unique(np.array(starts.as_py(), np.int64))
                 edge[at] += 1
                 edge[at + window] -= 1
                 gone = np.cumsum(edge)[:-1] > 0
+                hashes.append(_digest(words))
                 removed.append(int(gone.sum()))
                 kept.append(b" ".join(w for w, g in zip(words, gone.tolist()) if not g).decode("utf-8", "surrogatepass"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("h1"), batch.column("h2"), pa.array(removed, pa.int64()), pa.array(kept)],
+                [batch.column("doc_id"), *[pa.array([h[i] for h in hashes], pa.int64()) for i in (0, 1)],
+                 pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
                 ["doc_id", "h1", "h2", "n_removed", "kept"],
-            )
+            )
 
     return covered.mapInArrow(run, "doc_id long, h1 long, h2 long, n_removed long, kept string")
 
@@ -134,7 +147,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
        name, so a name means the same in every document. Each window's anchor is the highest symbol
        that depends on its own words only: equal windows have equal anchors.
     2. Spark counts in how many documents an anchor occurs; only windows with a shared anchor go on.
-    3. Those are compared by 128-bit hashes of all their words: the smallest id of each is found and
+    3. Those are compared by 96-bit hashes of all their words: the smallest id of each is found and
        comes back to the windows of the other documents.
 
     Of documents with equal words only the smallest id is compared; the others lose all, if they hold a
@@ -152,17 +165,13 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     shared = rows.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
     flagged = rows.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared"))
     # a document is known by its row in the written table: shorter than its id and hash
-    found = _suspects(_keyed(docs).join(flagged, "doc_id"), window).withColumn("row", F.monotonically_increasing_id())
-    suspects = written(found, "windows")
-    windows = suspects.select("row", "doc_id", F.explode(F.arrays_zip("place", "w1", "w2")).alias("w")).select(
-        "row", "doc_id", "w.place", "w.w1", "w.w2"
-    )
-    earliest = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    earliest = earliest.where("first < last").select("w1", "w2", "first")
+    held = _squeezed(docs).join(flagged, "doc_id").withColumn("row", F.monotonically_increasing_id())
+    held = written(held, "suspects")
+    windows = _suspects(held, window)
+    earliest = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"))
     late = windows.join(earliest, ["w1", "w2"]).where(F.col("doc_id") > F.col("first"))
     starts = late.groupBy("row").agg(F.collect_list("place").alias("starts"))
-    held = suspects.select("row", *key, "text")
-    cut = _cut(held.join(starts, "row").drop("row"), window).dropDuplicates(key)
+    cut = _cut(held.select("row", "doc_id", "squeezed").join(starts, "row"), window).dropDuplicates(key)
     cut = cut.unionByName(
         base.join(copies, key, "left_semi").where(F.col("n_words") >= window).select(
             *key, F.col("n_words").alias("n_removed"), F.lit("").alias("kept")
