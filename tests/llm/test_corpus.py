@@ -220,3 +220,16 @@ def test_pipeline_over_the_smallest_tables(spark):
         docs = after
     packed = corpus_pipeline.run(spark, SF).collect()
     assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in docs.select("doc_id").collect()}
+
+
+def test_chunked_ids_equal_whole_encoding():
+    from trialspark.llm import packing
+    from trialspark.llm.queries import BPE_JSON, tokenizer_path
+
+    texts = ["", " ", "a", " a", "a ", "a  b", "\n\nx y", "x\n y", "<|endoftext|> z", "don't we'll\tx", "é ü", "a b a b", "日本 語"]
+    for border in (True, False):
+        encoder = packing.ChunkEncoder(tokenizer_path(BPE_JSON))
+        encoder.border = encoder.border if border else None
+        for _ in range(2):
+            got = [ids.tolist() for ids in encoder.encode(texts)]
+            assert got == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]

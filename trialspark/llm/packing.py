@@ -11,6 +11,7 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +41,11 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = [t.content for t in added.values()]
+        plain = [(i, t) for i, t in added.items() if not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
+        #: a token that can stand between chunks without touching them
+        self.border = plain[0] if plain else None
         self._reset()
 
     def _reset(self) -> None:
@@ -49,14 +54,25 @@ class ChunkEncoder:
         self.lengths = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
+    def _encoded(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the chunks, one after the other, and how many each has."""
+        if self.border is None:
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            return np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
+        border, token = self.border
+        (found,) = self.tokenizer.encode_batch_fast([token.content.join(chunks)], add_special_tokens=False)
+        ids = np.array(found.ids, np.uint32)
+        between = np.concatenate([[-1], np.flatnonzero(ids == border), [len(ids)]])
+        return ids[ids != border], np.diff(between) - 1
+
     def _learn(self, chunks: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
+        found = [self._encoded(chunks[at : at + 20_000]) for at in range(0, len(chunks), 20_000)]
+        lengths = np.concatenate([f[1] for f in found])
         self.index.update(zip(chunks, range(len(self.index), len(self.index) + len(chunks))))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat = np.concatenate([self.flat, flat])
+        self.flat = np.concatenate([self.flat, *(f[0] for f in found)])
 
     def _forget(self, kept: int) -> None:
         """Back to the first ``kept`` chunks."""
@@ -68,27 +84,33 @@ class ChunkEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.index) > CACHED_CHUNKS:
             self._forget(CACHED_CHUNKS)
-        chunked: list[list[str] | None] = []
-        fresh: dict[str, None] = {}
-        for text in texts:
-            if _UNEVEN.search(text) or any(s in text for s in self.special):
-                chunked.append(None)
-                continue
-            first, *rest = text.split(" ")
-            chunks = [first, *map(" ".__add__, rest)]
-            fresh.update(dict.fromkeys(chunks))
-            chunked.append(chunks)
+        uneven = [i for i, t in enumerate(texts) if _UNEVEN.search(t) or any(s in t for s in self.special)]
+        even = list(texts)
+        for i in uneven:
+            even[i] = ""
+        # split and numbered by Arrow: only the distinct words of the block become Python strings
+        parts = pc.split_pattern(pa.array(even, pa.large_string()), " ")
+        edges = parts.offsets.to_numpy()
+        coded = parts.flatten().dictionary_encode()
+        codes, heads = coded.indices.to_numpy(), edges[:-1]
+        inner = np.ones(len(codes), bool)
+        inner[heads] = False
+        words = coded.dictionary.to_numpy(zero_copy_only=False)
+        spaced = np.flatnonzero(np.bincount(codes[inner], minlength=len(words)))
+        chunks = [*map(" ".__add__, words[spaced].tolist()), *words[codes[heads]].tolist()]
         known = self.index
-        if new := [c for c in fresh if c not in known]:
+        if new := [c for c in dict.fromkeys(chunks) if c not in known]:
             self._learn(new)
-        out = []
-        for text, chunks in zip(texts, chunked):
-            if chunks is None:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                out.append(np.array(ids, np.uint32))
-            else:
-                at = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
-                out.append(self.flat[ranges(self.starts[at], self.lengths[at])])
+        number = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+        place = np.zeros(len(words), np.int64)
+        place[spaced] = number[: len(spaced)]
+        at = place[codes]
+        at[heads] = number[len(spaced) :]
+        lengths = self.lengths[at]
+        ids = self.flat[ranges(self.starts[at], lengths)]
+        out = np.split(ids, np.concatenate([[0], np.cumsum(lengths)])[edges[1:-1]])
+        for i in uneven:
+            out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32)
         return out
 
 
@@ -107,7 +129,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = encoder(tokenizer_path)
-        for docs_, texts, _ in text_blocks(batches, 2_000_000):
+        for docs_, texts, _ in text_blocks(batches, 4_000_000):
             rows: list[tuple] = []
             for doc, ids in zip(docs_, chunks.encode(texts)):
                 ids = np.append(ids, np.uint32(0)).astype("<u4")
@@ -240,13 +262,11 @@ def _settle(state: DataFrame, segments: dict[str, np.ndarray], plan, capacity: i
                     pa.array(out_size, pa.int32()),
                     pa.array(out_kind, pa.int32()),
                     uid.take(pa.array(order)),
-                    pa.compute.if_else(pa.array(new), pa.scalar(None, payload.type), payload.take(pa.array(order))),
+                    pc.if_else(pa.array(new), pa.scalar(None, payload.type), payload.take(pa.array(order))),
                 ],
                 ["pair", "size", "kind", "uid", "p"],
             )
 
-    import pyarrow.compute  # noqa: F401  used in the closure
-
     return state.mapInArrow(assign, f"pair long, size int, kind int, uid long, p {_PIECE}")
 
 
