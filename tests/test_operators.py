@@ -219,6 +219,13 @@ def test_as_of_equals_range_join(spark, bucket):
     assert got == want and len(got) == 900
 
 
+def test_as_of_with_text_ids(spark):
+    day = "timestamp_ntz'2024-01-0{}'"
+    versions = spark.sql(f"SELECT 1 AS k, 'a' AS v, {day.format(1)} AS valid_from, {day.format(3)} AS valid_to")
+    asked = spark.sql(f"SELECT 1 AS k, 'first' AS ask, {day.format(2)} AS at UNION ALL SELECT 1, 'late', {day.format(4)}")
+    assert [(r["ask"], r["v"]) for r in scd.as_of(versions, asked, "k", "at", "ask").collect()] == [("first", "a")]
+
+
 def test_first_request_wins(spark):
     df = spark.createDataFrame([("k", 2, "b"), ("k", 1, "a"), ("l", 5, None)], "idempotency_key string, requested_at int, body string")
     assert {tuple(r) for r in scd.first_request(df).collect()} == {("k", 1, "a"), ("l", 5, None)}

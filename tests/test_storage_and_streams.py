@@ -114,3 +114,12 @@ def test_requests_are_unique_over_restarts(spark, tmp_path):
         stream = landing.parquet_stream(spark, source, schema)
         landing.land(upserts.dedupe_requests(stream, "idempotency_key", "requested_at", "1 hour"), target, offsets)
     assert sorted(r["idempotency_key"] for r in spark.read.parquet(target).collect()) == ["a", "b", "c"]
+
+
+def test_replay_removes_snapshots_that_left_the_source(spark, tmp_path):
+    before = spark.createDataFrame([(1, "s1"), (2, "s2")], "id long, source_snapshot_id string")
+    upserts.replay({"site": before}, str(tmp_path))
+    upserts.replay({"site": before.where("id = 2")}, str(tmp_path))
+    assert [r["id"] for r in spark.read.parquet(f"{tmp_path}/site").collect()] == [2]
+    upserts.replay({"site": before}, str(tmp_path), snapshot="s1")
+    assert sorted(r["id"] for r in spark.read.parquet(f"{tmp_path}/site").collect()) == [1, 2]

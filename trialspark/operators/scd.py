@@ -49,22 +49,23 @@ def as_of(
 
     Versions and lookups are merged in time order and the last version is carried forward, which is
     linear in both; an equi-join on the key would pair every lookup with every version of it.
-    Intervals of one key do not overlap.
+    Intervals of one key do not overlap. ``lookup_id`` has any type that can be ordered.
     """
     fields = [c for c in versions.columns if c != key]
     # of versions that start together the longest one, valid when the others have ended, comes last
-    until = F.coalesce(F.unix_micros(F.col("valid_to").cast("timestamp")), F.lit(2**63 - 1))
+    until = F.coalesce(F.unix_micros(F.col("valid_to").cast("timestamp")), F.lit(2**63 - 1).cast("bigint"))
+    id_type = dict(lookups.dtypes)[lookup_id]
     events = versions.select(
         F.col(key),
         F.col("valid_from").alias(ts),
-        F.struct(F.lit(0).alias("kind"), until.alias("id")).alias("_tie"),
+        F.struct(F.lit(0).alias("kind"), until.alias("until"), F.lit(None).cast(id_type).alias("id")).alias("_tie"),
         F.struct(*fields).alias("_version"),
-        F.lit(None).cast(dict(lookups.dtypes)[lookup_id]).alias(lookup_id),
+        F.lit(None).cast(id_type).alias(lookup_id),
     ).unionByName(
         lookups.select(
             F.col(key),
             F.col(ts),
-            F.struct(F.lit(1).alias("kind"), F.col(lookup_id).cast("bigint").alias("id")).alias("_tie"),
+            F.struct(F.lit(1).alias("kind"), F.lit(0).cast("bigint").alias("until"), F.col(lookup_id).alias("id")).alias("_tie"),
             F.lit(None).cast(versions.select(F.struct(*fields).alias("v")).schema["v"].dataType).alias("_version"),
             F.col(lookup_id),
         )

@@ -15,9 +15,13 @@ def write_table(df: DataFrame, path: str, compression: str = "zstd") -> str:
     return path
 
 
-def write_partitioned(df: DataFrame, path: str, partition: str = "source_snapshot_id", rebalance: bool = True) -> str:
+def write_partitioned(
+    df: DataFrame, path: str, partition: str = "source_snapshot_id", rebalance: bool = True, whole: bool = False
+) -> str:
     """Replace only the partitions present in ``df``; running it again changes nothing.
 
+    With ``whole`` the table becomes ``df``: partitions that ``df`` lacks are removed.
+
     Rows are rebalanced by the partition column: small partitions become one file each, and a
     partition with a large share of the rows is split over tasks. Rows of a single partition need
     no rebalancing.
@@ -25,7 +29,7 @@ def write_partitioned(df: DataFrame, path: str, partition: str = "source_snapsho
     (
         (df.hint("rebalance", F.col(partition)) if rebalance else df)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )

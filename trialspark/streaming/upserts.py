@@ -127,14 +127,15 @@ def replay(
 ) -> list[str]:
     """Rebuild one snapshot and/or one entity family from the canonical tables; returns the paths.
 
-    Whole partitions are replaced, so running it twice equals running it once.
+    Whole partitions are replaced, so running it twice equals running it once. Without a snapshot a
+    family becomes what its canonical table holds: snapshots that left the source are removed.
     """
     paths = []
     for name, df in families.items():
         if family is not None and name != family:
             continue
         rows = df if snapshot is None else df.filter(F.col("source_snapshot_id") == snapshot)
-        paths.append(write_partitioned(rows, f"{target}/{name}"))
+        paths.append(write_partitioned(rows, f"{target}/{name}", whole=snapshot is None))
     return paths
 
 
