@@ -141,6 +141,14 @@ def test_blocks_of_a_page():
     assert html.blocks_of("") == [] and html.blocks_of("<p class=menu>x<p>y") == [("y", html.NEUTRAL)]
 
 
+@pytest.mark.parametrize("name", ["script", "style", "textarea", "title", "noscript"])
+def test_raw_elements_end_at_their_own_tag(name):
+    for raw in (f"<{name}>for(i=0;i<n;i++)f(i)</{name}>", f"<{name.upper()} x>a<b'</{name[:-1]}></{name}x></{name.upper()}\n>"):
+        page = f"<body>{raw}<article><p>Text</article>{raw}<p>after"
+        assert html.blocks_of(page) == [("Text", html.MAIN), ("after", html.NEUTRAL)]
+    assert html.blocks_of(f"<p>a<{name}>x<n;</p>") == [("a", html.NEUTRAL)]
+
+
 def test_pages_without_article_lose_what_a_host_repeats(spark):
     common = "<div><p>Welcome to the one and only site for all things of interest</p></div>"
     rows = [(i, f"http://h.example/{i}", f"{common}<p>Page {i} says {'word%d ' % i * 9}</p>") for i in range(12)]

@@ -27,6 +27,7 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[
 _OPEN_END = re.compile(r"<[/!?a-zA-Z][^>]*\Z")
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _PIECES = re.compile(r"[^a-z0-9]+")
+_RAW_END = re.compile(r"</([a-zA-Z]+)(?=[\s/>])")
 
 # Elements and names of HTML.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -53,6 +54,14 @@ _HINTS = frozenset(
 NEUTRAL, MAIN = "1", "2"
 
 
+def _behind_raw(page: str, name: str, at: int) -> int:
+    """Where the scan goes on when a raw element has opened before ``at``: its content has no tags but its own end."""
+    for m in _RAW_END.finditer(page, at):
+        if m.group(1).lower() == name:
+            return (page.find(">", m.end()) + 1) or len(page)
+    return len(page)
+
+
 def _unwanted(name: str, attributes: str, in_main: bool) -> bool:
     if name in _DROPPED or (name == "header" and not in_main):
         return True
@@ -74,7 +83,6 @@ def blocks_of(page: str) -> list[tuple[str, str]]:
     held: list[str] = []
     main = 0
     skip, depth = "", 0  # the element that is left out and how often it is open
-    raw = ""
     at = 0
 
     def flush() -> None:
@@ -84,14 +92,9 @@ def blocks_of(page: str) -> list[tuple[str, str]]:
             if text:
                 out.append((text, MAIN if main else NEUTRAL))
 
-    for m in _TAG.finditer(page):
+    while m := _TAG.search(page, at):
         closing, name = m.group(1), m.group(2)
         name = name.lower() if name else ""
-        if raw:
-            if closing and name == raw:
-                raw = ""
-            at = m.end()
-            continue
         if not skip and m.start() > at:
             held.append(page[at : m.start()])
         at = m.end()
@@ -99,7 +102,7 @@ def blocks_of(page: str) -> list[tuple[str, str]]:
             continue
         if not closing and name in _RAW:
             if not m.group(3).endswith("/"):
-                raw = name
+                at = _behind_raw(page, name, at)
             continue
         if skip:
             if skip in _CLOSED_BY_BLOCK and name in _BLOCK and not (closing and name == skip):
@@ -122,7 +125,7 @@ def blocks_of(page: str) -> list[tuple[str, str]]:
                 skip, depth = name, 1
             elif name in _MAIN:
                 main += 1
-    if not skip and not raw and at < len(page):
+    if not skip and at < len(page):
         held.append(_OPEN_END.sub("", page[at:]))
     flush()
     return out
