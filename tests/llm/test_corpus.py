@@ -149,6 +149,45 @@ def test_raw_elements_end_at_their_own_tag(name):
     assert html.blocks_of(f"<p>a<{name}>x<n;</p>") == [("a", html.NEUTRAL)]
 
 
+LEFT_OUT = [  # what stands before, with the text that stays of it
+    "<ul><li class='ad'>x<li>y</ul>", "<ul><li class=ad>x<ul><li>z</ul></ul>", "<dl class=ad><dt>x<dd>y</dl>", "<div><nav>x</div>",
+    "<table><tr><td class=sidebar>x<td>y</table>", "<table><tr class=ad><td>x<tr><td>y</table>", "<div><p><span class=ad>x</div>",
+    "<nav>x", "<form>x", "<aside>x<div>", "<head><meta charset=utf-8>", "<a class=ad>x<div></a></div>", "<svg/>", "<div class=ad><p>x</div>",
+]
+
+
+@pytest.mark.parametrize("before", LEFT_OUT)
+def test_left_out_elements_end_before_the_article(before):
+    page = f"<html><body><div>{before}<article><p>Long text of the article</article></div>"
+    assert [b for b, z in html.blocks_of(page) if z == html.MAIN] == ["Long text of the article"]
+    assert not any("x" in b.split() for b, _ in html.blocks_of(page))
+
+
+def test_omitted_end_tags_keep_what_follows():
+    assert html.blocks_of("<ul><li class=ad>x<li>y</ul>z") == [("y", html.NEUTRAL), ("z", html.NEUTRAL)]
+    assert html.blocks_of("<table><tr><td class=ad>x<td>y<tr><td>z</table>") == [("y", html.NEUTRAL), ("z", html.NEUTRAL)]
+    assert html.blocks_of("<div class=ad><ul><li>x<li>y</ul><div>z</div></div>w") == [("w", html.NEUTRAL)]
+
+
+@pytest.mark.parametrize("around", ["<div class='content has-sidebar'>", "<div id=no-comments>", "<section class=layout-with-menu>",
+                                    "<div class=related-topic>", "<form action=x>", "<table class=widget><tr><td>", "<nav>"])
+@pytest.mark.parametrize("name", ["article", "main"])
+def test_articles_in_left_out_elements(around, name):
+    page = f"<body>{around}<p>x</p><{name}><nav>n</nav><p>Long text of the article<div class=ad>a</div></{name}>"
+    assert [b for b, z in html.blocks_of(page) if z == html.MAIN] == ["Long text of the article"]
+
+
+def test_teasers_and_comments_are_no_articles():
+    teaser = "<aside class=related><article>Teaser</article></aside>"
+    assert html.blocks_of(f"<article><p>The long text</article>{teaser}") == [("The long text", html.MAIN)]
+    assert html.blocks_of(f"<div><p>The long text</div>{teaser}") == [("The long text", html.NEUTRAL)]
+    comment = "<article class='comment'><p>I disagree at very great length</article>"
+    assert html.blocks_of(f"<article>Short</article><div id=comments>{comment}<article>And I</article></div>") == [("Short", html.MAIN)]
+    assert html.blocks_of(f"<article>Short</article><aside>{comment}</aside>") == [("Short", html.MAIN)]
+    assert html.blocks_of("<p>a</p><form><h1>All text</h1><nav>n</nav></form>")[1:] == [("All text", html.NEUTRAL)]
+    assert html.blocks_of("<p>Some text</p><form>Mail</form>") == [("Some text", html.NEUTRAL)]
+
+
 def test_pages_without_article_lose_what_a_host_repeats(spark):
     common = "<div><p>Welcome to the one and only site for all things of interest</p></div>"
     rows = [(i, f"http://h.example/{i}", f"{common}<p>Page {i} says {'word%d ' % i * 9}</p>") for i in range(12)]

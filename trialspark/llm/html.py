@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +43,6 @@ _BLOCK = frozenset(
     "thead title tr ul".split()
 )
 _HINTED = frozenset("div section ul ol dl table p span li figure header td tr a center blockquote".split())
-_CLOSED_BY_BLOCK = frozenset(["p"])
 _HINTS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies "
     "consent gdpr notice notices alert popup modal overlay newsletter subscribe signup sidebar widget related "
@@ -51,6 +51,24 @@ _HINTS = frozenset(
     "contentinfo".split()
 )
 
+_COMMENTS = frozenset("comment comments disqus respond reply replies".split())
+_STATED = frozenset("no not non has have with without".split())
+_CELLS = frozenset("td th caption table".split())
+_TABLE = frozenset("table caption thead tbody tfoot tr td th".split())
+_HEAD = frozenset("base basefont bgsound link meta".split()) | _RAW
+_INLINE = frozenset(["a", "span"])
+#: Elements whose nesting is followed.
+_NESTED = (_BLOCK | _HINTED | _DROPPED | _CELLS) - _VOID
+#: An opening tag ends these elements, whose end tags may be omitted, unless one of those stands between.
+_ENDED = {
+    "li": ({"li"}, {"ul", "ol", "menu", "table"}),
+    **dict.fromkeys(("dt", "dd"), ({"dt", "dd"}, {"dl", "table"})),
+    **dict.fromkeys(("td", "th"), ({"td", "th", "caption"}, {"table"})),
+    "tr": ({"td", "th", "tr", "caption"}, {"table"}),
+    **dict.fromkeys(("thead", "tbody", "tfoot"), (_TABLE - {"table"}, {"table"})),
+    **{name: ({name}, _CELLS) for name in ("a", "button", "select")},
+}
+
 NEUTRAL, MAIN = "1", "2"
 
 
@@ -62,27 +80,128 @@ def _behind_raw(page: str, name: str, at: int) -> int:
     return len(page)
 
 
-def _unwanted(name: str, attributes: str, in_main: bool) -> bool:
-    if name in _DROPPED or (name == "header" and not in_main):
-        return True
-    if name not in _HINTED or not attributes:
-        return False
-    return any(
-        not _HINTS.isdisjoint(_PIECES.split(value.strip("\"'").lower())) for value in _ATTRIBUTE.findall(attributes)
-    )
+def _hints(name: str, attributes: str) -> set[str]:
+    """The hints in class, id and role; behind has, with, no and the like they tell of the page, not of the element."""
+    found: set[str] = set()
+    if attributes and (name in _HINTED or name in _MAIN or name == "form"):
+        for value in _ATTRIBUTE.findall(attributes):
+            for word in value.strip("\"'").lower().split():
+                pieces = _PIECES.split(word)
+                if not _HINTS.isdisjoint(pieces):
+                    stated = next((i for i, piece in enumerate(pieces) if piece in _STATED), len(pieces))
+                    found.update(_HINTS.intersection(pieces[:stated]))
+    return found
+
+
+class _Nesting:
+    """The open elements, by the rules of HTML for end tags that are omitted, and what follows for the text.
+
+    ``skip`` is the place of the element that is left out, ``comments`` that of the one in it that holds
+    comments (-1: none). ``group`` tells apart the text of each article (from 1 on), that of a form around
+    other elements (-1) and the rest (0); ``wrapped`` are articles that lie in an element that is left out.
+    """
+
+    def __init__(self) -> None:
+        self.open: list[str] = []
+        self.count: Counter[str] = Counter()
+        self.skip = self.comments = -1
+        self.group = self.articles = 0
+        self.wrapped: set[int] = set()
+        self._entered: list[tuple[int, int, int, int]] = []
+
+    def cut(self, place: int) -> None:
+        """All elements from this place on end."""
+        self.count.subtract(self.open[place:])
+        del self.open[place:]
+        while self._entered and self._entered[-1][0] >= place:
+            _, self.group, self.skip, self.comments = self._entered.pop()
+        if self.skip >= place:
+            self.skip = -1
+        if self.comments >= place:
+            self.comments = -1
+
+    def _end(self, names, barriers) -> None:
+        """End the outermost of the names that no barrier and no article hides."""
+        found = -1
+        if not any(self.count[name] for name in names):
+            return
+        for place in range(len(self.open) - 1, -1, -1):
+            if self.open[place] in names:
+                found = place
+            elif self.open[place] in barriers or self.open[place] in _MAIN:
+                break
+        if found >= 0:
+            self.cut(found)
+
+    def close(self, name: str) -> None:
+        if not self.count[name]:
+            return
+        hidden = () if name in _MAIN or name == "form" else ("table",) if name in _TABLE else _CELLS
+        for place in range(len(self.open) - 1, -1, -1):
+            own = self.open[place]
+            if own == name:
+                self.cut(place)
+                return
+            if own in hidden or (own in _MAIN and name not in _MAIN) or (name in _INLINE and own not in _INLINE):
+                break
+        if name in _INLINE and self.skip >= 0 and self.open[self.skip] == name:
+            self.cut(self.skip)
+
+    def start(self, name: str, attributes: str) -> None:
+        if name == "form" and self.count["form"]:
+            return
+        if attributes.endswith("/") and (name == "svg" or self.count["svg"]):
+            return
+        if name in _BLOCK:
+            self._end(("p",), _CELLS)
+        if name in _ENDED:
+            self._end(*_ENDED[name])
+        place = len(self.open)
+        self.open.append(name)
+        self.count[name] += 1
+        hints = _hints(name, attributes)
+        comments = not hints.isdisjoint(_COMMENTS)
+        if name in _MAIN:
+            if self.skip >= 0 and name != "main":
+                if self.comments >= 0 or comments:
+                    self.comments = self.comments if self.comments >= 0 else place
+                    return
+                self._enter(place)
+                self.wrapped.add(self.group)
+                return
+            self.skip = self.comments = -1
+            if self.group <= 0:
+                self._enter(place)
+        elif self.skip >= 0:
+            if comments and self.comments < 0:
+                self.comments = place
+        elif name == "form" and not self.group and not hints:
+            self._entered.append((place, 0, -1, -1))
+            self.group = -1
+        elif name in _DROPPED or (name == "header" and self.group <= 0) or hints:
+            self.skip = place
+            self.comments = place if comments else -1
+
+    def _enter(self, place: int) -> None:
+        self._entered.append((place, self.group, self.skip, self.comments))
+        self.skip = self.comments = -1
+        self.articles += 1
+        self.group = self.articles
 
 
 def blocks_of(page: str) -> list[tuple[str, str]]:
     """The text blocks of a page that its markup doesn't rule out, each with its zone.
 
     Zone MAIN lies in an article or main element. Menus, page headers, footers, sidebars, forms,
-    scripts, styles and elements whose class, id or role names them are left out. Character references
-    are decoded and white space is one space.
+    scripts, styles and elements whose class, id or role names them are left out. A main element ends
+    what is left out. An article in it that isn't a comment is taken when it is as long as the longest
+    article elsewhere or, where there is none, the articles in it are as long as the other text together;
+    so is a form's text when it is as long as the text around. Character references are decoded and
+    white space is one space.
     """
-    out: list[tuple[str, str]] = []
+    out: list[tuple[str, int]] = []
     held: list[str] = []
-    main = 0
-    skip, depth = "", 0  # the element that is left out and how often it is open
+    nest = _Nesting()
     at = 0
 
     def flush() -> None:
@@ -90,13 +209,19 @@ def blocks_of(page: str) -> list[tuple[str, str]]:
             text = " ".join(entities.unescape("".join(held)).split())
             held.clear()
             if text:
-                out.append((text, MAIN if main else NEUTRAL))
+                out.append((text, nest.group))
+
+    def hold(text: str) -> None:
+        if nest.skip >= 0 and nest.open[-1] == "head" and text.strip():
+            nest.cut(len(nest.open) - 1)  # text isn't part of a head
+        if nest.skip < 0:
+            held.append(text)
 
     while m := _TAG.search(page, at):
         closing, name = m.group(1), m.group(2)
         name = name.lower() if name else ""
-        if not skip and m.start() > at:
-            held.append(page[at : m.start()])
+        if m.start() > at:
+            hold(page[at : m.start()])
         at = m.end()
         if not name:
             continue
@@ -104,31 +229,32 @@ def blocks_of(page: str) -> list[tuple[str, str]]:
             if not m.group(3).endswith("/"):
                 at = _behind_raw(page, name, at)
             continue
-        if skip:
-            if skip in _CLOSED_BY_BLOCK and name in _BLOCK and not (closing and name == skip):
-                skip, depth = "", 0
-            else:
-                if name == skip:
-                    depth += -1 if closing else 1
-                    if not depth:
-                        skip = ""
-                continue
+        if not closing and nest.open and nest.open[-1] == "head" and name not in _HEAD:
+            nest.cut(len(nest.open) - 1)
         if name in _BLOCK:
             flush()
-        elif name in ("br", "td", "th"):
+        if name in _NESTED:
+            if closing:
+                nest.close(name)
+            else:
+                nest.start(name, m.group(3))
+        if name in ("br", "td", "th") and nest.skip < 0:
             held.append(" ")
-        if closing:
-            if name in _MAIN and main:
-                main -= 1
-        elif name not in _VOID:
-            if _unwanted(name, m.group(3), bool(main)):
-                skip, depth = name, 1
-            elif name in _MAIN:
-                main += 1
-    if not skip and at < len(page):
-        held.append(_OPEN_END.sub("", page[at:]))
+    if at < len(page):
+        hold(_OPEN_END.sub("", page[at:]))
     flush()
-    return out
+
+    size = Counter()
+    for text, group in out:
+        size[group] += len(text)
+    longest = max((n for g, n in size.items() if g > 0 and g not in nest.wrapped), default=0)
+    if longest:
+        left = {g for g in nest.wrapped if size[g] < longest}
+    else:
+        left = nest.wrapped if sum(size[g] for g in nest.wrapped) < size[0] + size[-1] else set()
+    if size[-1] < size[0] or any(g > 0 and g not in left for g in size):
+        left = left | {-1}
+    return [(text, MAIN if group > 0 else NEUTRAL) for text, group in out if group not in left]
 
 
 def repeats(tokens: np.ndarray, page: np.ndarray, length: int = REPEAT) -> np.ndarray:
