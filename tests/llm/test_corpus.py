@@ -201,6 +201,20 @@ def test_pages_without_article_lose_what_a_host_repeats(spark):
     assert {r["text"] for r in got if r["page_id"] == 91} == {""}
 
 
+@pytest.mark.parametrize("copies", [3, 100])
+def test_copies_are_one_page(spark, copies):
+    text = "The one text that stands in every copy of this page and nowhere else"
+    rows = [(None if i == 2 else i // 2, f"http://a.example/{i}", f"<p>{text}</p>") for i in range(copies)]
+    rows += [(i // 2, f"http://b.example/{i}", f"<article><p>{text}</article>") for i in range(copies)]
+    rows += [(i, "http://b.example/x", f"<article>Page {i} says {'word%d ' % i * 9}</article>") for i in range(1000, 1007)]
+    rows += [(9, f"http://a.example/{i}", f"<h1>{text}</h1>") for i in range(2)]  # the same blocks by other tags
+    rows += [(8, f"http://c.example/{i}", f"<{name}><p>{text}") for i, name in enumerate(["div", "article"])]
+    got = html.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    want = [(i, u, " ".join(h.split(">")[1].split("<")[0].split()) if "says" in h else text) for i, u, h in rows]
+    assert sorted(((r["page_id"] or -1, r["url"], r["text"]) for r in got)) == sorted((i or -1, u, t) for i, u, t in want)
+    assert all(r["n_chars"] == len(r["text"]) for r in got)
+
+
 def test_repeats_are_found_across_pages():
     tokens = np.array([1, 2, 3, 4, 9, 1, 2, 3, 5, 1, 2, 3, 4], np.uint64)
     page = np.array([0] * 5 + [1] * 4 + [2] * 4)

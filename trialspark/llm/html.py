@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections import Counter
@@ -9,13 +10,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialspark.llm.common import written
+from trialspark.llm.common import slices, written
 from trialspark.llm.recompress import mix, word_names
 
-#: Characters of HTML that are compared with each other; larger hosts are dealt into several such parts.
+#: Bytes of text that are compared with each other; larger hosts are dealt into several such parts.
 PART_CHARS = 1_500_000
 #: Tokens of the shortest repeat.
 REPEAT = 8
@@ -294,55 +296,82 @@ def repeats(tokens: np.ndarray, page: np.ndarray, length: int = REPEAT) -> np.nd
     return out
 
 
-def _chosen(table: pa.Table) -> pa.Table:
-    texts = [t.split("\n") if t else [] for t in table.column("blocks").to_pylist()]
-    zones = table.column("zones").to_pylist()
-    flat = [b for page in texts for b in page]
-    words = [b.encode("utf-8", "surrogatepass").split() for b in flat]
-    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1  # a border stands before each block
-    total = int(sizes.sum())
-    tokens = np.full(total, mix(np.array([5], np.uint64))[0], np.uint64)
-    first = np.cumsum(sizes) - sizes
-    inner = np.ones(total, bool)
-    inner[first] = False
-    tokens[inner] = word_names([w for own in words for w in own])
-    page = np.repeat(np.repeat(np.arange(len(texts)), [len(t) for t in texts]), sizes) if flat else np.zeros(0, np.int64)
-    spread = repeats(tokens, page)
-    count = len(texts)
-    common = spread >= max(REPEAT_PAGES, REPEAT_SHARE * count)
-    everywhere = (spread > ARTICLE_SHARE * count) & (count >= ARTICLE_PAGES)
-    covered = [np.add.reduceat(x.astype(np.int64), first) if flat else np.zeros(0, np.int64) for x in (common, everywhere)]
-    covered = [2 * c > sizes for c in covered]
-    out, at = [], 0
-    for own, zone in zip(texts, zones):
+class _Pages:
+    """The distinct token streams of a part, one after the other; rows with equal blocks are one page."""
+
+    def __init__(self, table: pa.Table):
+        squeezed, seen = table.column("squeezed"), {}
+        self.of = [seen.setdefault(s, len(seen)) for s in table.column("stream").to_pylist()]  # the page of each row
+        expand = zstandard.ZstdDecompressor().decompress
+        self.texts: list[list[str]] = []
+        for row, page in enumerate(self.of):
+            if page == len(self.texts):
+                text = expand(squeezed[row].as_py()).decode("utf-8", "surrogatepass")
+                self.texts.append(text.split("\n") if text else [])
+        words = [b.encode("utf-8", "surrogatepass").split() for own in self.texts for b in own]
+        self.sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1  # a border stands before each block
+        total = int(self.sizes.sum())
+        self.tokens = np.full(total, mix(np.array([5], np.uint64))[0], np.uint64)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        inner = np.ones(total, bool)
+        inner[self.first] = False
+        self.tokens[inner] = word_names([w for own in words for w in own])
+        blocks = np.array([len(own) for own in self.texts], np.int64)
+        self.block_at = np.cumsum(blocks) - blocks
+        self.page = np.repeat(np.repeat(np.arange(len(blocks)), blocks), self.sizes)
+
+    def mostly(self, tokens: np.ndarray) -> np.ndarray:
+        """The blocks more than half of whose tokens are marked."""
+        if not len(self.first):
+            return np.zeros(0, bool)
+        return 2 * np.add.reduceat(tokens.astype(np.int64), self.first) > self.sizes
+
+
+def _kept(table: pa.Table, pages: _Pages, spread: np.ndarray, count: int) -> pa.Table:
+    """The text of each row: ``spread`` of the pages' tokens in ``count`` distinct pages."""
+    common = pages.mostly(spread >= max(REPEAT_PAGES, REPEAT_SHARE * count))
+    everywhere = pages.mostly((spread > ARTICLE_SHARE * count) & (count >= ARTICLE_PAGES))
+    out = []
+    for page, zone in zip(pages.of, table.column("zones").to_pylist()):
         has_main = MAIN in zone
         kept = []
-        for text, z in zip(own, zone):
-            if z == MAIN if has_main else True:
-                if not covered[1 if z == MAIN else 0][at]:
-                    kept.append(text)
-            at += 1
+        for at, (text, z) in enumerate(zip(pages.texts[page], zone), pages.block_at[page]):
+            if (z == MAIN or not has_main) and not (everywhere if z == MAIN else common)[at]:
+                kept.append(text)
         out.append("\n".join(kept))
     return pa.table(
-        [table.column("page_id"), table.column("url"), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
-        ["page_id", "url", "text", "n_chars"],
+        [*(table.column(n) for n in ("row", "page_id", "url")), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
+        ["row", "page_id", "url", "text", "n_chars"],
     )
 
 
+def _chosen(table: pa.Table) -> pa.Table:
+    pages = _Pages(table)
+    return _kept(table, pages, repeats(pages.tokens, pages.page), len(pages.texts))
+
+
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [blocks_of(h.as_py()) for h in batch.column("html")]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("page_id"),
-                batch.column("url"),
-                batch.column("host"),
-                batch.column("part"),
-                pa.array(["\n".join(b for b, _ in page) for page in found], pa.string()),
-                pa.array(["".join(z for _, z in page) for page in found], pa.string()),
-            ],
-            ["page_id", "url", "host", "part", "blocks", "zones"],
-        )
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    for whole in batches:
+        for batch in slices(whole):
+            found = [blocks_of(h.as_py()) for h in batch.column("html")]
+            raw = ["\n".join(b for b, _ in page).encode("utf-8", "surrogatepass") for page in found]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("page_id"),
+                    batch.column("url"),
+                    batch.column("host"),
+                    pa.array([hashlib.blake2b(r, digest_size=16).digest() for r in raw], pa.binary()),
+                    pa.array(["".join(z for _, z in page) for page in found], pa.string()),
+                    pa.array(list(map(len, raw)), pa.int64()),
+                    pa.array(list(map(squeeze, raw)), pa.binary()),
+                ],
+                ["page_id", "url", "host", "stream", "zones", "size", "squeezed"],
+            )
+
+
+_PARSED = "page_id long, url string, host string, stream binary, zones string, size long, squeezed binary"
+_CHOSEN = "row long, page_id long, url string, text string, n_chars long"
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
@@ -353,7 +382,8 @@ def extract_text(pages: DataFrame) -> DataFrame:
     part are boilerplate, and the others are kept in page order. Where a page has an article or main
     element its text is taken from there, and only what most pages of the host repeat is removed from it.
 
-    A host beyond :data:`PART_CHARS` is dealt into parts by a hash of the page, so no host is one task.
+    Rows of a host with equal blocks are one page: one of them is compared, and the others get its text by
+    a join. A host beyond :data:`PART_CHARS` is dealt into parts by a hash of the blocks, so no host is one task.
     Null html is empty and gives an empty text; a null url is a host of its own; repeated rows and
     null ids stay; an empty table gives no rows; other columns are not read.
     """
@@ -361,11 +391,27 @@ def extract_text(pages: DataFrame) -> DataFrame:
         F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"),
         F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)", 1)), F.lit("")).alias("host"),
     )
-    hosts = own.groupBy("host").agg(F.ceil(F.sum(F.length("html")) / PART_CHARS).alias("parts"))
+    parsed = own.mapInArrow(_parsed, _PARSED).withColumn("row", F.monotonically_increasing_id())
+    parsed = written(parsed, "pages")
+    key = ["host", "stream", "zones"]
+    classes = parsed.groupBy(*key).agg(F.min("row").alias("first"), F.count("*").alias("rows"), F.max("size").alias("size"))
+    classes = written(classes, "page-classes")
+    hosts = classes.groupBy("host", "stream").agg(F.max("size").alias("size")).groupBy("host").agg(
+        F.greatest(F.ceil(F.sum("size") / PART_CHARS), F.lit(1)).alias("parts")
+    )
     hosts = written(hosts, "hosts")
-    part = F.pmod(F.xxhash64("page_id", "url"), F.greatest("parts", F.lit(1)))
-    dealt = own.join(hosts, "host").withColumn("part", part.cast("long")).select("page_id", "url", "host", "part", "html")
-    parsed = dealt.mapInArrow(
-        _parsed, "page_id long, url string, host string, part long, blocks string, zones string"
+    several = classes.where("rows > 1").select(*key, "first")
+    copies = written(parsed.join(several, key).where("row <> first").select("row", "first", "page_id", "url"), "page-copies")
+    copied = not copies.isEmpty()
+    if copied:
+        parsed = parsed.join(copies.select("row"), "row", "left_anti")
+    dealt = parsed.join(hosts, "host").select(
+        "host", F.pmod(F.xxhash64("stream"), "parts").alias("part"), "row", "page_id", "url", "stream", "zones", "squeezed"
     )
-    return parsed.groupBy("host", "part").applyInArrow(_chosen, "page_id long, url string, text string, n_chars long")
+    texts = dealt.groupBy("host", "part").applyInArrow(_chosen, _CHOSEN)
+    names = ["page_id", "url", "text", "n_chars"]
+    if not copied:
+        return texts.select(names)
+    texts = written(texts, "page-texts")
+    of_first = texts.select(F.col("row").alias("first"), "text", "n_chars")
+    return texts.select(names).unionByName(copies.join(of_first, "first").select(names))
