@@ -215,6 +215,24 @@ def test_copies_are_one_page(spark, copies):
     assert all(r["n_chars"] == len(r["text"]) for r in got)
 
 
+@pytest.mark.parametrize("part", [300, 20_000])
+def test_texts_do_not_depend_on_the_parts_of_a_host(spark, monkeypatch, part):
+    rng = random.Random(1)
+    rows = []
+    for i in range(400):
+        own = [" ".join(f"w{rng.randrange(3000)}" for _ in range(30)) for _ in range(3)]
+        own += [" ".join(f"menu{k}x{j}" for j in range(12)) for k in (2, 10, 22, 300) if rng.randrange(k) == 0]
+        rng.shuffle(own)
+        kind = "article" if i % 3 == 0 else "div"
+        rows.append((i, "http://h.example/", f"<{kind}>" + "".join(f"<p>{t}</p>" for t in own) + f"</{kind}>"))
+    rows += [(1000 + i, "http://i.example/", f"<p>page {i} {'own%d ' % i * 20}</p><p>{'a b c d e f g h i j'}</p>") for i in range(12)]
+    frame = spark.createDataFrame(rows + rows[:5], "page_id long, url string, html string")
+    want = sorted(map(tuple, html.extract_text(frame).collect()))
+    assert not any("menu2x" in r[2] for r in want if r[0] % 3 and r[0] < 1000) and any("menu300x" in r[2] for r in want)
+    monkeypatch.setattr(html, "PART_CHARS", part)
+    assert sorted(map(tuple, html.extract_text(frame).collect())) == want
+
+
 def test_repeats_are_found_across_pages():
     tokens = np.array([1, 2, 3, 4, 9, 1, 2, 3, 5, 1, 2, 3, 4], np.uint64)
     page = np.array([0] * 5 + [1] * 4 + [2] * 4)

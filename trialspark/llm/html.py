@@ -21,7 +21,7 @@ from trialspark.llm.recompress import mix, word_names
 PART_CHARS = 1_500_000
 #: Tokens of the shortest repeat.
 REPEAT = 8
-#: A repeat stands in so many pages of a part: as a number, and as a share of the part's pages.
+#: A repeat stands in so many pages of a host: as a number, and as a share of the host's pages.
 REPEAT_PAGES, REPEAT_SHARE = 3, 0.05
 #: In an article even a repeat is text, unless it stands in more than this share of at least so many pages.
 ARTICLE_SHARE, ARTICLE_PAGES = 0.5, 8
@@ -259,17 +259,16 @@ def blocks_of(page: str) -> list[tuple[str, str]]:
     return [(text, MAIN if group > 0 else NEUTRAL) for text, group in out if group not in left]
 
 
-def repeats(tokens: np.ndarray, page: np.ndarray, length: int = REPEAT) -> np.ndarray:
-    """For each token, in how many pages the most widespread repeat that covers it stands.
+def _runs(tokens: np.ndarray, page: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places of all runs of ``length`` tokens in suffix order, the group of equal runs of each, and a group's pages.
 
     ``tokens`` are the pages' streams one after the other, ``page`` is non-decreasing. The suffix
-    array is sorted by doubling to the depth of the shortest repeat: equal ranks are suffixes whose
-    common prefix is long enough.
+    array is sorted by doubling to the depth of the run: equal ranks are suffixes whose common
+    prefix is long enough.
     """
     n = len(tokens)
-    pages = np.zeros(n, np.int64)
     if n < length:
-        return pages
+        return (np.zeros(0, np.int64),) * 3
     rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
     step = 1
     while step < length:
@@ -288,14 +287,25 @@ def repeats(tokens: np.ndarray, page: np.ndarray, length: int = REPEAT) -> np.nd
     new_page = new_rank.copy()
     new_page[1:] |= p[1:] != p[:-1]
     group = np.cumsum(new_rank) - 1
-    spread = np.bincount(group, new_page)[group].astype(np.int64)
+    return array, group, np.bincount(group, new_page).astype(np.int64)
+
+
+def _covering(array: np.ndarray, spread: np.ndarray, page: np.ndarray, length: int) -> np.ndarray:
+    """For each token the most widespread run that covers it, from the ``spread`` of the runs at ``array``."""
+    pages = np.zeros(len(page), np.int64)
     pages[array] = spread
     out = pages.copy()
-    for k in range(1, length):  # a repeat covers all its tokens
+    for k in range(1, min(length, len(page))):  # a repeat covers all its tokens
         np.maximum(out[k:], np.where(page[k:] == page[:-k], pages[:-k], 0), out=out[k:])
     return out
 
 
+def repeats(tokens: np.ndarray, page: np.ndarray, length: int = REPEAT) -> np.ndarray:
+    """For each token, in how many pages the most widespread repeat that covers it stands."""
+    array, group, spread = _runs(tokens, page, length)
+    return _covering(array, spread[group], page, length)
+
+
 class _Pages:
     """The distinct token streams of a part, one after the other; rows with equal blocks are one page."""
 
@@ -329,7 +339,7 @@ class _Pages:
 
 def _kept(table: pa.Table, pages: _Pages, spread: np.ndarray, count: int) -> pa.Table:
     """The text of each row: ``spread`` of the pages' tokens in ``count`` distinct pages."""
-    common = pages.mostly(spread >= max(REPEAT_PAGES, REPEAT_SHARE * count))
+    common = pages.mostly(spread >= _widespread(count))
     everywhere = pages.mostly((spread > ARTICLE_SHARE * count) & (count >= ARTICLE_PAGES))
     out = []
     for page, zone in zip(pages.of, table.column("zones").to_pylist()):
@@ -346,10 +356,69 @@ def _kept(table: pa.Table, pages: _Pages, spread: np.ndarray, count: int) -> pa.
 
 
 def _chosen(table: pa.Table) -> pa.Table:
+    """The texts of a host that is one part."""
     pages = _Pages(table)
     return _kept(table, pages, repeats(pages.tokens, pages.page), len(pages.texts))
 
 
+def _widespread(count):
+    """So many pages of ``count`` make a repeat common: a number, or a column of numbers."""
+    if isinstance(count, int):
+        return max(REPEAT_PAGES, REPEAT_SHARE * count)
+    return F.greatest(F.lit(float(REPEAT_PAGES)), F.lit(REPEAT_SHARE) * count)
+
+
+def _named_runs(table: pa.Table) -> tuple[_Pages, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A part's pages, its runs, and the 64-bit name of each group of equal runs, which is the same in every part."""
+    pages = _Pages(table)
+    array, group, spread = _runs(pages.tokens, pages.page, REPEAT)
+    start = array[np.searchsorted(group, np.arange(len(spread)))]
+    name = np.full(len(start), 11, np.uint64)
+    for k in range(REPEAT):
+        name = mix(name * np.uint64(3) + pages.tokens[start + k])
+    return pages, array, group, spread, name.view(np.int64)
+
+
+def _run_rows(table: pa.Table, name: np.ndarray, spread: np.ndarray) -> pa.Table:
+    host = table.column("host")[0].as_py() if table.num_rows else ""
+    return pa.table([pa.array([host] * len(name), pa.string()), pa.array(name), pa.array(spread)], ["host", "run", "n"])
+
+
+def _all_runs(table: pa.Table) -> pa.Table:
+    """Every run of a part and the part's pages that hold it."""
+    _, _, _, spread, name = _named_runs(table)
+    return _run_rows(table, name, spread)
+
+
+def _candidates(table: pa.Table) -> pa.Table:
+    """The runs that can be common on the host: those are as frequent as that in one part at least."""
+    pages, _, _, spread, name = _named_runs(table)
+    count = table.column("pages")[0].as_py()
+    can = spread * count >= _widespread(count) * len(pages.texts) - 1e-6
+    return _run_rows(table, name[can], spread[can])
+
+
+def _candidate_runs(table: pa.Table, candidates: pa.Table) -> pa.Table:
+    """How many pages of a part hold each candidate of its host."""
+    _, _, _, spread, name = _named_runs(table)
+    asked = np.isin(name, candidates.column("run").to_numpy())
+    return _run_rows(table, name[asked], spread[asked])
+
+
+def _chosen_by_host(table: pa.Table, common: pa.Table) -> pa.Table:
+    """The texts of a part by the common runs of the whole host."""
+    pages, array, group, _, name = _named_runs(table)
+    run, n = common.column("run").to_numpy(), common.column("n").to_numpy()
+    spread = np.zeros(len(name), np.int64)
+    if len(run):
+        order = np.argsort(run)
+        at = np.minimum(np.searchsorted(run, name, sorter=order), len(run) - 1)
+        at = order[at]
+        spread = np.where(run[at] == name, n[at], 0)
+    count = table.column("pages")[0].as_py() if table.num_rows else 0
+    return _kept(table, pages, _covering(array, spread[group], pages.page, REPEAT), count)
+
+
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     squeeze = zstandard.ZstdCompressor(level=3).compress
     for whole in batches:
@@ -371,9 +440,37 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _PARSED = "page_id long, url string, host string, stream binary, zones string, size long, squeezed binary"
+_RUNS = "host string, run long, n long"
 _CHOSEN = "row long, page_id long, url string, text string, n_chars long"
 
 
+def _texts(dealt: DataFrame, hosts: DataFrame) -> DataFrame:
+    """The texts of pages that are dealt by host and part, by repeats counted over the whole host.
+
+    Parts of many pages count candidates only: a run that stands in a share of a host's pages stands in
+    that share of one part's pages at least. Parts of few pages, in which any run is a candidate, count all.
+    """
+    key = ["host", "part"]
+    many = F.col("pages") * REPEAT_SHARE >= 2 * F.col("parts")
+    done = dealt.where("parts = 1").groupBy(*key).applyInArrow(_chosen, _CHOSEN)
+
+    def in_parts(runs: DataFrame) -> DataFrame:
+        own = runs.join(hosts, "host").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        return own.select(*key, *(c for c in ("run", "n") if c in runs.columns)).groupBy(*key)
+
+    for ample in (True, False):
+        parts = dealt.where("parts > 1").where(many if ample else ~many).groupBy(*key)
+        if ample:
+            candidates = parts.applyInArrow(_candidates, _RUNS).select("host", "run").distinct()
+            counted = parts.cogroup(in_parts(candidates)).applyInArrow(_candidate_runs, _RUNS)
+        else:
+            counted = parts.applyInArrow(_all_runs, _RUNS)
+        common = counted.groupBy("host", "run").agg(F.sum("n").alias("n"))
+        common = common.join(hosts, "host").where(F.col("n") >= _widespread(F.col("pages"))).select("host", "run", "n")
+        done = done.unionByName(parts.cogroup(in_parts(common)).applyInArrow(_chosen_by_host, _CHOSEN))
+    return done
+
+
 def extract_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars``: the main text of each page, blocks joined by a line break.
 
@@ -383,7 +480,8 @@ def extract_text(pages: DataFrame) -> DataFrame:
     element its text is taken from there, and only what most pages of the host repeat is removed from it.
 
     Rows of a host with equal blocks are one page: one of them is compared, and the others get its text by
-    a join. A host beyond :data:`PART_CHARS` is dealt into parts by a hash of the blocks, so no host is one task.
+    a join. A host beyond :data:`PART_CHARS` is dealt into parts by a hash of the blocks, so no host is one task;
+    the pages of a run are added up over its parts, so the texts do not depend on the dealing.
     Null html is empty and gives an empty text; a null url is a host of its own; repeated rows and
     null ids stay; an empty table gives no rows; other columns are not read.
     """
@@ -397,7 +495,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     classes = parsed.groupBy(*key).agg(F.min("row").alias("first"), F.count("*").alias("rows"), F.max("size").alias("size"))
     classes = written(classes, "page-classes")
     hosts = classes.groupBy("host", "stream").agg(F.max("size").alias("size")).groupBy("host").agg(
-        F.greatest(F.ceil(F.sum("size") / PART_CHARS), F.lit(1)).alias("parts")
+        F.count("*").alias("pages"), F.greatest(F.ceil(F.sum("size") / PART_CHARS), F.lit(1)).alias("parts")
     )
     hosts = written(hosts, "hosts")
     several = classes.where("rows > 1").select(*key, "first")
@@ -406,9 +504,10 @@ def extract_text(pages: DataFrame) -> DataFrame:
     if copied:
         parsed = parsed.join(copies.select("row"), "row", "left_anti")
     dealt = parsed.join(hosts, "host").select(
-        "host", F.pmod(F.xxhash64("stream"), "parts").alias("part"), "row", "page_id", "url", "stream", "zones", "squeezed"
-    )
-    texts = dealt.groupBy("host", "part").applyInArrow(_chosen, _CHOSEN)
+        "host", F.pmod(F.xxhash64("stream"), "parts").alias("part"), "parts", "pages", "row", "page_id", "url", "stream", "zones",
+        "squeezed",
+    )
+    texts = _texts(dealt, hosts)
     names = ["page_id", "url", "text", "n_chars"]
     if not copied:
         return texts.select(names)
