@@ -480,7 +480,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     element its text is taken from there, and only what most pages of the host repeat is removed from it.
 
     Rows of a host with equal blocks are one page: one of them is compared, and the others get its text by
-    a join. A host beyond :data:`PART_CHARS` is dealt into parts by a hash of the blocks, so no host is one task;
+    a join, for which they are worked out again instead of being kept. A host beyond :data:`PART_CHARS` is dealt into parts by a hash of the blocks, so no host is one task;
     the pages of a run are added up over its parts, so the texts do not depend on the dealing.
     Null html is empty and gives an empty text; a null url is a host of its own; repeated rows and
     null ids stay; an empty table gives no rows; other columns are not read.
@@ -511,6 +511,5 @@ def extract_text(pages: DataFrame) -> DataFrame:
     names = ["page_id", "url", "text", "n_chars"]
     if not copied:
         return texts.select(names)
-    texts = written(texts, "page-texts")
     of_first = texts.select(F.col("row").alias("first"), "text", "n_chars")
     return texts.select(names).unionByName(copies.join(of_first, "first").select(names))
