@@ -104,6 +104,16 @@ def test_equal_windows_have_equal_anchors():
     assert (anchors == anchors[0]).all()
 
 
+def test_anchors_do_not_depend_on_a_long_run_elsewhere():
+    rng = np.random.default_rng(3)
+    run = np.full(80, 7, np.uint64)
+    passages = [rng.integers(0, 1 << 62, 3).astype(np.uint64) for _ in range(200)]
+    docs = [np.concatenate([run[:47], p]) for p in passages]
+    alone = np.concatenate([recompress.Block([d]).anchors() for d in docs])
+    beside = recompress.Block([*docs, run]).anchors()
+    assert (beside[: len(alone)] == alone).all() and (beside != 0).all()
+
+
 def test_substrings_of_nothing(empty):
     assert substrings.repeated_windows(empty).count() == 0
     assert substrings.remove_repeats(empty).count() == 0

@@ -137,8 +137,10 @@ class Block:
             self._paint(tables, level)
         painted = self._settled(tables)
         if len(self.starts) and (painted[self.starts] == 0).any():  # the words themselves are always at hand
-            self._paint(tables, base)
-            painted = self._settled(tables)
+            # in a table of their own: whether other windows of the block need them changes no anchor
+            words = np.zeros_like(tables)
+            self._paint(words, base)
+            painted = np.where(painted == 0, self._settled(words), painted)
         self._anchor = painted[self.starts]
         return self._anchor
 
