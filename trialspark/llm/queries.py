@@ -85,6 +85,17 @@ def op10_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trialspark.llm.decontaminate import benchmark_hits
+
+    hits = benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["last"] - s["first"]))
+    return hits.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing,
@@ -97,9 +108,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_html_extraction,
         op9_lm_scoring,
         op10_simhash_near_duplicates,
+        op13_benchmark_decontamination,
     )
 }
 ORACLES: dict[str, str] = {
+    "op13_benchmark_decontamination": r"""
+        WITH b AS (
+          SELECT CAST(item_id AS VARCHAR) AS item, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM benchmark
+        ), bw AS (
+          SELECT DISTINCT item, least(10, len(ws)) AS n, array_to_string(ws[p:p + least(10, len(ws)) - 1], ' ') AS t
+          FROM (SELECT item, ws, unnest(generate_series(1, len(ws) - least(10, len(ws)) + 1)) AS p FROM b WHERE len(ws) > 0)
+        ), d AS (
+          SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents
+        ), sizes AS (SELECT DISTINCT n FROM bw),
+        dw AS (
+          SELECT r, n, p, array_to_string(ws[p:p + n - 1], ' ') AS t
+          FROM (SELECT r, n, ws, unnest(generate_series(1, len(ws) - n + 1)) AS p FROM d JOIN sizes ON len(ws) >= n)
+        ), hits AS (SELECT r, p, dw.n AS n, item FROM dw JOIN bw ON dw.n = bw.n AND dw.t = bw.t),
+        words AS (SELECT r, count(DISTINCT w) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS w FROM hits) GROUP BY r),
+        items AS (
+          SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+          FROM (SELECT DISTINCT r, item FROM hits WHERE item IS NOT NULL) GROUP BY r
+        )
+        SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+          CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+    """,
     "op7_substring_dedup": r"""
         WITH w AS (
           SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
