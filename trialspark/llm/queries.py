@@ -85,6 +85,12 @@ def op10_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trialspark.llm.trie import prefix_trie, turn_sequences, with_shared_starts
+
+    return prefix_trie(with_shared_starts(turn_sequences(table(spark, sf_dir, "conversations"))))
+
+
 def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trialspark.llm.decontaminate import benchmark_hits
 
@@ -108,10 +114,49 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_html_extraction,
         op9_lm_scoring,
         op10_simhash_near_duplicates,
+        op11_conversation_trie,
         op13_benchmark_decontamination,
     )
 }
 ORACLES: dict[str, str] = {
+    "op11_conversation_trie": r"""
+        WITH RECURSIVE t AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+        ), own AS (
+          SELECT conv_id, list(md5(concat(strlen(role), ':', role, text)) ORDER BY turn NULLS FIRST, role, md5(text)) AS ids,
+            list(len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) ORDER BY turn NULLS FIRST, role, md5(text)) AS ws
+          FROM t GROUP BY conv_id
+        ), crc(conv_id, digits, k, c) AS (
+          SELECT conv_id, CAST(conv_id AS VARCHAR), 0, CAST(4294967295 AS BIGINT) FROM own
+          UNION ALL
+          SELECT conv_id, digits, k + 1, xor(c2 >> 1, (c2 & 1) * 3988292384) FROM (
+            SELECT conv_id, digits, k, CASE WHEN k % 8 = 0 THEN xor(c, CAST(ascii(digits[k // 8 + 1]) AS BIGINT)) ELSE c END AS c2
+            FROM crc WHERE k < 8 * length(digits))
+        ), h AS (
+          SELECT conv_id, xor(c, CAST(4294967295 AS BIGINT)) % 4 AS h FROM crc WHERE k = 8 * length(digits)
+        ), s AS (
+          SELECT o.conv_id, list_concat(coalesce(b.ids[1:h], []), o.ids[h + 1:]) AS ids, list_concat(coalesce(b.ws[1:h], []), o.ws[h + 1:]) AS ws
+          FROM own o JOIN h USING (conv_id) LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20
+        ), m AS (
+          SELECT conv_id, len(ids) AS n, d, array_to_string(ids[1:d], '') AS key, CASE WHEN d > 0 THEN ws[d] ELSE 0 END AS w
+          FROM (SELECT *, unnest(range(len(ids) + 1)) AS d FROM s)
+        ), node AS (
+          SELECT d, key, min(conv_id) AS conv_id, count(*) AS n_convs, max(w) AS w,
+            sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends_sha256
+          FROM m GROUP BY d, key
+        ), kids AS (
+          SELECT d - 1 AS d, left(key, 32 * (d - 1)) AS key, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1, 2
+        ), up AS (
+          SELECT a AS d, left(key, 32 * a) AS key, sum((n_convs - 1) * w) AS saved, sum(leaf) AS n_leaves
+          FROM (SELECT node.key, n_convs, w, CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf, unnest(range(node.d + 1)) AS a
+                FROM node LEFT JOIN kids ON node.d = kids.d AND node.key = kids.key)
+          GROUP BY 1, 2
+        )
+        SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(v.n_convs AS BIGINT) AS n_convs,
+          CAST(coalesce(n_children, 0) AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, v.ends_sha256
+        FROM node v JOIN up ON v.d = up.d AND v.key = up.key LEFT JOIN kids ON v.d = kids.d AND v.key = kids.key
+          LEFT JOIN node p ON p.d = v.d - 1 AND p.key = left(v.key, 32 * (v.d - 1))
+    """,
     "op13_benchmark_decontamination": r"""
         WITH b AS (
           SELECT CAST(item_id AS VARCHAR) AS item, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
