@@ -91,6 +91,21 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(with_shared_starts(turn_sequences(table(spark, sf_dir, "conversations"))))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trialspark.llm.runs import periodic_runs, strongest, with_periods
+
+    found = periodic_runs(with_periods(table(spark, sf_dir, "documents")))
+    best = F.when(F.size("runs") > 0, strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    listed = F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.coalesce(F.sha2(F.col("collapsed").cast("binary"), 256), "words_sha256").alias("collapsed_sha256"),
+    )
+
+
 def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trialspark.llm.decontaminate import benchmark_hits
 
@@ -115,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_lm_scoring,
         op10_simhash_near_duplicates,
         op11_conversation_trie,
+        op12_periodic_runs,
         op13_benchmark_decontamination,
     )
 }
