@@ -102,17 +102,6 @@ def test_bad_queries(bad):
         HybridQuery("x", **bad)
 
 
-def test_approximate_knn_recall(spark):
-    vectors = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
-    asked = {r["vec_id"]: r["embedding"] for r in vectors.filter("vec_id < 20").collect()}
-    exact = retrieval.knn_batch(vectors, asked, 11).filter("vec_id != query_id").collect()
-    index = retrieval.hash_vectors(vectors)
-    near = retrieval.knn_approximate(index, retrieval.hash_vectors(vectors.filter("vec_id < 20")), 10).collect()
-    truth = {(r["query_id"], r["vec_id"]) for r in exact}
-    got = {(r["query_id"], r["vec_id"]) for r in near}
-    assert len(truth & got) / len(truth) > 0.9
-
-
 CSV = "`NCT Number` string, `Study Title` string, `Conditions` string, `Study Results` string, `Enrollment` string"
 
 

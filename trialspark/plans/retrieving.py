@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from trialspark.functions.text import lexical_overlap, tokens
 from trialspark.functions.vectors import cosine, l2
-from trialspark.operators import retrieval
+from trialspark.operators import neighbours, retrieval
 from trialspark.plans.registry import query
 from trialspark.plans.tables import Tables
+from trialspark.session import cut_lineage
 
 QUERY_TEXT = "the trial of patients and the dose"
 # a fixed unit-free query vector, written out for both engines
@@ -147,10 +148,6 @@ def top_k(t: Tables):
     return retrieval.rank_top_k(df, 200)
 
 
-def _vector_of(t: Tables, vec_id: int) -> list[float]:
-    return list(t.embeddings.filter(F.col("vec_id") == vec_id).first()["embedding"])
-
-
 @query(
     "tx11_exact_knn",
     f"""SELECT vec_id, round(score, 6) AS score FROM (SELECT vec_id, {_cosine_sql('embedding::DOUBLE[]', _VECTOR_SQL)} AS score
@@ -172,23 +169,64 @@ def exact_knn_l2(t: Tables):
 
 @query(
     "tx11_batch_knn",
-    f"""WITH q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id IN (0, 7, 42)),
-        scored AS (SELECT query_id, vec_id, {_cosine_sql('embedding::DOUBLE[]', 'q')} AS score FROM embeddings, q),
+    f"""WITH scored AS (SELECT q.vec_id AS query_id, v.vec_id, {_cosine_sql('v.embedding::DOUBLE[]', 'q.embedding::DOUBLE[]')} AS score
+          FROM embeddings v, embeddings q WHERE q.vec_id % 50 = 0),
         ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, vec_id) AS rank FROM scored)
         SELECT query_id, vec_id, round(score, 6) AS score, rank FROM ranked WHERE rank <= 10""",
 )
 def batch_knn(t: Tables):
-    asked = {i: _vector_of(t, i) for i in (0, 7, 42)}
-    found = retrieval.knn_batch(t.embeddings, asked, 10)
+    found = neighbours.exact_neighbours(t.embeddings, t.embeddings.filter("vec_id % 50 = 0"), 10)
     return found.select("query_id", "vec_id", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"))
 
 
-@query("tx12_approximate_knn")
+# whole numbers by a rule, so that both engines have the same cells; fitted ones are in tx12_recall
+CENTRES = [[(c * 31 + j * 17 + c * j * 7) % 23 - 11 for j in range(64)] for c in range(16)]
+PROBES, SURVIVORS = 14, 20
+_CENTRES_SQL = "[" + ", ".join(str(c) for c in CENTRES) + "]"
+_DOT = "list_sum(list_transform(list_zip({}, {}), lambda p: p[1] * p[2]))"
+
+
+@query(
+    "tx12_approximate_knn",
+    f"""WITH u AS (SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) AS v
+          FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings)),
+        coded AS (SELECT vec_id, v, list_transform(v, lambda x: least(greatest(floor(x * 128 + 0.5)::BIGINT, -127), 127)) AS code FROM u),
+        centre AS (SELECT unnest(range(16)) AS cell, unnest({_CENTRES_SQL}) AS w),
+        near AS (SELECT vec_id, cell, row_number() OVER (PARTITION BY vec_id ORDER BY {_DOT.format('code', 'w')} DESC, cell) AS n
+          FROM coded, centre),
+        met AS (SELECT q.vec_id AS query_id, i.vec_id FROM near q JOIN near i ON q.cell = i.cell AND i.n = 1 AND q.n <= {PROBES}
+          WHERE q.vec_id % 50 = 0 AND i.vec_id <> q.vec_id),
+        kept AS (SELECT query_id, x.vec_id, x.v AS a, y.v AS b FROM met JOIN coded x ON x.vec_id = met.vec_id JOIN coded y ON y.vec_id = query_id
+          QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY {_DOT.format('x.code', 'y.code')} DESC, x.vec_id) <= {SURVIVORS}),
+        scored AS (SELECT query_id, vec_id, {_DOT.format('a', 'b')} AS score FROM kept)
+        SELECT query_id, vec_id, round(score, 6) AS score,
+          row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, vec_id) AS rank FROM scored QUALIFY rank <= 10""",
+)
 def approximate_knn(t: Tables):
-    """Recall depends on the drawn projections, so only rows are checked here; tests measure recall."""
-    index = retrieval.hash_vectors(t.embeddings)
-    asked = retrieval.hash_vectors(t.embeddings.filter(F.col("vec_id").isin(0, 7, 42)))
-    return retrieval.knn_approximate(index, asked, 10)
+    """Ten neighbours of every fiftieth vector through 16 cells."""
+    index = neighbours.cell_index(t.embeddings, CENTRES)
+    found = neighbours.approximate_neighbours(
+        index, t.embeddings, t.embeddings.filter("vec_id % 50 = 0"), CENTRES, 10, PROBES, SURVIVORS
+    )
+    return found.select("query_id", "vec_id", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"))
+
+
+@query(
+    "tx12_recall",
+    """SELECT count(*) FILTER (WHERE vec_id % 50 = 0) AS queries, count(*) AS vectors, true AS recall_90, true AS vectors_met_under_10_percent
+       FROM embeddings""",
+)
+def approximate_recall(t: Tables):
+    """With fitted cells and chosen probes: recall of 0.9, and full vectors compared with under a tenth of all."""
+    vectors, asked = t.embeddings, t.embeddings.filter("vec_id % 50 = 0")
+    centres = neighbours.fit_cells(vectors, 16)
+    index = cut_lineage(neighbours.cell_index(vectors, centres))
+    _, recall = neighbours.choose_probes(index, vectors, asked, centres, 10, SURVIVORS)
+    counts = vectors.agg(F.count_if(F.col("vec_id") % 50 == 0).alias("queries"), F.count("*").alias("vectors"))
+    return counts.select(
+        "queries", "vectors", F.lit(recall >= 0.9).alias("recall_90"),
+        (F.lit(SURVIVORS) < F.col("vectors") / 10).alias("vectors_met_under_10_percent"),
+    )
 
 
 @query(
