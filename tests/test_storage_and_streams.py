@@ -116,10 +116,109 @@ def test_requests_are_unique_over_restarts(spark, tmp_path):
     assert sorted(r["idempotency_key"] for r in spark.read.parquet(target).collect()) == ["a", "b", "c"]
 
 
+def files_of(folder):
+    return {p: p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
+def test_a_batch_writes_only_the_buckets_of_its_keys(spark, tmp_path):
+    target = tmp_path / "target"
+    schema = "k long, v string, at timestamp, source_snapshot_id string, notes map<string,string>"
+    write = lambda rows, n: upserts.apply_batch(
+        spark.createDataFrame(rows, schema), n, str(target), "k", "at", None, None, buckets=16, snapshot="source_snapshot_id", keep=3
+    )
+    write([(k, "a", at(1), "s1", {}) for k in range(200)], 0)
+    before = files_of(target / "data")
+    write([(7, "b", at(2), "s2", {"x": "y"}), (8, "late", at(0), "s0", {}), (7, "b2", at(2), "s2", {})], 1)
+    after = files_of(target / "data")
+    assert before.items() <= after.items()  # no file of the first batch was written again
+    own = {p.parent.name for p in set(after) - set(before)}
+    assert 1 <= len(own) <= 2
+    rows = {r["k"]: r["v"] for r in upserts.read_current(spark, str(target)).collect()}
+    assert len(rows) == 200 and rows[7] == "b2" and rows[8] == "a"
+    assert {r["v"] for r in upserts.read_current(spark, str(target), 0).collect()} == {"a"}
+    marks = upserts.sync_checkpoints(spark, str(target)).orderBy("batch_id").collect()
+    assert [(r["row_count"], r["watermark"], r["snapshot_watermark"]) for r in marks] == [(200, at(1), "s1"), (200, at(2), "s2")]
+
+
+def test_failed_batch_changes_nothing_and_old_versions_expire(spark, tmp_path, monkeypatch):
+    from trialspark.sources import versioned
+
+    target = str(tmp_path / "target")
+    write = lambda v, n: upserts.apply_batch(spark.createDataFrame([(1, v, at(n), False), (2 + n, v, at(n), False)], SCHEMA), n, target, "k", "at", "gone", None, buckets=4)
+    write("a", 0)
+    with monkeypatch.context() as m:
+        m.setattr(versioned, "manifest", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            write("lost", 1)
+    monkeypatch.undo()
+    assert {(r["k"], r["v"]) for r in upserts.read_current(spark, target).collect()} == {(1, "a"), (2, "a")}
+    for n in range(1, 5):
+        write(f"v{n}", n)
+    assert {(r["k"], r["v"]) for r in upserts.read_current(spark, target).collect()} == {
+        (1, "v4"), (2, "a"), (3, "v1"), (4, "v2"), (5, "v3"), (6, "v4"),
+    }
+    kept = {(r["in_version"], r["part"]) for v in (3, 4) for r in versioned.manifest(spark, target, v).collect()}
+    folders = {(int(p.parent.name[8:]), p.name[6:]) for p in (tmp_path / "target" / "data").glob("*/_part=*")}
+    assert folders == kept
+
+
+def test_no_sort_aggregate_in_an_upsert(spark):
+    current = spark.createDataFrame([(1, "a", at(1), True)], "k long, v string, at timestamp, is_active boolean")
+    changes = spark.createDataFrame([(1, "b", at(2), True), (2, "c", at(2), False)], SCHEMA)
+    merged = upserts.upsert_batch(current, changes, "k", "at", "gone")
+    assert {(r["k"], r["v"], r["is_active"]) for r in merged.collect()} == {(1, "b", False), (2, "c", True)}
+    assert "SortAggregate" not in merged._jdf.queryExecution().executedPlan().toString()
+    again = upserts.upsert_batch(merged, changes, "k", "at", "gone")
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, merged.collect()))
+
+
+def test_changes_past_a_watermark(spark):
+    df = spark.createDataFrame([(1, at(1), "s1"), (2, at(2), "s1"), (3, at(1), "s2")], "k long, at timestamp, snap string")
+    assert {r["k"] for r in upserts.changes_since(df, "at", "snap", (at(1), "s1")).collect()} == {2, 3}
+    assert upserts.changes_since(df, "at", "snap", None).count() == 3
+
+
 def test_replay_removes_snapshots_that_left_the_source(spark, tmp_path):
+    before = spark.createDataFrame([(1, "s1"), (2, "s2"), (3, "s3"), (4, "s4")], "id long, source_snapshot_id string")
+    target = str(tmp_path)
+    ids = lambda: sorted(r["id"] for r in upserts.versioned.read_version(spark, f"{target}/site").collect())
+    upserts.replay({"site": before}, target)
+    upserts.replay({"site": before.where("id = 2")}, target)
+    assert ids() == [2]
+    upserts.replay({"site": before}, target, snapshot="s1")
+    assert ids() == [1, 2]
+    upserts.replay({"site": before.where("id <> 2")}, target, snapshot="s2", until="s3")
+    assert ids() == [1, 3]
+    upserts.replay({"site": before.limit(0)}, target)
+    assert ids() == []
+
+
+def test_replay_may_read_its_target_and_may_fail(spark, tmp_path):
     before = spark.createDataFrame([(1, "s1"), (2, "s2")], "id long, source_snapshot_id string")
-    upserts.replay({"site": before}, str(tmp_path))
-    upserts.replay({"site": before.where("id = 2")}, str(tmp_path))
-    assert [r["id"] for r in spark.read.parquet(f"{tmp_path}/site").collect()] == [2]
-    upserts.replay({"site": before}, str(tmp_path), snapshot="s1")
-    assert sorted(r["id"] for r in spark.read.parquet(f"{tmp_path}/site").collect()) == [1, 2]
+    target = str(tmp_path)
+    read = lambda: upserts.versioned.read_version(spark, f"{target}/site")
+    upserts.replay({"site": before}, target)
+    upserts.replay({"site": read().withColumn("id", F.col("id") + 10)}, target)
+    assert sorted(r["id"] for r in read().collect()) == [11, 12]
+    broken = before.withColumn("id", F.expr("raise_error('no')").cast("long"))
+    with pytest.raises(Exception, match="no"):
+        upserts.replay({"site": broken}, target)
+    assert sorted(r["id"] for r in read().collect()) == [11, 12]
+
+
+def test_history_of_runs(spark, tmp_path):
+    from trialspark.sources import history
+
+    path = str(tmp_path / "history")
+    table = lambda rows: spark.createDataFrame(rows, "id long, v string")
+    states = [{1: "a", 2: "b"}, {1: "a", 2: "B", 3: "c"}, {2: "B", 3: "c"}, {1: "back", 2: "B"}, {1: "back"}]
+    kinds = [history.write_run(table(list(s.items())), path, n, "id", base_every=4) for n, s in enumerate(states)]
+    assert kinds == ["base", "delta", "delta", "delta", "base"]
+    assert history.write_run(table([(9, "again")]), path, 2, "id") == "delta"  # recorded: not written again
+    for n, state in enumerate(states):
+        assert {r["id"]: r["v"] for r in history.read_run(spark, path, n).collect()} == state
+    counts = {r["run"]: (r["inserted"], r["updated"], r["deleted"]) for r in history.runs(spark, path).collect()}
+    assert counts == {0: (2, 0, 0), 1: (1, 1, 0), 2: (0, 0, 1), 3: (1, 0, 1), 4: (1, 0, 0)}
+    assert history.compact(spark, path, 4) and {r["id"] for r in history.read_run(spark, path).collect()} == {1}
+    with pytest.raises(ValueError):
+        history.read_run(spark, path, 77)

@@ -8,7 +8,7 @@ from trialspark.plans.harmonizing import RUN_TS, harmonized
 from trialspark.plans.registry import query
 from trialspark.plans.tables import Tables
 from trialspark.session import run_dir
-from trialspark.sources import marts, studies, writers
+from trialspark.sources import history, marts, studies, writers
 
 
 @query(
@@ -130,18 +130,55 @@ def shards(t: Tables):
     return counts.withColumn("shard_id", F.col("shard_id").cast("bigint"))
 
 
+# the trials as three runs saw them: rows leave, come and change from one to the next
+_RUNS = [
+    ("trial_id % 10 <> 0", "enrollment"),
+    ("trial_id % 9 <> 0", "CASE WHEN trial_id % 7 = 0 THEN enrollment + 1 ELSE enrollment END"),
+    ("trial_id % 9 <> 0 AND trial_id % 11 <> 0", "CASE WHEN trial_id % 7 = 0 THEN enrollment + 1 ELSE enrollment END"),
+]
+
+
+def _recorded(t: Tables) -> str:
+    path = run_dir(t.spark, "runs")
+    for n, (where, value) in enumerate(_RUNS):
+        state = t.trial.filter(where).select("trial_id", "nct_id", F.expr(value).alias("enrollment"), "source_snapshot_id")
+        history.write_run(state, path, n, "trial_id")
+    return path
+
+
 @query(
     "src10_versioned_table",
-    """SELECT source_snapshot_id, count(*) AS n FROM trial WHERE source_snapshot_id <> 'snapshot-1996' GROUP BY 1
-       UNION ALL SELECT 'snapshot-1996', count(*) FROM trial WHERE source_snapshot_id = 'snapshot-1996' AND trial_id % 2 = 0 HAVING count(*) > 0""",
+    " UNION ALL ".join(
+        f"SELECT {n}::BIGINT AS run, source_snapshot_id, count(*) AS n, sum({value})::BIGINT AS enrollment FROM trial WHERE {where} GROUP BY 2"
+        for n, (where, value) in enumerate(_RUNS)
+    ),
     "trial",
 )
 def versioned(t: Tables):
-    """All snapshots, then one of them rewritten with half its rows."""
-    path = writers.write_partitioned(t.trial, run_dir(t.spark, "versions"))
-    writers.write_partitioned(t.trial.filter("source_snapshot_id = 'snapshot-1996' and trial_id % 2 = 0"), path)
-    back = t.spark.read.parquet(path)
-    return back.groupBy("source_snapshot_id").agg(F.count("*").alias("n"))
+    """Every run read back: the first from its base, the others from the base and their deltas."""
+    path = _recorded(t)
+    read = [
+        history.read_run(t.spark, path, n).groupBy("source_snapshot_id").agg(F.count("*").alias("n"), F.sum("enrollment").alias("enrollment")).select(
+            F.lit(n).cast("bigint").alias("run"), "source_snapshot_id", "n", "enrollment"
+        )
+        for n in range(len(_RUNS))
+    ]
+    return read[0].unionByName(read[1]).unionByName(read[2])
+
+
+@query(
+    "src10_run_deltas",
+    f"""WITH s AS ({" UNION ALL ".join(f"SELECT {n} AS run, trial_id, {value} AS e FROM trial WHERE {where}" for n, (where, value) in enumerate(_RUNS))}),
+        d AS (SELECT b.run, a.trial_id AS old, b.trial_id AS new, a.e AS e1, b.e AS e2 FROM s b LEFT JOIN s a ON a.trial_id = b.trial_id AND a.run = b.run - 1
+          UNION ALL SELECT a.run + 1, a.trial_id, NULL, a.e, NULL FROM s a LEFT JOIN s b ON a.trial_id = b.trial_id AND b.run = a.run + 1
+          WHERE b.trial_id IS NULL AND a.run < 2)
+        SELECT run::BIGINT AS run, CASE run WHEN 0 THEN 'base' ELSE 'delta' END AS kind, count(*) FILTER (WHERE old IS NULL) AS inserted,
+          count(*) FILTER (WHERE old IS NOT NULL AND new IS NOT NULL AND e1 IS DISTINCT FROM e2) AS updated,
+          count(*) FILTER (WHERE new IS NULL) AS deleted FROM d GROUP BY 1, 2""",
+    "trial",
+)
+def deltas(t: Tables):
+    return history.runs(t.spark, _recorded(t)).select("run", "kind", "inserted", "updated", "deleted")
 
 
 @query(

@@ -30,7 +30,7 @@ def _upserted(t: Tables, deleted: bool):
         stream = stream.withColumn("is_deleted", F.col("op") == "error")
     upserts.stream_upsert(
         stream, target, run_dir(t.spark, "offsets"), "trial_id", "updated_at",
-        deleted="is_deleted" if deleted else None, tie="event_id",
+        deleted="is_deleted" if deleted else None, tie="event_id", buckets=8,
     )
     return target
 

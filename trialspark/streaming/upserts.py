@@ -2,38 +2,61 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
-from trialspark.sources.marts import path_exists
-from trialspark.sources.writers import write_partitioned
+from trialspark.session import run_dir
+from trialspark.sources import versioned
+
+
+def _order(df: DataFrame, key: str, ts: str, tie: str | None) -> Column:
+    """What decides between two rows of a key: time, then ``tie`` or all other columns that can be compared."""
+    rest = [tie] if tie else [f.name for f in df.schema if f.name not in (key, ts, "is_active") and not isinstance(f.dataType, MapType)]
+    return F.struct(ts, *rest)
 
 
 def latest_per_key(df: DataFrame, key: str, ts: str, tie: str | None = None) -> DataFrame:
-    """The newest row per key, by a map-side maximum; ``tie`` decides equal times."""
-    rest = [c for c in df.columns if c != key]
-    order = F.struct(ts, tie) if tie else F.struct(ts, *[c for c in rest if c != ts])
-    newest = df.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("_r"))
-    return newest.select(key, "_r.*").select(*df.columns)
+    """The newest row per key; ``tie`` decides equal times.
+
+    Each task ranks its own rows first and sends one row per key to the shuffle, so a key with a large
+    share of the rows is one row per task there.
+    """
+    newest = Window.partitionBy(key).orderBy(_order(df, key, ts, tie).desc())
+    return df.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n")
+
+
+def _incoming(changes: DataFrame, deleted: str | None) -> DataFrame:
+    active = F.lit(True) if deleted is None else ~F.coalesce(F.col(deleted), F.lit(False))
+    flagged = changes.withColumn("is_active", active)
+    return flagged if deleted is None else flagged.drop(deleted)
 
 
 def upsert_batch(
     current: DataFrame, changes: DataFrame, key: str, ts: str, deleted: str | None = None, tie: str | None = None
 ) -> DataFrame:
-    """Current rows with the changes applied.
+    """Current rows with the changes applied; ``current`` has one row per key.
 
-    The newest row per key wins, and an older change never replaces a newer stored row: stored and
-    changed rows compete in one aggregation. Rows whose ``deleted`` flag is set stay, with
-    ``is_active`` false.
+    The newest row per key wins, and an older or equal change never replaces a stored row. Rows whose
+    ``deleted`` flag is set stay, with ``is_active`` false. Stored rows are neither sorted nor grouped:
+    they meet the keys and times of the changes, and the changes theirs.
     """
-    active = F.lit(True) if deleted is None else ~F.coalesce(F.col(deleted), F.lit(False))
-    incoming = changes.withColumn("is_active", active)
-    if deleted is not None:
-        incoming = incoming.drop(deleted)
-    return latest_per_key(current.unionByName(incoming.select(*current.columns)), key, ts, tie)
+    if deleted is None:
+        flagged = changes
+    else:  # the flag takes no part in the order
+        flagged = changes.withColumnRenamed(deleted, "_deleted")
+    plain = flagged if deleted is None else flagged.drop("_deleted")
+    order = _order(plain, key, ts, tie)
+    newest = Window.partitionBy(key).orderBy(order.desc())
+    latest = flagged.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n")
+    latest = _incoming(latest, None if deleted is None else "_deleted").select(*current.columns)
+    pairs = lambda df, name: df.select(F.col(key).alias("_key"), order.alias(name))
+    meets = lambda a, b: a.join(b, a[key].eqNullSafe(b["_key"]), "left")
+    kept = meets(current, pairs(latest, "_new")).filter(F.col("_new").isNull() | (order >= F.col("_new")))
+    added = meets(latest, pairs(current, "_old")).filter(F.col("_old").isNull() | (order > F.col("_old")))
+    return kept.select(*current.columns).unionByName(added.select(*current.columns))
 
 
 def mark_missing(current: DataFrame, canonical: DataFrame, key: str) -> DataFrame:
@@ -47,50 +70,66 @@ def mark_missing(current: DataFrame, canonical: DataFrame, key: str) -> DataFram
     )
 
 
-def _version_dir(target: str, number: int) -> str:
-    return f"{target}/data/version={number:09d}"
+def changes_since(
+    df: DataFrame, ts: str, snapshot: str, after: tuple[object, object] | None
+) -> DataFrame:
+    """Rows past a watermark (time, snapshot id): later ones, or those of a later snapshot."""
+    if after is None:
+        return df
+    time, seen = after
+    return df.filter((F.col(ts) > F.lit(time)) | (F.col(snapshot) > F.lit(seen)))
 
 
-def _pointer_rows(spark: SparkSession, target: str) -> DataFrame | None:
-    path = f"{target}/sync"
-    return spark.read.parquet(path) if path_exists(spark, path) else None
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("string")
 
 
-def read_current(spark: SparkSession, target: str) -> DataFrame | None:
-    """The newest complete version of a stream target; null before the first batch."""
-    sync = _pointer_rows(spark, target)
-    if sync is None:
-        return None
-    number = sync.agg(F.max("batch_id")).first()[0]
-    return spark.read.parquet(_version_dir(target, number))
+def read_current(spark: SparkSession, target: str, version: int | None = None) -> DataFrame | None:
+    """The newest complete version of a stream target, or a kept one; null before the first batch."""
+    return versioned.read_version(spark, target, version)
 
 
 def apply_batch(
-    changes: DataFrame, batch_id: int, target: str, key: str, ts: str, deleted: str | None, tie: str | None
+    changes: DataFrame,
+    batch_id: int,
+    target: str,
+    key: str,
+    ts: str,
+    deleted: str | None,
+    tie: str | None,
+    buckets: int = 64,
+    snapshot: str | None = None,
+    keep: int = 2,
 ) -> None:
-    """Write version ``batch_id`` of the target, then its sync row.
+    """Write version ``batch_id`` of the target: only buckets of changed keys are read and written.
 
-    A batch that was recorded before is skipped; one that failed before its sync row overwrites its
-    own folder. Readers see a version only once its sync row exists.
+    Keys are dealt into ``buckets`` by hash, a number that a target keeps for good; choose it so that a
+    bucket is some hundred megabytes. A batch that was recorded before is skipped; one that failed before
+    its record writes its own folders again. Versions older than the last ``keep`` are removed.
     """
     spark = changes.sparkSession
-    sync = _pointer_rows(spark, target)
-    if sync is not None and not sync.filter(F.col("batch_id") == batch_id).isEmpty():
+    sync = versioned.log(spark, target)
+    if sync is not None and not sync.filter(F.col("version") == batch_id).isEmpty():
         return
-    plain = changes if deleted is None else changes.drop(deleted)
-    current = read_current(spark, target)
+    staged = run_dir(spark, "changes")
+    changes.write.parquet(staged)
+    own = spark.read.schema(changes.schema).parquet(staged)
+    touched = sorted(r["b"] for r in own.select(bucket_of(key, buckets).alias("b")).distinct().collect())
+    current = versioned.read_version(spark, target, parts=touched)
     if current is None:
-        current = plain.withColumn("is_active", F.lit(True)).limit(0)
-    merged = upsert_batch(current, changes, key, ts, deleted, tie)
-    merged.write.mode("overwrite").parquet(_version_dir(target, batch_id))
-    written = spark.read.parquet(_version_dir(target, batch_id))
-    written.agg(
-        F.lit(batch_id).cast("bigint").alias("batch_id"),
-        F.count("*").alias("row_count"),
-        F.count_if("is_active").alias("active_count"),
-        F.max(ts).alias("watermark"),
-        F.lit(datetime.now(timezone.utc)).cast("timestamp").alias("synced_at"),
-    ).coalesce(1).write.mode("append").parquet(f"{target}/sync")
+        current = _incoming(own.limit(0), deleted)
+    merged = upsert_batch(current, own, key, ts, deleted, tie)
+    stats = {"active": F.count_if("is_active"), "watermark": F.max(F.unix_micros(F.col(ts).cast("timestamp")))}
+    info = {
+        "active_count": F.coalesce(F.sum(F.col("stats")["active"].cast("long")), F.lit(0)),
+        "watermark": F.timestamp_micros(F.max(F.col("stats")["watermark"].cast("long"))),
+    }
+    if snapshot is not None:
+        stats["snapshot"] = F.max(snapshot)
+        info["snapshot_watermark"] = F.max(F.col("stats")["snapshot"])
+    versioned.write_version(merged, target, bucket_of(key, buckets), batch_id, replaced=touched, stats=stats, info=info)
+    versioned.expire(spark, target, keep)
+    versioned.remove_folder(spark, staged)
 
 
 def stream_upsert(
@@ -101,11 +140,14 @@ def stream_upsert(
     ts: str,
     deleted: str | None = None,
     tie: str | None = None,
+    buckets: int = 64,
+    snapshot: str | None = None,
+    keep: int = 2,
 ):
     """Run all available input through :func:`apply_batch` and return the finished query."""
     query = (
         stream.writeStream.foreachBatch(
-            lambda changes, batch_id: apply_batch(changes, batch_id, target, key, ts, deleted, tie)
+            lambda changes, batch_id: apply_batch(changes, batch_id, target, key, ts, deleted, tie, buckets, snapshot, keep)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -116,7 +158,9 @@ def stream_upsert(
 
 
 def sync_checkpoints(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(f"{target}/sync")
+    """One row per batch: its rows, active rows and watermark, and the snapshot watermark where one is kept."""
+    rows = versioned.log(spark, target)
+    return rows.drop("schema").withColumnsRenamed({"version": "batch_id", "written_at": "synced_at"})
 
 
 def replay(
@@ -124,25 +168,39 @@ def replay(
     target: str,
     snapshot: str | None = None,
     family: str | None = None,
+    until: str | None = None,
+    keep: int = 2,
 ) -> list[str]:
-    """Rebuild one snapshot and/or one entity family from the canonical tables; returns the paths.
-
-    Whole partitions are replaced, so running it twice equals running it once. Without a snapshot a
-    family becomes what its canonical table holds: snapshots that left the source are removed.
+    """Rebuild one snapshot, a range of them and/or one entity family from the canonical tables.
+
+    Each family is a table of snapshots (:mod:`trialspark.sources.versioned`): the new folders are
+    written beside the old ones, and the table points at them once all are complete, so a rebuild that
+    fails changes nothing, and one that reads its own target is safe. Snapshots that are asked for and
+    no longer in the source become empty; without ``snapshot`` that is every snapshot of the family.
+    ``until`` makes it a range, both ends included. Running it twice equals running it once. Returns the
+    paths.
     """
     paths = []
     for name, df in families.items():
         if family is not None and name != family:
             continue
-        rows = df if snapshot is None else df.filter(F.col("source_snapshot_id") == snapshot)
-        paths.append(write_partitioned(rows, f"{target}/{name}", whole=snapshot is None))
+        spark, path = df.sparkSession, f"{target}/{name}"
+        last = snapshot if until is None else until
+        inside = lambda c: F.lit(True) if snapshot is None else c.between(snapshot, last)
+        part = F.col("source_snapshot_id")
+        known = versioned.manifest(spark, path).filter(inside(F.col("part"))).select("part").collect()
+        versioned.write_version(
+            df.filter(inside(part)), path, part, replaced=[r["part"] for r in known], whole=snapshot is None
+        )
+        versioned.expire(spark, path, keep)
+        paths.append(path)
     return paths
 
 
 def read_families(spark: SparkSession, target: str, names: list[str]) -> DataFrame:
-    """Rows per family and snapshot of a replay target."""
+    """Rows per family and snapshot of a replay target, counted from the files."""
     counts = [
-        spark.read.parquet(f"{target}/{name}")
+        versioned.read_version(spark, f"{target}/{name}")
         .groupBy("source_snapshot_id")
         .agg(F.count("*").alias("n"))
         .select(F.lit(name).alias("family"), "source_snapshot_id", "n")
