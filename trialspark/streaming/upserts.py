@@ -108,8 +108,7 @@ def apply_batch(
     its record writes its own folders again. Versions older than the last ``keep`` are removed.
     """
     spark = changes.sparkSession
-    sync = versioned.log(spark, target)
-    if sync is not None and not sync.filter(F.col("version") == batch_id).isEmpty():
+    if batch_id in versioned.versions(spark, target):
         return
     staged = run_dir(spark, "changes")
     changes.write.parquet(staged)
@@ -120,14 +119,9 @@ def apply_batch(
         current = _incoming(own.limit(0), deleted)
     merged = upsert_batch(current, own, key, ts, deleted, tie)
     stats = {"active": F.count_if("is_active"), "watermark": F.max(F.unix_micros(F.col(ts).cast("timestamp")))}
-    info = {
-        "active_count": F.coalesce(F.sum(F.col("stats")["active"].cast("long")), F.lit(0)),
-        "watermark": F.timestamp_micros(F.max(F.col("stats")["watermark"].cast("long"))),
-    }
     if snapshot is not None:
         stats["snapshot"] = F.max(snapshot)
-        info["snapshot_watermark"] = F.max(F.col("stats")["snapshot"])
-    versioned.write_version(merged, target, bucket_of(key, buckets), batch_id, replaced=touched, stats=stats, info=info)
+    versioned.write_version(merged, target, bucket_of(key, buckets), batch_id, replaced=touched, stats=stats)
     versioned.expire(spark, target, keep)
     versioned.remove_folder(spark, staged)
 
@@ -159,8 +153,13 @@ def stream_upsert(
 
 def sync_checkpoints(spark: SparkSession, target: str) -> DataFrame:
     """One row per batch: its rows, active rows and watermark, and the snapshot watermark where one is kept."""
-    rows = versioned.log(spark, target)
-    return rows.drop("schema").withColumnsRenamed({"version": "batch_id", "written_at": "synced_at"})
+    stat = lambda name: F.col("stats")[name]
+    return versioned.log(spark, target).groupBy(F.col("version").alias("batch_id")).agg(
+        F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"),
+        F.coalesce(F.sum(stat("active").cast("long")), F.lit(0)).alias("active_count"),
+        F.timestamp_micros(F.max(stat("watermark").cast("long"))).alias("watermark"),
+        F.max(stat("snapshot")).alias("snapshot_watermark"), F.max("written_at").alias("synced_at"),
+    )
 
 
 def replay(
