@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from trialspark.session import cut_lineage, run_dir
 
@@ -35,13 +36,12 @@ def fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def register(existing: DataFrame, new: DataFrame, natural_key: list[str]) -> DataFrame:
     """Rows of ``new`` to append: one per natural key, and only keys not registered yet.
 
-    Of several rows with one key the smallest by the other columns, in their order, is registered.
+    Of several rows with one key the smallest is registered, by the other columns in their order; maps,
+    which have no order, take no part in the choice.
     """
-    others = [c for c in new.columns if c not in natural_key]
-    if others:
-        first = new.groupBy(*natural_key).agg(F.min(F.struct(*others)).alias("_row")).select(*natural_key, "_row.*")
-    else:
-        first = new.distinct()
+    plain = [f.name for f in new.schema if f.name not in natural_key and not isinstance(f.dataType, MapType)]
+    order = Window.partitionBy(*natural_key).orderBy(*(plain or natural_key))
+    first = new.withColumn("_n", F.row_number().over(order)).filter("_n = 1")
     return first.select(*new.columns).join(existing.select(*natural_key), natural_key, "left_anti")
 
 

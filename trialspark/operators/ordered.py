@@ -1,9 +1,10 @@
 """Order-dependent columns per key that survive a key with a large share of the rows.
 
-A plain ``partitionBy(key)`` window sorts all rows of a key in one task. Here the window runs per
-(key, time bucket), and the few values that cross buckets (running counts, the last row before,
-the first row after) come from one summary row per (key, bucket). The result does not depend on the
-bucket width.
+A plain ``partitionBy(key)`` window sorts all rows of a key in one task. Here a first pass over a bounded
+sample finds the keys that are too large for that and cuts each into pieces at sampled places of its own
+order. The window runs per (key, piece); the few values that cross pieces (running counts, the last row
+before, the first row after) come from one summary row per piece. Where the cuts fall doesn't matter to the
+result, so neither the sample nor the number of tasks does.
 """
 
 from __future__ import annotations
@@ -12,41 +13,79 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from trialspark.session import cut_lineage
+
+#: Sampled rows per shuffle partition, and the most pieces of one key.
+SAMPLE, MOST_PIECES = 400, 256
+
+
+def with_pieces(df: DataFrame, key: str, ts: str, tie: str, pieces: int | None = None) -> DataFrame:
+    """Add ``_b``: the piece of its key that a row belongs to, ascending in (ts, tie) order.
+
+    A key gets about two pieces for each shuffle partition that its rows would fill; most keys stay
+    whole. ``pieces`` stands for the number of shuffle partitions. Rows that are equal in key, time and
+    tie stay together.
+    """
+    n = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    places = df.select(F.col(key).alias("_key"), F.struct(F.col(ts).alias("t"), F.col(tie).alias("i")).alias("_place"))
+    total = df.count()
+    share = min(1.0, SAMPLE * n / max(1, total))
+    drawn = places.sample(share, 11).groupBy("_key").agg(F.sort_array(F.collect_list("_place")).alias("_sample"))
+    mine = F.size("_sample")
+    wanted = F.least(F.ceil(2 * mine / F.lit(max(1.0, share * total / n))), F.lit(MOST_PIECES)).cast("int")
+    cuts = F.transform(
+        F.sequence(F.lit(1), F.col("_wanted") - 1), lambda k: F.get("_sample", F.floor(k * mine / F.col("_wanted")).cast("int"))
+    )
+    large = drawn.withColumn("_wanted", wanted).filter("_wanted > 2").select("_key", cuts.alias("_cuts"))
+    # written, so that every branch of the plan cuts at the same places; at most some hundred keys are large
+    large = cut_lineage(large)
+    place = F.struct(F.col(ts).alias("t"), F.col(tie).alias("i"))
+    found = df.join(large, df[key].eqNullSafe(large["_key"]), "left").drop("_key")
+    piece = F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(F.filter("_cuts", lambda c: c <= place)))
+    return found.withColumn("_b", piece).drop("_cuts")
+
+
+def _with_summary(df: DataFrame, summary: DataFrame, key: str) -> DataFrame:
+    """Join on (key, piece); a null key is a key."""
+    renamed = summary.withColumnsRenamed({key: "_key", "_b": "_piece"})
+    same = df[key].eqNullSafe(renamed["_key"]) & (df["_b"] == renamed["_piece"])
+    return df.join(renamed, same).drop("_key", "_piece")
+
 
 def number_and_neighbours(
-    df: DataFrame, key: str, ts: str, tie: str, payload: Column, bucket: str = "day"
+    df: DataFrame, key: str, ts: str, tie: str, payload: Column, pieces: int | None = None
 ) -> DataFrame:
     """Add ``seq`` (1-based), ``prev_payload`` and ``next_ts`` in (ts, tie) order within the key."""
-    df = df.withColumn("_b", F.date_trunc(bucket, ts)).withColumn("_p", payload)
+    df = with_pieces(df, key, ts, tie, pieces).withColumn("_p", payload)
     local = Window.partitionBy(key, "_b").orderBy(ts, tie)
     placed = df.withColumns(
         {
             "_rn": F.row_number().over(local),
             "_lag": F.lag("_p").over(local),
             "_lead": F.lead(ts).over(local),
+            "_n": F.count("*").over(Window.partitionBy(key, "_b")),
         }
     )
     along = Window.partitionBy(key).orderBy("_b")
+    # the first and last rows of each piece, whose payload crosses to its neighbours
     summary = (
-        df.groupBy(key, "_b")
+        placed.filter((F.col("_rn") == 1) | (F.col("_rn") == F.col("_n")))
+        .groupBy(key, "_b")
         .agg(
-            F.count("*").alias("_n"),
+            F.max("_n").alias("_size"),
             F.min(ts).alias("_first"),
-            F.max_by("_p", F.struct(ts, tie)).alias("_last"),
+            F.max_by("_p", "_rn").alias("_last"),
         )
         .select(
             key,
             "_b",
-            "_n",
-            F.coalesce(F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(
-                "_before"
-            ),
+            F.coalesce(F.sum("_size").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
             F.lag("_last").over(along).alias("_prev"),
             F.lead("_first").over(along).alias("_next"),
         )
     )
     return (
-        placed.join(summary, [key, "_b"])
+        _with_summary(placed, summary, key)
         .withColumns(
             {
                 "seq": F.col("_before") + F.col("_rn"),
@@ -58,19 +97,23 @@ def number_and_neighbours(
     )
 
 
-def carry_forward(df: DataFrame, key: str, ts: str, tie: str, value: str, bucket: str = "day") -> DataFrame:
+def carry_forward(df: DataFrame, key: str, ts: str, tie: str, value: str, pieces: int | None = None) -> DataFrame:
     """Replace ``value`` by its last non-null value up to and including the row, in (ts, tie) order."""
-    df = df.withColumn("_b", F.date_trunc(bucket, ts))
-    local = Window.partitionBy(key, "_b").orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
+    df = with_pieces(df, key, ts, tie, pieces)
+    local = Window.partitionBy(key, "_b").orderBy(ts, tie)
+    placed = df.withColumns(
+        {
+            "_here": F.last(value, ignorenulls=True).over(local.rowsBetween(Window.unboundedPreceding, 0)),
+            "_is_last": F.lead(F.lit(True)).over(local).isNull(),
+        }
+    )
     along = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     summary = (
-        df.groupBy(key, "_b")
-        .agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(ts, tie))).alias("_last"))
-        .select(key, "_b", F.last("_last", ignorenulls=True).over(along).alias("_carried"))
+        placed.filter("_is_last")
+        .select(key, "_b", F.last("_here", ignorenulls=True).over(along).alias("_carried"))
     )
     return (
-        df.withColumn("_here", F.last(value, ignorenulls=True).over(local))
-        .join(summary, [key, "_b"])
+        _with_summary(placed, summary, key)
         .withColumn(value, F.coalesce("_here", "_carried"))
-        .drop("_b", "_here", "_carried")
+        .drop("_b", "_here", "_is_last", "_carried")
     )

@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 from pyspark.sql.window import Window
 
 from trialspark.operators.ordered import carry_forward, number_and_neighbours
 
 
 def build_scd2(
-    df: DataFrame, key: str, ts: str, tracked: list[str], tie: str, bucket: str = "day"
+    df: DataFrame, key: str, ts: str, tracked: list[str], tie: str, pieces: int | None = None
 ) -> DataFrame:
     """Version number, ``[valid_from, valid_to)``, ``is_current`` and changed fields per row.
 
     ``changed_fields`` maps a field to its old and new value as text; the first version has none.
     """
-    placed = number_and_neighbours(df, key, ts, tie, F.struct(*tracked), bucket)
+    placed = number_and_neighbours(df, key, ts, tie, F.struct(*tracked), pieces)
     pairs = F.create_map(
         *[
             part
@@ -43,7 +44,7 @@ def build_scd2(
 
 
 def as_of(
-    versions: DataFrame, lookups: DataFrame, key: str, ts: str, lookup_id: str, bucket: str = "day"
+    versions: DataFrame, lookups: DataFrame, key: str, ts: str, lookup_id: str, pieces: int | None = None
 ) -> DataFrame:
     """The version valid at each lookup time: ``valid_from <= ts < valid_to`` (null = open).
 
@@ -70,7 +71,7 @@ def as_of(
             F.col(lookup_id),
         )
     )
-    filled = carry_forward(events, key, ts, "_tie", "_version", bucket).filter(F.col("_tie.kind") == 1)
+    filled = carry_forward(events, key, ts, "_tie", "_version", pieces).filter(F.col("_tie.kind") == 1)
     open_or_later = F.col("_version.valid_to").isNull() | (F.col(ts) < F.col("_version.valid_to"))
     return filled.filter(F.col("_version").isNotNull() & open_or_later).select(
         lookup_id, key, ts, *[F.col(f"_version.{c}").alias(c) for c in fields]
@@ -78,11 +79,13 @@ def as_of(
 
 
 def first_request(df: DataFrame, key: str = "idempotency_key", ts: str = "requested_at", tie: str | None = None) -> DataFrame:
-    """The earliest row per idempotency key, by a map-side minimum instead of a sort."""
-    rest = [c for c in df.columns if c != key]
-    order = F.struct(ts, *([tie] if tie else [c for c in rest if c != ts]))
-    first = df.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("_r"))
-    return first.select(key, "_r.*").select(*df.columns)
+    """The earliest row per idempotency key; ``tie``, or else the other columns, decide equal times.
+
+    Each task keeps one row per key before the shuffle.
+    """
+    rest = [tie] if tie else [f.name for f in df.schema if f.name not in (key, ts) and not isinstance(f.dataType, MapType)]
+    order = Window.partitionBy(key).orderBy(ts, *rest)
+    return df.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
 
 
 def rolling_metrics(df: DataFrame, ts: str, value: str, by: str, days: int = 30) -> DataFrame:
