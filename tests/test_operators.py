@@ -288,13 +288,13 @@ def test_clauses_and_tree(spark):
     found = textjobs.eligibility_clauses(df, "id", "t")
     rows = found.select("*", textjobs.normalized_clauses("raw_text").alias("n")).orderBy("line_no").collect()
     assert [(r["criterion_type"], r["raw_text"]) for r in rows] == [
-        ("inclusion", "Age >= 18 years"), ("inclusion", "HbA1c < 7.5 %"), ("exclusion", "Prior stroke"),
+        ("unknown", "Age >= 18 years"), ("inclusion", "HbA1c < 7.5 %"), ("exclusion", "Prior stroke"),
     ]
     assert all(criteria[r["char_start"] : r["char_end"]] == r["raw_text"] for r in rows)
-    assert [tuple(n) for n in rows[0]["n"]] == [("age", ">=", 18.0, "years")]
-    assert [tuple(n) for n in rows[1]["n"]] == [("hba1c", "<", 7.5, "%")] and rows[2]["n"] == []
+    assert [tuple(n)[:4] for n in rows[0]["n"]] == [("age", ">=", 18.0, "years")]
+    assert [tuple(n)[:4] for n in rows[1]["n"]] == [("hba1c", "<", 7.5, "%")] and rows[2]["n"] == []
     tree = textjobs.eligibility_tree(found, "id").first()
-    assert (tree["inclusion_clauses"], tree["exclusion_clauses"]) == (2, 1)
+    assert (tree["inclusion_clauses"], tree["exclusion_clauses"], tree["unknown_clauses"]) == (1, 1, 1)
 
 
 @pytest.mark.parametrize(
@@ -305,7 +305,18 @@ def test_clauses_and_tree(spark):
         ("  ** EXCLUSION CRITERIA **", "exclusion", []),
         ("Exclusion Criteria for part B: pregnant", "exclusion", ["pregnant"]),
         ("Main exclusion criteria: - stroke", "exclusion", ["stroke"]),
-        ("Meets none of the exclusion criteria of the protocol", "inclusion", ["Meets none of the exclusion criteria of the protocol"]),
+        ("Exclusion Criteria - Part A:", "exclusion", []),
+        ("Exclusion criteria include:", "exclusion", []),
+        ("Exclusion Criteria, Cohort 2:", "exclusion", []),
+        ("Exclusion Criteria, Cohort 2", "exclusion", []),
+        ("Healthy volunteer exclusion criteria:", "exclusion", []),
+        ("Exclusion:", "exclusion", []),
+        ("Criteria for exclusion:", "exclusion", []),
+        ("The exclusion criteria are as follows:", "exclusion", []),
+        ("- Inclusion criteria:", "inclusion", []),
+        ("Inclusion and exclusion criteria:", "unknown", []),
+        ("Meets none of the exclusion criteria of the protocol", "unknown", ["Meets none of the exclusion criteria of the protocol"]),
+        ("- exclusion of pregnancy: by test", "unknown", ["exclusion of pregnancy: by test"]),
     ],
 )
 def test_criteria_headers(spark, line, kind, rest):
@@ -323,12 +334,21 @@ def test_criteria_headers(spark, line, kind, rest):
         ("1. Dose > 5 mg, or weight ≤ 80.5kg", [("dose", ">", 5.0, "mg"), ("weight", "<=", 80.5, "kg")]),
         ("no comparison", []),
         (None, []),
+        ("Platelets >= 100,000 /mm3", [("platelets", ">=", 100000.0, "/mm3")]),
+        ("ANC ≥ 1,500/uL", [("anc", ">=", 1500.0, "/ul")]),
+        ("HbA1c < 7,5 %", [("hba1c", "<", 7.5, "%")]),
+        ("weight > -5 kg", [("weight", ">", -5.0, "kg")]),
+        ("18 <= age <= 65", [("age", ">=", 18.0, None), ("age", "<=", 65.0, None)]),
+        ("18 years ≤ Age ≤ 65 years", [("age", ">=", 18.0, "years"), ("age", "<=", 65.0, "years")]),
+        ("bilirubin <= 1.5 x ULN and ALT < 3 x ULN", [("bilirubin", "<=", 1.5, "x uln"), ("alt", "<", 3.0, "x uln")]),
+        ("washout > one month", [("washout", ">", None, None)]),
     ],
 )
 def test_every_comparison_is_found(spark, text, found):
     df = spark.createDataFrame([(text,)], "t string")
     got = df.select(textjobs.normalized_clauses("t").alias("n")).first()["n"]
-    assert [tuple(n) for n in got] == found
+    assert [tuple(n)[:4] for n in got] == found
+    assert all(n["raw"] in text for n in got)
 
 
 def test_words_and_terms_of_any_length_and_script(spark):
@@ -339,6 +359,20 @@ def test_words_and_terms_of_any_length_and_script(spark):
     links = textjobs.link_concepts(df, "id", "t", dictionary)
     assert {r["concept_id"] for r in links.collect()} == {"C1", "C2", "C3"}
     assert textjobs.first_entities(links, "id").first()["entity_count"] == 3
+    first = links.filter("concept_id = 'C3'").first()
+    assert (first["concept_label"], first["normalized_value"], first["confidence"]) == ("vièle", "vièle", 1.0)
+
+
+def test_rows_into_the_term_join_follow_matches(spark):
+    long_term = " ".join(f"w{i}" for i in range(12))
+    terms = [(long_term, "C1", "disease"), ("w0 w1", "C2", "lab"), ("rare", "C3", "treatment")]
+    dictionary = spark.createDataFrame(terms, "term string, concept_id string, concept_type string")
+    texts = [(i, "filler " * 500 + ("w0 w1 w3 " if i % 2 else long_term) + " filler" * 500) for i in range(20)]
+    df = spark.createDataFrame(texts, "id long, t string")
+    entering = textjobs.dictionary_words(df, "id", "t", textjobs.term_trie(dictionary)).count()
+    assert entering == 10 * 3 + 10 * 12  # of 20 * 1,000 words and 12 times as many n-grams
+    links = {(r["id"], r["concept_id"], r["char_start"]) for r in textjobs.link_concepts(df, "id", "t", dictionary).collect()}
+    assert links == {(i, "C2", 3500) for i in range(20)} | {(i, "C1", 3500) for i in range(0, 20, 2)}
 
 
 def test_embeddings(spark):

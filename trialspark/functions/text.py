@@ -9,6 +9,7 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TOKEN = "[a-z0-9]+"
 WORD = r"[\p{L}\p{M}\p{N}]+"
@@ -117,3 +118,130 @@ def match_spans(pattern: str, lower: bool = False):
         return texts.map(of_text, na_action=None)
 
     return spans
+
+
+def _rows_of(**fields: str) -> T.ArrayType:
+    """An array of structs; a DDL string would need a session when the module is imported."""
+    kinds = {"int": T.IntegerType(), "string": T.StringType(), "double": T.DoubleType()}
+    return T.ArrayType(T.StructType([T.StructField(n, kinds[k]) for n, k in fields.items()]))
+
+
+_LINE = re.compile(r"[^\r\n]+")
+_LEAD = re.compile(r"(?:[\s*•\-]|\d+[.)]\s)*")
+_NAME = re.compile(r"[^\W_]+")
+#: Most words of a line that can be a header.
+HEADER_WORDS = 8
+
+
+def criteria_header(core: str, bulleted: bool, before_bullets: bool) -> tuple[str, int] | None:
+    """(kind, place of what follows) of a line that starts a section of criteria, else nothing.
+
+    A header is a line of few words that names inclusion or exclusion, up to its colon. Without a colon
+    it stands before bullets, or it is the phrase ``exclusion criteria`` with at most two words before
+    it and three after it; a bullet without a colon is the bare phrase. A bullet with more text after
+    its colon is a clause. A header that names both kinds decides nothing: ``unknown``.
+    """
+    colon = core.find(":")
+    words = [w.lower() for w in _NAME.findall(core[:colon] if colon >= 0 else core)]
+    kinds = {w for w in words if w in ("inclusion", "exclusion")}
+    if not kinds or len(words) > HEADER_WORDS:
+        return None
+    if colon >= 0:
+        if bulleted and core[colon + 1 :].strip():
+            return None
+    else:
+        at = next((k for k, pair in enumerate(zip(words, words[1:])) if pair[0] in kinds and pair[1] == "criteria"), None)
+        bare = at is not None and at <= 2 and len(words) - at <= 5
+        if not (at == 0 and len(words) == 2 if bulleted else bare or before_bullets):
+            return None
+    return kinds.pop() if len(kinds) == 1 else "unknown", colon + 1 if colon >= 0 else len(core)
+
+
+@F.pandas_udf(_rows_of(line_no="int", criterion_type="string", text="string", start="int"))
+def criteria_lines(texts: pd.Series) -> pd.Series:
+    """The clauses of criteria texts in order, each with its section's kind and its place; headers are left out.
+
+    One pass over each text. Lines before any header have kind ``unknown``.
+    """
+
+    def of_text(text: str | None) -> list[dict]:
+        if text is None:
+            return []
+        lines = list(_LINE.finditer(text))
+        leads = [_LEAD.match(m.group()).group() for m in lines]
+        kind, out = "unknown", []
+        for k, (m, lead) in enumerate(zip(lines, leads)):
+            start, core = m.start() + len(lead), m.group()[len(lead) :]
+            follows = k + 1 < len(lines) and bool(leads[k + 1].strip())
+            header = criteria_header(core, bool(lead.strip()), follows)
+            if header is not None:
+                kind, skip = header
+                skip += _LEAD.match(core[skip:]).end()
+                start, core = start + skip, core[skip:]
+            body = core.rstrip()
+            if body:
+                out.append({"line_no": k, "criterion_type": kind, "text": body, "start": start})
+        return out
+
+    return texts.map(of_text, na_action=None)
+
+
+_COMPARE = re.compile(r">=|<=|≥|≤|>|<|=")
+_NUMBER = r"[-+−]?(?:\d{1,3}(?:,\d{3})+(?![\d,])(?:\.\d+)?|\d+(?:[.,]\d+)?)"
+_UNIT = r"(?!(?:and|or|to|but)\b)(?:x\s+[A-Za-z]+|/?[A-Za-zµ%][A-Za-z0-9µ%/^]*)"
+_RIGHT = re.compile(rf"\s*({_NUMBER})(?:\s*({_UNIT}))?")
+_LEFT = re.compile(rf"(?<![\w.,])({_NUMBER})(?:\s*({_UNIT}))?\s*$")
+_FIELD = re.compile(r"[A-Za-z][A-Za-z0-9 _\-]*$")
+_FIELD_AFTER = re.compile(r"\s*([A-Za-z][A-Za-z0-9 _\-]*)")
+_JOINING = re.compile(r"^(?:(?:and|or|to|but)(?:\s+|$))+")
+# A comparison read from the other side.
+_FLIPPED = {">=": "<=", "<=": ">=", ">": "<", "<": ">", "=": "="}
+
+
+def _number(text: str) -> float:
+    plain = text.replace("−", "-")
+    grouped = re.fullmatch(r"[-+]?\d{1,3}(?:,\d{3})+(?:\.\d+)?", plain)
+    return float(plain.replace(",", "") if grouped else plain.replace(",", "."))
+
+
+def _field(text: str) -> str:
+    return _JOINING.sub("", text.strip().lower()).strip()
+
+
+@F.pandas_udf(_rows_of(field="string", comparator="string", value="double", unit="string", raw="string"))
+def comparisons(texts: pd.Series) -> pd.Series:
+    """Every comparison of each text; see :func:`trialspark.operators.textjobs.normalized_clauses`."""
+
+    def of_text(text: str | None) -> list[dict]:
+        if text is None:
+            return []
+        marks = list(_COMPARE.finditer(text))
+        out, free, last = [], 0, ""
+        for k, m in enumerate(marks):
+            stop = marks[k + 1].start() if k + 1 < len(marks) else len(text)
+            sign = m.group().replace("≥", ">=").replace("≤", "<=")
+            before = text[free : m.start()]
+            right = _RIGHT.match(text, m.end(), stop)
+            left = _LEFT.search(before[-80:])
+            if right is not None or left is None:
+                found = _FIELD.search(before[-400:])
+                name = _field(found.group()) if found else ""
+                value, unit = (_number(right.group(1)), right.group(2)) if right else (None, None)
+                begin = free + len(before) - (len(found.group()) if found else 0)
+                end = right.end() if right else stop
+                free = end if right else m.end()
+            else:  # the number stands before the sign: 18 <= age
+                found = _FIELD_AFTER.match(text, m.end(), stop)
+                name = _field(found.group(1)) if found else ""
+                value, unit, sign = _number(left.group(1)), left.group(2), _FLIPPED[sign]
+                begin = m.start() - (len(before[-80:]) - left.start())
+                end = found.end() if found else m.end()
+                free = m.end()
+            last = name or last
+            out.append({
+                "field": last or None, "comparator": sign, "value": value,
+                "unit": " ".join(unit.lower().split()) if unit else None, "raw": text[begin:end].strip(),
+            })
+        return out
+
+    return texts.map(of_text, na_action=None)

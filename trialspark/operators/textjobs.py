@@ -8,7 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trialspark.functions.text import STOP_WORDS, alphabetic, clean_text, match_spans, ngrams, not_stop, tokens, word_tokens, words
+from trialspark.functions.text import (
+    STOP_WORDS,
+    alphabetic,
+    clean_text,
+    comparisons,
+    criteria_lines,
+    match_spans,
+    ngrams,
+    not_stop,
+    tokens,
+    word_tokens,
+    words,
+)
+from trialspark.session import cut_lineage
 
 
 def combined_text(
@@ -159,130 +172,105 @@ def chunk_documents(df: DataFrame, id_col: str, text_col: str, size: int, overla
     )
 
 
-# Words that qualify a criteria header.
-_QUALIFIERS = (
-    "key|main|major|minor|general|primary|secondary|additional|other|specific|common|study|subject|patient|"
-    "participant|trial|cohort|part|group|arm|phase|[a-z0-9]"
-)
-#: A line that starts a section: the phrase, before it qualifiers, after it a remark, a colon or nothing.
-HEADER = (
-    rf"(?i)^\W*(?:(?:{_QUALIFIERS})\W+){{0,4}}(inclusion|exclusion)\s+criteria\b"
-    r"\s*(?:\([^)]*\)\s*|(?:for|of|in)\b[^:]*)?(?::|\W*$)"
-)
-BULLET = r"^(?:[\s*•\-]|\d+[.)]\s)*"
-
-
 def eligibility_clauses(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Lines of the criteria text as inclusion or exclusion clauses with character offsets.
+    """Lines of the criteria text as clauses with their section's type and character offsets.
 
-    A line that matches :data:`HEADER`, such as ``Key Exclusion Criteria (Part A):``, starts its section;
-    what follows its colon is a clause. Lines before any header belong to inclusion. Bullets are not
-    part of a clause.
+    A line of few words that names inclusion or exclusion, such as ``Key Exclusion Criteria (Part A):``,
+    starts its section (:func:`trialspark.functions.text.criteria_header`); what follows its colon is a
+    clause. Lines before any header, or under one that names both, have type ``unknown``: nothing that
+    is not decided counts as inclusion. Bullets are not part of a clause. Texts are read where they are;
+    no line is shuffled.
     """
-    spans = match_spans(r"[^\r\n]+")
-    lines = df.select(id_col, F.posexplode(spans(F.col(text_col))).alias("line_no", "s"))
-    kind = F.lower(F.regexp_extract("line", HEADER, 1))
-    lines = lines.select(
-        id_col, "line_no", F.col("s.text").alias("line"), F.col("s.start").alias("line_start")
-    ).withColumn("kind", F.when(kind != "", kind))
-    # lines of one text come from one row, so this group is bounded by the size of a record
-    above = Window.partitionBy(id_col).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    lines = lines.withColumn(
-        "criterion_type", F.coalesce(F.last("kind", ignorenulls=True).over(above), F.lit("inclusion"))
-    )
-    head = F.length(F.regexp_extract("line", HEADER, 0))
-    rest = F.substring(F.col("line"), head + 1, F.length("line"))
-    lead = head + F.length(F.regexp_extract(rest, BULLET, 0))
-    body = F.regexp_replace(F.substring(F.col("line"), lead + 1, F.length("line")), r"\s+$", "")
-    return (
-        lines.withColumn("raw_text", body)
-        .filter(F.col("raw_text") != "")
-        .withColumn("char_start", (F.col("line_start") + lead).cast("int"))
-        .withColumn("char_end", (F.col("char_start") + F.length("raw_text")).cast("int"))
-        .select(id_col, "line_no", "criterion_type", "raw_text", "char_start", "char_end")
-    )
+    return df.select(id_col, F.explode(criteria_lines(F.col(text_col))).alias("c")).select(
+        id_col, "c.line_no", "c.criterion_type", F.col("c.text").alias("raw_text"), F.col("c.start").alias("char_start"),
+        (F.col("c.start") + F.length("c.text")).cast("int").alias("char_end"),
+    )
 
 
 def normalized_clauses(c: Column | str) -> Column:
-    """array of struct(field, comparator, value, unit): every comparison, such as ``age >= 18 years``.
+    """array of struct(field, comparator, value, unit, raw): every comparison, such as ``age >= 18 years``.
 
     The field is the run of words before the comparator without a joining word; a comparison without one
-    (``>= 18 years and <= 65 years``) has the field of the one before. A joining word is never a unit.
-    The pattern only starts where a run starts or a match ended and never gives characters back, so it
-    is linear in the text. Text without a comparison has an empty array.
+    (``>= 18 years and <= 65 years``) has the field of the one before. A number before the sign and none
+    after it (``18 <= age``) is read from the other side. Numbers may be signed, grouped (``100,000``) or
+    have a decimal comma (``7,5``); where none can be read, ``value`` is null and ``raw`` keeps the text.
+    A joining word is never a unit; ``1.5 x ULN`` has unit ``x uln``. Text without a comparison has an
+    empty array.
     """
-    c = F.col(c) if isinstance(c, str) else c
-    pattern = (
-        r"(?:(?<![A-Za-z0-9 _\-])|\G)[0-9 _\-]*+([A-Za-z][A-Za-z0-9 _\-]*+)?(>=|<=|≥|≤|>|<|=)\s*+"
-        r"(\d+(?:\.\d+)?)(?:\s*+(?!(?:and|or|to)\b)([A-Za-z%/]+))?"
-    )
-    found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(pattern), F.lit(0))
-    joining = r"^(?:(?:and|or|to|but)(?:\s+|$))+"
-    inside = r"^[0-9 _\-]*([A-Za-z][A-Za-z0-9 _\-]*)?(>=|<=|≥|≤|>|<|=)\s*(\d+(?:\.\d+)?)(?:\s*([A-Za-z%/]+))?$"
-
-    def parts(m: Column) -> Column:
-        unit = F.lower(F.regexp_extract(m, inside, 4))
-        comparator = F.replace(F.replace(F.regexp_extract(m, inside, 2), F.lit("≥"), F.lit(">=")), F.lit("≤"), F.lit("<="))
-        return F.struct(
-            F.regexp_replace(F.lower(F.trim(F.regexp_extract(m, inside, 1))), joining, "").alias("field"),
-            comparator.alias("comparator"),
-            F.regexp_extract(m, inside, 3).try_cast("double").alias("value"),
-            F.when(unit != "", unit).alias("unit"),
-        )
-
-    split = F.transform(found, parts)
-    last_field = lambda i: F.try_element_at(
-        F.filter(F.transform(F.slice(split, F.lit(1), i + 1), lambda m: m["field"]), lambda f: f != ""), F.lit(-1)
-    )
-    return F.transform(split, lambda m, i: F.struct(last_field(i).alias("field"), m["comparator"], m["value"], m["unit"]))
+    return comparisons(F.col(c) if isinstance(c, str) else c)
 
 
 def eligibility_tree(clauses: DataFrame, id_col: str) -> DataFrame:
-    """One JSON tree per record: all inclusion clauses and none of the exclusion clauses."""
+    """One JSON tree per record: all inclusion clauses, none of the exclusion clauses, and the undecided."""
     node = F.struct("line_no", "raw_text", normalized_clauses("raw_text").alias("normalized"))
     side = lambda kind: F.transform(
         F.array_sort(F.collect_list(F.when(F.col("criterion_type") == kind, node))), lambda n: n.dropFields("line_no")
     )
-    tree = F.to_json(F.struct(side("inclusion").alias("all_of"), side("exclusion").alias("none_of")))
+    tree = F.to_json(
+        F.struct(side("inclusion").alias("all_of"), side("exclusion").alias("none_of"), side("unknown").alias("undecided"))
+    )
+    of = lambda kind: F.count_if(F.col("criterion_type") == kind)
     return clauses.groupBy(id_col).agg(
         tree.alias("tree_json"),
-        F.count_if(F.col("criterion_type") == "inclusion").alias("inclusion_clauses"),
-        F.count_if(F.col("criterion_type") == "exclusion").alias("exclusion_clauses"),
+        of("inclusion").alias("inclusion_clauses"), of("exclusion").alias("exclusion_clauses"), of("unknown").alias("unknown_clauses"),
+    )
+
+
+def term_trie(dictionary: DataFrame) -> DataFrame:
+    """Every prefix of every term: ``parent`` (the prefix before), ``word``, ``prefix``; the root is empty."""
+    words = dictionary.select("term").distinct().select(F.split("term", " ").alias("w"))
+    upto = lambda n: F.array_join(F.slice("w", F.lit(1), n), " ")
+    steps = F.transform(
+        F.sequence(F.lit(1), F.size("w")),
+        lambda n: F.struct(upto(n - 1).alias("parent"), F.get("w", n - 1).alias("word"), upto(n).alias("prefix")),
     )
+    return words.select(F.explode(steps).alias("s")).select("s.*").distinct()
+
+
+def dictionary_words(df: DataFrame, id_col: str, text_col: str, trie: DataFrame) -> DataFrame:
+    """The words of texts that occur in some term: id, ``pos``, ``word``, ``start``, ``end``."""
+    spans = match_spans(r"[^\W_]+", lower=True)
+    placed = df.select(id_col, F.posexplode(spans(F.col(text_col))).alias("pos", "s"))
+    words = placed.select(id_col, "pos", F.col("s.text").alias("word"), F.col("s.start").alias("start"), F.col("s.end").alias("end"))
+    return words.join(trie.select("word").distinct(), "word", "left_semi")
 
 
 def link_concepts(df: DataFrame, id_col: str, text_col: str, dictionary: DataFrame) -> DataFrame:
-    """Dictionary terms in texts with offsets: (id, concept, type, start, end).
+    """Dictionary terms in texts with offsets: id, ``term``, concept and ``char_start``, ``char_end``.
 
-    Terms may have any number of words: the longest one in the dictionary sets how far n-grams go.
+    ``dictionary`` has ``term`` (lower-case words joined by blanks), ``concept_id`` and ``concept_type``;
+    ``concept_label``, ``normalized_value`` and ``confidence`` are the term, the term and 1 unless it has
+    them too. Ids of texts are unique.
 
-    ``dictionary`` has ``term`` (lower-case tokens joined by blanks), ``concept_id`` and
-    ``concept_type``. N-grams are made inside the scan stage; the join is on the term.
+    Of the texts only words that occur in some term go on. From there matches walk down a trie of the
+    terms, a join per level: a row lives as long as its words are the beginning of a term, so rows follow
+    matches, not the length of the longest term. Levels end with the longest term.
     """
-    longest = dictionary.agg(F.max(F.size(F.split("term", " ")))).first()[0] or 1
-    spans = match_spans(r"[^\W_]+", lower=True)
-    placed = df.select(id_col, spans(F.col(text_col)).alias("_s"))
-
-    def grams(n: int) -> Column:
-        starts = F.sequence(F.lit(0), F.size("_s") - n)
-        at = lambda i: F.get("_s", i.cast("int"))
-        return F.when(
-            F.size("_s") >= n,
-            F.transform(
-                starts,
-                lambda i: F.struct(
-                    F.concat_ws(" ", *[at(i + k)["text"] for k in range(n)]).alias("term"),
-                    at(i)["start"].alias("char_start"),
-                    at(i + (n - 1))["end"].alias("char_end"),
-                ),
-            ),
-        ).otherwise(F.array().cast("array<struct<term:string,char_start:int,char_end:int>>"))
-
-    candidates = placed.select(
-        id_col, F.explode(F.concat(*[grams(n) for n in range(1, longest + 1)])).alias("g")
-    ).select(id_col, "g.*")
-    return candidates.join(dictionary, "term").select(
-        id_col, "term", "concept_id", "concept_type", "char_start", "char_end"
+    trie = cut_lineage(term_trie(dictionary))
+    words = cut_lineage(dictionary_words(df, id_col, text_col, trie))
+    depth = trie.agg(F.max(F.size(F.split("prefix", " ")))).first()[0] or 0
+    level = words.join(trie.filter("parent = ''"), "word").select(
+        id_col, "pos", "prefix", F.col("start").alias("char_start"), F.col("end").alias("char_end")
+    )
+    found = level
+    following = words.select(id_col, F.col("pos").alias("_at"), "word", "end")
+    for n in range(1, depth):
+        deeper = trie.filter((F.size(F.split("parent", " ")) == n) & (F.col("parent") != "")).select(
+            F.col("parent").alias("prefix"), "word", F.col("prefix").alias("_prefix")
+        )
+        begun = level.join(deeper.select("prefix").distinct(), "prefix", "left_semi")
+        level = cut_lineage(
+            begun.withColumn("_at", F.col("pos") + n)
+            .join(following, [id_col, "_at"])
+            .join(deeper, ["prefix", "word"])
+            .select(id_col, "pos", F.col("_prefix").alias("prefix"), "char_start", F.col("end").alias("char_end"))
+        )
+        found = found.unionByName(level)
+    own = dict.fromkeys(dictionary.columns)
+    extra = {"concept_label": F.col("term"), "normalized_value": F.col("term"), "confidence": F.lit(1.0)}
+    terms = dictionary.withColumns({n: c for n, c in extra.items() if n not in own})
+    return found.withColumnRenamed("prefix", "term").join(terms, "term").select(
+        id_col, "term", "concept_id", "concept_type", "concept_label", "normalized_value", "confidence", "char_start", "char_end"
     )
 
 

@@ -160,24 +160,58 @@ def wide_chunks(t: Tables):
     return _chunks(t, 900, 600)
 
 
+# headers of many kinds with the section that each starts; documents take them in turn
+_HEADERS = [
+    ("Main Inclusion Criteria:", "inclusion"),
+    ("Key Exclusion Criteria (Part A):", "exclusion"),
+    ("Exclusion Criteria - Part A:", "exclusion"),
+    ("Exclusion criteria include:", "exclusion"),
+    ("Exclusion Criteria, Cohort 2:", "exclusion"),
+    ("Healthy volunteer exclusion criteria:", "exclusion"),
+    ("Exclusion:", "exclusion"),
+    ("Criteria for exclusion:", "exclusion"),
+    ("The exclusion criteria are as follows:", "exclusion"),
+    ("INCLUSION CRITERIA", "inclusion"),
+    ("Exclusion criteria", "exclusion"),
+    ("Key inclusion criteria", "inclusion"),
+    ("- Inclusion criteria:", "inclusion"),
+    ("Inclusion and exclusion criteria:", "unknown"),
+    ("Patients eligible for inclusion:", "inclusion"),
+    ("Notes on this study:", None),
+]
+
+
 def _criteria(t: Tables):
-    """Criteria text of a document: its lines, the later half under an exclusion header."""
-    text = F.concat(F.lit("Main Inclusion Criteria:\n- "), F.col("source"), F.lit(" >= 18 years and <= 65 years\n"), F.col("text"),
-                    F.lit("\n\nKey Exclusion Criteria (Part A): "), F.col("lang"), F.lit(" < 5 mg\n* "), F.col("text"))
+    """Criteria text of a document: its text, then a planted header with two bullets and its text again."""
+    headers = F.array(*[F.lit(h) for h, _ in _HEADERS])
+    text = F.concat(F.col("text"), F.lit("\n"), F.get(headers, (F.col("doc_id") % len(_HEADERS)).cast("int")), F.lit("\n- "), F.col("source"),
+                    F.lit(" only\n* "), F.col("text"))
     return t.documents.select("doc_id", text.alias("criteria"))
 
 
+# The rule once more in SQL: words before the colon are counted and looked at, line by line.
 _CLAUSES = rf"""
-WITH c AS (SELECT doc_id, concat('Main Inclusion Criteria:', chr(10), '- ', source, ' >= 18 years and <= 65 years', chr(10), text, chr(10), chr(10),
-  'Key Exclusion Criteria (Part A): ', lang, ' < 5 mg', chr(10), '* ', text) AS criteria FROM documents),
+WITH c AS (SELECT doc_id, concat(text, chr(10), [{", ".join("'" + h + "'" for h, _ in _HEADERS)}][doc_id % {len(_HEADERS)} + 1], chr(10), '- ', source,
+    ' only', chr(10), '* ', text) AS criteria FROM documents),
 pieces AS (SELECT doc_id, unnest(string_split_regex(criteria, '[\r\n]')) AS piece, generate_subscripts(string_split_regex(criteria, '[\r\n]'), 1) AS no FROM c),
 placed AS (SELECT *, (sum(length(piece) + 1) OVER (PARTITION BY doc_id ORDER BY no))::BIGINT - length(piece) - 1 AS start_at FROM pieces),
-lines AS (SELECT doc_id, piece, start_at, no, row_number() OVER (PARTITION BY doc_id ORDER BY no) - 1 AS line_no,
-  regexp_extract(piece, '{textjobs.HEADER}', 0) AS head, nullif(lower(regexp_extract(piece, '{textjobs.HEADER}', 1)), '') AS header FROM placed WHERE piece <> ''),
-typed AS (SELECT *, coalesce(last_value(header IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY no), 'inclusion') AS criterion_type FROM lines),
-clause AS (SELECT doc_id, line_no, criterion_type, piece, start_at,
-  length(head) + length(regexp_extract(substr(piece, length(head) + 1), '{textjobs.BULLET}', 0)) AS lead FROM typed),
-body AS (SELECT doc_id, line_no, criterion_type, regexp_replace(substr(piece, lead + 1), '\s+$', '') AS raw_text, start_at + lead AS char_start FROM clause)
+lines AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY no) - 1 AS line_no, regexp_extract(piece, '^(?:[\s*•\-]|\d+[.)]\s)*') AS lead
+  FROM placed WHERE piece <> ''),
+cored AS (SELECT *, substr(piece, length(lead) + 1) AS core, trim(lead, ' ' || chr(9)) <> '' AS bulleted,
+  coalesce(lead(trim(lead, ' ' || chr(9)) <> '') OVER (PARTITION BY doc_id ORDER BY no), false) AS above_bullets FROM lines),
+headed AS (SELECT *, strpos(core, ':') AS colon,
+  regexp_extract_all(lower(CASE WHEN strpos(core, ':') > 0 THEN substr(core, 1, strpos(core, ':') - 1) ELSE core END), '[\p{{L}}\p{{N}}]+') AS w FROM cored),
+named AS (SELECT *, list_contains(w, 'inclusion') AS has_in, list_contains(w, 'exclusion') AS has_ex, array_to_string(w, ' ') AS said FROM headed),
+judged AS (SELECT *, CASE WHEN NOT (has_in OR has_ex) OR len(w) > 8 THEN false
+    WHEN colon > 0 THEN NOT (bulleted AND trim(substr(core, colon + 1)) <> '')
+    WHEN bulleted THEN said IN ('inclusion criteria', 'exclusion criteria') OR above_bullets
+    ELSE above_bullets OR regexp_matches(said, '^(?:\S+ ){{0,2}}(?:in|ex)clusion criteria(?: \S+){{0,3}}$') END AS is_header FROM named),
+sectioned AS (SELECT *, coalesce(last_value(CASE WHEN is_header THEN CASE WHEN has_in AND has_ex THEN 'unknown' WHEN has_in THEN 'inclusion' ELSE 'exclusion' END END IGNORE NULLS)
+    OVER (PARTITION BY doc_id ORDER BY no), 'unknown') AS criterion_type,
+  CASE WHEN NOT is_header THEN core WHEN colon > 0 THEN substr(core, colon + 1) ELSE '' END AS rest,
+  length(lead) + CASE WHEN is_header AND colon > 0 THEN colon ELSE 0 END AS skipped FROM judged),
+trimmed AS (SELECT *, CASE WHEN is_header THEN length(regexp_extract(rest, '^(?:[\s*•\-]|\d+[.)]\s)*')) ELSE 0 END AS again FROM sectioned),
+body AS (SELECT doc_id, line_no, criterion_type, regexp_replace(substr(rest, again + 1), '\s+$', '') AS raw_text, start_at + skipped + again AS char_start FROM trimmed)
 """
 
 
@@ -193,36 +227,66 @@ def clauses(t: Tables):
     return found.select("doc_id", "criterion_type", F.md5("raw_text").alias("raw_md5"), *longs)
 
 
+@query(
+    "tx08_planted_headers",
+    f"""WITH h AS (SELECT unnest(range({len(_HEADERS)})) AS k, unnest([{", ".join("'" + k + "'" if k else "NULL" for _, k in _HEADERS)}]) AS kind)
+        SELECT doc_id, kind AS criterion_type FROM documents JOIN h ON doc_id % {len(_HEADERS)} = k WHERE kind IS NOT NULL""",
+)
+def planted_headers(t: Tables):
+    """The type of the first clause under each planted header, against the list of headers."""
+    found = textjobs.eligibility_clauses(_criteria(t), "doc_id", "criteria")
+    before = t.documents.select("doc_id", F.length("text").alias("own"), F.concat("source", F.lit(" only")).alias("planted"))
+    under = found.join(before, "doc_id").filter((F.col("char_start") > F.col("own")) & (F.col("raw_text") == F.col("planted")))
+    first = under.groupBy("doc_id").agg(F.min_by("criterion_type", "line_no").alias("criterion_type"))
+    return first.filter(F.col("doc_id") % len(_HEADERS) != len(_HEADERS) - 1)
+
+
+def _measured(t: Tables):
+    """Clauses with the numbers of a document in many writings."""
+    n = F.col("n_chars")
+    grouped = F.format_number(n, 0)
+    comma = F.concat(F.floor(n / 10).cast("string"), F.lit(","), (n % 10).cast("string"))
+    parts = [
+        F.concat(F.lit("Platelets >= "), grouped, F.lit(" /mm3")), F.concat(F.lit("HbA1c < "), comma, F.lit(" %")),
+        F.concat(F.lit("weight > -"), n.cast("string"), F.lit(" kg")), F.concat(n.cast("string"), F.lit(" <= age <= "), (n + 7).cast("string")),
+        F.concat(F.lit("bilirubin <= "), n.cast("string"), F.lit(".5 x ULN and >= 2")), F.concat(F.lit("washout > one "), F.col("lang")),
+    ]
+    return t.documents.select("doc_id", F.concat_ws("; ", *parts).alias("clause"))
+
+
 @query(
     "tx09_normalized_clauses",
-    _CLAUSES
-    + r""", found AS (SELECT doc_id, line_no, criterion_type, unnest(m) AS m, generate_subscripts(m, 1) AS n FROM (
-         SELECT *, regexp_extract_all(raw_text, '(?:[A-Za-z][A-Za-z0-9 _\-]*)?(?:>=|<=|≥|≤|>|<|=)\s*\d+(?:\.\d+)?(?:\s*[A-Za-z%/]+)?') AS m FROM body)),
-       parts AS (SELECT *, regexp_extract(m, '^([A-Za-z][A-Za-z0-9 _\-]*)?(>=|<=|≥|≤|>|<|=)\s*(\d+(?:\.\d+)?)(?:\s*([A-Za-z%/]+))?$', ['f', 'c', 'v', 'u']) AS p FROM found),
-       named AS (SELECT *, nullif(regexp_replace(lower(trim(p.f)), '^(?:(?:and|or|to|but)(?:\s+|$))+', ''), '') AS f FROM parts)
-       SELECT doc_id, line_no::BIGINT AS line_no, criterion_type, n::BIGINT AS place,
-         last_value(f IGNORE NULLS) OVER (PARTITION BY doc_id, line_no ORDER BY n) AS field,
-         replace(replace(p.c, '≥', '>='), '≤', '<=') AS comparator, p.v::DOUBLE AS value,
-         CASE WHEN p.u IN ('', 'and', 'or', 'to') THEN NULL ELSE lower(p.u) END AS unit FROM named""",
+    """WITH v AS (SELECT doc_id, unnest([
+         {'place': 1, 'field': 'platelets', 'comparator': '>=', 'value': n_chars::DOUBLE, 'unit': '/mm3'},
+         {'place': 2, 'field': 'hba1c', 'comparator': '<', 'value': n_chars / 10, 'unit': '%'},
+         {'place': 3, 'field': 'weight', 'comparator': '>', 'value': -n_chars::DOUBLE, 'unit': 'kg'},
+         {'place': 4, 'field': 'age', 'comparator': '>=', 'value': n_chars::DOUBLE, 'unit': NULL},
+         {'place': 5, 'field': 'age', 'comparator': '<=', 'value': (n_chars + 7)::DOUBLE, 'unit': NULL},
+         {'place': 6, 'field': 'bilirubin', 'comparator': '<=', 'value': n_chars + 0.5::DOUBLE, 'unit': 'x uln'},
+         {'place': 7, 'field': 'bilirubin', 'comparator': '>=', 'value': 2::DOUBLE, 'unit': NULL},
+         {'place': 8, 'field': 'washout', 'comparator': '>', 'value': NULL::DOUBLE, 'unit': NULL}]) AS x FROM documents)
+       SELECT doc_id, x.place::BIGINT AS place, x.field AS field, x.comparator AS comparator, round(x.value, 6) AS value, x.unit AS unit FROM v""",
 )
 def normalized(t: Tables):
-    found = textjobs.eligibility_clauses(_criteria(t), "doc_id", "criteria")
-    each = F.posexplode(textjobs.normalized_clauses("raw_text")).alias("place", "n")
-    typed = found.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "criterion_type", each)
-    return typed.select("doc_id", "line_no", "criterion_type", (F.col("place") + 1).cast("bigint").alias("place"), "n.*")
+    """Numbers that are grouped, signed, with a decimal comma, before the sign or missing."""
+    each = F.posexplode(textjobs.normalized_clauses("clause")).alias("place", "n")
+    found = _measured(t).select("doc_id", each)
+    return found.select(
+        "doc_id", (F.col("place") + 1).cast("bigint").alias("place"), "n.field", "n.comparator", F.round("n.value", 6).alias("value"), "n.unit"
+    )
 
 
 @query(
     "tx09_eligibility_trees",
     _CLAUSES
     + """SELECT doc_id, count(*) FILTER (criterion_type = 'inclusion') AS inclusion_clauses,
-       count(*) FILTER (criterion_type = 'exclusion') AS exclusion_clauses,
+       count(*) FILTER (criterion_type = 'exclusion') AS exclusion_clauses, count(*) FILTER (criterion_type = 'unknown') AS unknown_clauses,
        count(*) FILTER (criterion_type = 'inclusion') AS tree_inclusions FROM body WHERE raw_text <> '' GROUP BY 1""",
 )
 def trees(t: Tables):
     found = textjobs.eligibility_tree(textjobs.eligibility_clauses(_criteria(t), "doc_id", "criteria"), "doc_id")
     in_tree = F.json_array_length(F.get_json_object("tree_json", "$.all_of")).cast("bigint")
-    return found.select("doc_id", "inclusion_clauses", "exclusion_clauses", in_tree.alias("tree_inclusions"))
+    return found.select("doc_id", "inclusion_clauses", "exclusion_clauses", "unknown_clauses", in_tree.alias("tree_inclusions"))
 
 
 @query(
@@ -242,50 +306,58 @@ def contained(t: Tables):
 
 
 def _dictionary(t: Tables):
-    """Part names (two words) and the words of part types as concepts of the four types."""
+    """Words of benchmark passages as concepts of the four types: terms of three words, two words and one."""
+    w = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    terms = F.array(*[F.array_join(F.slice("w", a, n), " ") for a, n in ((1, 3), (4, 2), (7, 1))])
+    named = t.benchmark.select("item_id", w.alias("w")).filter(F.size("w") >= 7).select("item_id", F.explode(terms).alias("term"))
     kinds = F.array(*[F.lit(k) for k in ("disease", "biomarker", "lab", "treatment")])
-    named = t.part.select(F.lower("p_name").alias("term"), (F.col("p_partkey") % 4).cast("int").alias("k"), F.col("p_partkey").alias("id"))
-    return named.groupBy("term").agg(F.min("id").alias("id"), F.min_by("k", "id").alias("k")).select(
-        "term", F.concat(F.lit("C"), F.col("id").cast("string")).alias("concept_id"), F.get(kinds, F.col("k")).alias("concept_type")
+    return named.groupBy("term").agg(F.min("item_id").alias("id")).select(
+        "term", F.concat(F.lit("C"), F.col("id").cast("string")).alias("concept_id"), F.get(kinds, (F.col("id") % 4).cast("int")).alias("concept_type")
     )
 
 
-def _tagged(t: Tables):
-    """Line items described in words: a sentence with the part name inside."""
-    text = F.concat(F.lit("Dose of "), F.col("p_name"), F.lit(", then "), F.upper("p_name"), F.lit(" ("), F.lower("p_type"), F.lit(")."))
-    return t.part.select("p_partkey", text.alias("text"))
-
-
-_CONCEPTS = """
-WITH d AS (SELECT lower(p_name) AS term, min(p_partkey) AS id FROM part GROUP BY 1),
+_CONCEPTS = r"""
+WITH b AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark),
+terms AS (SELECT item_id, unnest([concat(w[1], ' ', w[2], ' ', w[3]), concat(w[4], ' ', w[5]), w[7]]) AS term FROM b WHERE len(w) >= 7),
+d AS (SELECT term, min(item_id) AS id FROM terms GROUP BY 1),
 concepts AS (SELECT term, concat('C', id) AS concept_id, ['disease', 'biomarker', 'lab', 'treatment'][id % 4 + 1] AS concept_type FROM d),
-links AS (SELECT p_partkey, term, concept_id, concept_type, 8 AS char_start, 8 + length(p_name) AS char_end FROM part JOIN concepts ON lower(p_name) = term
-  UNION ALL SELECT p_partkey, term, concept_id, concept_type, 15 + length(p_name), 15 + 2 * length(p_name) FROM part JOIN concepts ON lower(p_name) = term)
+runs AS (SELECT doc_id, unnest(r) AS piece, generate_subscripts(r, 1) AS no FROM
+  (SELECT doc_id, regexp_extract_all(text, '[\p{L}\p{N}]+|[^\p{L}\p{N}]+') AS r FROM documents)),
+spots AS (SELECT *, (sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY no))::BIGINT AS till FROM runs),
+words AS (SELECT doc_id, lower(piece) AS w, till - length(piece) AS a, till AS z, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS n
+  FROM spots WHERE regexp_matches(piece, '^[\p{L}\p{N}]')),
+grams AS (SELECT doc_id, a, w AS g1, z AS z1, concat(w, ' ', lead(w, 1) OVER o) AS g2, lead(z, 1) OVER o AS z2,
+  concat(w, ' ', lead(w, 1) OVER o, ' ', lead(w, 2) OVER o) AS g3, lead(z, 2) OVER o AS z3 FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY n)),
+found AS (SELECT doc_id, a, z1 AS z, g1 AS term FROM grams UNION ALL SELECT doc_id, a, z2, g2 FROM grams WHERE z2 IS NOT NULL
+  UNION ALL SELECT doc_id, a, z3, g3 FROM grams WHERE z3 IS NOT NULL),
+links AS (SELECT doc_id, term, concept_id, concept_type, a AS char_start, z AS char_end FROM found JOIN concepts USING (term))
 """
 
 
 @query(
     "tx03_concept_links",
     _CONCEPTS
-    + "SELECT p_partkey, term, concept_id, concept_type, char_start::BIGINT AS char_start, char_end::BIGINT AS char_end FROM links",
+    + """SELECT doc_id, term, concept_id, concept_type, term AS concept_label, 1.0::DOUBLE AS confidence, char_start::BIGINT AS char_start,
+       char_end::BIGINT AS char_end FROM links""",
 )
 def concepts(t: Tables):
-    found = textjobs.link_concepts(_tagged(t), "p_partkey", "text", _dictionary(t))
+    found = textjobs.link_concepts(t.documents, "doc_id", "text", _dictionary(t))
     longs = [F.col(c).cast("bigint").alias(c) for c in ("char_start", "char_end")]
-    return found.select("p_partkey", "term", "concept_id", "concept_type", *longs)
+    return found.select("doc_id", "term", "concept_id", "concept_type", "concept_label", "confidence", *longs)
 
 
 @query(
     "tx03_first_entities",
     _CONCEPTS
-    + """SELECT p_partkey, count(*) AS entity_count, string_agg(concat(term, '/', concept_type), ', ' ORDER BY char_start) AS entities
-       FROM links GROUP BY 1""",
+    + """, ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY char_start, char_end, concept_id) AS r FROM links)
+       SELECT doc_id, count(*) AS entity_count, string_agg(concat(term, '/', concept_type), ', ' ORDER BY r) FILTER (r <= 20) AS entities
+       FROM ranked GROUP BY 1""",
 )
 def entities(t: Tables):
-    links = textjobs.link_concepts(_tagged(t), "p_partkey", "text", _dictionary(t))
-    found = textjobs.first_entities(links, "p_partkey", 20)
+    links = textjobs.link_concepts(t.documents, "doc_id", "text", _dictionary(t))
+    found = textjobs.first_entities(links, "doc_id", 20)
     shown = F.transform("named_entities", lambda e: F.concat(e["text"], F.lit("/"), e["label"]))
-    return found.select("p_partkey", "entity_count", F.array_join(shown, ", ").alias("entities"))
+    return found.select("doc_id", "entity_count", F.array_join(shown, ", ").alias("entities"))
 
 
 @query(
