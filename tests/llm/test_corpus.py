@@ -45,6 +45,17 @@ def test_components_equal_brute_force(docs_of):
     assert len(neardup.one_of_each(docs_of(rows)).collect()) == len(set(label.values()))
 
 
+def test_one_row_of_each_component(docs_of, empty):
+    x, y, z = ("alpha beta gamma delta " * 5, "one two three four five six", "north south east west up down")
+    rows = [(7, x), (7, y), (3, x), (None, y), (None, z), (None, z), (8, z + " "), (9, None), (None, "")]
+    got = neardup.one_of_each(docs_of(rows)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == [(3, x), (7, y), (8, z + " "), (9, None)]
+    alone = neardup.one_of_each(docs_of([(None, z), (None, z), (None, y)])).collect()
+    assert sorted(r["text"] for r in alone) == sorted([y, z])
+    assert got[0].asDict().keys() == docs_of(rows).first().asDict().keys()
+    assert neardup.one_of_each(empty).count() == 0
+
+
 def test_trees_find_every_link():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 63, 30, np.uint64)
@@ -288,10 +299,61 @@ def test_classifiers_hold_on_unseen_documents(docs_of, spark, hard, empty):
     assert {r["keep"] for r in quality.score_quality(hard, nothing).collect()} == {True}
 
 
+def test_a_toxic_pair_of_ordinary_words_is_caught(docs_of, spark):
+    rng = random.Random(9)
+    rows, marks = [], []
+    for i in range(1500):
+        own = [f"w{rng.randrange(150)}" for _ in range(40)]
+        toxic = i % 6 == 0
+        places = rng.sample(range(0, 38, 3), 2)
+        own[places[0]], own[places[1]] = "green", "lamp"  # both words are in every text
+        if toxic:
+            own[places[0] + 1] = "lamp"
+        rows.append((i, " ".join(own)))
+        marks.append((i, 1, int(toxic)))
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    unseen = [r for r in toxicity.score_toxicity(docs_of(rows), labels).collect() if r["held_out"]]
+    caught = [r["predicted"] for r in unseen if r["doc_id"] % 6 == 0]
+    clean = [r["predicted"] for r in unseen if r["doc_id"] % 6]
+    assert np.mean(caught) > 0.9 and np.mean(clean) < 0.02
+
+
+def test_class_models_equal_plain_kneser_ney(spark):
+    rng = random.Random(2)
+    texts = [(i, " ".join(rng.choice("abcdefg") for _ in range(rng.randint(0, 12))), i % 2) for i in range(60)]
+    counts = toxicity.count_classes(spark.createDataFrame(texts, "doc_id long, text string, y int"))
+    word, pair, before = ({0: {}, 1: {}} for _ in range(3))
+    continued = {}
+    for _, text, y in texts:
+        w = text.split()
+        for x in set(w):
+            word[y][x] = word[y].get(x, 0) + 1
+        for u, v in set(zip(["<s>", *w], w)):
+            pair[y][u, v] = pair[y].get((u, v), 0) + 1
+            before[y].setdefault(u, set()).add(v)
+            continued.setdefault(v, set()).add(u)
+    every = sum(map(len, continued.values()))
+
+    def p(y, u, v, d):
+        n = sum(word[y].values())
+        low = max(word[y].get(v, 0) - d, 0) + sum(min(c, d) for c in word[y].values()) * len(continued[v]) / every
+        own = {b: c for (a, b), c in pair[y].items() if a == u}
+        if not own:
+            return low / n
+        return (max(own.get(v, 0) - d, 0) + sum(min(c, d) for c in own.values()) * low / n) / sum(own.values())
+
+    line = "a b c d e f g a a g f".split()
+    names, sizes = toxicity._names([" ".join(line)])
+    got = counts.ratios(names, toxicity._before(names, sizes))
+    for k, d in enumerate(toxicity.DISCOUNTS):
+        want = [np.log(p(1, u, v, d) / p(0, u, v, d)) for u, v in zip(["<s>", *line], line)]
+        assert np.allclose(got[k], want, atol=1e-5)
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_match_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark", "conversations"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = con.sql(queries.ORACLES[name])
     got = queries.QUERIES[name](spark, SF).select(*want.columns).collect()

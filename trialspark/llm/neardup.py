@@ -46,15 +46,19 @@ def simhash(words: list[bytes], size: int = 3, seed: int = 42) -> int:
     return int(majority.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``fp``, the 64 bits as a signed long, of each text with A-Z in lower case."""
+def fingerprints(docs: DataFrame, *texts_too: str) -> DataFrame:
+    """``doc_id`` and ``fp``, the 64 bits as a signed long, of each text with A-Z in lower case.
+
+    Named string columns come along.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts, _ in text_blocks(batches, 4_000_000):
+        for ids, texts, more in text_blocks(batches, 4_000_000):
             fps = np.array([simhash(words_of(t.translate(_LOWER))) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fps)], ["doc_id", "fp"])
+            extra = [pa.array(more[n], pa.string()) for n in texts_too]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fps), *extra], ["doc_id", "fp", *texts_too])
 
-    return texts_of(docs).mapInArrow(run, "doc_id long, fp long")
+    return texts_of(docs, *texts_too).mapInArrow(run, ", ".join(["doc_id long, fp long", *[f"{n} string" for n in texts_too]]))
 
 
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
@@ -226,7 +230,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each near-duplicate component, that of the smallest id; repeated rows once."""
-    kept = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept"))
-    rows = docs.join(kept.distinct(), docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    """``docs`` with one row of each near-duplicate component, all columns as they are.
+
+    It is the row with the smallest ``doc_id`` (null last), of several the one whose text has the smallest
+    hash; of rows that are equal in both, one. So rows of one id with different texts are told apart, and a
+    row without an id stays only where its component has no id at all.
+    """
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    prints = written(fingerprints(docs.withColumn("_digest", digest), "_digest"), "simhash-rows")
+    distinct = prints.select("fp").distinct()
+    member = written(components(links(distinct)), "simhash-members")
+    rooted = prints.join(member, prints["fp"] == member["node"], "left").withColumn("root", F.coalesce("root", "fp"))
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_digest")).alias("r"))
+    kept = first.select(F.col("r.doc_id").alias("_kept"), F.col("r._digest").alias("_kept_digest"))
+    rows = docs.withColumn("_digest", digest)
+    same = rows["doc_id"].eqNullSafe(kept["_kept"]) & (rows["_digest"] == kept["_kept_digest"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_digest"]).select(*docs.columns)
