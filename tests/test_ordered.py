@@ -58,3 +58,37 @@ def test_register_rows_with_maps(spark):
     new = spark.createDataFrame([("a", 2, {"x": 1}), ("a", 1, {"y": 2}), ("b", 5, {})], "k string, n int, m map<string,int>")
     known = spark.createDataFrame([("b",)], "k string")
     assert [(r["k"], r["n"]) for r in lineage.register(known, new, ["k"]).collect()] == [("a", 1)]
+
+
+def test_percentiles_of_many_distinct_values(spark):
+    n = F.col("id")
+    df = spark.range(30_000).select(
+        F.when(n % 3 > 0, "hot").when(n % 1000 == 0, None).otherwise(F.concat(F.lit("g"), (n % 5).cast("string"))).alias("g"),
+        F.when(n % 11 > 0, (n * 7919 % 30_011) / 7).alias("v"),
+    )
+    for p in (0.0, 0.37, 0.5, 0.95, 1.0):
+        got = {r["g"]: r["percentile"] for r in ordered.exact_percentile(df, "v", p, "g", pieces=40).collect()}
+        want = {r["g"]: r["w"] for r in df.groupBy("g").agg(F.percentile("v", F.lit(p)).alias("w")).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    whole = ordered.exact_percentile(df, "v", 0.95).first()
+    assert abs(whole["percentile"] - df.agg(F.percentile("v", F.lit(0.95))).first()[0]) < 1e-9
+    assert ordered.exact_percentile(df.filter("v is null"), "v", 0.5).count() == 0
+
+
+def test_delta_of_repeated_and_missing_keys(spark):
+    schema = "k int, a string, b double"
+    old = spark.createDataFrame([(1, "x", 1.0), (2, "x", None), (3, "x", 1.0), (5, "p", 1.0), (5, "q", 1.0), (None, "n", 0.0), (None, "n", 0.0)], schema)
+    new = spark.createDataFrame([(1, "x", 1.0), (2, None, 2.0), (4, "x", 1.0), (5, "q", 1.0), (5, "p", 1.0), (None, "n", 0.0)], schema)
+    got = sorted((str(r["k"]), r["change"], tuple(r["changed_columns"])) for r in lineage.snapshot_delta(old, new, "k").collect())
+    assert got == sorted([
+        ("1", "unchanged", ()), ("2", "updated", ("a", "b")), ("3", "deleted", ()), ("4", "inserted", ()), ("5", "unchanged", ()),
+        ("None", "deleted", ()), ("None", "deleted", ()), ("None", "inserted", ()),
+    ])
+
+
+def test_delta_with_a_third_of_keys_missing_and_one_key_repeated(spark):
+    k = F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 7).otherwise(F.col("id"))
+    old = spark.range(9000).select(k.alias("k"), (F.col("id") % 5).alias("v"))
+    new = old.withColumn("v", F.when(F.col("k") == 8, 99).otherwise(F.col("v")))
+    counts = {r["change"]: r["count"] for r in lineage.snapshot_delta(old, new, "k").groupBy("change").count().collect()}
+    assert counts == {"deleted": 3000, "inserted": 3000, "unchanged": 3000, "updated": 1}

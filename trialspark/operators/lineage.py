@@ -93,29 +93,49 @@ def require_promotable(blocked: DataFrame) -> None:
 def snapshot_delta(old: DataFrame, new: DataFrame, key: str, cols: list[str] | None = None) -> DataFrame:
     """inserted / updated / deleted / unchanged per key, with the names of changed columns.
 
-    Only the key and the compared columns move; equality is decided per column, null-safe.
+    Both sides go into one grouping by key that counts the rows of each side and adds up their hashes (two
+    of 64 bits), so a key that many rows repeat is summed in each task and no side is paired with the
+    other. A key is unchanged when both sides hold the same rows, in any order. Only keys that differ are
+    looked at again, to name the columns that do: null-safe, for a repeated key by the row with the smallest
+    hash on each side. Rows without a key match nothing: each is deleted or inserted by itself, where it is.
     """
     cols = cols or [c for c in new.columns if c != key]
-    joined = old.select(key, F.struct(*cols).alias("_old")).join(
-        new.select(key, F.struct(*cols).alias("_new")), key, "full"
+    names = F.array(*[F.lit(c) for c in cols])
+    hashed = lambda df, side: df.filter(F.col(key).isNotNull()).select(
+        F.col(key), F.lit(side).alias("_side"), F.xxhash64(*cols).alias("_h1"), F.xxhash64(F.lit(1), *cols).alias("_h2")
     )
-    differing = F.array_compact(
-        F.array(
-            *[F.when(~F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")), F.lit(c)) for c in cols]
-        )
+    signed = lambda c: F.when(F.col("_side") == 1, F.col(c)).otherwise(-F.col(c))
+    total = lambda c: F.sum(signed(c).cast("decimal(38,0)"))
+    rows = hashed(old, 0).withColumns({c: F.col(c).cast("decimal(20,0)") for c in ("_h1", "_h2")})
+    rows = rows.unionByName(hashed(new, 1).withColumns({c: F.col(c).cast("decimal(20,0)") for c in ("_h1", "_h2")}))
+    judged = rows.groupBy(key).agg(
+        F.count_if(F.col("_side") == 0).alias("_before"), F.count_if(F.col("_side") == 1).alias("_after"),
+        total("_h1").alias("_d1"), total("_h2").alias("_d2"),
+    )
+    same = (F.col("_before") == F.col("_after")) & (F.col("_d1") == 0) & (F.col("_d2") == 0)
+    change = (
+        F.when(F.col("_before") == 0, "inserted").when(F.col("_after") == 0, "deleted").when(same, "unchanged").otherwise("updated")
     )
-    status = (
-        F.when(F.col("_old").isNull(), "inserted")
-        .when(F.col("_new").isNull(), "deleted")
-        .when(F.size(differing) > 0, "updated")
-        .otherwise("unchanged")
+    judged = judged.select(key, change.alias("change"))
+    differing = judged.filter("change = 'updated'").select(key)
+
+    def representative(df: DataFrame, name: str) -> DataFrame:
+        mine = df.join(differing, key, "left_semi").select(key, F.struct(*cols).alias(name), F.xxhash64(*cols).alias("_h"))
+        order = Window.partitionBy(key).orderBy("_h")
+        return mine.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select(key, name)
+
+    pairs = representative(old, "_old").join(representative(new, "_new"), key)
+    unlike = F.filter(
+        names,
+        lambda c: F.try_element_at(
+            F.create_map(*[x for n in cols for x in (F.lit(n), ~F.col(f"_old.{n}").eqNullSafe(F.col(f"_new.{n}")))]), c
+        ),
     )
+    updated = pairs.select(key, F.lit("updated").alias("change"), unlike.alias("changed_columns"))
     none = F.array().cast("array<string>")
-    return joined.select(
-        key,
-        status.alias("change"),
-        F.when(status == "updated", differing).otherwise(none).alias("changed_columns"),
-    )
+    settled = judged.filter("change <> 'updated'").select(key, "change", none.alias("changed_columns"))
+    keyless = lambda df, change: df.filter(F.col(key).isNull()).select(key, F.lit(change).alias("change"), none.alias("changed_columns"))
+    return settled.unionByName(updated).unionByName(keyless(old, "deleted")).unionByName(keyless(new, "inserted"))
 
 
 def lineage_closure(edges: DataFrame, starts: DataFrame, direction: str = "down") -> DataFrame:

@@ -117,3 +117,35 @@ def carry_forward(df: DataFrame, key: str, ts: str, tie: str, value: str, pieces
         .withColumn(value, F.coalesce("_here", "_carried"))
         .drop("_b", "_here", "_is_last", "_carried")
     )
+
+
+def exact_percentile(df: DataFrame, value: str, p: float, by: str | None = None, pieces: int | None = None) -> DataFrame:
+    """The exact percentile of ``value`` for each ``by`` (one row without it): ``p`` from 0 to 1, interpolated.
+
+    Values are counted once per distinct value. Groups with very many distinct values are cut into pieces in
+    value order; the counts of the pieces tell which of them holds the rank, and only its values are ordered.
+    Returns ``by``, ``percentile`` and ``n``. Nulls don't count; a group without values has no row.
+    """
+    key = by or "_all"
+    rows = df.select((F.col(by) if by else F.lit(0)).alias(key), F.col(value).cast("double").alias("_v")).filter("_v is not null")
+    counts = cut_lineage(rows.groupBy(key, "_v").agg(F.count("*").alias("_n")))
+    placed = with_pieces(counts, key, "_v", "_v", pieces)
+    along = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy(key, "_b").agg(F.sum("_n").alias("_m")).withColumns(
+        {
+            "_before": F.coalesce(F.sum("_m").over(along), F.lit(0)),
+            "_total": F.sum("_m").over(Window.partitionBy(key)),
+        }
+    )
+    place = F.lit(p) * (F.col("_total") - 1)
+    low, high = F.floor(place), F.ceil(place)
+    inside = lambda rank: (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_m"))
+    holding = sums.filter(inside(low) | inside(high))
+    order = Window.partitionBy(key, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    till = F.col("_before") + F.sum("_n").over(order)
+    found = _with_summary(placed, holding, key).withColumn("_till", till)
+    at = lambda rank: F.max(F.when((rank < F.col("_till")) & (rank >= F.col("_till") - F.col("_n")), F.col("_v")))
+    values = found.groupBy(key).agg(at(low).alias("_low"), at(high).alias("_high"), F.max("_total").alias("n"))
+    share = F.lit(p) * (F.col("n") - 1) - F.floor(F.lit(p) * (F.col("n") - 1))
+    result = values.select(key, (F.col("_low") + (F.col("_high") - F.col("_low")) * share).alias("percentile"), "n")
+    return result if by else result.drop(key)

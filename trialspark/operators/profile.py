@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from trialspark.session import cut_lineage
+
 
 def _long(df: DataFrame, id_col: str, fields: Iterable[str]) -> DataFrame:
     fields = list(fields)
@@ -210,7 +212,16 @@ def compare_snapshots(local: DataFrame, fetched: DataFrame, key: str, json_col:
         F.array_sort(F.json_object_keys(json_col)).alias(f"{p}_top"),
         _paths_of(F.col(json_col)).alias(f"{p}_paths"),
     )
-    joined = side(local, "local").join(side(fetched, "fetched"), key, "full")
+    ours, theirs = cut_lineage(side(local, "local")), cut_lineage(side(fetched, "fetched"))
+    keyed = lambda df: df.filter(F.col(key).isNotNull())
+    keyless = lambda df: df.filter(F.col(key).isNull())
+    # a left and an anti join can be split where a key has many rows, a full join cannot; rows without a key meet nothing
+    joined = (
+        keyed(ours).join(keyed(theirs), key, "left")
+        .unionByName(keyed(theirs).join(keyed(ours).select(key), key, "left_anti"), allowMissingColumns=True)
+        .unionByName(keyless(ours), allowMissingColumns=True)
+        .unionByName(keyless(theirs), allowMissingColumns=True)
+    )
     in_local, in_fetched = missing_paths("local_paths", "fetched_paths")
     return joined.select(
         key,

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialspark.functions.scalars import parse_document, url_filename
+from trialspark.operators.ordered import exact_percentile
 
 
 @dataclass(frozen=True)
@@ -131,13 +132,10 @@ GATES = {
 
 
 def weekly_latency(log: DataFrame, ts: str, latency: str) -> DataFrame:
-    """Exact p95 per week, from counts per distinct latency."""
-    counts = log.groupBy(F.date_trunc("week", ts).cast("date").alias("week"), F.col(latency).alias("_v")).agg(
-        F.count("*").alias("_n")
-    )
-    return counts.groupBy("week").agg(
-        F.percentile("_v", F.lit(0.95), F.col("_n")).alias("p95"), F.sum("_n").alias("queries")
-    )
+    """Exact p95 per week; see :func:`trialspark.operators.ordered.exact_percentile`."""
+    weeks = log.withColumn("week", F.date_trunc("week", ts).cast("date"))
+    found = exact_percentile(weeks, latency, 0.95, "week")
+    return found.select("week", F.col("percentile").alias("p95"), F.col("n").alias("queries"))
 
 
 def workload_signals(log: DataFrame, as_of, days: int = 30) -> DataFrame:
@@ -152,8 +150,7 @@ def workload_signals(log: DataFrame, as_of, days: int = 30) -> DataFrame:
     slow = weeks.filter(F.col("p95") > GATES["path_latency_p95"][1]).select("week")
     following = slow.select(F.date_add("week", 7).alias("week"))
     runs = slow.join(following, "week", "left_semi").agg(F.count("*")).scalar()
-    counts = multi.groupBy("latency_s").agg(F.count("*").alias("n"))
-    p95 = counts.agg(F.percentile("latency_s", F.lit(0.95), F.col("n"))).scalar()
+    p95 = exact_percentile(multi, "latency_s", 0.95).agg(F.max("percentile")).scalar()
     return recent.agg(
         F.count("*").alias("reads"),
         (F.count_if(F.col("hops") >= 4) / F.count("*")).alias("multi_hop_share"),
