@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,12 +85,11 @@ def surrogate_key(*parts: Column | str) -> Column:
     return F.xxhash64(*parts)
 
 
-def load_canonical(df: DataFrame, snapshot_id: str, system: str = "registry_json") -> dict[str, DataFrame]:
-    """Canonical tables from parsed studies (columns ``nct_id``, ``study_json``, ``study``).
+PROVENANCE = ("source_snapshot_id", "source_system", "source_record_id", "source_content_sha256")
 
-    Every table is one projection (plus one explode) of the input: loading needs no join, because
-    child rows carry the trial key computed from the study id.
-    """
+
+def _canonical_rows(df: DataFrame, snapshot_id: str, system: str) -> tuple[DataFrame, dict[str, Column]]:
+    """Studies with keys and provenance, and for each table the array of rows that a study has in it."""
     base = df.select(
         F.col("nct_id"),
         surrogate_key("nct_id").alias("trial_id"),
@@ -97,98 +99,115 @@ def load_canonical(df: DataFrame, snapshot_id: str, system: str = "registry_json
         F.col("nct_id").alias("source_record_id"),
         F.sha2("study_json", 256).alias("source_content_sha256"),
     )
-    provenance = ["source_snapshot_id", "source_system", "source_record_id", "source_content_sha256"]
     at = lambda path: F.col(_PROTOCOL + path)
     date_at = lambda path: parse_date_flexible(_PROTOCOL + path)
+    sponsor_name = at("sponsorCollaboratorsModule.leadSponsor.name")
 
-    def children(items: Column, name: str, columns: dict[str, Column], required: str) -> DataFrame:
-        rows = base.select("trial_id", *provenance, F.posexplode(items).alias("pos", "item"))
-        rows = rows.select("trial_id", "pos", *[c.alias(n) for n, c in columns.items()], *provenance)
-        rows = rows.filter(F.col(required).isNotNull())
-        return rows.select(surrogate_key(F.lit(name), "trial_id", "pos").alias(f"{name}_id"), *[
-            c for c in rows.columns if c != "pos"
-        ])
+    def children(items: Column, name: str, columns: dict[str, Callable[[Column], Column]], required: str | None) -> Column:
+        def row(item: Column, place: Column) -> Column:
+            own = [make(item).alias(n) for n, make in columns.items()]
+            return F.struct(surrogate_key(F.lit(name), F.col("trial_id"), place).alias(f"{name}_id"), "trial_id", *own, *PROVENANCE)
 
-    item = lambda path: F.col("item." + path)
-    sponsor_name = at("sponsorCollaboratorsModule.leadSponsor.name")
-    outcome = lambda kind, path: F.transform(
-        at("outcomesModule." + path),
-        lambda o: F.struct(
-            F.lit(kind).alias("kind"), o["measure"].alias("measure"), o["timeFrame"].alias("timeFrame")
-        ),
-    )
-    no_outcomes = F.array().cast("array<struct<kind:string,measure:string,timeFrame:string>>")
-
-    return {
-        "trial": base.select(
-            "trial_id",
-            "nct_id",
-            F.when(sponsor_name.isNotNull(), surrogate_key(sponsor_name)).alias("sponsor_id"),
-            at("identificationModule.officialTitle").alias("official_title"),
-            at("identificationModule.briefTitle").alias("brief_title"),
-            at("statusModule.overallStatus").alias("overall_status"),
-            at("designModule.studyType").alias("study_type"),
-            F.get(normalize_phases(_PROTOCOL + "designModule.phases"), F.lit(0)).alias("phase"),
-            at("designModule.enrollmentInfo.count").cast("int").alias("enrollment"),
-            date_at("statusModule.studyFirstPostDateStruct.date").alias("first_posted"),
-            date_at("statusModule.lastUpdatePostDateStruct.date").alias("last_update_posted"),
-            *provenance,
-        ),
-        # a sponsor of many trials is merged map-side first; its provenance is the smallest record's
-        "sponsor": base.filter(sponsor_name.isNotNull())
-        .groupBy(sponsor_name.alias("sponsor_name"))
-        .agg(
-            F.min_by(at("sponsorCollaboratorsModule.leadSponsor.class"), "nct_id").alias("sponsor_type"),
-            *[F.min_by(c, "nct_id").alias(c) for c in provenance],
+        rows = F.transform(items, row)
+        return rows if required is None else F.filter(rows, lambda r: r[required].isNotNull())
+
+    def field(path: str) -> Callable[[Column], Column]:
+        parts = path.split(".")
+        return lambda item: reduce(lambda c, p: c[p], parts, item)
+
+    def outcomes(kind: str, path: str) -> Column:
+        made = F.transform(
+            at("outcomesModule." + path),
+            lambda o: F.struct(F.lit(kind).alias("kind"), o["measure"].alias("measure"), o["timeFrame"].alias("timeFrame")),
         )
-        .select(surrogate_key("sponsor_name").alias("sponsor_id"), "sponsor_name", "sponsor_type", *provenance),
-        "condition": children(
-            at("conditionsModule.conditions"), "condition", {"condition_name": F.col("item")}, "condition_name"
-        ),
+        return F.coalesce(made, F.array().cast("array<struct<kind:string,measure:string,timeFrame:string>>"))
+
+    trial = F.struct(
+        "trial_id",
+        "nct_id",
+        F.when(sponsor_name.isNotNull(), surrogate_key(sponsor_name)).alias("sponsor_id"),
+        at("identificationModule.officialTitle").alias("official_title"),
+        at("identificationModule.briefTitle").alias("brief_title"),
+        at("statusModule.overallStatus").alias("overall_status"),
+        at("designModule.studyType").alias("study_type"),
+        F.get(normalize_phases(_PROTOCOL + "designModule.phases"), F.lit(0)).alias("phase"),
+        at("designModule.enrollmentInfo.count").cast("int").alias("enrollment"),
+        date_at("statusModule.studyFirstPostDateStruct.date").alias("first_posted"),
+        date_at("statusModule.lastUpdatePostDateStruct.date").alias("last_update_posted"),
+        *PROVENANCE,
+    )
+    sponsor = F.struct(
+        surrogate_key(sponsor_name).alias("sponsor_id"), sponsor_name.alias("sponsor_name"),
+        at("sponsorCollaboratorsModule.leadSponsor.class").alias("sponsor_type"), *PROVENANCE,
+    )
+    rows = {
+        "trial": F.array(trial),
+        "sponsor": F.filter(F.array(sponsor), lambda r: r["sponsor_name"].isNotNull()),
+        "condition": children(at("conditionsModule.conditions"), "condition", {"condition_name": lambda x: x}, "condition_name"),
         "intervention": children(
-            at("armsInterventionsModule.interventions"),
-            "intervention",
-            {"intervention_type": item("type"), "intervention_name": item("name")},
-            "intervention_name",
+            at("armsInterventionsModule.interventions"), "intervention",
+            {"intervention_type": field("type"), "intervention_name": field("name")}, "intervention_name",
         ),
         "arm": children(
-            at("armsInterventionsModule.armGroups"),
-            "arm",
-            {"arm_label": item("label"), "arm_type": item("type"), "description": item("description")},
-            "arm_label",
+            at("armsInterventionsModule.armGroups"), "arm",
+            {"arm_label": field("label"), "arm_type": field("type"), "description": field("description")}, "arm_label",
         ),
         "endpoint": children(
-            F.concat(
-                F.coalesce(outcome("primary", "primaryOutcomes"), no_outcomes),
-                F.coalesce(outcome("secondary", "secondaryOutcomes"), no_outcomes),
-                F.coalesce(outcome("other", "otherOutcomes"), no_outcomes),
-            ),
+            F.concat(outcomes("primary", "primaryOutcomes"), outcomes("secondary", "secondaryOutcomes"), outcomes("other", "otherOutcomes")),
             "endpoint",
-            {
-                "endpoint_type": item("kind"),
-                "endpoint_name": item("measure"),
-                "endpoint_timeframe": item("timeFrame"),
-            },
-            "endpoint_name",
+            {"endpoint_type": field("kind"), "endpoint_name": field("measure"), "endpoint_timeframe": field("timeFrame")}, "endpoint_name",
         ),
         "site": children(
-            at("contactsLocationsModule.locations"),
-            "site",
+            at("contactsLocationsModule.locations"), "site",
             {
-                "facility_name": item("facility"),
-                "city": item("city"),
-                "state": item("state"),
-                "country": item("country"),
-                "postal_code": item("zip"),
-                "latitude": item("geoPoint.lat"),
-                "longitude": item("geoPoint.lon"),
+                "facility_name": field("facility"), "city": field("city"), "state": field("state"), "country": field("country"),
+                "postal_code": field("zip"), "latitude": field("geoPoint.lat"), "longitude": field("geoPoint.lon"),
             },
-            "pos",
+            None,
         ),
         "publication": children(
-            at("referencesModule.references"),
-            "publication",
-            {"pmid": item("pmid"), "title": item("citation")},
-            "pos",
+            at("referencesModule.references"), "publication", {"pmid": field("pmid"), "title": field("citation")}, None
         ),
-    }
+    }
+    return base, rows
+
+
+def _one_per_sponsor(rows: DataFrame) -> DataFrame:
+    """A sponsor of many trials is merged map-side; its type and provenance are the smallest record's."""
+    rest = ["sponsor_type", *PROVENANCE]
+    return rows.groupBy("sponsor_id", "sponsor_name").agg(*[F.min_by(c, "source_record_id").alias(c) for c in rest])
+
+
+def load_canonical(df: DataFrame, snapshot_id: str, system: str = "registry_json") -> dict[str, DataFrame]:
+    """Canonical tables from parsed studies (columns ``nct_id``, ``study_json``, ``study``), each a plan of its own.
+
+    Every table is one projection of the input: loading needs no join, because child rows carry the
+    trial key computed from the study id. To load all of them use :func:`write_canonical`.
+    """
+    base, rows = _canonical_rows(df, snapshot_id, system)
+    tables = {name: base.select(F.inline(items)) for name, items in rows.items()}
+    return tables | {"sponsor": _one_per_sponsor(tables["sponsor"])}
+
+
+def write_canonical(df: DataFrame, path: str, snapshot_id: str, system: str = "registry_json") -> dict[str, DataFrame]:
+    """The canonical tables, written in one pass: each study is parsed once and its rows fan out by table.
+
+    A row carries the name of its table and that table's columns; the write deals rows to a folder per
+    table, and each table reads its own columns back. Returns the tables.
+    """
+    base, rows = _canonical_rows(df, snapshot_id, system)
+    kinds = {name: base.select(items.alias("r")).schema["r"].dataType.elementType for name, items in rows.items()}
+
+    def tagged(name: str, items: Column) -> Column:
+        def tag(row: Column) -> Column:
+            own = [(row if other == name else F.lit(None).cast(kind)).alias(other) for other, kind in kinds.items()]
+            return F.struct(F.lit(name).alias("table_name"), *own)
+
+        return F.coalesce(F.transform(items, tag), F.array())
+
+    all_rows = base.select(F.inline(F.concat(*[tagged(name, items) for name, items in rows.items()])))
+    all_rows.hint("rebalance", F.col("table_name")).write.mode("overwrite").partitionBy("table_name").parquet(path)
+    spark = df.sparkSession
+    whole = spark.read.schema(all_rows.schema).parquet(path)
+    tables = {name: whole.filter(F.col("table_name") == name).select(f"{name}.*") for name in rows}
+    return tables | {"sponsor": _one_per_sponsor(tables["sponsor"])}

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trialspark.operators.validate import referential_breaks
 from trialspark.session import cut_lineage
 
-# label → (table, id columns, name column); tables without an id are keyed by (trial, value)
+# label → (table, key without an id column of the table's own, name column)
 NODES = {
     "Trial": ("trial", ["trial_id"], "nct_id"),
     "Sponsor": ("sponsor", ["sponsor_id"], "sponsor_name"),
@@ -34,49 +35,117 @@ TRIAL_EDGES = {
 }
 
 
-def _node_id(label: str, prefix: str = "") -> Column:
-    ids = NODES[label][1]
-    return F.concat_ws(":", F.lit(label), *[F.col(prefix + c).cast("string") for c in ids])
+def _node_id(label: str, df: DataFrame | None = None) -> Column:
+    """``Label:<table>_id``; a table that has no such column is keyed by the columns in :data:`NODES`."""
+    table, ids, _ = NODES[label]
+    if df is not None and f"{table}_id" in df.columns:
+        ids = [f"{table}_id"]
+    return F.concat_ws(":", F.lit(label), *[F.col(c).cast("string") for c in ids])
 
 
-def graph_nodes(tables: dict[str, DataFrame], snapshot: str) -> DataFrame:
-    """(label, node_id, name, is_active, source_snapshot_id): nine projections, no shuffle."""
+def _stamps(snapshot: str, projected_at: datetime | None) -> list[Column]:
+    at = [] if projected_at is None else [F.lit(projected_at).cast("timestamp").alias("projected_at")]
+    return [F.lit(True).alias("is_active"), F.lit(snapshot).alias("source_snapshot_id"), *at]
+
+
+def graph_nodes(tables: dict[str, DataFrame], snapshot: str, projected_at: datetime | None = None) -> DataFrame:
+    """(label, node_id, name, is_active, source_snapshot_id): nine projections, no shuffle.
+
+    With ``projected_at`` every row carries that time too.
+    """
     parts = [
         tables[table].select(
             F.lit(label).alias("label"),
-            _node_id(label).alias("node_id"),
-            F.col(name).cast("string").alias("name"),
-            F.lit(True).alias("is_active"),
-            F.lit(snapshot).alias("source_snapshot_id"),
+            _node_id(label, tables[table]).alias("node_id"),
+            F.col(name).cast("string").alias("name") if name in tables[table].columns else F.lit(None).cast("string").alias("name"),
+            *_stamps(snapshot, projected_at),
         )
         for label, (table, _, name) in NODES.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
-def graph_edges(tables: dict[str, DataFrame], snapshot: str) -> DataFrame:
-    """(src, relationship, dst, is_active, source_snapshot_id) from the foreign keys."""
-    stamp = [F.lit(True).alias("is_active"), F.lit(snapshot).alias("source_snapshot_id")]
+def graph_edges(tables: dict[str, DataFrame], snapshot: str, projected_at: datetime | None = None) -> DataFrame:
+    """(src, relationship, dst, is_active, source_snapshot_id) from the foreign keys; ``projected_at`` as for nodes."""
+    stamp = _stamps(snapshot, projected_at)
     sponsor = F.concat_ws(":", F.lit("Sponsor"), F.col("sponsor_id").cast("string"))
+    trial = F.concat_ws(":", F.lit("Trial"), F.col("trial_id").cast("string"))
     parts = [
         tables["trial"]
         .filter(F.col("sponsor_id").isNotNull())
-        .select(sponsor.alias("src"), F.lit("SPONSORS").alias("relationship"), _node_id("Trial").alias("dst"), *stamp)
+        .select(sponsor.alias("src"), F.lit("SPONSORS").alias("relationship"), trial.alias("dst"), *stamp)
     ]
-    parts += [
-        tables[NODES[label][0]]
-        .filter(F.col("trial_id").isNotNull())
-        .select(
-            _node_id("Trial").alias("src"),
-            F.lit(relationship).alias("relationship"),
-            _node_id(label).alias("dst"),
-            *stamp,
+    for relationship, label in TRIAL_EDGES.items():
+        df = tables[NODES[label][0]]
+        parts.append(
+            df.filter(F.col("trial_id").isNotNull())
+            .select(trial.alias("src"), F.lit(relationship).alias("relationship"), _node_id(label, df).alias("dst"), *stamp)
         )
-        for relationship, label in TRIAL_EDGES.items()
-    ]
     return reduce(DataFrame.unionByName, parts)
 
 
+def project(tables: dict[str, DataFrame], snapshot: str, path: str, projected_at: datetime) -> tuple[DataFrame, DataFrame]:
+    """Write nodes and edges below ``path``, by label and relationship; returns them as written.
+
+    Fails closed: nothing is written from an extract with referential breaks.
+    """
+    require_intact(tables)
+    spark = tables["trial"].sparkSession
+    nodes, edges = graph_nodes(tables, snapshot, projected_at), graph_edges(tables, snapshot, projected_at)
+    for df, name, part in ((nodes, "nodes", "label"), (edges, "edges", "relationship")):
+        df.write.mode("overwrite").partitionBy(part).parquet(f"{path}/{name}")
+    return read_projection(spark, path)
+
+
+def read_projection(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    common = "is_active boolean, source_snapshot_id string, projected_at timestamp"
+    nodes = spark.read.schema(f"node_id string, name string, {common}, label string").parquet(f"{path}/nodes")
+    edges = spark.read.schema(f"src string, dst string, {common}, relationship string").parquet(f"{path}/edges")
+    return nodes, edges
+
+
+def _facts(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Nodes and edges alike: ``kind``, ``key`` and two hashes of everything but the time of projection."""
+    stamps = ["is_active", "source_snapshot_id"]
+    parts = [
+        nodes.select(F.col("label").alias("kind"), F.col("node_id").alias("key"), F.struct("name", *stamps).alias("v")),
+        edges.select(F.col("relationship").alias("kind"), F.concat_ws(" > ", "src", "dst").alias("key"), F.struct(F.lit(None).cast("string").alias("name"), *stamps).alias("v")),
+    ]
+    both = parts[0].unionByName(parts[1])
+    return both.select("kind", "key", F.xxhash64("key", "v").alias("h1"), F.xxhash64(F.lit(1), "key", "v").alias("h2"))
+
+
+def parity_breaks(
+    nodes: DataFrame, edges: DataFrame, tables: dict[str, DataFrame], snapshot: str, buckets: int = 256
+) -> DataFrame:
+    """Keys at which a written projection differs from what the canonical tables give: kind, key, problem.
+
+    Both sides are reduced, map-side, to a count and order-free checksums for each kind and hash bucket of
+    the key. Only buckets whose sums differ are read again and compared key by key: ``missing`` from the
+    projection, ``extra`` in it, or ``different`` in name, activity or snapshot. Equal projections cost two
+    scans and no join of rows.
+    """
+    bucket = F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket")
+    wide = lambda c: F.sum(F.col(c).cast("decimal(20,0)"))
+
+    def sums(facts: DataFrame, side: int) -> DataFrame:
+        return facts.groupBy("kind", bucket).agg(F.count("*").alias("n"), wide("h1").alias("s1"), wide("h2").alias("s2")).withColumn("side", F.lit(side))
+
+    written, expected = _facts(nodes, edges), _facts(graph_nodes(tables, snapshot), graph_edges(tables, snapshot))
+    both = sums(written, 0).unionByName(sums(expected, 1))
+    same = lambda c: F.min(c) == F.max(c)
+    judged = both.groupBy("kind", "bucket").agg((same("n") & same("s1") & same("s2") & (F.count("*") == 2)).alias("same"))
+    # at most kinds x buckets rows
+    suspect = cut_lineage(judged.filter("not same").select("kind", "bucket"))
+    narrowed = lambda facts: facts.withColumn("bucket", bucket).join(suspect, ["kind", "bucket"], "left_semi")
+    tagged = narrowed(written).withColumn("side", F.lit(0)).unionByName(narrowed(expected).withColumn("side", F.lit(1)))
+    of = lambda side: F.count_if(F.col("side") == side)
+    signed = lambda c: F.sum(F.when(F.col("side") == 1, F.col(c)).otherwise(-F.col(c)).cast("decimal(20,0)"))
+    keyed = tagged.groupBy("kind", "key").agg(of(0).alias("have"), of(1).alias("want"), signed("h1").alias("d1"), signed("h2").alias("d2"))
+    problem = F.when(F.col("have") < F.col("want"), "missing").when(F.col("have") > F.col("want"), "extra").when((F.col("d1") != 0) | (F.col("d2") != 0), "different")
+    return keyed.select("kind", "key", problem.alias("problem")).filter("problem is not null")
+
+
 def projection_parity(nodes: DataFrame, edges: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     """Projected against canonical counts per label and relationship."""
     projected = (

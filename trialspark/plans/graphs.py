@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from trialspark.operators import graph, validate
 from trialspark.plans.registry import query
 from trialspark.plans.tables import Tables
+from trialspark.session import run_dir
 
 _ALL = "trial sponsor arm intervention condition biomarker endpoint publication site"
 _COUNTS = {
@@ -67,8 +70,34 @@ def edges(t: Tables):
     _ALL,
 )
 def parity(t: Tables):
+    """Counts of the projection as written against the canonical tables."""
     tables = t.canonical()
-    return graph.projection_parity(graph.graph_nodes(tables, "s"), graph.graph_edges(tables, "s"), tables)
+    nodes, edges = graph.project(tables, "snapshot-1", run_dir(t.spark, "projection"), PROJECTED_AT)
+    return graph.projection_parity(nodes, edges, tables)
+
+
+PROJECTED_AT = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
+
+
+@query(
+    "gr06_parity_breaks",
+    """SELECT 'Trial' AS kind, concat('Trial:', trial_id) AS key, 'missing' AS problem FROM trial WHERE trial_id % 501 = 1
+       UNION ALL SELECT 'Site', concat('Site:', site_id), 'different' FROM site WHERE site_id % 997 = 3
+       UNION ALL SELECT 'HAS_ARM', concat('Trial:', trial_id, ' > Arm:', arm_id), 'extra' FROM arm WHERE arm_id % 1009 = 1
+       UNION ALL SELECT 'SPONSORS', concat('Sponsor:', sponsor_id, ' > Trial:', trial_id), 'different' FROM trial WHERE trial_id % 1499 = 2 AND sponsor_id IS NOT NULL""",
+    "trial site arm",
+)
+def parity_breaks(t: Tables):
+    """A projection with planted faults: lost nodes, other names, doubled edges, edges of another snapshot."""
+    tables, path = t.canonical(), run_dir(t.spark, "projection")
+    nodes, edges = graph.project(tables, "snapshot-1", path, PROJECTED_AT)
+    tail = lambda c: F.regexp_extract(c, r"(\d+)$", 1).cast("bigint")
+    nodes = nodes.filter(~((F.col("label") == "Trial") & (tail("node_id") % 501 == 1)))
+    nodes = nodes.withColumn("name", F.when((F.col("label") == "Site") & (tail("node_id") % 997 == 3), "renamed").otherwise(F.col("name")))
+    doubled = edges.filter((F.col("relationship") == "HAS_ARM") & (tail("dst") % 1009 == 1))
+    stale = (F.col("relationship") == "SPONSORS") & (tail("dst") % 1499 == 2)
+    edges = edges.withColumn("source_snapshot_id", F.when(stale, "snapshot-0").otherwise(F.col("source_snapshot_id"))).unionByName(doubled)
+    return graph.parity_breaks(nodes, edges, tables, "snapshot-1")
 
 
 @query(
@@ -158,16 +187,21 @@ def evidence(t: Tables):
 @query(
     "gr05_k_hop",
     """WITH RECURSIVE e AS (SELECT concat('Sponsor:', sponsor_id) AS a, concat('Trial:', trial_id) AS b FROM trial
-         UNION ALL SELECT concat('Trial:', trial_id), concat('Site:', site_id) FROM site),
+         UNION ALL SELECT concat('Trial:', trial_id), concat('Site:', site_id) FROM site
+         UNION ALL SELECT concat('Trial:', trial_id), concat('Arm:', arm_id) FROM arm
+         UNION ALL SELECT concat('Trial:', trial_id), concat('Intervention:', intervention_id) FROM intervention
+         UNION ALL SELECT concat('Trial:', trial_id), concat('Condition:', trial_id, ':', condition_name) FROM condition
+         UNION ALL SELECT concat('Trial:', trial_id), concat('Endpoint:', trial_id, ':', endpoint_type, ':', endpoint_name) FROM endpoint
+         UNION ALL SELECT concat('Trial:', trial_id), concat('Biomarker:', trial_id, ':', biomarker_name) FROM biomarker
+         UNION ALL SELECT concat('Trial:', trial_id), concat('Publication:', publication_id) FROM publication),
        both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
        walk AS (SELECT 'Sponsor:7' AS node, 0 AS hops, ['Sponsor:7'] AS path UNION ALL
          SELECT b, hops + 1, list_append(path, b) FROM walk JOIN both_ways ON a = node WHERE hops < 3 AND NOT list_contains(path, b)),
        best AS (SELECT *, row_number() OVER (PARTITION BY node ORDER BY hops, path) AS r FROM walk)
        SELECT node, hops::BIGINT AS hops, array_to_string(path, ' > ') AS path FROM best WHERE r = 1""",
-    "trial site",
+    _ALL,
 )
 def k_hop(t: Tables):
-    all_edges = graph.graph_edges(t.canonical(), "s")
-    links = all_edges.filter(F.col("relationship").isin("SPONSORS", "HAS_SITE"))
-    found = graph.k_hop(links, "Sponsor:7", 3)
+    """Three steps from a sponsor over all eight relationships."""
+    found = graph.k_hop(graph.graph_edges(t.canonical(), "s"), "Sponsor:7", 3)
     return found.select("node", F.col("hops").cast("bigint").alias("hops"), F.array_join("path", " > ").alias("path"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from trialspark.operators import flatten, search
+from trialspark.operators import flatten, graph, search
 from trialspark.plans.geography import NEAR, CENTER, duck_km
 from trialspark.plans.registry import query
 from trialspark.plans.tables import Tables
+from trialspark.session import run_dir
 from trialspark.sources.studies import load_studies
 
 
@@ -137,20 +140,136 @@ def page_among_nulls(t: Tables):
     return _shown(search.page_studies(df, ["updated", "enrollment"], (None, last["enrollment"], last["nct_id"]), 50))
 
 
+def full_studies(t: Tables):
+    """A nested record with every module for each order, as JSON text."""
+    k = F.col("o_orderkey")
+    text = lambda prefix, n: F.concat(F.lit(prefix), n.cast("string"))
+    many = lambda n, make: F.transform(F.sequence(F.lit(1), n), make)  # n is at least 1
+    some = lambda n, make: F.when(n > 0, many(F.greatest(n, F.lit(1)), make))
+    dated = lambda d: F.struct(d.cast("date").cast("string").alias("date"))
+    day = F.col("o_orderdate").cast("date")
+    outcome = lambda kind: lambda i: F.struct(text(f"{kind} ", k % 9 + i).alias("measure"), text("week ", i).alias("timeFrame"))
+    protocol = F.struct(
+        F.struct(
+            nct_of(k).alias("nctId"), text("Brief ", k).alias("briefTitle"), F.when(k % 6 != 0, text("Official ", k)).alias("officialTitle"),
+            text("A", k % 5).alias("acronym"),
+        ).alias("identificationModule"),
+        F.struct(
+            F.col("o_orderstatus").alias("overallStatus"), dated(day).alias("startDateStruct"), dated(F.date_add(day, 30)).alias("completionDateStruct"),
+            dated(day).alias("studyFirstPostDateStruct"), dated(F.date_add(day, (k % 400).cast("int"))).alias("lastUpdatePostDateStruct"),
+        ).alias("statusModule"),
+        F.struct(F.struct(text("Sponsor ", F.col("o_custkey")).alias("name"), F.lit("INDUSTRY").alias("class")).alias("leadSponsor")).alias("sponsorCollaboratorsModule"),
+        F.struct(text("Summary ", k).alias("briefSummary"), F.when(k % 4 != 0, text("Details ", k)).alias("detailedDescription")).alias("descriptionModule"),
+        F.struct(some(k % 3, lambda i: text("Condition ", k % 11 + i)).alias("conditions")).alias("conditionsModule"),
+        F.struct(
+            F.lit("INTERVENTIONAL").alias("studyType"), F.array(text("PHASE", 1 + k % 4)).alias("phases"),
+            F.struct(F.col("o_custkey").alias("count")).alias("enrollmentInfo"),
+        ).alias("designModule"),
+        F.struct(
+            many(k % 3 + 1, lambda i: F.struct(text("Arm ", i).alias("label"), F.lit("EXPERIMENTAL").alias("type"))).alias("armGroups"),
+            many(k % 2 + 1, lambda i: F.struct(F.lit("DRUG").alias("type"), text("Drug ", k % 13 + i).alias("name"))).alias("interventions"),
+        ).alias("armsInterventionsModule"),
+        F.struct(many(F.lit(1), outcome("Primary")).alias("primaryOutcomes"), some(k % 3, outcome("Secondary")).alias("secondaryOutcomes")).alias("outcomesModule"),
+        F.struct(
+            F.lit("ALL").alias("sex"), text("", 18 + k % 3).alias("minimumAge"), text("", 60 + k % 7).alias("maximumAge"), (k % 2 == 0).alias("healthyVolunteers")
+        ).alias("eligibilityModule"),
+        F.struct(
+            some(k % 4, lambda i: F.struct(
+                text("Site ", i).alias("facility"), text("City ", k % 17).alias("city"), F.lit("Wales").alias("country"),
+                F.struct((k % 90).cast("double").alias("lat"), i.cast("double").alias("lon")).alias("geoPoint"),
+            )).alias("locations")
+        ).alias("contactsLocationsModule"),
+        F.struct(some(k % 2, lambda i: F.struct(text("", k + i).alias("pmid"), text("Paper ", k).alias("citation"))).alias("references")).alias("referencesModule"),
+        # parts that no flattened column reads
+        F.struct(F.struct(F.lit("kept").alias("note")).alias("ancestors")).alias("interventionBrowseModule"),
+    )
+    study = F.struct(
+        protocol.alias("protocolSection"),
+        F.struct(F.struct(F.array(F.struct(text("Mesh ", k % 8).alias("term"))).alias("meshes")).alias("conditionBrowseModule")).alias("derivedSection"),
+        F.struct(F.struct(some(k % 2, lambda i: F.struct(text("doc", k).alias("filename"))).alias("largeDocs")).alias("largeDocumentModule")).alias("documentSection"),
+        (k % 2 == 0).alias("hasResults"),
+    )
+    return t.orders.select(nct_of(k).alias("nct_id"), F.to_json(study).alias("study_json"))
+
+
+def nct_of(k):
+    return F.concat(F.lit("NCT"), F.lpad(k.cast("string"), 8, "0"))
+
+
+_FULL = """WITH o AS (SELECT o_orderkey AS k, concat('NCT', lpad(o_orderkey::VARCHAR, 8, '0')) AS id, o_custkey AS c, o_orderstatus AS status,
+  o_orderdate::DATE AS day FROM orders)
+"""
+
+
+@query(
+    "prj05_flatten_every_column",
+    _FULL
+    + """SELECT id AS json_nct_id, CASE WHEN k % 6 <> 0 THEN concat('Official ', k) END AS json_official_title, concat('Brief ', k) AS json_brief_title,
+      concat('A', k % 5) AS json_acronym, status AS json_overall_status, 'INTERVENTIONAL' AS json_study_type, concat('PHASE_', 1 + k % 4) AS json_phases,
+      k % 2 = 0 AS json_has_results, concat('Summary ', k) AS json_brief_summary, CASE WHEN k % 4 <> 0 THEN concat('Details ', k) END AS json_detailed_description,
+      array_to_string(list_transform(range(1, k % 3 + 1), lambda i: concat('Condition ', k % 11 + i)), '|') AS json_conditions,
+      array_to_string(list_transform(range(1, k % 2 + 2), lambda i: concat('Drug ', k % 13 + i)), '|') AS json_interventions,
+      concat('Mesh ', k % 8) AS json_condition_meshes, 'ALL' AS json_sex, (18 + k % 3)::VARCHAR AS json_minimum_age, (60 + k % 7)::VARCHAR AS json_maximum_age,
+      k % 2 = 0 AS json_healthy_volunteers, c AS json_enrollment, strftime(day, '%Y-%m-%d') AS json_start_date,
+      strftime(day + 30, '%Y-%m-%d') AS json_completion_date, CASE WHEN k % 2 = 1 THEN concat('doc', k) ELSE '' END AS json_document_files FROM o""",
+)
+def flatten_full(t: Tables):
+    """All 21 columns of records with every module; lists joined by bars."""
+    flat = flatten.flatten_studies(flatten.parse_studies(full_studies(t)))
+    return flat.select(*[F.array_join(n, "|").alias(n) if kind.startswith("array") else F.col(n) for n, kind in flat.dtypes])
+
+
 @query(
     "ln09_canonical_load",
-    """WITH n AS (SELECT nct_id, json_extract(study_json, '$.protocolSection.conditionsModule.conditions')::VARCHAR[] AS c FROM raw_json)
-       SELECT 'trial' AS table_name, count(*) AS n, count(DISTINCT nct_id) AS studies FROM n
-       UNION ALL SELECT 'condition', sum(len(c))::BIGINT, count(*) FILTER (len(c) > 0) FROM n""",
-    "raw_json",
+    _FULL
+    + """, rows AS (
+       SELECT id, 'trial' AS table_name, concat_ws('/', CASE WHEN k % 6 <> 0 THEN concat('Official ', k) END, concat('Brief ', k), status, concat('PHASE_', 1 + k % 4),
+         c, strftime(day, '%Y-%m-%d'), strftime(day + (k % 400)::INT, '%Y-%m-%d')) AS content FROM o
+       UNION ALL SELECT min(id), 'sponsor', concat('Sponsor ', c, '/INDUSTRY') FROM o GROUP BY c
+       UNION ALL SELECT id, 'condition', concat('Condition ', k % 11 + i) FROM o, unnest(range(1, k % 3 + 1)) x(i)
+       UNION ALL SELECT id, 'intervention', concat('DRUG/Drug ', k % 13 + i) FROM o, unnest(range(1, k % 2 + 2)) x(i)
+       UNION ALL SELECT id, 'arm', concat('Arm ', i, '/EXPERIMENTAL') FROM o, unnest(range(1, k % 3 + 2)) x(i)
+       UNION ALL SELECT id, 'endpoint', concat('primary/Primary ', k % 9 + 1, '/week 1') FROM o
+       UNION ALL SELECT id, 'endpoint', concat('secondary/Secondary ', k % 9 + i, '/week ', i) FROM o, unnest(range(1, k % 3 + 1)) x(i)
+       UNION ALL SELECT id, 'site', concat('Site ', i, '/City ', k % 17, '/Wales/', k % 90, '/', i) FROM o, unnest(range(1, k % 4 + 1)) x(i)
+       UNION ALL SELECT id, 'publication', concat(k + i, '/Paper ', k) FROM o, unnest(range(1, k % 2 + 1)) x(i))
+     SELECT table_name, id AS source_record_id, content, 'snapshot-1' AS source_snapshot_id FROM rows""",
 )
 def canonical(t: Tables):
-    good, _ = load_studies(t.raw_json)
-    tables = flatten.load_canonical(good, "snapshot-1")
-    count = lambda name: tables[name].agg(
-        F.count("*").alias("n"), F.count_distinct("source_record_id").alias("studies")
-    ).select(F.lit(name).alias("table_name"), "n", "studies")
-    return count("trial").unionByName(count("condition"))
+    """Every row of the eight tables as text, read back after one pass over the records."""
+    good, _ = load_studies(full_studies(t))
+    tables = flatten.write_canonical(good, run_dir(t.spark, "canonical"), "snapshot-1")
+    whole = lambda c: F.col(c).cast("bigint").cast("string")
+    shown = {
+        "trial": ["official_title", "brief_title", "overall_status", "phase", whole("enrollment"), F.col("first_posted").cast("string"), F.col("last_update_posted").cast("string")],
+        "sponsor": ["sponsor_name", "sponsor_type"], "condition": ["condition_name"], "intervention": ["intervention_type", "intervention_name"],
+        "arm": ["arm_label", "arm_type"], "endpoint": ["endpoint_type", "endpoint_name", "endpoint_timeframe"],
+        "site": ["facility_name", "city", "country", whole("latitude"), whole("longitude")], "publication": ["pmid", "title"],
+    }
+    rows = [
+        tables[name].select(F.lit(name).alias("table_name"), "source_record_id", F.concat_ws("/", *columns).alias("content"), "source_snapshot_id")
+        for name, columns in shown.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
+@query(
+    "gr05_canonical_k_hop",
+    _FULL
+    + """, n AS (SELECT k, c, unnest([{'r': 'Arm', 'n': k % 3 + 1}, {'r': 'Intervention', 'n': k % 2 + 1}, {'r': 'Condition', 'n': k % 3},
+         {'r': 'Endpoint', 'n': k % 3 + 1}, {'r': 'Site', 'n': k % 4}, {'r': 'Publication', 'n': k % 2}]) AS x FROM o WHERE c = (SELECT min(c) FROM o))
+       SELECT 'Sponsor' AS label, 0::BIGINT AS hops, 1::BIGINT AS nodes UNION ALL SELECT 'Trial', 1, count(*) FROM o WHERE c = (SELECT min(c) FROM o)
+       UNION ALL SELECT x.r, 2, sum(x.n)::BIGINT FROM n GROUP BY 1 HAVING sum(x.n) > 0""",
+)
+def canonical_hops(t: Tables):
+    """What a sponsor's trials lead to, over the graph of the loaded tables and their own ids."""
+    good, _ = load_studies(full_studies(t))
+    tables = flatten.write_canonical(good, run_dir(t.spark, "canonical"), "snapshot-1")
+    tables["biomarker"] = tables["condition"].limit(0).select("trial_id", F.col("condition_name").alias("biomarker_name"))
+    first = t.orders.agg(F.min("o_custkey")).first()[0]
+    start = tables["sponsor"].filter(F.col("sponsor_name") == f"Sponsor {first}").first()["sponsor_id"]
+    found = graph.k_hop(graph.graph_edges(tables, "snapshot-1"), f"Sponsor:{start}", 2)
+    return found.groupBy(F.substring_index("node", ":", 1).alias("label"), F.col("hops").cast("bigint").alias("hops")).agg(F.count("*").alias("nodes"))
 
 
 @query(
