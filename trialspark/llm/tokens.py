@@ -6,6 +6,7 @@ import base64
 import hashlib
 import re
 import zlib
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,19 +41,41 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
+@cache
+def _encoding(ranks_path: str, pattern: str):
+    """One for each worker, kept from task to task."""
+    import tiktoken
+
+    return tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=load_ranks(ranks_path), special_tokens={})
+
+
+@cache
+def _token_bytes(ranks_path: str) -> dict[int, bytes]:
+    return {v: k for k, v in load_ranks(ranks_path).items()}
+
+
+def _own_rows(ids: list, texts: list[str]) -> list[tuple]:
+    """A block's documents as positions in the block's list of words, which come in order of appearance."""
+    known: dict[str, int] = {}
+    streams, counts = [], []
+    for text in texts:
+        chunks = chunks_of(text)
+        fresh = [c for c in dict.fromkeys(chunks) if c not in known]
+        known.update(zip(fresh, range(len(known), len(known) + len(fresh))))
+        streams.append(np.fromiter(map(known.__getitem__, chunks), np.uint32, len(chunks)))
+        counts.append(len(chunks))
+    stream = np.concatenate(streams) if streams else np.zeros(0, np.uint32)
+    return [(X.SELF, 0, X.pack_ids(ids), pack(np.array(counts, np.int64)), X.pack_planes(stream), None)]
+
+
 def _request(shares: int):
+    """The distinct words of a block, each in the row of its share, with its place in the block's list."""
+
     def build(ids: list, texts: list[str]) -> list[tuple]:
-        known: dict[str, int] = {}
-        streams, counts = [], []
+        known: dict[str, None] = {}
         for text in texts:
-            chunks = chunks_of(text)
-            for c in chunks:
-                if c not in known:
-                    known[c] = len(known)
-            streams.append(np.fromiter(map(known.__getitem__, chunks), np.uint32, len(chunks)))
-            counts.append(len(chunks))
-        stream = np.concatenate(streams) if streams else np.zeros(0, np.uint32)
-        out = [(X.SELF, 0, X.pack_ids(ids), pack(np.array(counts, np.int64)), X.pack_planes(stream), None)]
+            known.update(dict.fromkeys(chunks_of(text)))
+        out = []
         raw = [c.encode("utf-8", "surrogatepass") for c in known]
         share = np.fromiter((zlib.crc32(c) % shares for c in raw), np.int64, len(raw))
         order = np.argsort(share, kind="stable")
@@ -71,9 +94,7 @@ def _request(shares: int):
 
 def _answer(ranks_path: str, pattern: str):
     def answer(table: pa.Table) -> pa.Table:
-        import tiktoken
-
-        encoding = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=load_ranks(ranks_path), special_tokens={})
+        encoding = _encoding(ranks_path, pattern)
         asked, known = [], {}
         for row in table.to_pylist():
             text = zstandard.ZstdDecompressor().decompress(row["c"])
@@ -113,7 +134,7 @@ def _gathered(table: pa.Table):
 
 def _by_document(ranks_path: str, digests: bool):
     def gather(table: pa.Table) -> pa.Table:
-        token_bytes = {v: k for k, v in load_ranks(ranks_path).items()}
+        token_bytes = _token_bytes(ranks_path)
         docs, counts, stream, ids = _gathered(table)
         edges = np.cumsum([0, *counts.tolist()]).tolist()
         decoded = [b"".join(map(token_bytes.__getitem__, own.tolist())) for own in ids]
@@ -160,10 +181,14 @@ def encode_decode(
     columns are not read. One very long text without white space is one word.
     """
     shares = X.shares_for(docs)
-    table = X.blocks(docs, _request(shares), "bpe-blocks", replayed)
-    answers = table.where("share >= 0").groupBy("share").applyInArrow(_answer(ranks_path, pattern), X.SCHEMA)
+    request = _request(shares)
+    if replayed:  # words are asked for in one reading, documents kept in the other: neither does the other's work
+        own, asked = X.blocks(docs, _own_rows, "bpe-blocks", True), X.blocks(docs, request, "bpe-words", True)
+    else:
+        table = X.blocks(docs, lambda ids, texts: _own_rows(ids, texts) + request(ids, texts), "bpe-blocks")
+        own, asked = table.where(f"share = {X.SELF}"), table.where("share >= 0")
+    answers = asked.groupBy("share").applyInArrow(_answer(ranks_path, pattern), X.SCHEMA)
     schema = "doc_id long, n_tokens long, " + (
         "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded binary"
     )
-    both = table.where(f"share = {X.SELF}").unionByName(answers)
-    return both.groupBy("block").applyInArrow(_by_document(ranks_path, digests), schema)
+    return own.unionByName(answers).groupBy("block").applyInArrow(_by_document(ranks_path, digests), schema)
