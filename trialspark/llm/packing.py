@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -25,8 +24,9 @@ CACHED_CHUNKS = 500_000
 ITEM, GAP, PLACED = 0, 1, 2
 
 _PIECE = "struct<doc_id:bigint,piece:int,start:bigint,length:bigint,ids_crc32:bigint>"
-# a space beside other white space: there a cut at the space could move the borders of pre-tokens
-_UNEVEN = re.compile(r"\s | \s")
+# a space beside other white space (of any script): there a cut at the space could move the borders of pre-tokens
+_WHITE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_UNEVEN = f"{_WHITE} | {_WHITE}"
 
 
 class ChunkEncoder:
@@ -84,12 +84,13 @@ class ChunkEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.index) > CACHED_CHUNKS:
             self._forget(CACHED_CHUNKS)
-        uneven = [i for i, t in enumerate(texts) if _UNEVEN.search(t) or any(s in t for s in self.special)]
-        even = list(texts)
-        for i in uneven:
-            even[i] = ""
+        whole = pa.array(texts, pa.large_string())
+        odd = pc.match_substring_regex(whole, _UNEVEN)
+        for s in self.special:
+            odd = pc.or_(odd, pc.match_substring(whole, s))
+        uneven = np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()
         # split and numbered by Arrow: only the distinct words of the block become Python strings
-        parts = pc.split_pattern(pa.array(even, pa.large_string()), " ")
+        parts = pc.split_pattern(pc.if_else(odd, pa.scalar("", pa.large_string()), whole), " ")
         edges = parts.offsets.to_numpy()
         coded = parts.flatten().dictionary_encode()
         codes, heads = coded.indices.to_numpy(), edges[:-1]
