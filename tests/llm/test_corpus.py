@@ -384,3 +384,21 @@ def test_chunked_ids_equal_whole_encoding():
         for _ in range(2):
             got = [ids.tolist() for ids in encoder.encode(texts)]
             assert got == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("pattern", ["<a ", "x <b ", '<a " ', "<a ' \"", "<!-- ", "<script>", "<a <a \" >", "<", "<a b=\"", "</"])
+def test_broken_pages_of_megabytes_take_seconds(pattern):
+    import time
+
+    page = pattern * (2_000_000 // len(pattern))
+    for text in (page, page + "><p>after"):
+        began = time.perf_counter()
+        html.blocks_of(text)
+        assert time.perf_counter() - began < 10
+
+
+def test_tags_with_quotes_and_cut_off_ends():
+    page = '<p title="a > b">one</p><p class=\'x">y\'>two</p> 1 < 2 <b>bold</b> <a href="never closed> three'
+    text = " ".join(t for t, _ in html.blocks_of(page))
+    assert text.split() == "one two 1 < 2 bold".split()
+    assert html.blocks_of("<p>kept <!-- gone -- > gone") == [("kept", html.NEUTRAL)]

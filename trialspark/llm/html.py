@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,8 +27,11 @@ REPEAT_PAGES, REPEAT_SHARE = 3, 0.05
 #: In an article even a repeat is text, unless it stands in more than this share of at least so many pages.
 ARTICLE_SHARE, ARTICLE_PAGES = 0.5, 8
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
-_OPEN_END = re.compile(r"<[/!?a-zA-Z][^>]*\Z")
+_OPENING = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_QUOTED = re.compile(r"(?:\"[^\"]*\"|'[^']*'|[^'\"])*")
+_COMMENT = re.compile("<!--")
+_CUT_OFF = re.compile(r"<[/!?a-zA-Z]")
+_MARKS = re.compile(r"[\"'>]")
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _PIECES = re.compile(r"[^a-z0-9]+")
 _RAW_END = re.compile(r"</([a-zA-Z]+)(?=[\s/>])")
@@ -74,6 +78,61 @@ _ENDED = {
 NEUTRAL, MAIN = "1", "2"
 
 
+class _Tags:
+    """The tags of a page, found in time linear in its length, whatever is broken in it.
+
+    A tag ends at the first ``>`` outside quotes. Mostly that is the next ``>``. Where a quote is open
+    there, the ends from every quote and ``>`` of the page are worked out once, from the last to the first.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = page.rfind(">")
+        self.places: list[int] | None = None
+
+    def _end(self, at: int) -> int:
+        """Behind the ``>`` that ends a tag whose attributes start at ``at``; -1 if none does."""
+        page = self.page
+        if at > self.last:
+            return -1
+        if self.places is None:
+            close = page.find(">", at)
+            if _QUOTED.fullmatch(page, at, close):
+                return close + 1
+            self.places = [m.start() for m in _MARKS.finditer(page)]
+            self.ends = [-1] * (len(self.places) + 1)
+            following: dict[str, int] = {}
+            for k in range(len(self.places) - 1, -1, -1):
+                mark = page[self.places[k]]
+                if mark == ">":
+                    self.ends[k] = self.places[k] + 1
+                else:
+                    pair = following.get(mark)
+                    self.ends[k] = -1 if pair is None else self.ends[pair + 1]
+                    following[mark] = k
+        return self.ends[bisect_left(self.places, at)]
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """Start, end, whether it closes, name in lower case (empty: a comment or declaration) and attributes."""
+        page = self.page
+        while m := _OPENING.search(page, at, self.last + 1) or _COMMENT.search(page, at):
+            start = m.start()
+            if m.group().startswith("<!--"):
+                return start, (page.find("-->", m.end()) + 3) if page.find("-->", m.end()) >= 0 else len(page), False, "", ""
+            if m.lastindex is None:
+                return start, page.find(">", start) + 1, False, "", ""
+            end = self._end(m.end())
+            if end >= 0:
+                return start, end, bool(m.group(1)), m.group(2).lower(), page[m.end() : end - 1]
+            at = start + 1
+        return None
+
+    def without_open_end(self, at: int) -> str:
+        """The text from ``at`` on, up to a tag that the end of the page cuts off."""
+        cut = _CUT_OFF.search(self.page, max(at, self.last + 1))
+        return self.page[at : cut.start()] if cut else self.page[at:]
+
+
 def _behind_raw(page: str, name: str, at: int) -> int:
     """Where the scan goes on when a raw element has opened before ``at``: its content has no tags but its own end."""
     for m in _RAW_END.finditer(page, at):
@@ -219,16 +278,16 @@ def blocks_of(page: str) -> list[tuple[str, str]]:
         if nest.skip < 0:
             held.append(text)
 
-    while m := _TAG.search(page, at):
-        closing, name = m.group(1), m.group(2)
-        name = name.lower() if name else ""
-        if m.start() > at:
-            hold(page[at : m.start()])
-        at = m.end()
+    tags = _Tags(page)
+    while found := tags.next(at):
+        start, end, closing, name, attributes = found
+        if start > at:
+            hold(page[at:start])
+        at = end
         if not name:
             continue
         if not closing and name in _RAW:
-            if not m.group(3).endswith("/"):
+            if not attributes.endswith("/"):
                 at = _behind_raw(page, name, at)
             continue
         if not closing and nest.open and nest.open[-1] == "head" and name not in _HEAD:
@@ -239,11 +298,11 @@ def blocks_of(page: str) -> list[tuple[str, str]]:
             if closing:
                 nest.close(name)
             else:
-                nest.start(name, m.group(3))
+                nest.start(name, attributes)
         if name in ("br", "td", "th") and nest.skip < 0:
             held.append(" ")
     if at < len(page):
-        hold(_OPEN_END.sub("", page[at:]))
+        hold(tags.without_open_end(at))
     flush()
 
     size = Counter()
