@@ -398,7 +398,8 @@ def test_broken_pages_of_megabytes_take_seconds(pattern):
 
 
 def test_tags_with_quotes_and_cut_off_ends():
-    page = '<p title="a > b">one</p><p class=\'x">y\'>two</p> 1 < 2 <b>bold</b> <a href="never closed> three'
+    page = '<p title="a > b">one</p><p class=\'x">y\'>two</p> 1 < 2 <b>bold</b> <a href="cut off'
     text = " ".join(t for t, _ in html.blocks_of(page))
     assert text.split() == "one two 1 < 2 bold".split()
+    assert html.blocks_of('<p>x <a href="never closed> y') == [('x <a href="never closed> y', html.NEUTRAL)]
     assert html.blocks_of("<p>kept <!-- gone -- > gone") == [("kept", html.NEUTRAL)]
