@@ -120,10 +120,11 @@ def cleaned_words(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def tfidf(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Term count × ln((N + 1) / (document frequency + 1)).
 
-    Document frequencies merge map-side. The join goes from (text, term) rows to one row per term;
-    a common term's rows are a skewed left side, which the adaptive join splits.
+    Texts are tokenized and counted once: the counts are written, and document frequencies merge map-side
+    over them. The join goes from (text, term) rows to one row per term; a common term's rows are a skewed
+    left side, which the adaptive join splits.
     """
-    counts = (
+    counts = cut_lineage(
         df.select(id_col, F.explode(alphabetic(text_col)).alias("term"))
         .filter(not_stop(F.col("term")))
         .groupBy(id_col, "term")
