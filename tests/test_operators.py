@@ -282,6 +282,28 @@ def test_chunks_address_the_text(spark, size, overlap):
     assert max(r["char_end"] for r in cut if r["id"] == 1) == len(texts[1])
 
 
+def test_chunks_know_their_section_and_are_unique(spark):
+    text = "intro\n# One\nfirst\n## Deep\nmore\nNotes:\nsmall\n## Side\nlast\n# Two\nend"
+    rows = [("N1", "s1", "sys", "r2", text), ("N1", "s1", "sys", "r1", text), ("N1", "s2", "sys", "r1", text), ("N2", "s1", "sys", "r3", None), ("N3", "s1", "sys", "r4", "")]
+    df = spark.createDataFrame(rows, "nct_id string, source_snapshot_id string, source_system string, source_record_id string, text string")
+    cut = textjobs.document_chunks(df, 6).collect()
+    natural = [(r["source_snapshot_id"], r["source_content_sha256"], r["chunk_index"]) for r in cut]
+    assert len(set(natural)) == len(natural) and {r["source_record_id"] for r in cut} == {"r1"}
+    def section_of(place):
+        stack = []
+        at = 0
+        for line in text.split("\n"):
+            if at > place:
+                break
+            level = len(line) - len(line.lstrip("#")) if line.startswith("#") else 7 if line.endswith(":") else 0
+            if level:
+                stack = [s for s in stack if s[0] < level] + [(level, line.strip("# :"))]
+            at += len(line) + 1
+        return " / ".join(t for _, t in stack)
+    assert all(r["section_path"] == section_of(r["char_start"]) for r in cut)
+    assert {r["section_path"] for r in cut} >= {"", "One", "One / Deep", "One / Deep / Notes", "One / Side", "Two"}
+
+
 def test_clauses_and_tree(spark):
     criteria = "Age >= 18 years\nInclusion Criteria:\n * HbA1c < 7.5 %\n\nExclusion criteria\n1. Prior stroke\n"
     df = spark.createDataFrame([(1, criteria)], "id long, t string")

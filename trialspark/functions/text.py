@@ -245,3 +245,39 @@ def comparisons(texts: pd.Series) -> pd.Series:
         return out
 
     return texts.map(of_text, na_action=None)
+
+
+_HASHES = re.compile(r"(#{1,6})[ \t]+(\S.*)")
+#: Level of a heading that is a line ending with a colon: below those marked by number signs.
+COLON_LEVEL = 7
+
+
+@F.pandas_udf(_rows_of(start="int", path="string"))
+def section_outline(texts: pd.Series) -> pd.Series:
+    """Where the sections of a text start, each with the titles that lead to it, joined by `` / ``.
+
+    A heading is a line of one to six number signs and a title, or a line of at most eight words that ends
+    with a colon. It ends the sections of its own level and deeper ones. One pass with a stack of headings.
+    """
+
+    def of_text(text: str | None) -> list[dict]:
+        if text is None:
+            return []
+        stack: list[tuple[int, str]] = []
+        out = []
+        for m in _LINE.finditer(text):
+            line = m.group()
+            marked = _HASHES.match(line)
+            if marked:
+                level, title = len(marked.group(1)), marked.group(2).strip()
+            elif (plain := line.strip()).endswith(":") and 0 < len(_NAME.findall(plain)) <= HEADER_WORDS:
+                level, title = COLON_LEVEL, plain[:-1].strip()
+            else:
+                continue
+            while stack and stack[-1][0] >= level:
+                stack.pop()
+            stack.append((level, title))
+            out.append({"start": m.start(), "path": " / ".join(t for _, t in stack)})
+        return out
+
+    return texts.map(of_text, na_action=None)

@@ -17,6 +17,7 @@ from trialspark.functions.text import (
     match_spans,
     ngrams,
     not_stop,
+    section_outline,
     tokens,
     word_tokens,
     words,
@@ -173,6 +174,32 @@ def chunk_documents(df: DataFrame, id_col: str, text_col: str, size: int, overla
     )
 
 
+def document_chunks(
+    documents: DataFrame, size: int, overlap: int = 0, text_col: str = "text"
+) -> DataFrame:
+    """Chunks with their provenance and section, unique by snapshot, content and ``chunk_index``.
+
+    ``documents`` has ``nct_id``, ``source_snapshot_id``, ``source_system``, ``source_record_id`` and the
+    text. Of records with one content in one snapshot the smallest by record id is cut. Content and sections
+    are worked out where the text is; only keys are compared across records.
+    """
+    keys = ["source_snapshot_id", "source_content_sha256"]
+    known = documents.withColumns(
+        {"source_content_sha256": F.sha2(F.col(text_col).cast("binary"), 256), "_outline": section_outline(F.col(text_col))}
+    )
+    order = Window.partitionBy(*keys).orderBy("source_record_id", "source_system")
+    first = known.select(*keys, "source_record_id", "source_system").withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
+    kept = known.join(first, [*keys, "source_record_id", "source_system"], "left_semi").dropDuplicates([*keys, "source_record_id", "source_system"])
+    rest = ["nct_id", "source_snapshot_id", "source_system", "source_record_id", "source_content_sha256"]
+    cut = chunk_documents(kept.withColumn("_doc", F.struct(*rest, "_outline")), "_doc", text_col, size, overlap)
+    inside = F.filter("_doc._outline", lambda o: o["start"] <= F.col("char_start"))
+    return cut.select(
+        *[F.col(f"_doc.{c}").alias(c) for c in rest],
+        F.coalesce(F.try_element_at(inside, F.lit(-1))["path"], F.lit("")).alias("section_path"),
+        "chunk_index", "chunk_text", "char_start", "char_end",
+    )
+
+
 def eligibility_clauses(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Lines of the criteria text as clauses with their section's type and character offsets.
 

@@ -160,6 +160,46 @@ def wide_chunks(t: Tables):
     return _chunks(t, 900, 600)
 
 
+def _articles(t: Tables):
+    """Documents under planted headings; every third has the content and snapshot of the one before."""
+    same = F.col("doc_id") - F.when(F.col("doc_id") % 3 == 2, 1).otherwise(0)
+    text = F.concat(F.lit("# Report "), same.cast("string"), F.lit("\n"), F.col("text"), F.lit("\n## Methods of "), F.col("lang"), F.lit("\n"), F.col("text"),
+                    F.lit("\nMain notes:\n"), F.col("text"), F.lit("\n# End\n"), F.col("text"))
+    own = t.documents.select("doc_id", text.alias("text"), F.concat(F.lit("NCT"), F.lpad(same.cast("string"), 8, "0")).alias("nct_id"))
+    return own.select(
+        "nct_id", F.lit("snapshot-1").alias("source_snapshot_id"), F.lit("registry").alias("source_system"),
+        F.lpad(F.col("doc_id").cast("string"), 9, "0").alias("source_record_id"), "text",
+    )
+
+
+@query(
+    "tx07_sectioned_chunks",
+    r"""WITH a AS (SELECT lpad(doc_id::VARCHAR, 9, '0') AS rec, concat('NCT', lpad((doc_id - CASE WHEN doc_id % 3 = 2 THEN 1 ELSE 0 END)::VARCHAR, 8, '0')) AS nct_id,
+         concat('# Report ', doc_id - CASE WHEN doc_id % 3 = 2 THEN 1 ELSE 0 END, chr(10), text, chr(10), '## Methods of ', lang, chr(10), text, chr(10),
+           'Main notes:', chr(10), text, chr(10), '# End', chr(10), text) AS body FROM documents),
+       d AS (SELECT *, sha256(body) AS sha FROM a QUALIFY row_number() OVER (PARTITION BY sha256(body) ORDER BY rec) = 1),
+       pieces AS (SELECT rec, unnest(string_split_regex(body, '[
+]')) AS piece, generate_subscripts(string_split_regex(body, '[
+]'), 1) AS no FROM d),
+       placed AS (SELECT *, (sum(length(piece) + 1) OVER (PARTITION BY rec ORDER BY no))::BIGINT - length(piece) - 1 AS spot FROM pieces),
+       heads AS (SELECT rec, spot, CASE WHEN regexp_matches(piece, '^#{1,6}[ \t]+\S') THEN length(regexp_extract(piece, '^#+')) ELSE 7 END AS level,
+           CASE WHEN regexp_matches(piece, '^#{1,6}[ \t]+\S') THEN regexp_extract(piece, '^#{1,6}[ \t]+(.*\S)', 1)
+             ELSE regexp_extract(piece, '^\s*(.*\S)\s*:\s*$', 1) END AS title FROM placed
+         WHERE regexp_matches(piece, '^#{1,6}[ \t]+\S') OR (regexp_matches(piece, ':\s*$') AND len(regexp_extract_all(piece, '[\p{L}\p{N}]+')) BETWEEN 1 AND 8)),
+       chunk AS (SELECT rec, nct_id, sha, body, unnest(range(0, length(body), 500)) AS s FROM d),
+       active AS (SELECT c.rec, c.s, h.spot, h.title FROM chunk c JOIN heads h ON h.rec = c.rec AND h.spot <= c.s
+         WHERE NOT EXISTS (SELECT 1 FROM heads x WHERE x.rec = h.rec AND x.spot > h.spot AND x.spot <= c.s AND x.level <= h.level)),
+       paths AS (SELECT rec, s, string_agg(title, ' / ' ORDER BY spot) AS path FROM active GROUP BY 1, 2)
+       SELECT nct_id, c.rec AS source_record_id, sha AS source_content_sha256, (c.s // 500)::BIGINT AS chunk_index, coalesce(path, '') AS section_path,
+         c.s AS char_start, least(c.s + 600, length(body))::BIGINT AS char_end, md5(substr(body, c.s + 1, 600)) AS chunk_md5
+       FROM chunk c LEFT JOIN paths p ON p.rec = c.rec AND p.s = c.s""",
+)
+def sectioned(t: Tables):
+    found = textjobs.document_chunks(_articles(t), 600, 100)
+    longs = [F.col(c).cast("bigint").alias(c) for c in ("chunk_index", "char_start", "char_end")]
+    return found.select("nct_id", "source_record_id", "source_content_sha256", "section_path", *longs, F.md5("chunk_text").alias("chunk_md5"))
+
+
 # headers of many kinds with the section that each starts; documents take them in turn
 _HEADERS = [
     ("Main Inclusion Criteria:", "inclusion"),
