@@ -409,6 +409,29 @@ def test_embeddings(spark):
     stats = embed.embedding_statistics(embed.generate_embeddings(df.filter("nct_id = 'NCT2'"))).first()
     assert stats["total_embeddings"] == 0 and stats["error"] == "No texts to embed"
 
+    def stumbling(texts):
+        if any("cancer" in t for t in texts):
+            raise RuntimeError("cannot read this")
+        return np.ones((len(texts), 3))
+
+    more = df.unionByName(spark.createDataFrame([("NCT4", "asthma", "plain"), ("NCT5", "a", "b")], df.schema)).coalesce(1)
+    kept = embed.generate_embeddings(more, load=lambda: stumbling, keep_failures=True)
+    assert {r["nct_id"]: (r["embedding"] is None, r["error"]) for r in kept.collect()} == {
+        "NCT1": (True, "cannot read this"), "NCT3": (True, "cannot read this"), "NCT4": (False, None), "NCT5": (False, None),
+    }
+    stats = embed.embedding_statistics(kept).first()
+    assert (stats["total_embeddings"], stats["embedding_dimension"], stats["error"]) == (2, 3, "cannot read this")
+
+
+def test_full_text_of_any_script_from_a_stored_index(spark, tmp_path):
+    rows = [(1, "Vièle à roue, naïve"), (2, "VIÈLE seule"), (3, "日本 vièle roue roue"), (4, None)]
+    df = spark.createDataFrame(rows, "id long, t string")
+    path = retrieval.write_inverted_index(retrieval.build_inverted_index(df, "id", "t", 8), str(tmp_path / "index"))
+    index = spark.read.parquet(path)
+    found = {r["id"]: r["occurrences"] for r in retrieval.search_index(index, "roue Vièle roue", "id", 8).collect()}
+    assert found == {1: 2, 3: 3}
+    assert retrieval.search_index(index, " ?! ", "id", 8).count() == 0
+
 
 def test_quality_gate_reports(spark):
     metrics = spark.createDataFrame(

@@ -22,13 +22,17 @@ def version_id(layer, key, snapshot, fingerprint, transform) -> Column:
 def fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """One row (row count, digest) that ignores row order and partitioning.
 
-    Row hashes are summed and xor-ed; both merge map-side, and the sum keeps duplicates apart.
+    A row is the text of its columns, each with its length, null apart from empty. Halves of the rows' md5
+    are summed and xor-ed; both merge map-side, and the sum keeps duplicates apart.
     """
-    row = F.xxhash64(F.to_json(F.struct(*(cols or df.columns)), {"ignoreNullFields": "false"}))
-    sums = df.select(row.alias("h")).agg(
+    text = lambda c: F.col(c).cast("string")
+    part = lambda c: F.coalesce(F.concat(F.length(text(c)).cast("string"), F.lit(":"), text(c)), F.lit("~"))
+    hashed = df.select(F.md5(F.concat_ws(",", *[part(c) for c in (cols or df.columns)]).cast("binary")).alias("h"))
+    bits = lambda at: F.conv(F.substring("h", at, 15), 16, 10).cast("bigint")
+    sums = hashed.agg(
         F.count("*").alias("row_count"),
-        F.coalesce(F.bit_xor("h"), F.lit(0)).alias("x"),
-        F.coalesce(F.sum(F.col("h").cast("decimal(38,0)")), F.lit(0)).alias("s"),
+        F.coalesce(F.bit_xor(bits(1)), F.lit(0)).alias("x"),
+        F.coalesce(F.sum(bits(16).cast("decimal(38,0)")), F.lit(0)).alias("s"),
     )
     return sums.select("row_count", F.md5(F.concat_ws(":", "row_count", "x", "s")).alias("fingerprint"))
 

@@ -9,7 +9,7 @@ from trialspark.functions.vectors import cosine, l2
 from trialspark.operators import neighbours, retrieval
 from trialspark.plans.registry import query
 from trialspark.plans.tables import Tables
-from trialspark.session import cut_lineage
+from trialspark.session import cut_lineage, run_dir
 
 QUERY_TEXT = "the trial of patients and the dose"
 # a fixed unit-free query vector, written out for both engines
@@ -231,8 +231,8 @@ def approximate_recall(t: Tables):
 
 @query(
     "tx13_inverted_index",
-    """SELECT token, count(*) AS texts, sum(n)::BIGINT AS occurrences FROM (SELECT doc_id, token, count(*) AS n FROM (
-         SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS token FROM documents) GROUP BY ALL) GROUP BY 1""",
+    r"""SELECT token, count(*) AS texts, sum(n)::BIGINT AS occurrences FROM (SELECT doc_id, token, count(*) AS n FROM (
+         SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+')) AS token FROM documents) GROUP BY ALL) GROUP BY 1""",
 )
 def inverted_index(t: Tables):
     index = retrieval.build_inverted_index(t.documents, "doc_id", "text")
@@ -241,10 +241,11 @@ def inverted_index(t: Tables):
 
 @query(
     "tx13_full_text_match",
-    """WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS token FROM documents)
+    r"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+')) AS token FROM documents)
        SELECT doc_id, count(*) AS occurrences FROM w WHERE token IN ('the', 'and', 'to') GROUP BY 1
        HAVING count(DISTINCT token) = 3""",
 )
 def full_text(t: Tables):
-    index = retrieval.build_inverted_index(t.documents, "doc_id", "text")
-    return retrieval.search_index(index, "The AND to", "doc_id")
+    """Against an index that is stored by token bucket."""
+    path = retrieval.write_inverted_index(retrieval.build_inverted_index(t.documents, "doc_id", "text"), run_dir(t.spark, "index"))
+    return retrieval.search_index(t.spark.read.parquet(path), "The AND to", "doc_id")

@@ -412,11 +412,22 @@ def synonyms(t: Tables):
     return textjobs.expand_synonyms(t.part, "p_partkey", "p_name", table)
 
 
-@query("tx10_embeddings")
+@query(
+    "tx10_embeddings",
+    r"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(concat(source, ' ', text)), '[\p{L}\p{N}]+')) AS t FROM documents),
+       n AS (SELECT doc_id, ('0x' || substr(md5(t), 1, 8))::BIGINT % 384 AS place, count(*) AS c FROM w GROUP BY 1, 2)
+       SELECT doc_id, 384::BIGINT AS dimension, string_agg(place::VARCHAR, ',' ORDER BY c DESC, place) AS places, 1.0::DOUBLE AS length FROM n GROUP BY 1""",
+)
 def embeddings(t: Tables):
-    """Hash values differ by engine, so only rows are checked here; tests check the vectors."""
+    """The places of each embedding by size, and its length."""
     df = t.documents.select("doc_id", F.col("source").alias("title"), F.col("text").alias("brief_summary"))
-    return embed.generate_embeddings(df, "doc_id")
+    made = embed.generate_embeddings(df, "doc_id")
+    sized = F.transform("embedding", lambda v, i: F.struct((-v).alias("order"), i.alias("place")))
+    places = F.transform(F.array_sort(F.filter(sized, lambda p: p["order"] < 0)), lambda p: p["place"].cast("string"))
+    squares = F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double"))
+    return made.select(
+        "doc_id", F.size("embedding").cast("bigint").alias("dimension"), F.array_join(places, ",").alias("places"), F.round(F.sqrt(squares), 4).alias("length")
+    )
 
 
 @query(
