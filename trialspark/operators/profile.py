@@ -23,28 +23,27 @@ def _long(df: DataFrame, id_col: str, fields: Iterable[str]) -> DataFrame:
 def value_statistics(df: DataFrame, id_col: str, fields: Iterable[str], top: int = 10) -> DataFrame:
     """Missing, distinct and most common values, and the longest value with its smallest owner.
 
-    One pass: rows are counted per (field, value) map-side; everything else works on those counts.
+    Rows are counted once per (field, value), map-side and by hashing; the counts are written and everything
+    else works on them. Only rows that hold a longest value are looked at again, for their owner.
     """
-    counts = (
-        _long(df, id_col, fields)
-        .groupBy("field", "value")
-        .agg(F.count("*").alias("n"), F.min("_id").alias("owner"))
-    )
-    by_length = F.when(F.col("value").isNotNull(), F.struct(-F.length("value"), F.col("value")))
-    longest = F.min_by(F.struct("value", "owner"), by_length)
+    rows = _long(df, id_col, fields)
+    counts = cut_lineage(rows.groupBy("field", "value").agg(F.count("*").alias("n")))
+    known = counts.filter(F.col("value").isNotNull())
+    by_length = Window.partitionBy("field").orderBy(F.desc(F.length("value")), F.asc("value"))
+    longest = cut_lineage(known.withColumn("_r", F.row_number().over(by_length)).filter("_r = 1").select("field", "value"))
+    owners = rows.join(longest, ["field", "value"]).groupBy("field", "value").agg(F.min("_id").alias("owner"))
     summary = counts.groupBy("field").agg(
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("missing_count"),
         F.count("value").alias("unique_values"),
-        longest.alias("_longest"),
     )
-    best = top_per_group(counts.filter(F.col("value").isNotNull()), "field", "value", "n", top, "top_values")
-    return summary.join(best, "field", "left").select(
+    best = top_per_group(known, "field", "value", "n", top, "top_values")
+    return summary.join(owners, "field", "left").join(best, "field", "left").select(
         "field",
         "missing_count",
         "unique_values",
-        F.col("_longest.value").alias("longest_value"),
-        F.length("_longest.value").alias("longest_length"),
-        F.col("_longest.owner").alias("longest_owner"),
+        F.col("value").alias("longest_value"),
+        F.length("value").alias("longest_length"),
+        F.col("owner").alias("longest_owner"),
         "top_values",
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from trialspark.plans.harmonizing import RUN_TS, harmonized
@@ -44,8 +46,9 @@ def write_and_scan(t: Tables):
 
 def _export(t: Tables) -> str:
     base = run_dir(t.spark, "marts")
-    for table in set(marts.FACT_SOURCES.values()):
-        getattr(t, table).write.parquet(f"{base}/canonical/{table}.parquet")
+    tables = sorted(set(marts.FACT_SOURCES.values()))
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        list(pool.map(lambda table: getattr(t, table).write.parquet(f"{base}/canonical/{table}.parquet"), tables))
     again = {"trial_fact": "trial"}
     for snapshot, mapping in (("snapshot-a", again), ("snapshot-a", None), ("snapshot-b", None)):
         marts.export_marts(t.spark, f"{base}/canonical", f"{base}/out", snapshot, mapping, RUN_TS)

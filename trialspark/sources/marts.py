@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -28,9 +29,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def require_sources(spark: SparkSession, canonical_dir: str, tables: list[str]) -> None:
-    absent = sorted(t for t in tables if not path_exists(spark, f"{canonical_dir}/{t}.parquet"))
-    if absent:
-        raise FileNotFoundError("missing canonical parquet sources: " + ", ".join(absent))
+    """Stop before anything is written when a table that a mart reads isn't there."""
+    for table in tables:
+        path = f"{canonical_dir}/{table}.parquet"
+        if not path_exists(spark, path):
+            raise FileNotFoundError(f"no canonical table {table!r} at {path}")
 
 
 def mart_rows(source: DataFrame, snapshot_id: str, exported_at: datetime) -> DataFrame:
@@ -80,9 +83,14 @@ def export_marts(
     mapping = dict(mapping or FACT_SOURCES)
     exported_at = exported_at or datetime.now(timezone.utc)
     require_sources(spark, canonical_dir, list(mapping.values()))
-    for fact, table in mapping.items():
+
+    def write(fact: str, table: str) -> None:
         source = spark.read.parquet(f"{canonical_dir}/{table}.parquet")
         write_partitioned(mart_rows(source, snapshot_id, exported_at), f"{output_dir}/{fact}", rebalance=False)
+
+    # submitted together: the tail of one mart leaves cores that the next can use
+    with ThreadPoolExecutor(max_workers=min(8, max(1, len(mapping)))) as pool:
+        list(pool.map(write, mapping.keys(), mapping.values()))
     lineage_map(spark, canonical_dir, output_dir, mapping).write.mode("overwrite").json(
         f"{output_dir}/mart_lineage_map"
     )
