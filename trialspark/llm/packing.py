@@ -14,13 +14,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialspark.llm.common import ranges, text_blocks, texts_of, written
+from trialspark.llm.common import ranges, removed, text_blocks, texts_of, written
+from trialspark.session import run_dir
 
 #: Tokens of a packed sequence.
 CAPACITY = 2048
 #: Text chunks whose ids a worker keeps; those that come later are encoded where they occur.
 CACHED_CHUNKS = 500_000
 
+#: Rows of a file that a round writes, about.
+ROUND_ROWS = 20_000
+
 ITEM, GAP, PLACED = 0, 1, 2
 
 _PIECE = "struct<doc_id:bigint,piece:int,start:bigint,length:bigint,ids_crc32:bigint>"
@@ -131,19 +135,27 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY)
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = encoder(tokenizer_path)
         for docs_, texts, _ in text_blocks(batches, 4_000_000):
-            rows: list[tuple] = []
-            for doc, ids in zip(docs_, chunks.encode(texts)):
-                ids = np.append(ids, np.uint32(0)).astype("<u4")
-                first = len(ids) % capacity or capacity
-                edges = [0, *range(first, len(ids) + 1, capacity)]
-                for piece, (a, b) in enumerate(zip(edges, edges[1:])):
-                    rows.append((doc, piece, a, b - a, zlib.crc32(ids[a:b].tobytes())))
-            columns = list(zip(*rows))
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+            found = chunks.encode(texts)
+            sizes = np.fromiter(map(len, found), np.int64, len(found)) + 1
+            # all documents one after the other, each with its id 0; pieces are cut by their places there
+            zero = np.zeros(1, np.uint32)
+            whole = np.concatenate([part for ids in found for part in (ids, zero)]).astype("<u4", copy=False)
+            first = (sizes - 1) % capacity + 1
+            pieces = (sizes - first) // capacity + 1
+            document = np.repeat(np.arange(len(sizes)), pieces)
+            piece = ranges(np.zeros(len(sizes), np.int64), pieces)
+            start = np.where(piece > 0, first[document] + (piece - 1) * capacity, 0)
+            length = np.where(piece > 0, capacity, first[document])
+            begin = (np.cumsum(sizes) - sizes)[document] + start
+            raw = memoryview(whole).cast("B")
+            crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(begin.tolist(), (begin + length).tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)],
+                [
+                    pa.array(docs_, pa.int64()).take(pa.array(document)), pa.array(piece.astype(np.int32)), pa.array(start),
+                    pa.array(length), pa.array(crc, pa.int64()),
+                ],
                 ["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+            )
 
     return texts_of(docs).mapInArrow(
         cut, "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -298,12 +310,10 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     first, stuck = True, False
     while True:
         order = ("size", "kind", "uid")
-        ranked = written(
-            state.repartitionByRange(*order)
-            .sortWithinPartitions(*order)
-            .withColumn("m", F.monotonically_increasing_id()),
-            "pack-sorted",
-        )
+        path = run_dir(spark, "pack-sorted")
+        ranked = state.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("m", F.monotonically_increasing_id())
+        ranked.write.option("compression", "zstd").parquet(path)
+        ranked = spark.read.schema(ranked.schema).parquet(path)
         # one row for each (partition, size, kind) that occurs: bounded by the sizes and partitions
         found = (
             ranked.groupBy(F.shiftright("m", 33).alias("part"), "size", "kind")
@@ -313,6 +323,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         )
         kinds = np.array([r["kind"] for r in found], np.int64)
         if not (kinds == ITEM).any():
+            removed(spark, path)
             break
         n = np.array([r["n"] for r in found], np.int64)
         size = np.array([r["size"] for r in found], np.int64)
@@ -335,7 +346,9 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         others = roles.where(~matched).select(
             "kind", F.when(F.col("kind") == PLACED, 0).otherwise(F.col("size")).alias("size"), "uid", F.lit(0).alias("offset"), "p"
         )
-        after = written(placed.unionByName(others), "pack-round")
+        # few rows are few files, whatever the number of shuffle partitions; the sorted rows are used up
+        after = written(placed.unionByName(others).coalesce(max(1, int(n.sum()) // ROUND_ROWS)), "pack-round")
+        removed(spark, path)
         done.append(after.where(F.col("kind") == PLACED).select(F.col("uid").alias("sequence_id"), "offset", "p"))
         state = after.where((F.col("kind") != PLACED) | (F.col("size") > 0)).select(
             "size",
