@@ -163,6 +163,26 @@ def test_catchment_equals_brute_force_with_a_hot_city(spark):
     assert got == brute_catchment(clean, 50.0)
 
 
+def test_catchment_of_ten_thousand_points_in_one_cell(spark):
+    rng = np.random.default_rng(4)
+    n = 10_000
+    lat, lon = 48.85 + rng.uniform(-0.2, 0.2, n), 2.35 + rng.uniform(-0.3, 0.3, n)
+    far = 600
+    lat[:far], lon[:far] = 48.85 + rng.uniform(-1.2, 1.2, far), 2.35 + rng.uniform(-1.8, 1.8, far)
+    trial = rng.integers(0, 300, n)
+    rows = list(zip(range(n), trial.tolist(), lat.tolist(), lon.tolist()))
+    sites = spark.createDataFrame(rows, "site_id long, trial_id long, latitude double, longitude double")
+    trials = spark.createDataFrame([(i, f"NCT{i}") for i in range(300)], "trial_id long, nct_id string")
+    got = {r["site_id"]: (r["nearby_site_count"], r["nearby_trial_count"]) for r in geo.site_catchment(sites, trials, 50.0).collect()}
+    assert len(got) == n
+    p, q = np.radians(lat), np.radians(lon)
+    for i in [*range(0, far, 3), *range(far, n, 40)]:
+        h = np.sin((p - p[i]) / 2) ** 2 + np.cos(p[i]) * np.cos(p) * np.sin((q - q[i]) / 2) ** 2
+        near = 2 * 6371.0088 * np.arcsin(np.sqrt(np.minimum(h, 1))) <= 50.0
+        near[i] = False
+        assert got[i] == (near.sum(), len(set(trial[near].tolist())))
+
+
 def test_radius_search_across_the_date_line_and_pole(spark):
     rows = [(1, 1, 0.0, 179.9), (2, 1, 0.0, -179.9), (3, 1, 89.9, 10.0), (4, 1, 89.9, -170.0), (5, 1, 0.0, 170.0)]
     sites = spark.createDataFrame(rows, "site_id long, trial_id long, latitude double, longitude double")

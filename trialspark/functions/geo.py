@@ -67,8 +67,8 @@ def cube_cell(point: Column, edge_km: float) -> Column:
     return _cell_key(*[F.floor(point[a] / edge_km) for a in "xyz"], edge_km)
 
 
-def cells_in_reach(df: DataFrame, point: str, edge_km: float, alias: str = "cell") -> DataFrame:
-    """One row per cube that can hold a point within ``edge_km`` of ``point``.
+def cells_in_reach(df: DataFrame, point: str, edge_km: float, alias: str = "cell", spread_km: str | None = None) -> DataFrame:
+    """One row per cube that can hold a point within ``edge_km`` of ``point``, or of what lies ``spread_km`` around it.
 
     A chord is never longer than its arc, so such points lie in the same cube or in touching ones;
     poles and the date line need no special case. Of the 27 cubes only those stay that come within
@@ -76,21 +76,32 @@ def cells_in_reach(df: DataFrame, point: str, edge_km: float, alias: str = "cell
     """
     slack = 1e-6
     gap = near = far = F.lit(0.0)
+    wide = F.lit(edge_km) + (F.lit(0.0) if spread_km is None else F.col(spread_km))
     for a in "xyz":
         p, index = F.col(f"{point}.{a}"), F.col(f"_{a}")
-        reach = F.sequence(F.floor((p - edge_km) / edge_km), F.floor((p + edge_km) / edge_km))
+        reach = F.sequence(F.floor((p - wide) / edge_km), F.floor((p + wide) / edge_km))
         df = df.withColumn(f"_{a}", F.explode(reach))
         low, high = index * edge_km, (index + 1) * edge_km
         outside = F.greatest(low - p, p - high, F.lit(0.0))
         closest = F.greatest(low, -high, F.lit(0.0))
         farthest = F.greatest(F.abs(low), F.abs(high))
         gap, near, far = gap + outside * outside, near + closest * closest, far + farthest * farthest
-    reachable = gap <= (edge_km + slack) ** 2
+    reachable = gap <= (wide + slack) * (wide + slack)
     on_sphere = (near <= (EARTH_RADIUS_KM + slack) ** 2) & (far >= (EARTH_RADIUS_KM - slack) ** 2)
     key = _cell_key(F.col("_x"), F.col("_y"), F.col("_z"), edge_km)
     return df.filter(reachable & on_sphere).withColumn(alias, key).drop("_x", "_y", "_z")
 
 
+def chord_km(radius_km: float) -> float:
+    """The straight line between two points that far apart along the surface."""
+    return 2 * EARTH_RADIUS_KM * math.sin(min(radius_km / EARTH_RADIUS_KM, math.pi) / 2)
+
+
+def chord_between(a: str, b: str) -> Column:
+    squares = [(F.col(f"{a}.{c}") - F.col(f"{b}.{c}")) * (F.col(f"{a}.{c}") - F.col(f"{b}.{c}")) for c in "xyz"]
+    return F.sqrt(squares[0] + squares[1] + squares[2])
+
+
 def within_km(a: str, b: str, radius_km: float, exact_km: Column) -> Column:
     """Whether two Earth-centred points are at most ``radius_km`` apart along the surface.
 
@@ -98,7 +109,7 @@ def within_km(a: str, b: str, radius_km: float, exact_km: Column) -> Column:
     """
     squares = [(F.col(f"{a}.{c}") - F.col(f"{b}.{c}")) * (F.col(f"{a}.{c}") - F.col(f"{b}.{c}")) for c in "xyz"]
     chord2 = squares[0] + squares[1] + squares[2]
-    limit = (2 * EARTH_RADIUS_KM * math.sin(min(radius_km / EARTH_RADIUS_KM, math.pi) / 2)) ** 2
+    limit = chord_km(radius_km) ** 2
     slack = 1e-6 * limit + 1e-6
     return F.when(chord2 <= limit - slack, True).when(chord2 > limit + slack, False).otherwise(exact_km <= radius_km)
 

@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialspark.functions.geo import bounding_box, cells_in_reach, cube_cell, earth_xyz, haversine_km, within_km
-
+from trialspark.functions.geo import (
+    bounding_box,
+    cells_in_reach,
+    chord_between,
+    chord_km,
+    cube_cell,
+    earth_xyz,
+    haversine_km,
+    within_km,
+)
+from trialspark.session import cut_lineage
+
+#: Points of a cell that are searched one by one; more are put together by sub-cells, so many to an edge.
+CROWD, FINER = 64, 8
 _LOCATED = "latitude is not null and longitude is not null"
 
 
@@ -36,43 +50,104 @@ def sites_within_radius(
     )
 
 
+def _with_units(point_trials: DataFrame, radius_km: float) -> DataFrame:
+    """Add the point in space and the unit that it is searched as: ``point``, ``cell``, ``unit``.
+
+    A cube cell of the radius' edge with few points keeps them as they are; the points of a crowded one are
+    put together by sub-cells of an eighth of the edge, so no cell has more units than a constant.
+    """
+    at = ["latitude", "longitude"]
+    point = F.col("point")
+    placed = point_trials.withColumn("point", earth_xyz(*at)).withColumn("cell", cube_cell(point, radius_km))
+    points = placed.groupBy("cell", *at).agg(F.lit(1).alias("_one")).groupBy("cell").agg(F.count("*").alias("_n"))
+    crowded = cut_lineage(points.filter(F.col("_n") > CROWD).select("cell", F.lit(True).alias("_crowded")))
+    inner = lambda a: F.pmod(F.floor(point[a] * FINER / radius_km), F.lit(FINER))
+    sub = (inner("x") * FINER + inner("y")) * FINER + inner("z")
+    return placed.join(crowded, "cell", "left").withColumn(
+        "unit", F.when(F.col("_crowded"), sub).otherwise(F.xxhash64(*at))
+    ).drop("_crowded")
+
+
 def site_catchment(sites: DataFrame, trials: DataFrame, radius_km: float = 50.0) -> DataFrame:
     """Other sites, and distinct trials of other sites, within the radius of each site.
 
-    Sites are first folded to (coordinate, trial) with a count, so a city whose sites share a
-    geocode is one point. Points meet through the cube-cell grid, an equi-join that the adaptive
-    planner splits where a cell is crowded, and each result is summed map-side per
-    (point, trial) before it moves. An anchor leaves the sums of its point: itself from the sites,
-    and its trial from the trials when no other site of that trial is near.
+    Sites are first folded to (coordinate, trial) with a count, so a city whose sites share a geocode is
+    one point. Points are searched as units: themselves, or the sub-cell of a crowded cell. Units meet
+    through the cube-cell grid, an equi-join that the adaptive planner splits. A unit that lies wholly
+    within reach of another gives it its trials once, for all points of both (``inner``); only units on the
+    rim of each other are compared point by point (``rim``). A point's trials are those of its unit's inner
+    set and those that only its rim has. So the work grows with points times the trials near a unit, not with
+    pairs of points. An anchor leaves the sums of its point: itself from the sites, and its trial from the
+    trials when no other site of that trial is near.
     """
-    at = ["latitude", "longitude"]
+    at, unit = ["latitude", "longitude"], ["cell", "unit"]
     point_trials = sites.filter(_LOCATED).groupBy(*at, "trial_id").agg(F.count("*").alias("n"))
-    points = point_trials.select(*at).distinct().withColumn("point", earth_xyz(*at))
-
-    anchors = cells_in_reach(points, "point", radius_km)
-    neighbours = point_trials.select(
-        F.col("latitude").alias("n_lat"),
-        F.col("longitude").alias("n_lon"),
-        F.col("trial_id").alias("near_trial"),
-        "n",
-        earth_xyz(*at).alias("n_point"),
-    ).withColumn("cell", cube_cell(F.col("n_point"), radius_km))
-    close = within_km("point", "n_point", radius_km, haversine_km(*at, "n_lat", "n_lon"))
+    placed = cut_lineage(_with_units(point_trials, radius_km))
+    points = placed.select(*at, *unit).distinct().withColumn("point", earth_xyz(*at))
+    middle = lambda a: (F.min(f"point.{a}") + F.max(f"point.{a}")) / 2
+    half = lambda a: (F.max(f"point.{a}") - F.min(f"point.{a}")) / 2
+    units = cut_lineage(
+        points.groupBy(*unit).agg(
+            F.struct(*[middle(a).alias(a) for a in "xyz"]).alias("center"),
+            F.sqrt(half("x") * half("x") + half("y") * half("y") + half("z") * half("z")).alias("spread"),
+            *[F.min(c).alias(c) for c in at],
+        )
+    )
     # the planner cannot see how much the cells multiply the anchors, so broadcast is ruled out here;
     # a merge join spills, and its skewed partitions are split
-    near = anchors.hint("merge").join(neighbours, "cell").filter(close)
-    per_trial = near.groupBy(*at, "near_trial").agg(F.sum("n").alias("sites_of_trial"))
-    per_point = per_trial.groupBy(*at).agg(
-        F.sum("sites_of_trial").alias("sites_near"), F.count("*").alias("trials_near")
+    anchors = cells_in_reach(units.withColumnsRenamed({"cell": "own_cell", "unit": "own_unit"}), "center", radius_km, "cell", "spread")
+    there = units.select(
+        *unit, F.col("center").alias("n_center"), F.col("spread").alias("n_spread"), F.col("latitude").alias("n_lat"), F.col("longitude").alias("n_lon")
     )
-
-    own = point_trials.join(per_trial.withColumnRenamed("near_trial", "trial_id"), [*at, "trial_id"])
-    counts = own.join(per_point, at).select(
-        *at,
-        "trial_id",
-        (F.col("sites_near") - 1).alias("near_sites"),
-        (F.col("trials_near") - F.when(F.col("sites_of_trial") == 1, 1).otherwise(0)).alias("near_trials"),
+    limit, slack = chord_km(radius_km), 1e-6 * chord_km(radius_km) + 1e-6
+    apart = chord_between("center", "n_center")
+    both = F.col("spread") + F.col("n_spread")
+    inside = F.when(both > 0, apart + both <= limit - slack).otherwise(
+        within_km("center", "n_center", radius_km, haversine_km(*at, "n_lat", "n_lon"))
+    )
+    unit_trials = placed.groupBy(*unit, "trial_id").agg(F.sum("n").alias("n")).join(there, unit)
+    inner = (
+        anchors.hint("merge").join(unit_trials, "cell").filter(inside)
+        .groupBy("own_cell", "own_unit", F.col("trial_id").alias("near_trial")).agg(F.sum("n").alias("n"))
+        .withColumnsRenamed({"own_cell": "cell", "own_unit": "unit"})
+    )
+
+    touching = (both > 0) & (apart + both > limit - slack) & (apart - both <= limit + slack)
+    # only a unit of several points has a rim: pairs of single points are never joined again
+    rims = reduce(
+        DataFrame.unionByName,
+        [
+            anchors.filter(ours).hint("merge").join(there.filter(others), "cell").filter(touching).select("own_cell", "own_unit", *unit)
+            for ours, others in ((F.col("spread") > 0, F.lit(True)), (F.col("spread") == 0, F.col("n_spread") > 0))
+        ],
+    )
+    mine = points.select(F.col("cell").alias("own_cell"), F.col("unit").alias("own_unit"), *at, "point")
+    theirs = placed.select(
+        *unit, F.col("latitude").alias("n_lat"), F.col("longitude").alias("n_lon"), F.col("point").alias("n_point"), F.col("trial_id").alias("near_trial"), "n"
     )
+    close = within_km("point", "n_point", radius_km, haversine_km(*at, "n_lat", "n_lon"))
+    rim = cut_lineage(
+        rims.join(theirs, unit).join(mine, ["own_cell", "own_unit"]).filter(close)
+        .groupBy(*at, F.col("own_cell").alias("cell"), F.col("own_unit").alias("unit"), "near_trial").agg(F.sum("n").alias("n"))
+    )
+
+    per_unit = inner.groupBy(*unit).agg(F.sum("n").alias("inner_sites"), F.count("*").alias("inner_trials"))
+    known = inner.select(*unit, "near_trial", F.lit(True).alias("_known"))
+    per_point = rim.join(known, [*unit, "near_trial"], "left").groupBy(*at).agg(
+        F.sum("n").alias("rim_sites"), F.count_if(F.col("_known").isNull()).alias("rim_trials")
+    )
+    own = placed.select(*at, *unit, F.col("trial_id").alias("near_trial"))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    counts = (
+        own.join(per_unit, unit, "left").join(per_point, at, "left")
+        .join(inner.withColumnRenamed("n", "inner_own"), [*unit, "near_trial"], "left")
+        .join(rim.select(*at, "near_trial", F.col("n").alias("rim_own")), [*at, "near_trial"], "left")
+        .select(
+            *at, F.col("near_trial").alias("trial_id"),
+            (zero("inner_sites") + zero("rim_sites") - 1).alias("near_sites"),
+            (zero("inner_trials") + zero("rim_trials") - F.when(zero("inner_own") + zero("rim_own") == 1, 1).otherwise(0)).alias("near_trials"),
+        )
+    )
     return (
         sites.select("site_id", "trial_id", *at)
         .join(trials.select("trial_id", "nct_id"), "trial_id")
