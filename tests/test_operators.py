@@ -453,6 +453,26 @@ def test_full_text_of_any_script_from_a_stored_index(spark, tmp_path):
     assert retrieval.search_index(index, " ?! ", "id", 8).count() == 0
 
 
+def test_fields_outside_the_declared_record(spark):
+    from trialspark.sources.studies import load_studies
+
+    texts = [("N1", '{"protocolSection":{"identificationModule":{"nctId":"N1"},"extra":{"a":[1,2],"b":{"c":"x"}}}}'), ("N2", "{}")]
+    good, _ = load_studies(spark.createDataFrame(texts, "nct_id string, study_json string"))
+    paths = ["protocolSection.identificationModule.nctId", "protocolSection.extra.b.c", "protocolSection.extra.a", "protocolSection.none"]
+    got = search.project_fields(good.select("study_json", "study.*"), paths, "study_json").collect()
+    assert [tuple(r) for r in got] == [("N1", "x", "[1,2]", None), (None, None, None, None)]
+
+
+def test_quality_metrics_count_failed_embeddings_as_none(spark):
+    some = spark.range(10)
+    features = spark.createDataFrame([(10, 0.5), (20, 0.7)], "token_count long, lexical_diversity double")
+    made = spark.createDataFrame([(1, [1.0]), (2, None)], "id long, embedding array<float>")
+    row = quality.quality_metrics(some, some.limit(8), features, made).first()
+    assert (row["total_expected"], row["total_processed"], row["nlp_processed"], row["embeddings_generated"]) == (10, 8, 2, 1)
+    judged = quality.quality_gate(quality.quality_metrics(some, some, features.limit(0)), quality.QualityThresholds(min_studies_processed=5)).first()
+    assert judged["passed"] and judged["embeddings_generated"] == 0
+
+
 def test_quality_gate_reports(spark):
     metrics = spark.createDataFrame(
         [(100, 90, 10.0, 0.05), (100, 120, 80.0, 0.5), (0, 0, 80.0, 0.5)],

@@ -54,6 +54,24 @@ def test_artifact_names(spark, tmp_path):
     assert all(r["raw_artifact_path"].startswith(r["sha256"][:2] + "/" + r["sha256"]) for r in rows)
 
 
+def test_contents_are_stored_once_by_hash(spark, tmp_path):
+    landed, store = tmp_path / "landed", str(tmp_path / "store")
+    landed.mkdir()
+    for name, content in {"A.PDF": b"one", "b.pdf": b"one", "noext": b"two"}.items():
+        (landed / name).write_bytes(content)
+    files = lambda: writers.read_artifacts(spark, str(landed))
+    writers.store_artifacts(files(), store)
+    before = files_of(tmp_path / "store")
+    (landed / "c.txt").write_bytes(b"three")
+    catalogue = writers.store_artifacts(files(), store)
+    after = files_of(tmp_path / "store")
+    assert before.items() <= after.items() and len(after) == len(before) + 1
+    assert spark.read.parquet(store).count() == 3
+    back = {bytes(r["content"]): r["raw_artifact_path"] for r in writers.read_stored(spark, store, catalogue).collect()}
+    assert set(back) == {b"one", b"two", b"three"} and back[b"three"].endswith(".txt")
+    assert writers.read_stored(spark, store, catalogue.limit(0)).count() == 0
+
+
 def test_shards_with_one_hot_key(spark, tmp_path):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
     counts = writers.write_shards(df, "k", str(tmp_path / "shards"), 16).collect()

@@ -72,10 +72,28 @@ def snapshot_summary(documents: DataFrame, snapshot_id: str) -> DataFrame:
     )
 
 
+def quality_metrics(expected: DataFrame, harmonized: DataFrame, features: DataFrame, embeddings: DataFrame | None = None) -> DataFrame:
+    """The metrics row of a run: studies expected and processed, texts analysed, their means, embeddings made.
+
+    ``features`` has ``token_count`` and ``lexical_diversity``; a text whose embedding failed counts as none.
+    """
+    made = F.lit(0).cast("bigint") if embeddings is None else embeddings.agg(F.count("embedding")).scalar()
+    analysed = features.agg(
+        F.count("*").alias("nlp_processed"),
+        F.coalesce(F.avg("token_count"), F.lit(0.0)).alias("avg_token_count"),
+        F.coalesce(F.avg("lexical_diversity"), F.lit(0.0)).alias("avg_lexical_diversity"),
+    )
+    count = lambda df: df.agg(F.count("*")).scalar()
+    return analysed.withColumns(
+        {"total_expected": count(expected), "total_processed": count(harmonized), "embeddings_generated": F.coalesce(made, F.lit(0).cast("bigint"))}
+    )
+
+
 def quality_gate(metrics: DataFrame, limits: QualityThresholds = QualityThresholds()) -> DataFrame:
     """Metrics row → the same with rates, ``passed`` and ``issues`` (metric, its value, its limit).
 
-    Input: total_expected, total_processed, avg_token_count, avg_lexical_diversity. Too few studies
+    Input: total_expected, total_processed, avg_token_count, avg_lexical_diversity, and any others, which stay
+    (:func:`quality_metrics` makes the row). Too few studies
     or a high error rate fail; low tokens or diversity are only reported. The error rate may be
     negative.
     """

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trialspark.functions.geo import KM_PER_MILE, bounding_box, distance_decay, haversine_km
 from trialspark.functions.text import contains_token, query_tokens
@@ -166,9 +167,30 @@ def filter_list_size(df: DataFrame, c: str, low: int | None = None, high: int |
     return df.filter(kept)
 
 
-def project_fields(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Nested fields by path; a branch keeps all its descendants. Columns are named by the path."""
-    return df.select(*[F.col(f).alias(f.replace(".", "_")) for f in fields])
+def _declared(schema: T.DataType, path: str) -> bool:
+    """Whether a dotted path leads through structs, and arrays of them, to a declared field."""
+    for part in path.split("."):
+        while isinstance(schema, T.ArrayType):
+            schema = schema.elementType
+        if not isinstance(schema, T.StructType) or part not in schema.names:
+            return False
+        schema = schema[part].dataType
+    return True
+
+
+def project_fields(df: DataFrame, fields: Sequence[str], json_col: str | None = None) -> DataFrame:
+    """Nested fields by path; a branch keeps all its descendants. Columns are named by the path.
+
+    Declared fields keep their type. Any other path is read from the record's text in ``json_col``: a scalar
+    as text, a branch or list as JSON text, null where a record lacks it.
+    """
+
+    def column(path: str) -> Column:
+        if json_col is None or _declared(df.schema, path):
+            return F.col(path)
+        return F.get_json_object(json_col, "$." + path)
+
+    return df.select(*[column(f).alias(f.replace(".", "_")) for f in fields])
 
 
 def filter_synonyms(

@@ -228,7 +228,8 @@ def snapshot_summary(t: Tables):
     r"""WITH w AS (SELECT len(regexp_extract_all(lower(text), '[a-z0-9]+')) AS n, len(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))) AS u FROM documents),
        m AS (SELECT count(*) AS total_processed, avg(n) AS tokens, avg(CASE WHEN n > 0 THEN u / n ELSE 0 END) AS diversity FROM w),
        e AS (SELECT (SELECT count(*) FROM orders) AS total_expected, * FROM m)
-       SELECT total_expected, total_processed, round(tokens, 6) AS avg_token_count, round(diversity, 6) AS avg_lexical_diversity,
+       SELECT total_expected, total_processed, total_processed AS nlp_processed, (SELECT count(embedding) FROM embeddings) AS embeddings_generated,
+         round(tokens, 6) AS avg_token_count, round(diversity, 6) AS avg_lexical_diversity,
          round(total_processed / total_expected * 100, 6) AS processing_rate, round(1 - total_processed / total_expected, 6) AS error_rate,
          total_processed >= 500 AND 1 - total_processed / total_expected <= 0.05 AS passed,
          concat_ws('; ', CASE WHEN total_processed < 500 THEN 'total_processed' END,
@@ -242,11 +243,7 @@ def gate(t: Tables):
         F.size("w").alias("token_count"),
         F.when(F.size("w") > 0, F.size(F.array_distinct("w")) / F.size("w")).otherwise(0.0).alias("lexical_diversity"),
     )
-    expected = t.orders.agg(F.count("*").alias("n")).scalar()
-    metrics = counted.agg(
-        F.count("*").alias("total_processed"), F.avg("token_count").alias("avg_token_count"),
-        F.avg("lexical_diversity").alias("avg_lexical_diversity"),
-    ).withColumn("total_expected", expected)
+    metrics = quality.quality_metrics(t.orders, t.documents, counted, t.embeddings)
     limits = quality.QualityThresholds(min_studies_processed=500, min_avg_tokens=100_000)
     judged = quality.quality_gate(metrics, limits)
     rounded = {c: F.round(c, 6) for c in ("avg_token_count", "avg_lexical_diversity", "processing_rate", "error_rate")}

@@ -253,6 +253,22 @@ def canonical(t: Tables):
     return reduce(lambda a, b: a.unionByName(b), rows)
 
 
+@query(
+    "prj18_fields_outside_the_schema",
+    _FULL
+    + """SELECT id AS nct_id, concat('Brief ', k) AS brief_title, 'kept' AS note, '{"note":"kept"}' AS ancestors,
+       CASE WHEN k % 3 > 0 THEN concat('Condition ', k % 11 + 1) END AS first_condition, NULL::VARCHAR AS absent FROM o""",
+)
+def undeclared(t: Tables):
+    """Fields that no declared type has, beside declared ones."""
+    good, _ = load_studies(full_studies(t))
+    base = "protocolSection."
+    paths = ["identificationModule.briefTitle", "interventionBrowseModule.ancestors.note", "interventionBrowseModule.ancestors", "conditionsModule.conditions[0]", "miscInfoModule.versionHolder"]
+    rows = good.select("nct_id", "study_json", "study.*")
+    found = search.project_fields(rows, ["nct_id", *[base + p for p in paths]], "study_json")
+    return found.toDF("nct_id", "brief_title", "note", "ancestors", "first_condition", "absent")
+
+
 @query(
     "gr05_canonical_k_hop",
     _FULL

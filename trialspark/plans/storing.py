@@ -41,7 +41,7 @@ def write_and_scan(t: Tables):
         t.orders.select(F.col("o_orderkey").alias("trial_id"), F.lower("o_orderpriority").alias("label")),
         run_dir(t.spark, "table"),
     )
-    return studies.read_parquet(t.spark, path)
+    return t.spark.read.parquet(path)
 
 
 def _export(t: Tables) -> str:
@@ -123,6 +123,25 @@ def artifacts(t: Tables):
     return writers.catalogue_artifacts(files)
 
 
+@query(
+    "src08_artifact_store",
+    """SELECT sha256(text) AS sha256, concat(substr(sha256(text), 1, 2), '/', sha256(text), '.txt') AS raw_artifact_path,
+         max(strlen(text))::BIGINT AS file_size, md5(text) AS content_md5 FROM documents WHERE text IS NOT NULL AND doc_id % 2 = 1 GROUP BY 1, 2, 4""",
+)
+def artifact_store(t: Tables):
+    """Texts stored by hash in two runs, the second with all of the first; contents read back by hash."""
+    files = t.documents.filter("text is not null").select(
+        F.concat(F.lit("landed/doc_"), F.col("doc_id").cast("string"), F.lit(".TXT")).alias("path"),
+        F.octet_length("text").cast("bigint").alias("length"), F.encode("text", "UTF-8").alias("content"), "doc_id",
+    )
+    path = run_dir(t.spark, "artifacts")
+    writers.store_artifacts(files.filter("doc_id % 3 = 0"), path)
+    writers.store_artifacts(files, path)
+    wanted = files.filter("doc_id % 2 = 1").select(F.sha2("content", 256).alias("sha256"))
+    found = writers.read_stored(t.spark, path, wanted)
+    return found.select("sha256", "raw_artifact_path", "file_size", F.md5("content").alias("content_md5"))
+
+
 @query(
     "src09_sharded_write",
     """SELECT (concat('0x', substr(md5(nct_id), 1, 8))::BIGINT % 256)::BIGINT AS shard_id, count(*) AS record_count FROM trial GROUP BY 1""",

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trialspark.operators.lineage import snapshot_delta
-from trialspark.sources.marts import path_exists
 from trialspark.sources.versioned import remove_folder
+from trialspark.sources.writers import path_exists
 
 
 def runs(spark: SparkSession, path: str) -> DataFrame | None:

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialspark.sources.writers import write_partitioned
+from trialspark.sources.writers import path_exists, write_partitioned
 
 # Fact mart → canonical table
 FACT_SOURCES = {
@@ -22,12 +22,6 @@ FACT_SOURCES = {
 }
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on its own file system, local or remote."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(location)
-
-
 def require_sources(spark: SparkSession, canonical_dir: str, tables: list[str]) -> None:
     """Stop before anything is written when a table that a mart reads isn't there."""
     for table in tables:

@@ -40,6 +40,3 @@ def load_studies(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 def restrict_to(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(ids.select(key), key, "left_semi")
 
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

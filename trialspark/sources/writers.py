@@ -8,6 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trialspark.functions.scalars import shard_hash
+from trialspark.session import cut_lineage
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on its own file system, local or remote."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(location)
 
 
 def write_table(df: DataFrame, path: str, compression: str = "zstd") -> str:
@@ -95,5 +102,32 @@ def catalogue_artifacts(files: DataFrame) -> DataFrame:
     )
 
 
+def store_artifacts(files: DataFrame, path: str) -> DataFrame:
+    """Keep the content of landed files once per hash; returns the catalogue of ``files``.
+
+    The store is a table of ``sha256``, ``raw_artifact_path``, ``file_size`` and ``content``, in folders by the
+    first two digits of the hash. Only hashes move to find what is new; a content that is stored already,
+    by this run or an earlier one, is not written again.
+    """
+    spark = files.sparkSession
+    catalogue = cut_lineage(catalogue_artifacts(files))
+    fresh = catalogue
+    if path_exists(spark, path):
+        fresh = catalogue.join(spark.read.parquet(path).select("sha256"), "sha256", "left_anti")
+    named = files.select(F.sha2("content", 256).alias("sha256"), F.col("path").alias("_path"), "content")
+    first = fresh.join(named.groupBy("sha256").agg(F.min("_path").alias("_path")), "sha256")
+    rows = named.join(first, ["sha256", "_path"]).dropDuplicates(["sha256"])
+    rows = rows.select("sha256", "raw_artifact_path", "file_size", "content", F.substring("sha256", 1, 2).alias("prefix"))
+    rows.hint("rebalance", F.col("prefix")).write.mode("append").partitionBy("prefix").parquet(path)
+    return catalogue
+
+
+def read_stored(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """Stored contents of the hashes in ``wanted`` (``sha256``); only their folders are read."""
+    asked = wanted.select("sha256", F.substring("sha256", 1, 2).alias("prefix")).distinct()
+    schema = "sha256 string, raw_artifact_path string, file_size long, content binary, prefix string"
+    return spark.read.schema(schema).parquet(path).join(asked, ["prefix", "sha256"]).drop("prefix")
+
+
 def read_artifacts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
