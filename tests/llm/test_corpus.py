@@ -150,6 +150,22 @@ def test_search_equals_brute_force(spark):
     assert topk.search(vectors.limit(0), vectors.limit(0), 10).count() == 0
 
 
+def test_search_among_repeated_rows_and_clashing_columns(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(60)]
+    rows += [rows[0]] * 4 + [rows[7]] * 20 + [(100 + i, rows[0][1]) for i in range(15)] + [(20, [9.0, 9.0, 9.0, 9.0])]
+    frame = spark.createDataFrame([(*r, 5, 6.0) for r in rows], "vec_id long, embedding array<float>, class long, score double")
+    vectors = topk.quantized(frame)
+    got = topk.search(vectors, vectors.where("vec_id % 10 = 0"), 10).collect()
+    q = {(i, tuple(np.floor(1024 * np.array(v, np.float32).astype(float)).astype(int).tolist())) for i, v in rows}
+    want = []
+    for a, u in q:
+        if a % 10 == 0:
+            ranked = sorted((-int(np.dot(u, w)), b) for b, w in q if b != a)[:10]
+            want += [(a, k + 1, b, -s) for k, (s, b) in enumerate(ranked)]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 PAGE = """<!DOCTYPE html><head><title>no</title><script>if(a<b){"</p>"}</script></head><body class="x">
 <nav><ul><li><a href="/">Home</a></ul></nav><header>Site</header><div class="cookie-notice"><p>Cookies</p></div>
 <article><header><h1>Head&amp;line</h1></header><p>First <b>bold</b>
