@@ -58,8 +58,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, lists: int = LISTS) -
 
     ``vectors`` and ``queries`` hold ``vec_id, v``; a query never finds the row of its own id. Shorter
     vectors count as padded with zeros. Fewer vectors than ``k``: all of them. No vectors: no rows.
-    Equal rows count once, as candidates and as queries; queries of one id with different vectors have a
-    list each. Other columns are not read.
+    Equal rows count once, as candidates and as queries. An id has one vector: of rows of one id with
+    different vectors the smallest, compared by components, counts. Other columns are not read.
 
     Equal vectors are one class with its k + 1 smallest ids, which is all that a result can show, so a
     vector that a third of the rows share is scored once. Classes meet the queries in blocks; the
@@ -75,12 +75,13 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, lists: int = LISTS) -
     keep = k + 1
     by_vector = Window.partitionBy("v").orderBy("vec_id")
     members = written(
-        vectors.select("vec_id", "v").distinct().withColumn("place", F.row_number().over(by_vector)).where(F.col("place") <= keep)
+        vectors.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("place", F.row_number().over(by_vector)).where(F.col("place") <= keep)
         .select("vec_id", "v", "place", F.first("vec_id").over(by_vector).alias("class")), "topk-members",
     )
     classes = members.where(F.col("place") == 1).select("class", "v")
     asked = written(
-        queries.join(classes, "v").select(F.col("vec_id").alias("query_id"), F.col("class").alias("q")).distinct(), "topk-asked"
+        queries.groupBy("vec_id").agg(F.min("v").alias("v")).join(classes, "v").select(F.col("vec_id").alias("query_id"), F.col("class").alias("q")),
+        "topk-asked",
     )
     wanted = asked.select("q").distinct().join(classes, F.col("q") == F.col("class")).select("q", F.col("v").alias("w"))
     sizes = classes.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d")).first()
@@ -167,5 +168,5 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, lists: int = LISTS) -
         .join(members.select("class", "vec_id"), "class")
         .where(F.col("vec_id") != F.col("query_id"))
     )
-    ranked = best(rows, ["query_id", "q"], [F.desc("score"), F.asc("vec_id")], k)
+    ranked = best(rows, ["query_id"], [F.desc("score"), F.asc("vec_id")], k)
     return ranked.select("query_id", "rank", "vec_id", "score")
