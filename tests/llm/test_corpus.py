@@ -125,6 +125,17 @@ def test_anchors_do_not_depend_on_a_long_run_elsewhere():
     assert (beside[: len(alone)] == alone).all() and (beside != 0).all()
 
 
+def test_batches_by_size():
+    import pyarrow as pa
+
+    from trialspark.llm.common import slices_by_size
+
+    raw = [b"x" * n for n in (5, 5, 100, 1, 1, 1, 0, 0)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(raw, pa.binary())], ["b"])
+    parts = [[len(r or b"") for r in p.column("b").to_pylist()] for p in slices_by_size(batch, "b", 10, 4)]
+    assert parts == [[5, 5], [100], [1, 1, 1, 0], [0, 0]]
+
+
 def test_substrings_of_nothing(empty):
     assert substrings.repeated_windows(empty).count() == 0
     assert substrings.remove_repeats(empty).count() == 0

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +78,19 @@ def slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, rows)
 
 
+def slices_by_size(batch: pa.RecordBatch, column: str, size: int, rows: int) -> Iterator[pa.RecordBatch]:
+    """A batch in shorter ones of at most ``rows`` rows and about ``size`` bytes of a binary column; one row at least."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    till = np.cumsum(lengths)
+    start = 0
+    while start < batch.num_rows:
+        before = int(till[start - 1]) if start else 0
+        end = int(np.searchsorted(till, before + size, "right"))
+        end = min(max(end, start + 1), start + rows)
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def text_blocks(
     batches: Iterator[pa.RecordBatch], chars: int
 ) -> Iterator[tuple[list[int], list[str], dict[str, list]]]:

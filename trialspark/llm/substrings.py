@@ -11,11 +11,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialspark.llm.common import text_blocks, words_of, written
+from trialspark.llm.common import slices_by_size, text_blocks, words_of, written
 from trialspark.llm.recompress import WINDOW, Block, word_names
 
 #: Characters of the documents that are named together.
 BLOCK_CHARS = 4_000_000
+#: Bytes of compressed texts whose windows are made together; a word of them takes some hundred bytes.
+SQUEEZED_BYTES = 800_000
 #: Stands for a null id, as the smallest one.
 NULL_ID = -(1 << 63)
 
@@ -88,8 +90,7 @@ def _suspects(named: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, 500):
-                batch = whole.slice(start, 500)
+            for batch in slices_by_size(whole, "squeezed", SQUEEZED_BYTES, 500):
                 names = [word_names(words_of(_text(t))) for t in batch.column("squeezed").to_pylist()]
                 block = Block(names, window)
                 anchor = block.anchors().view(np.int64)
