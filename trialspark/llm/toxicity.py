@@ -47,7 +47,7 @@ def _pair(before: np.ndarray, names: np.ndarray) -> np.ndarray:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of each class with a word (kind 0) or with a pair of words (kind 1, ``before`` its first)."""
-    for _, texts, more in text_blocks(batches, 8_000_000):
+    for _, texts, more in text_blocks(batches, 3_000_000):
         names, counts = _names(texts)
         doc = np.repeat(np.arange(len(texts)), counts)
         y = np.array(more["y"], np.int64)
@@ -220,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model |
     width = 3 * len(DISCOUNTS) + 1
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts, more in text_blocks(batches, 2_000_000):
+        for ids, texts, more in text_blocks(batches, 1_000_000):
             x = features(shared.value, texts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(more["y"], pa.int32()), *[pa.array(c) for c in x.T]],
@@ -251,7 +251,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
     model = fit(docs, labels, rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts, _ in text_blocks(batches, 2_000_000):
+        for ids, texts, _ in text_blocks(batches, 1_000_000):
             score = model.score(texts) if model else np.zeros(len(texts))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(score)], ["doc_id", "score"])
 
@@ -265,7 +265,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 500):
+            for batch in slices(whole, 300):
                 texts = [t or "" for t in batch.column("text").to_pylist()]
                 yield batch.filter(pa.array(model.score(texts) < threshold)) if model else batch
 
