@@ -2,6 +2,7 @@
 
 import pytest
 
+from trialspark.operators import validate
 from trialspark.plans.tables import Tables
 
 
@@ -17,3 +18,17 @@ def test_parts_are_not_gathered_in_the_driver(spark, tmp_path, view):
     found = getattr(Tables(spark, str(tmp_path)), view)
     assert "Broadcast" not in plan(found)
     assert found.count() == 1
+
+
+def test_rows_are_counted_for_broken_keys_only(spark):
+    tables = {
+        "trial": spark.createDataFrame([(1,), (2,), (2,)], "trial_id long"),
+        "arm": spark.createDataFrame([(1, "a"), (3, "b"), (3, "b"), (None, "c")], "trial_id long, label string"),
+        "site": spark.createDataFrame([(2, "a"), (None, "b")], "trial_id long, label string"),
+    }
+    keys = [(child, "trial_id", "trial", "trial_id") for child in ("arm", "site")]
+    found = validate.referential_breaks(tables, keys)
+    assert {r.foreign_key.split(".")[0]: r.orphans for r in found.collect()} == {"arm": 2, "site": 0}
+    intact = validate.referential_breaks(tables, keys[1:])
+    assert "Join" not in plan(intact)
+    assert [r.orphans for r in intact.collect()] == [0]

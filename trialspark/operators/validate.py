@@ -103,15 +103,18 @@ def referential_breaks(
 ) -> DataFrame:
     """Orphan counts per (child, child key, parent, parent key).
 
-    Child rows are counted per key before the join, so a key that many rows share moves once.
+    Whether any key is lost is asked of the child's distinct keys, in one job for all keys; an extract without
+    breaks never moves its rows. Rows are counted only for the foreign keys that are broken.
     """
-    counts = []
+    lost, found = {}, []
     for child, child_key, parent, parent_key in foreign_keys:
-        per_key = tables[child].groupBy(child_key).agg(F.count("*").alias("n"))
-        broken = orphans(per_key, tables[parent], child_key, parent_key)
-        counts.append(
-            broken.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphans")).select(
-                F.lit(f"{child}.{child_key} -> {parent}.{parent_key}").alias("foreign_key"), "orphans"
-            )
-        )
+        name = f"{child}.{child_key} -> {parent}.{parent_key}"
+        keys = orphans(tables[child].select(child_key).distinct(), tables[parent], child_key, parent_key)
+        lost[name] = (child, child_key, keys)
+        found.append(keys.agg(F.count("*").alias("n")).select(F.lit(name).alias("foreign_key"), "n"))
+    broken = {r.foreign_key for r in reduce(DataFrame.unionByName, found).filter("n > 0").collect()}
+    counts = []
+    for name, (child, child_key, keys) in lost.items():
+        rows = tables[child].join(keys, child_key, "left_semi") if name in broken else keys.sparkSession.range(0)
+        counts.append(rows.agg(F.count("*").alias("orphans")).select(F.lit(name).alias("foreign_key"), "orphans"))
     return reduce(DataFrame.unionByName, counts)
