@@ -2,7 +2,7 @@
 
 import pytest
 
-from trialspark.operators import validate
+from trialspark.operators import textjobs, validate
 from trialspark.plans.tables import Tables
 
 
@@ -32,3 +32,14 @@ def test_rows_are_counted_for_broken_keys_only(spark):
     intact = validate.referential_breaks(tables, keys[1:])
     assert "Join" not in plan(intact)
     assert [r.orphans for r in intact.collect()] == [0]
+
+
+def test_synonyms_are_distinct_before_they_meet(spark):
+    df = spark.createDataFrame([(1, "red red rod"), (1, "Red"), (None, "rod"), (None, "rod")], "id long, t string")
+    pairs = spark.createDataFrame([("red", "x"), ("red", "x"), ("rod", None), ("rod", "y")], "term string, synonym string")
+    found = textjobs.expand_synonyms(df, "id", "t", pairs)
+    tree = plan(found, "optimizedPlan")
+    assert tree.index("Join") < tree.index("Aggregate")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [(1, "red", "x"), (1, "rod", None), (1, "rod", "y"), (None, "rod", None), (None, "rod", "y")], key=str
+    )

@@ -321,9 +321,12 @@ def first_entities(links: DataFrame, id_col: str, keep: int | None = None) -> Da
 
 
 def expand_synonyms(df: DataFrame, id_col: str, text_col: str, synonyms: DataFrame) -> DataFrame:
-    """(id, term, synonym) for every distinct token with an entry in ``synonyms(term, synonym)``."""
-    terms = df.select(id_col, F.explode(F.array_distinct(tokens(text_col))).alias("term"))
-    return terms.join(synonyms, "term").select(id_col, "term", "synonym").distinct()
+    """(id, term, synonym) for every distinct token with an entry in ``synonyms(term, synonym)``.
+
+    Both sides are made distinct before they meet, so that no task holds the rows of the result.
+    """
+    terms = df.select(id_col, F.explode(F.array_distinct(tokens(text_col))).alias("term")).distinct()
+    return terms.join(synonyms.select("term", "synonym").distinct(), "term").select(id_col, "term", "synonym")
 
 
 def clauses_in_chunks(clauses: DataFrame, chunks: DataFrame, path: str, width: int) -> DataFrame:
