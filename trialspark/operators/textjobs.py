@@ -85,8 +85,11 @@ def shard_outcomes(df: DataFrame, shard: str, failed: str) -> DataFrame:
 def top_words(
     df: DataFrame, id_col: str, text_col: str, n: int = 10, stop_words: Iterable[str] = STOP_WORDS
 ) -> DataFrame:
-    """The n most frequent words of each text, ties by first appearance."""
-    placed = df.select(id_col, F.posexplode(alphabetic(text_col)).alias("pos", "word"))
+    """The n most frequent words of each text, ties by first appearance.
+
+    Texts are dealt by id before they are cut, so they move once and words and their counts not at all.
+    """
+    placed = df.select(id_col, text_col).repartition(id_col).select(id_col, F.posexplode(alphabetic(text_col)).alias("pos", "word"))
     placed = placed.filter(not_stop(F.col("word"), stop_words))
     counted = placed.groupBy(id_col, "word").agg(F.count("*").alias("freq"), F.min("pos").alias("first_pos"))
     order = Window.partitionBy(id_col).orderBy(F.desc("freq"), F.asc("first_pos"))
