@@ -1,7 +1,9 @@
 """What a task, the driver or a shuffle may hold: plans and pieces, on rows made here."""
 
+import pyarrow as pa
 import pytest
 
+from trialspark.functions import text
 from trialspark.operators import textjobs, validate
 from trialspark.plans.tables import Tables
 
@@ -50,3 +52,12 @@ def test_words_of_a_text_move_once_and_as_text(spark):
     found = textjobs.top_words(df, "id", "t", 1)
     assert plan(found).count("Exchange hashpartitioning") == 1
     assert sorted(map(tuple, found.collect()), key=str) == [(1, "pulse", 3, 1), (None, "visit", 1, 1)]
+
+
+@pytest.mark.parametrize("name", ["criteria_lines", "comparisons", "section_outline", "match_spans"])
+def test_results_of_texts_are_handed_on_in_pieces(spark, name):
+    function = text.match_spans(r"\w+") if name == "match_spans" else getattr(text, name)
+    pieces = list(function.func(iter([pa.array(["Note:\nage > 1", None] * 150)])))
+    assert max(map(len, pieces)) <= text.TEXTS_AT_ONCE
+    rows = [r for p in pieces for r in p.to_pylist()]
+    assert len(rows) == 300 and rows[1] == [] and rows[0] == rows[298] != []

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,36 +96,52 @@ def ngrams(token_array: Column, n: int) -> Column:
     return F.when(F.size(token_array) >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
+#: Texts whose results are Python objects at one time.
+TEXTS_AT_ONCE = 64
+_KINDS = {"int": (T.IntegerType(), pa.int32()), "string": (T.StringType(), pa.string()), "double": (T.DoubleType(), pa.float64())}
+
+
+def _rows_of(**fields: str) -> Callable[[Callable[[str | None], list[dict]]], Callable[[Column | str], Column]]:
+    """Make an Arrow function, text → array of structs of the fields, from one of a single text.
+
+    Results are handed on every few texts: as Python objects those of a whole batch take many times its size.
+    The type is built, since a DDL string would need a session when the module is imported.
+    """
+    kind = T.ArrayType(T.StructType([T.StructField(n, _KINDS[k][0]) for n, k in fields.items()]))
+    own = pa.list_(pa.struct([(n, _KINDS[k][1]) for n, k in fields.items()]))
+
+    def wrap(of_text: Callable[[str | None], list[dict]]) -> Callable[[Column | str], Column]:
+        @F.arrow_udf(kind)
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for texts in batches:
+                for at in range(0, len(texts), TEXTS_AT_ONCE):
+                    yield pa.array([of_text(t) for t in texts.slice(at, TEXTS_AT_ONCE).to_pylist()], own)
+
+        return run
+
+    return wrap
+
+
 def match_spans(pattern: str, lower: bool = False):
     """Arrow function: text → array of (text, start, end) for each match, offsets in characters.
 
     Spark's own functions return matches without their positions, and summing lengths per row
     would be quadratic in the length of the text.
     """
+    compiled = re.compile(pattern)
 
-    @F.pandas_udf("array<struct<text:string,start:int,end:int>>")
-    def spans(texts: pd.Series) -> pd.Series:
-        compiled = re.compile(pattern)
-
-        def of_text(text: str | None) -> list[dict]:
-            if text is None:
-                return []
-            return [
-                {"text": m.group().lower() if lower else m.group(), "start": m.start(), "end": m.end()}
-                for m in compiled.finditer(text)
-            ]
-
-        return texts.map(of_text, na_action=None)
+    @_rows_of(text="string", start="int", end="int")
+    def spans(text: str | None) -> list[dict]:
+        if text is None:
+            return []
+        return [
+            {"text": m.group().lower() if lower else m.group(), "start": m.start(), "end": m.end()}
+            for m in compiled.finditer(text)
+        ]
 
     return spans
 
 
-def _rows_of(**fields: str) -> T.ArrayType:
-    """An array of structs; a DDL string would need a session when the module is imported."""
-    kinds = {"int": T.IntegerType(), "string": T.StringType(), "double": T.DoubleType()}
-    return T.ArrayType(T.StructType([T.StructField(n, kinds[k]) for n, k in fields.items()]))
-
-
 _LINE = re.compile(r"[^\r\n]+")
 _LEAD = re.compile(r"(?:[\s*•\-]|\d+[.)]\s)*")
 _NAME = re.compile(r"[^\W_]+")
@@ -157,33 +173,29 @@ def criteria_header(core: str, bulleted: bool, before_bullets: bool) -> tuple[st
     return kinds.pop() if len(kinds) == 1 else "unknown", colon + 1 if colon >= 0 else len(core)
 
 
-@F.pandas_udf(_rows_of(line_no="int", criterion_type="string", text="string", start="int"))
-def criteria_lines(texts: pd.Series) -> pd.Series:
+@_rows_of(line_no="int", criterion_type="string", text="string", start="int")
+def criteria_lines(text: str | None) -> list[dict]:
     """The clauses of criteria texts in order, each with its section's kind and its place; headers are left out.
 
     One pass over each text. Lines before any header have kind ``unknown``.
     """
-
-    def of_text(text: str | None) -> list[dict]:
-        if text is None:
-            return []
-        lines = list(_LINE.finditer(text))
-        leads = [_LEAD.match(m.group()).group() for m in lines]
-        kind, out = "unknown", []
-        for k, (m, lead) in enumerate(zip(lines, leads)):
-            start, core = m.start() + len(lead), m.group()[len(lead) :]
-            follows = k + 1 < len(lines) and bool(leads[k + 1].strip())
-            header = criteria_header(core, bool(lead.strip()), follows)
-            if header is not None:
-                kind, skip = header
-                skip += _LEAD.match(core[skip:]).end()
-                start, core = start + skip, core[skip:]
-            body = core.rstrip()
-            if body:
-                out.append({"line_no": k, "criterion_type": kind, "text": body, "start": start})
-        return out
-
-    return texts.map(of_text, na_action=None)
+    if text is None:
+        return []
+    lines = list(_LINE.finditer(text))
+    leads = [_LEAD.match(m.group()).group() for m in lines]
+    kind, out = "unknown", []
+    for k, (m, lead) in enumerate(zip(lines, leads)):
+        start, core = m.start() + len(lead), m.group()[len(lead) :]
+        follows = k + 1 < len(lines) and bool(leads[k + 1].strip())
+        header = criteria_header(core, bool(lead.strip()), follows)
+        if header is not None:
+            kind, skip = header
+            skip += _LEAD.match(core[skip:]).end()
+            start, core = start + skip, core[skip:]
+        body = core.rstrip()
+        if body:
+            out.append({"line_no": k, "criterion_type": kind, "text": body, "start": start})
+    return out
 
 
 _COMPARE = re.compile(r">=|<=|≥|≤|>|<|=")
@@ -208,43 +220,39 @@ def _field(text: str) -> str:
     return _JOINING.sub("", text.strip().lower()).strip()
 
 
-@F.pandas_udf(_rows_of(field="string", comparator="string", value="double", unit="string", raw="string"))
-def comparisons(texts: pd.Series) -> pd.Series:
+@_rows_of(field="string", comparator="string", value="double", unit="string", raw="string")
+def comparisons(text: str | None) -> list[dict]:
     """Every comparison of each text; see :func:`trialspark.operators.textjobs.normalized_clauses`."""
-
-    def of_text(text: str | None) -> list[dict]:
-        if text is None:
-            return []
-        marks = list(_COMPARE.finditer(text))
-        out, free, last = [], 0, ""
-        for k, m in enumerate(marks):
-            stop = marks[k + 1].start() if k + 1 < len(marks) else len(text)
-            sign = m.group().replace("≥", ">=").replace("≤", "<=")
-            before = text[free : m.start()]
-            right = _RIGHT.match(text, m.end(), stop)
-            left = _LEFT.search(before[-80:])
-            if right is not None or left is None:
-                found = _FIELD.search(before[-400:])
-                name = _field(found.group()) if found else ""
-                value, unit = (_number(right.group(1)), right.group(2)) if right else (None, None)
-                begin = free + len(before) - (len(found.group()) if found else 0)
-                end = right.end() if right else stop
-                free = end if right else m.end()
-            else:  # the number stands before the sign: 18 <= age
-                found = _FIELD_AFTER.match(text, m.end(), stop)
-                name = _field(found.group(1)) if found else ""
-                value, unit, sign = _number(left.group(1)), left.group(2), _FLIPPED[sign]
-                begin = m.start() - (len(before[-80:]) - left.start())
-                end = found.end() if found else m.end()
-                free = m.end()
-            last = name or last
-            out.append({
-                "field": last or None, "comparator": sign, "value": value,
-                "unit": " ".join(unit.lower().split()) if unit else None, "raw": text[begin:end].strip(),
-            })
-        return out
-
-    return texts.map(of_text, na_action=None)
+    if text is None:
+        return []
+    marks = list(_COMPARE.finditer(text))
+    out, free, last = [], 0, ""
+    for k, m in enumerate(marks):
+        stop = marks[k + 1].start() if k + 1 < len(marks) else len(text)
+        sign = m.group().replace("≥", ">=").replace("≤", "<=")
+        before = text[free : m.start()]
+        right = _RIGHT.match(text, m.end(), stop)
+        left = _LEFT.search(before[-80:])
+        if right is not None or left is None:
+            found = _FIELD.search(before[-400:])
+            name = _field(found.group()) if found else ""
+            value, unit = (_number(right.group(1)), right.group(2)) if right else (None, None)
+            begin = free + len(before) - (len(found.group()) if found else 0)
+            end = right.end() if right else stop
+            free = end if right else m.end()
+        else:  # the number stands before the sign: 18 <= age
+            found = _FIELD_AFTER.match(text, m.end(), stop)
+            name = _field(found.group(1)) if found else ""
+            value, unit, sign = _number(left.group(1)), left.group(2), _FLIPPED[sign]
+            begin = m.start() - (len(before[-80:]) - left.start())
+            end = found.end() if found else m.end()
+            free = m.end()
+        last = name or last
+        out.append({
+            "field": last or None, "comparator": sign, "value": value,
+            "unit": " ".join(unit.lower().split()) if unit else None, "raw": text[begin:end].strip(),
+        })
+    return out
 
 
 _HASHES = re.compile(r"(#{1,6})[ \t]+(\S.*)")
@@ -252,32 +260,28 @@ _HASHES = re.compile(r"(#{1,6})[ \t]+(\S.*)")
 COLON_LEVEL = 7
 
 
-@F.pandas_udf(_rows_of(start="int", path="string"))
-def section_outline(texts: pd.Series) -> pd.Series:
+@_rows_of(start="int", path="string")
+def section_outline(text: str | None) -> list[dict]:
     """Where the sections of a text start, each with the titles that lead to it, joined by `` / ``.
 
     A heading is a line of one to six number signs and a title, or a line of at most eight words that ends
     with a colon. It ends the sections of its own level and deeper ones. One pass with a stack of headings.
     """
-
-    def of_text(text: str | None) -> list[dict]:
-        if text is None:
-            return []
-        stack: list[tuple[int, str]] = []
-        out = []
-        for m in _LINE.finditer(text):
-            line = m.group()
-            marked = _HASHES.match(line)
-            if marked:
-                level, title = len(marked.group(1)), marked.group(2).strip()
-            elif (plain := line.strip()).endswith(":") and 0 < len(_NAME.findall(plain)) <= HEADER_WORDS:
-                level, title = COLON_LEVEL, plain[:-1].strip()
-            else:
-                continue
-            while stack and stack[-1][0] >= level:
-                stack.pop()
-            stack.append((level, title))
-            out.append({"start": m.start(), "path": " / ".join(t for _, t in stack)})
-        return out
-
-    return texts.map(of_text, na_action=None)
+    if text is None:
+        return []
+    stack: list[tuple[int, str]] = []
+    out = []
+    for m in _LINE.finditer(text):
+        line = m.group()
+        marked = _HASHES.match(line)
+        if marked:
+            level, title = len(marked.group(1)), marked.group(2).strip()
+        elif (plain := line.strip()).endswith(":") and 0 < len(_NAME.findall(plain)) <= HEADER_WORDS:
+            level, title = COLON_LEVEL, plain[:-1].strip()
+        else:
+            continue
+        while stack and stack[-1][0] >= level:
+            stack.pop()
+        stack.append((level, title))
+        out.append({"start": m.start(), "path": " / ".join(t for _, t in stack)})
+    return out
