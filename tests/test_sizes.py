@@ -1,10 +1,11 @@
 """What a task, the driver or a shuffle may hold: plans and pieces, on rows made here."""
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
 from trialspark.functions import text
-from trialspark.operators import textjobs, validate
+from trialspark.operators import embed, textjobs, validate
 from trialspark.plans.tables import Tables
 
 
@@ -61,3 +62,9 @@ def test_results_of_texts_are_handed_on_in_pieces(spark, name):
     assert max(map(len, pieces)) <= text.TEXTS_AT_ONCE
     rows = [r for p in pieces for r in p.to_pylist()]
     assert len(rows) == 300 and rows[1] == [] and rows[0] == rows[298] != []
+
+
+def test_ids_of_embedded_texts_stay_exact_beside_a_null(spark):
+    df = spark.createDataFrame([(2**53 + 1, "a"), (None, "b"), (7, "c")], "id long, t string").coalesce(1)
+    found = embed.embed_with(df, "id", "t", lambda: lambda texts: np.ones((len(texts), 2)), batch_size=2).collect()
+    assert [(r.id, list(r.embedding)) for r in found] == [(i, [1.0, 1.0]) for i in (2**53 + 1, None, 7)]

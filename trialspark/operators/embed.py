@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,23 +21,24 @@ def embed_with(
 ) -> DataFrame:
     """(id, embedding) from an encoder that is loaded once per task and fed in batches.
 
+    Vectors are handed on batch by batch, so a task holds those of one batch.
+
     With ``keep_failures`` a text that the encoder stops at has a null embedding and its message in
     ``error``, and the others of its batch are encoded one by one; without, the job stops.
     """
     id_type = dict(df.dtypes)[id_col]
     columns = [id_col, "embedding", *(["error"] if keep_failures else [])]
 
-    def run(batches: Iterable[pd.DataFrame]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = load()
 
         def vectors_of(texts: list[str]) -> list[list[float]]:
             return np.asarray(encode(texts), dtype=np.float32).tolist()
 
         for batch in batches:
-            vectors, errors = [], []
-            texts = batch["t"].tolist()
-            for at in range(0, len(texts), batch_size):
-                part = texts[at : at + batch_size]
+            for at in range(0, batch.num_rows, batch_size):
+                ids, texts = (c.slice(at, batch_size) for c in (batch.column(id_col), batch.column("t")))
+                part, vectors, errors = texts.to_pylist(), [], []
                 try:
                     vectors.extend(vectors_of(part))
                     errors.extend([None] * len(part))
@@ -51,10 +52,11 @@ def embed_with(
                         except Exception as error:
                             vectors.append(None)
                             errors.append(str(error) or type(error).__name__)
-            yield pd.DataFrame({id_col: batch[id_col], "embedding": vectors, "error": errors})[columns]
+                made = [ids, pa.array(vectors, pa.list_(pa.float32())), pa.array(errors, pa.string())]
+                yield pa.RecordBatch.from_arrays(made[: len(columns)], columns)
 
     schema = f"`{id_col}` {id_type}, embedding array<float>" + (", error string" if keep_failures else "")
-    return df.select(id_col, F.col(text_col).alias("t")).mapInPandas(run, schema)
+    return df.select(id_col, F.col(text_col).alias("t")).mapInArrow(run, schema)
 
 
 _WORD = re.compile(r"[^\W_]+")
