@@ -1,11 +1,13 @@
 """What a task, the driver or a shuffle may hold: plans and pieces, on rows made here."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from trialspark.functions import text
-from trialspark.operators import embed, textjobs, validate
+from trialspark.operators import embed, neighbours, textjobs, validate
 from trialspark.plans.tables import Tables
 
 
@@ -68,3 +70,20 @@ def test_ids_of_embedded_texts_stay_exact_beside_a_null(spark):
     df = spark.createDataFrame([(2**53 + 1, "a"), (None, "b"), (7, "c")], "id long, t string").coalesce(1)
     found = embed.embed_with(df, "id", "t", lambda: lambda texts: np.ones((len(texts), 2)), batch_size=2).collect()
     assert [(r.id, list(r.embedding)) for r in found] == [(i, [1.0, 1.0]) for i in (2**53 + 1, None, 7)]
+
+
+def test_scores_of_a_large_block_are_bounded():
+    n, rng = 60_000, np.random.default_rng(5)
+    codes = rng.integers(-9, 10, (n, 4)).astype("i1")
+    rows = pa.table({"vec_id": pa.array(range(n)), "payload": pa.array([c.tobytes() for c in codes])})
+    asked = pa.table({"query_id": pa.array(range(128)), "payload": pa.array([c.tobytes() for c in codes[:128]])})
+    run = neighbours._best("i1", 1.0, 3, "vec_id")
+    tracemalloc.start()
+    found = run(rows, asked)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+    scores = codes.astype(int) @ codes[127].astype(int)
+    best = sorted(range(n), key=lambda i: (-scores[i], i))[:3]
+    last = found.slice(127 * 3).sort_by([("points", "descending"), ("vec_id", "ascending")])
+    assert last.column("vec_id").to_pylist() == best and last.column("points").to_pylist() == [scores[i] for i in best]

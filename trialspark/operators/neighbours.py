@@ -22,6 +22,8 @@ from trialspark.session import cut_lineage
 
 #: Bytes of the vectors, and number of queries, that one task multiplies at a time.
 BLOCK_BYTES, BLOCK_QUERIES = 16_000_000, 1_000
+#: Scores that are held at one time: rows of a block times the queries that meet them together.
+SCORES_AT_ONCE = 2_000_000
 #: A cosine counts in steps of 1e-12.
 STEPS = 1e12
 #: Largest code of a component; components of a unit vector are about 1 / sqrt(dimension), which is code 16.
@@ -82,8 +84,9 @@ def _best(kind: str, steps: float, keep: int, id_col: str) -> Callable[[pa.Table
         vectors, wanted = matrix(rows.column("payload").take(order)), matrix(asked.column("payload"))
         n, kept = len(vectors), min(keep, len(vectors))
         found_q, found_i, points = [], [], []
-        for a in range(0, len(wanted), 128):
-            scores = np.rint(vectors @ wanted[a : a + 128].T * steps).astype(np.int64)
+        together = max(1, min(128, SCORES_AT_ONCE // n))
+        for a in range(0, len(wanted), together):
+            scores = np.rint(vectors @ wanted[a : a + together].T * steps).astype(np.int64)
             # ids ascend, so one number orders by score, then by smaller id
             ranked = scores * n + (n - 1 - np.arange(n))[:, None]
             top = np.argpartition(-ranked, kept - 1, axis=0)[:kept]
