@@ -24,6 +24,9 @@ from trialspark.functions.text import (
 )
 from trialspark.session import cut_lineage
 
+#: Bytes of texts whose words one task counts.
+DEALT_BYTES = 4_000_000
+
 
 def combined_text(
     df: DataFrame,
@@ -88,8 +91,11 @@ def top_words(
     """The n most frequent words of each text, ties by first appearance.
 
     Texts are dealt by id before they are cut, so they move once and words and their counts not at all.
+    Parts are of counted sizes: the words of a text take many times its room in a task.
     """
-    placed = df.select(id_col, text_col).repartition(id_col).select(id_col, F.posexplode(alphabetic(text_col)).alias("pos", "word"))
+    size = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    dealt = df.select(id_col, text_col).repartition(-(-size // DEALT_BYTES) or 1, id_col)
+    placed = dealt.select(id_col, F.posexplode(alphabetic(text_col)).alias("pos", "word"))
     placed = placed.filter(not_stop(F.col("word"), stop_words))
     counted = placed.groupBy(id_col, "word").agg(F.count("*").alias("freq"), F.min("pos").alias("first_pos"))
     order = Window.partitionBy(id_col).orderBy(F.desc("freq"), F.asc("first_pos"))
