@@ -183,6 +183,26 @@ def test_catchment_of_ten_thousand_points_in_one_cell(spark):
         assert got[i] == (near.sum(), len(set(trial[near].tolist())))
 
 
+def test_catchment_moves_points_and_not_their_pairs(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, i % 190 or None, 48.0 + rng.uniform(-0.6, 0.6), 2.0 + rng.uniform(-0.8, 0.8)) for i in range(400)]
+    rows += [(400 + i, 7, rows[i][2], rows[i][3]) for i in range(0, 40, 3)]
+    sites = spark.createDataFrame(rows, "site_id long, trial_id long, latitude double, longitude double")
+    trials = spark.createDataFrame([(i, f"NCT{i}") for i in range(1, 190)], "trial_id long, nct_id string")
+    written, cut = [], geo.cut_lineage
+    monkeypatch.setattr(geo, "cut_lineage", lambda df: written.append((out := cut(df)).count()) or out)
+    expected = {site: near for site, (near, _) in brute_catchment(rows, 50.0).items()}
+    without_key = {r[0] for r in rows if r[1] is None}
+    whole = {r["site_id"]: (r["nearby_site_count"], r["nearby_trial_count"]) for r in geo.site_catchment(sites, trials, 50.0).collect()}
+    assert sum(written) <= len(rows)
+    assert {k: v[0] for k, v in whole.items()} == {k: v for k, v in expected.items() if k not in without_key}
+    keyed = sites.filter("trial_id is not null")
+    truth = brute_catchment([r for r in rows if r[1] is not None], 50.0)
+    for most in (30, 10_000):  # parts of a tile, and whole tiles
+        got = {r["site_id"]: (r["nearby_site_count"], r["nearby_trial_count"]) for r in geo.site_catchment(keyed, trials, 50.0, most).collect()}
+        assert got == truth
+
+
 def test_radius_search_across_the_date_line_and_pole(spark):
     rows = [(1, 1, 0.0, 179.9), (2, 1, 0.0, -179.9), (3, 1, 89.9, 10.0), (4, 1, 89.9, -170.0), (5, 1, 0.0, 170.0)]
     sites = spark.createDataFrame(rows, "site_id long, trial_id long, latitude double, longitude double")

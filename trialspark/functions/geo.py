@@ -67,16 +67,16 @@ def cube_cell(point: Column, edge_km: float) -> Column:
     return _cell_key(*[F.floor(point[a] / edge_km) for a in "xyz"], edge_km)
 
 
-def cells_in_reach(df: DataFrame, point: str, edge_km: float, alias: str = "cell", spread_km: str | None = None) -> DataFrame:
-    """One row per cube that can hold a point within ``edge_km`` of ``point``, or of what lies ``spread_km`` around it.
+def cells_in_reach(df: DataFrame, point: str, edge_km: float, alias: str = "cell", reach_km: float | None = None) -> DataFrame:
+    """One row per cube that can hold a point within ``reach_km`` (an edge, if not given) of ``point``.
 
-    A chord is never longer than its arc, so such points lie in the same cube or in touching ones;
-    poles and the date line need no special case. Of the 27 cubes only those stay that come within
+    A chord is never longer than its arc, so such points lie in cubes that the chord reaches;
+    poles and the date line need no special case. Of these cubes only those stay that come within
     reach and that the sphere passes through.
     """
     slack = 1e-6
     gap = near = far = F.lit(0.0)
-    wide = F.lit(edge_km) + (F.lit(0.0) if spread_km is None else F.col(spread_km))
+    wide = F.lit(float(edge_km if reach_km is None else reach_km))
     for a in "xyz":
         p, index = F.col(f"{point}.{a}"), F.col(f"_{a}")
         reach = F.sequence(F.floor((p - wide) / edge_km), F.floor((p + wide) / edge_km))
@@ -97,23 +97,6 @@ def chord_km(radius_km: float) -> float:
     return 2 * EARTH_RADIUS_KM * math.sin(min(radius_km / EARTH_RADIUS_KM, math.pi) / 2)
 
 
-def chord_between(a: str, b: str) -> Column:
-    squares = [(F.col(f"{a}.{c}") - F.col(f"{b}.{c}")) * (F.col(f"{a}.{c}") - F.col(f"{b}.{c}")) for c in "xyz"]
-    return F.sqrt(squares[0] + squares[1] + squares[2])
-
-
-def within_km(a: str, b: str, radius_km: float, exact_km: Column) -> Column:
-    """Whether two Earth-centred points are at most ``radius_km`` apart along the surface.
-
-    The chord decides without trigonometry; the exact distance is taken only next to the limit.
-    """
-    squares = [(F.col(f"{a}.{c}") - F.col(f"{b}.{c}")) * (F.col(f"{a}.{c}") - F.col(f"{b}.{c}")) for c in "xyz"]
-    chord2 = squares[0] + squares[1] + squares[2]
-    limit = chord_km(radius_km) ** 2
-    slack = 1e-6 * limit + 1e-6
-    return F.when(chord2 <= limit - slack, True).when(chord2 > limit + slack, False).otherwise(exact_km <= radius_km)
-
-
 def distance_decay(km: Column, func: str, scale_km: float, offset_km: float = 0.0, decay: float = 0.5) -> Column:
     """Factor in [0, 1]: 1 up to the offset, ``decay`` at offset + scale."""
     beyond = F.greatest(km - offset_km, F.lit(0.0))

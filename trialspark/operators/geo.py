@@ -2,25 +2,24 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialspark.functions.geo import (
+    EARTH_RADIUS_KM,
     bounding_box,
     cells_in_reach,
-    chord_between,
     chord_km,
     cube_cell,
     earth_xyz,
     haversine_km,
-    within_km,
 )
 from trialspark.session import cut_lineage
 
-#: Points of a cell that are searched one by one; more are put together by sub-cells, so many to an edge.
-CROWD, FINER = 64, 8
+#: Edge of a tile in radii, rows of a tile that one group takes on either side, and pairs compared at a time.
+TILE, TILE_ROWS, BLOCK = 8, 100_000, 500_000
 _LOCATED = "latitude is not null and longitude is not null"
 
 
@@ -50,103 +49,111 @@ def sites_within_radius(
     )
 
 
-def _with_units(point_trials: DataFrame, radius_km: float) -> DataFrame:
-    """Add the point in space and the unit that it is searched as: ``point``, ``cell``, ``unit``.
+def _near(anchors: pa.Table, others: pa.Table, radius_km: float) -> pa.Table:
+    """``anchors`` with the sites, trials and sites of their own trial among ``others`` within the radius.
 
-    A cube cell of the radius' edge with few points keeps them as they are; the points of a crowded one are
-    put together by sub-cells of an eighth of the edge, so no cell has more units than a constant.
+    Cube by cube of the radius' edge, anchors meet the rows of touching cubes as blocks of a product of
+    bounded size: it decides but for what lies next to the limit, where the exact distance is taken.
     """
-    at = ["latitude", "longitude"]
-    point = F.col("point")
-    placed = point_trials.withColumn("point", earth_xyz(*at)).withColumn("cell", cube_cell(point, radius_km))
-    points = placed.groupBy("cell", *at).agg(F.lit(1).alias("_one")).groupBy("cell").agg(F.count("*").alias("_n"))
-    crowded = cut_lineage(points.filter(F.col("_n") > CROWD).select("cell", F.lit(True).alias("_crowded")))
-    inner = lambda a: F.pmod(F.floor(point[a] * FINER / radius_km), F.lit(FINER))
-    sub = (inner("x") * FINER + inner("y")) * FINER + inner("z")
-    return placed.join(crowded, "cell", "left").withColumn(
-        "unit", F.when(F.col("_crowded"), sub).otherwise(F.xxhash64(*at))
-    ).drop("_crowded")
-
-
-def site_catchment(sites: DataFrame, trials: DataFrame, radius_km: float = 50.0) -> DataFrame:
+    def numbers(table, name):
+        return table[name].to_numpy().astype(float)
+
+    def space(lat, lon):
+        return EARTH_RADIUS_KM * np.stack([np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat)], axis=1)
+
+    trial = pa.chunked_array([*anchors["trial_id"].chunks, *others["trial_id"].chunks], anchors.schema.field("trial_id").type)
+    code = trial.combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+    code, o_code = code[: len(anchors)], code[len(anchors) :]
+    order = np.argsort(o_code, kind="stable")
+    o_code, n = o_code[order], numbers(others, "n")[order]
+    lat, lon = (np.radians(numbers(anchors, c)) for c in ("latitude", "longitude"))
+    o_lat, o_lon = (np.radians(numbers(others, c))[order] for c in ("latitude", "longitude"))
+    at, o_at = space(lat, lon), space(o_lat, o_lon)
+    cube, o_cube = np.floor(at / radius_km).astype(np.int64), np.floor(o_at / radius_km).astype(np.int64)
+    limit = chord_km(radius_km) ** 2
+    slack = 1e-6 * limit + 1e-6
+    sure, out = EARTH_RADIUS_KM**2 - (limit - slack) / 2, EARTH_RADIUS_KM**2 - (limit + slack) / 2
+    sums = np.zeros((3, len(anchors)), np.int64)
+    cells, cell_of = np.unique(cube, axis=0, return_inverse=True)
+    by_cell = np.argsort(cell_of.ravel(), kind="stable")
+    for cell, rows in zip(cells, np.split(by_cell, np.cumsum(np.bincount(cell_of.ravel()))[:-1])):
+        near_by = np.flatnonzero((np.abs(o_cube - cell) <= 1).all(axis=1))
+        if not len(near_by):
+            continue
+        c, weight = o_code[near_by], n[near_by]
+        first = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
+        size = np.diff(np.r_[first, len(c)])
+        alone = (np.repeat(size, size) == 1) & (c >= 0)  # rows whose trial has no other here count by themselves
+        many = np.flatnonzero((np.repeat(size, size) > 1) & (c >= 0))
+        starts = np.flatnonzero(np.r_[True, c[many][1:] != c[many][:-1]]) if len(many) else many
+        weights = np.stack([weight, alone.astype(float)], axis=1)
+        _, pick, place = np.unique(np.stack([lat[rows], lon[rows]], axis=1), axis=0, return_index=True, return_inverse=True)
+        place, points = place.ravel(), rows[pick]
+        by_place = np.argsort(place, kind="stable")
+        step = max(1, BLOCK // len(near_by))
+        for low in range(0, len(points), step):
+            p = points[low : low + step]
+            dot = at[p] @ o_at[near_by].T
+            near = dot >= sure
+            i, j = np.nonzero((dot >= out) & ~near)
+            if len(i):
+                a, b = p[i], near_by[j]
+                half = np.sin((o_lat[b] - lat[a]) / 2) ** 2 + np.cos(lat[a]) * np.cos(o_lat[b]) * np.sin((o_lon[b] - lon[a]) / 2) ** 2
+                near[i, j] = 2 * EARTH_RADIUS_KM * np.arcsin(np.sqrt(np.minimum(half, 1.0))) <= radius_km
+            sites, trials = (near.astype(float) @ weights).T
+            if len(many):
+                trials = trials + np.logical_or.reduceat(near[:, many], starts, axis=1).sum(axis=1)
+            q = by_place[np.searchsorted(place[by_place], low) : np.searchsorted(place[by_place], low + len(p))]
+            mine, of = rows[q], place[q] - low
+            sums[0, mine], sums[1, mine] = sites[of], trials[of]
+            begin, end = np.searchsorted(c, code[mine]), np.searchsorted(c, code[mine], "right")
+            who = np.repeat(np.arange(len(q)), end - begin)
+            row = np.arange(len(who)) - np.repeat(np.cumsum(end - begin) - (end - begin), end - begin) + np.repeat(begin, end - begin)
+            sums[2, mine] = np.bincount(who, near[of[who], row] * weight[row], len(q))
+    named = dict(zip(("sites", "trials", "own"), map(pa.array, sums)))
+    return pa.table({c: anchors[c] for c in ("latitude", "longitude", "trial_id")} | named)
+
+
+def site_catchment(sites: DataFrame, trials: DataFrame, radius_km: float = 50.0, most: int = TILE_ROWS) -> DataFrame:
     """Other sites, and distinct trials of other sites, within the radius of each site.
 
     Sites are first folded to (coordinate, trial) with a count, so a city whose sites share a geocode is
-    one point. Points are searched as units: themselves, or the sub-cell of a crowded cell. Units meet
-    through the cube-cell grid, an equi-join that the adaptive planner splits. A unit that lies wholly
-    within reach of another gives it its trials once, for all points of both (``inner``); only units on the
-    rim of each other are compared point by point (``rim``). A point's trials are those of its unit's inner
-    set and those that only its rim has. So the work grows with points times the trials near a unit, not with
-    pairs of points. An anchor leaves the sums of its point: itself from the sites, and its trial from the
-    trials when no other site of that trial is near.
+    one point. Points are dealt to the tiles of a coarse cube grid and, as what others may find, to the
+    tiles that they are in reach of; pairs are counted where they meet and never leave the task. A tile of
+    more than ``most`` rows is cut into parts that meet in pairs: the rows of a trial share a part, so that
+    sites and distinct trials add up over the parts. What moves and is written grows with the points; the
+    comparisons with the pairs of near points. An anchor leaves the sums of its point: itself from the sites,
+    and its trial from the trials when no other site of that trial is near.
     """
-    at, unit = ["latitude", "longitude"], ["cell", "unit"]
-    point_trials = sites.filter(_LOCATED).groupBy(*at, "trial_id").agg(F.count("*").alias("n"))
-    placed = cut_lineage(_with_units(point_trials, radius_km))
-    points = placed.select(*at, *unit).distinct().withColumn("point", earth_xyz(*at))
-    middle = lambda a: (F.min(f"point.{a}") + F.max(f"point.{a}")) / 2
-    half = lambda a: (F.max(f"point.{a}") - F.min(f"point.{a}")) / 2
-    units = cut_lineage(
-        points.groupBy(*unit).agg(
-            F.struct(*[middle(a).alias(a) for a in "xyz"]).alias("center"),
-            F.sqrt(half("x") * half("x") + half("y") * half("y") + half("z") * half("z")).alias("spread"),
-            *[F.min(c).alias(c) for c in at],
+    at = ["latitude", "longitude"]
+    edge = TILE * radius_km
+    folded = cut_lineage(sites.filter(_LOCATED).groupBy(*at, "trial_id").agg(F.count("*").alias("n")))
+    placed = folded.withColumn("point", earth_xyz(*at))
+    own = placed.select(*at, "trial_id", cube_cell(F.col("point"), edge).alias("tile"))
+    # renamed, so that the two sides do not share columns
+    others = cells_in_reach(placed.toDF(*placed.columns), "point", edge, "tile", radius_km).drop("point")
+    sizes = others.groupBy("tile").agg(F.ceil(F.count("*") / most).cast("int").alias("_parts"))
+    crowded = cut_lineage(sizes.filter("_parts > 1"))
+
+    def dealt(df: DataFrame, part: str, meets: str, *key: str) -> DataFrame:
+        parts = F.coalesce("_parts", F.lit(1))
+        return df.join(crowded, "tile", "left").withColumns({
+            part: F.pmod(F.xxhash64(*key), parts).cast("int"), meets: F.explode(F.sequence(F.lit(0), parts - 1))
+        }).drop("_parts")
+
+    block = ["tile", "_anchors", "_others"]
+    kind = folded.schema["trial_id"].dataType.simpleString()
+    found = (
+        dealt(own, "_anchors", "_others", *at, "trial_id").groupBy(*block)
+        .cogroup(dealt(others, "_others", "_anchors", "trial_id").groupBy(*block))
+        .applyInArrow(
+            lambda anchors, near: _near(anchors, near, radius_km),
+            f"latitude double, longitude double, trial_id {kind}, sites bigint, trials bigint, own bigint",
         )
-    )
-    # the planner cannot see how much the cells multiply the anchors, so broadcast is ruled out here;
-    # a merge join spills, and its skewed partitions are split
-    anchors = cells_in_reach(units.withColumnsRenamed({"cell": "own_cell", "unit": "own_unit"}), "center", radius_km, "cell", "spread")
-    there = units.select(
-        *unit, F.col("center").alias("n_center"), F.col("spread").alias("n_spread"), F.col("latitude").alias("n_lat"), F.col("longitude").alias("n_lon")
-    )
-    limit, slack = chord_km(radius_km), 1e-6 * chord_km(radius_km) + 1e-6
-    apart = chord_between("center", "n_center")
-    both = F.col("spread") + F.col("n_spread")
-    inside = F.when(both > 0, apart + both <= limit - slack).otherwise(
-        within_km("center", "n_center", radius_km, haversine_km(*at, "n_lat", "n_lon"))
-    )
-    unit_trials = placed.groupBy(*unit, "trial_id").agg(F.sum("n").alias("n")).join(there, unit)
-    inner = (
-        anchors.hint("merge").join(unit_trials, "cell").filter(inside)
-        .groupBy("own_cell", "own_unit", F.col("trial_id").alias("near_trial")).agg(F.sum("n").alias("n"))
-        .withColumnsRenamed({"own_cell": "cell", "own_unit": "unit"})
-    )
-
-    touching = (both > 0) & (apart + both > limit - slack) & (apart - both <= limit + slack)
-    # only a unit of several points has a rim: pairs of single points are never joined again
-    rims = reduce(
-        DataFrame.unionByName,
-        [
-            anchors.filter(ours).hint("merge").join(there.filter(others), "cell").filter(touching).select("own_cell", "own_unit", *unit)
-            for ours, others in ((F.col("spread") > 0, F.lit(True)), (F.col("spread") == 0, F.col("n_spread") > 0))
-        ],
-    )
-    mine = points.select(F.col("cell").alias("own_cell"), F.col("unit").alias("own_unit"), *at, "point")
-    theirs = placed.select(
-        *unit, F.col("latitude").alias("n_lat"), F.col("longitude").alias("n_lon"), F.col("point").alias("n_point"), F.col("trial_id").alias("near_trial"), "n"
-    )
-    close = within_km("point", "n_point", radius_km, haversine_km(*at, "n_lat", "n_lon"))
-    rim = cut_lineage(
-        rims.join(theirs, unit).join(mine, ["own_cell", "own_unit"]).filter(close)
-        .groupBy(*at, F.col("own_cell").alias("cell"), F.col("own_unit").alias("unit"), "near_trial").agg(F.sum("n").alias("n"))
     )
-
-    per_unit = inner.groupBy(*unit).agg(F.sum("n").alias("inner_sites"), F.count("*").alias("inner_trials"))
-    known = inner.select(*unit, "near_trial", F.lit(True).alias("_known"))
-    per_point = rim.join(known, [*unit, "near_trial"], "left").groupBy(*at).agg(
-        F.sum("n").alias("rim_sites"), F.count_if(F.col("_known").isNull()).alias("rim_trials")
-    )
-    own = placed.select(*at, *unit, F.col("trial_id").alias("near_trial"))
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    counts = (
-        own.join(per_unit, unit, "left").join(per_point, at, "left")
-        .join(inner.withColumnRenamed("n", "inner_own"), [*unit, "near_trial"], "left")
-        .join(rim.select(*at, "near_trial", F.col("n").alias("rim_own")), [*at, "near_trial"], "left")
-        .select(
-            *at, F.col("near_trial").alias("trial_id"),
-            (zero("inner_sites") + zero("rim_sites") - 1).alias("near_sites"),
-            (zero("inner_trials") + zero("rim_trials") - F.when(zero("inner_own") + zero("rim_own") == 1, 1).otherwise(0)).alias("near_trials"),
-        )
+    counts = found.groupBy(*at, "trial_id").agg(*[F.sum(c).alias(c) for c in ("sites", "trials", "own")]).select(
+        *at, "trial_id", (F.col("sites") - 1).alias("near_sites"),
+        (F.col("trials") - F.when(F.col("own") == 1, 1).otherwise(0)).alias("near_trials"),
     )
     return (
         sites.select("site_id", "trial_id", *at)
