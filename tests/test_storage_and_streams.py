@@ -1,9 +1,13 @@
 import datetime
 import json
+import threading
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from trialspark.plans import streams
+from trialspark.plans.tables import Tables
 from trialspark.sources import marts, studies, writers
 from trialspark.streaming import landing, upserts
 
@@ -239,3 +243,23 @@ def test_history_of_runs(spark, tmp_path):
     assert history.compact(spark, path, 4) and {r["id"] for r in history.read_run(spark, path).collect()} == {1}
     with pytest.raises(ValueError):
         history.read_run(spark, path, 77)
+
+
+def study_orders(spark, path, n=9):
+    rows = [(i, 1000 + i, f"{i % 5}-LOW") for i in range(1, n + 1)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderpriority string").write.parquet(f"{path}/orders.parquet")
+    return {f"NCT{i:08d}" for i, _, _ in rows if i % 4}
+
+
+def test_study_files_are_listed_a_folder_at_a_time(spark, tmp_path, monkeypatch):
+    expected = study_orders(spark, tmp_path)
+    monkeypatch.setattr(streams, "STUDIES_PER_FOLDER", 2)
+    t = Tables(spark, str(tmp_path))
+    path = streams.study_files(t)
+    folders = studies.study_folders(spark, path)
+    assert len(folders) > 1 and not list(Path(path.removeprefix("file://")).glob("*.json"))
+    read = studies.read_study_json(spark, path)
+    assert not any("folder-" in f for f in read.inputFiles())  # kept before the next folder is listed
+    assert sorted(r.nct_id for r in read.collect()) == sorted(expected)
+    assert sorted(r.nct_id for r in streams.json_files(t).collect()) == sorted(expected)
+    assert sorted(r.nct_id for r in streams.land_files(t).collect()) == sorted(expected)

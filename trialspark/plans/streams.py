@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialspark.plans.registry import query
 from trialspark.plans.tables import Tables
 from trialspark.session import run_dir
-from trialspark.sources.studies import load_studies, read_study_json
+from trialspark.sources.studies import load_studies, read_study_json, study_folders
 from trialspark.streaming import landing, upserts
 
 
@@ -107,8 +110,12 @@ def requests(t: Tables):
     return t.spark.read.parquet(target).select("idempotency_key")
 
 
+#: Files of one folder: what the driver lists at a time.
+STUDIES_PER_FOLDER = 50_000
+
+
 def study_files(t: Tables) -> str:
-    """Every study as its own ``NCT….json`` file, written by the tasks into the shared folder.
+    """Every study as its own ``NCT….json`` file, written by the tasks into folders of the shared one.
 
     The folder must be mounted on the executors, since the files are named by their key.
     """
@@ -117,14 +124,19 @@ def study_files(t: Tables) -> str:
     def write(batches):
         import os
 
-        os.makedirs(path, exist_ok=True)
+        made = set()
         for batch in batches:
-            for key, text in zip(batch["nct_id"], batch["study_json"]):
-                with open(f"{path}/{key}.json", "w", encoding="utf-8") as file:
+            for key, folder, text in zip(batch["nct_id"], batch["folder"], batch["study_json"]):
+                if folder not in made:
+                    os.makedirs(f"{path}/folder-{folder}", exist_ok=True)
+                    made.add(folder)
+                with open(f"{path}/folder-{folder}/{key}.json", "w", encoding="utf-8") as file:
                     file.write(text)
             yield batch[["nct_id"]]
 
-    t.raw_json.repartition(8).mapInPandas(write, "nct_id string").count()
+    folders = max(1, -(-t.raw_json.count() // STUDIES_PER_FOLDER))
+    dealt = t.raw_json.withColumn("folder", F.pmod(F.xxhash64("nct_id"), F.lit(folders)))
+    dealt.repartition(max(8, folders)).mapInPandas(write, "nct_id string").count()
     return "file://" + path
 
 
@@ -147,8 +159,11 @@ def json_files(t: Tables):
 
 @query("st07_land_study_files", _TITLES, "raw_json")
 def land_files(t: Tables):
-    """The folder as a stream of new files, landed as Parquet over several batches."""
-    target = run_dir(t.spark, "landed")
-    stream = landing.study_file_stream(t.spark, study_files(t), max_files=8000)
-    landing.land(stream, target, run_dir(t.spark, "offsets"))
-    return _titles(t.spark.read.parquet(target))
+    """Each folder as a stream of new files, landed as Parquet over several batches."""
+    target, offsets = run_dir(t.spark, "landed"), run_dir(t.spark, "offsets")
+    landed = []
+    for n, folder in enumerate(study_folders(t.spark, study_files(t))):
+        stream = landing.study_file_stream(t.spark, folder, max_files=8000)
+        landing.land(stream, f"{target}/{n}", f"{offsets}/{n}")
+        landed.append(t.spark.read.parquet(f"{target}/{n}"))
+    return _titles(reduce(DataFrame.unionByName, landed))

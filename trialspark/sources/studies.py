@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trialspark import schemas
 from trialspark.operators.flatten import parse_studies
+from trialspark.session import run_dir
 
 
 def read_study_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -21,13 +22,34 @@ def read_study_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def study_folders(spark: SparkSession, path: str) -> list[str]:
+    """The ``folder-*`` folders that the files of a large collection are dealt to; ``path`` itself if it has none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/folder-*")
+    found = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(place)
+    return sorted(s.getPath().toString() for s in found or []) or [path]
+
+
 def read_study_json(spark: SparkSession, path: str) -> DataFrame:
-    """A folder of JSON files, one study each: (nct_id = file stem, study_json)."""
-    files = spark.read.option("pathGlobFilter", "NCT*.json").text(path, wholetext=True)
-    return files.select(
-        F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "").alias("nct_id"),
-        F.col("value").alias("study_json"),
-    )
+    """JSON files, one study each: (nct_id = file stem, study_json).
+
+    The files lie in ``path`` or in its ``folder-*`` folders. These are listed and read one after the other
+    into the shared folder, so the driver holds the names of one folder's files at a time.
+    """
+    def files(folder: str) -> DataFrame:
+        found = spark.read.option("pathGlobFilter", "NCT*.json").text(folder, wholetext=True)
+        return found.select(
+            F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "").alias("nct_id"),
+            F.col("value").alias("study_json"),
+        )
+
+    folders = study_folders(spark, path)
+    if folders == [path]:
+        return files(path)
+    kept = run_dir(spark, "read-studies")
+    for folder in folders:
+        # a scan counts a small file as megabytes: thousands of tasks of a few files without this
+        files(folder).coalesce(4 * spark.sparkContext.defaultParallelism).write.mode("append").parquet(kept)
+    return spark.read.schema("nct_id string, study_json string").parquet(kept)
 
 
 def load_studies(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
