@@ -263,3 +263,30 @@ def test_study_files_are_listed_a_folder_at_a_time(spark, tmp_path, monkeypatch)
     assert sorted(r.nct_id for r in read.collect()) == sorted(expected)
     assert sorted(r.nct_id for r in streams.json_files(t).collect()) == sorted(expected)
     assert sorted(r.nct_id for r in streams.land_files(t).collect()) == sorted(expected)
+
+
+def test_files_of_a_batch_are_looked_up_by_few_tasks(spark, tmp_path):
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    source = tmp_path / "in"
+    source.mkdir()
+    n = 40 + 4 * spark.sparkContext.defaultParallelism
+    for i in range(n):
+        (source / f"NCT{i:08d}.json").write_text("{}")
+    before = spark.conf.get(key)
+    tracker = spark.sparkContext.statusTracker()
+    most, done = [], threading.Event()
+
+    def watch():
+        while not done.wait(0.01):
+            most.extend(i.numTasks for s in tracker.getActiveStageIds() if (i := tracker.getStageInfo(s)) is not None)
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        landing.land(landing.study_file_stream(spark, str(source), n), str(tmp_path / "out"), str(tmp_path / "offsets"))
+    finally:
+        done.set()
+        watcher.join()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == n
+    assert most and max(most) < n
+    assert spark.conf.get(key) == before

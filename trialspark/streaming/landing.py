@@ -27,13 +27,23 @@ def parquet_stream(spark: SparkSession, path: str, schema, max_files: int = 1000
 
 
 def land(stream: DataFrame, target: str, checkpoint: str):
-    """Append everything available to Parquet exactly once; returns the finished query."""
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    """Append everything available to Parquet exactly once; returns the finished query.
+
+    The files of a batch are looked up by a few tasks a core, not by a task each. A source reads this
+    setting from its session at every batch, so the session's own value comes back after the last.
+    """
+    conf, key = stream.sparkSession.conf, "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = conf.get(key)
+    conf.set(key, 4 * stream.sparkSession.sparkContext.defaultParallelism)
+    try:
+        query = (
+            stream.writeStream.format("parquet")
+            .option("path", target)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    finally:
+        conf.set(key, before)
     return query
