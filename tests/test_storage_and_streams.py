@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from trialspark.plans import streams
+from trialspark.plans import registry, streams
 from trialspark.plans.tables import Tables
 from trialspark.sources import marts, studies, writers
 from trialspark.streaming import landing, upserts
@@ -290,3 +290,27 @@ def test_files_of_a_batch_are_looked_up_by_few_tasks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == n
     assert most and max(most) < n
     assert spark.conf.get(key) == before
+
+
+def test_replays_read_the_sites_from_files(spark, tmp_path, monkeypatch):
+    rows = {
+        "orders": "select 1L o_orderkey, 7L o_custkey, 'F' o_orderstatus, 5D o_totalprice, timestamp'1996-02-03' o_orderdate "
+        "union all select 2L, 7L, 'O', 5D, timestamp'1997-02-03'",
+        "lineitem": "select o l_orderkey, s l_suppkey from values (1L, 1L), (1L, 1L), (1L, 2L), (2L, 1L), (3L, 1L) as v(o, s)",
+        "supplier": "select s s_suppkey, concat('S', s) s_name, 1L s_nationkey from values (1L), (2L) as v(s)",
+        "nation": "select 1L n_nationkey, 'Wales' n_name, 1L n_regionkey", "region": "select 1L r_regionkey, 'EUROPE' r_name",
+    }
+    for name, sql in rows.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    plans, rebuild = [], upserts.replay
+
+    def seen(families, target, **only):
+        plans.append(families["site"]._jdf.queryExecution().optimizedPlan().toString())
+        return rebuild(families, target, **only)
+
+    monkeypatch.setattr(upserts, "replay", seen)
+    found = registry.load()[0]["st04_replay"](spark, str(tmp_path))
+    assert len(plans) == 3 and not any("Join" in p or "Aggregate" in p for p in plans)
+    assert sorted(map(tuple, found.collect())) == [
+        ("site", "snapshot-1996", 2), ("site", "snapshot-1997", 1), ("trial", "snapshot-1996", 1), ("trial", "snapshot-1997", 1),
+    ]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trialspark.plans.registry import query
 from trialspark.plans.tables import Tables
-from trialspark.session import run_dir
+from trialspark.session import cut_lineage, run_dir
 from trialspark.sources.studies import load_studies, read_study_json, study_folders
 from trialspark.streaming import landing, upserts
 
@@ -84,8 +84,11 @@ def checkpoints(t: Tables):
     "trial site",
 )
 def replay(t: Tables):
-    """A full build, one snapshot again, one family again: the same rows as once."""
-    sites = t.site.join(t.trial.select("trial_id", "source_snapshot_id"), "trial_id")
+    """A full build, one snapshot again, one family again: the same rows as once.
+
+    Each of them reads the sites, so they are built once and read from the shared folder.
+    """
+    sites = cut_lineage(t.site.join(t.trial.select("trial_id", "source_snapshot_id"), "trial_id"))
     families, target = {"trial": t.trial, "site": sites}, run_dir(t.spark, "replay")
     upserts.replay(families, target)
     upserts.replay(families, target, snapshot="snapshot-1996")
