@@ -4,9 +4,12 @@ import datetime
 import json
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from trialspark.operators import flatten, graph
+from trialspark.plans import searching
+from trialspark.plans.tables import Tables
 
 AT = datetime.datetime(2024, 5, 1)
 
@@ -67,3 +70,41 @@ def test_projection_fails_closed(studies, tmp_path, spark):
     with pytest.raises(ValueError, match="biomarker"):
         graph.project(tables, "s1", str(tmp_path / "graph"), AT)
     assert not (tmp_path / "graph").exists()
+
+
+def test_load_moves_no_row(studies, tmp_path, monkeypatch):
+    written, write = [], DataFrameWriter.parquet
+
+    def seen(self, path, *rest, **named):
+        written.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, path, *rest, **named)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", seen)
+    found = flatten.write_canonical(studies.repartition(2), str(tmp_path / "canonical"), "s1")
+    assert len(written) == 1 and "Rebalance" not in written[0]
+    assert found["arm"].count() == 1 and found["site"].count() == 2
+
+
+def test_orders_are_dealt_before_records_are_made(spark, tmp_path, monkeypatch):
+    rows = "select id o_orderkey, 7L o_custkey, 'F' o_orderstatus, timestamp'1996-02-03' o_orderdate from range(1, 6, 1, 1)"
+    spark.sql(rows).write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(searching, "STUDIES_AT_ONCE", 2, raising=False)
+    made = searching.full_studies(Tables(spark, str(tmp_path)))
+    assert made.rdd.getNumPartitions() == 3
+    assert sorted(r["nct_id"] for r in made.collect()) == [f"NCT{n:08d}" for n in range(1, 6)]
+    spark.sql(rows).limit(0).write.parquet(f"{tmp_path}/none/orders.parquet")
+    assert searching.full_studies(Tables(spark, f"{tmp_path}/none")).count() == 0
+
+
+def test_stored_edges_are_not_written_again(spark, monkeypatch):
+    edges = spark.createDataFrame([("a", "b"), ("b", "b"), ("c", "b"), ("c", None), ("d", "e")], "src string, dst string")
+    kept, cut = [], graph.cut_lineage
+    monkeypatch.setattr(graph, "cut_lineage", lambda df: kept.append(df.columns) or cut(df))
+    for directed, reach in ((False, {"a": 0, "b": 1, "c": 2}), (True, {"a": 0, "b": 1})):
+        each = graph.k_hop(edges, "a", 2, directed)
+        once = len(kept)
+        again = graph.k_hop(edges, "a", 2, directed, stored=True)
+        assert ["src", "dst"] in kept[:once] and ["src", "dst"] not in kept[once:]
+        assert sorted(map(tuple, each.collect())) == sorted(map(tuple, again.collect()))
+        assert {r["node"]: r["hops"] for r in again.collect()} == reach
+        kept.clear()

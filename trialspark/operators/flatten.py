@@ -193,7 +193,9 @@ def write_canonical(df: DataFrame, path: str, snapshot_id: str, system: str = "r
     """The canonical tables, written in one pass: each study is parsed once and its rows fan out by table.
 
     A row carries the name of its table and that table's columns; the write deals rows to a folder per
-    table, and each table reads its own columns back. Returns the tables.
+    table, and each table reads its own columns back. No row is shuffled: each task writes one file per table
+    and sorts its rows by table for that, so the partitions of ``df`` should be some ten thousand studies.
+    Returns the tables.
     """
     base, rows = _canonical_rows(df, snapshot_id, system)
     kinds = {name: base.select(items.alias("r")).schema["r"].dataType.elementType for name, items in rows.items()}
@@ -206,7 +208,7 @@ def write_canonical(df: DataFrame, path: str, snapshot_id: str, system: str = "r
         return F.coalesce(F.transform(items, tag), F.array())
 
     all_rows = base.select(F.inline(F.concat(*[tagged(name, items) for name, items in rows.items()])))
-    all_rows.hint("rebalance", F.col("table_name")).write.mode("overwrite").partitionBy("table_name").parquet(path)
+    all_rows.write.mode("overwrite").option("compression", "zstd").partitionBy("table_name").parquet(path)
     spark = df.sparkSession
     whole = spark.read.schema(all_rows.schema).parquet(path)
     tables = {name: whole.filter(F.col("table_name") == name).select(f"{name}.*") for name in rows}

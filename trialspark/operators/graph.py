@@ -264,15 +264,18 @@ def evidence(trials: DataFrame, publications: DataFrame, nct_id: str, limit: int
     )
 
 
-def k_hop(edges: DataFrame, start: str, k: int, directed: bool = False) -> DataFrame:
+def k_hop(edges: DataFrame, start: str, k: int, directed: bool = False, stored: bool = False) -> DataFrame:
     """(node, hops, path) within k steps of a node, each by its smallest shortest path.
 
     A step keeps one path per node, chosen by a map-side minimum, so hubs do not multiply paths.
-    Edges are written once and each level after it.
+    Edges are written once and each level after it. ``stored`` edges are a projection of tables in files:
+    they are not written again, and each level reads them there.
     """
-    links = cut_lineage(edges.select("src", "dst"))
+    links = edges.select("src", "dst")
+    if not stored:
+        links = cut_lineage(links)
     if not directed:
-        links = links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+        links = links.select(F.inline(F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))))
     spark = edges.sparkSession
     frontier = spark.range(1).select(
         F.lit(start).alias("node"), F.lit(0).alias("hops"), F.array(F.lit(start)).alias("path")

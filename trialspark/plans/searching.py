@@ -140,8 +140,15 @@ def page_among_nulls(t: Tables):
     return _shown(search.page_studies(df, ["updated", "enrollment"], (None, last["enrollment"], last["nct_id"]), 50))
 
 
+#: Studies of one task where records are built, parsed and loaded.
+STUDIES_AT_ONCE = 50_000
+
+
 def full_studies(t: Tables):
-    """A nested record with every module for each order, as JSON text."""
+    """A nested record with every module for each order, as JSON text.
+
+    The orders are dealt before the records are made of them: a file of few row groups is read by few tasks.
+    """
     k = F.col("o_orderkey")
     text = lambda prefix, n: F.concat(F.lit(prefix), n.cast("string"))
     many = lambda n, make: F.transform(F.sequence(F.lit(1), n), make)  # n is at least 1
@@ -189,7 +196,9 @@ def full_studies(t: Tables):
         F.struct(F.struct(some(k % 2, lambda i: F.struct(text("doc", k).alias("filename"))).alias("largeDocs")).alias("largeDocumentModule")).alias("documentSection"),
         (k % 2 == 0).alias("hasResults"),
     )
-    return t.orders.select(nct_of(k).alias("nct_id"), F.to_json(study).alias("study_json"))
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    dealt = orders.repartition(-(-orders.count() // STUDIES_AT_ONCE) or 1)
+    return dealt.select(nct_of(k).alias("nct_id"), F.to_json(study).alias("study_json"))
 
 
 def nct_of(k):
@@ -284,7 +293,7 @@ def canonical_hops(t: Tables):
     tables["biomarker"] = tables["condition"].limit(0).select("trial_id", F.col("condition_name").alias("biomarker_name"))
     first = t.orders.agg(F.min("o_custkey")).first()[0]
     start = tables["sponsor"].filter(F.col("sponsor_name") == f"Sponsor {first}").first()["sponsor_id"]
-    found = graph.k_hop(graph.graph_edges(tables, "snapshot-1"), f"Sponsor:{start}", 2)
+    found = graph.k_hop(graph.graph_edges(tables, "snapshot-1"), f"Sponsor:{start}", 2, stored=True)
     return found.groupBy(F.substring_index("node", ":", 1).alias("label"), F.col("hops").cast("bigint").alias("hops")).agg(F.count("*").alias("nodes"))
 
 
