@@ -57,6 +57,15 @@ def test_words_of_a_text_move_once_and_as_text(spark):
     assert sorted(map(tuple, found.collect()), key=str) == [(1, "pulse", 3, 1), (None, "visit", 1, 1)]
 
 
+def test_trigrams_are_cut_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(textjobs, "DEALT_BYTES", 10)
+    df = spark.createDataFrame([("Arm pulse visit.",), ("arm, pulse visit arm",), (None,), ("two words",)], "t string").coalesce(1)
+    found = textjobs.trigram_counts(df, "t")
+    assert "RoundRobinPartitioning(5)" in plan(found)
+    assert sorted(map(tuple, found.collect())) == [("arm pulse visit", 2), ("pulse visit arm", 1)]
+    assert textjobs.trigram_counts(df.limit(0), "t").count() == 0
+
+
 @pytest.mark.parametrize("name", ["criteria_lines", "comparisons", "section_outline", "match_spans"])
 def test_results_of_texts_are_handed_on_in_pieces(spark, name):
     function = text.match_spans(r"\w+") if name == "match_spans" else getattr(text, name)

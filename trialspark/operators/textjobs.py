@@ -148,7 +148,13 @@ def tfidf(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def trigram_counts(df: DataFrame, text_col: str, n: int = 3) -> DataFrame:
-    grams = df.select(word_tokens(text_col).alias("_t")).select(F.explode(ngrams(F.col("_t"), n)).alias("trigram"))
+    """How often each run of ``n`` words occurs.
+
+    Texts are dealt to parts of counted sizes before they are cut, so a file of few row groups is cut by many tasks.
+    """
+    size = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    dealt = df.select(text_col).repartition(-(-size // DEALT_BYTES) or 1)
+    grams = dealt.select(word_tokens(text_col).alias("_t")).select(F.explode(ngrams(F.col("_t"), n)).alias("trigram"))
     return grams.groupBy("trigram").agg(F.count("*").alias("occurrences"))
 
 
