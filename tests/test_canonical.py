@@ -8,7 +8,7 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from trialspark.operators import flatten, graph
-from trialspark.plans import searching
+from trialspark.plans import graphs, searching
 from trialspark.plans.tables import Tables
 
 AT = datetime.datetime(2024, 5, 1)
@@ -108,3 +108,27 @@ def test_stored_edges_are_not_written_again(spark, monkeypatch):
         assert sorted(map(tuple, each.collect())) == sorted(map(tuple, again.collect()))
         assert {r["node"]: r["hops"] for r in again.collect()} == reach
         kept.clear()
+
+
+def test_projection_is_written_from_tables_built_once(spark, tmp_path, monkeypatch):
+    base = {
+        "customer": "1L c_custkey, 'Acme' c_name, 'INDUSTRY' c_mktsegment",
+        "orders": "2L o_orderkey, 1L o_custkey, 'F' o_orderstatus, 10D o_totalprice, timestamp'1996-02-03' o_orderdate",
+        "part": "3L p_partkey, 'red rod' p_name, 'Brand#1' p_brand, 'ECON' p_type, 4 p_size",
+        "supplier": "5L s_suppkey, 'S' s_name, 6 s_nationkey", "nation": "6 n_nationkey, 'N' n_name, 7 n_regionkey", "region": "7 r_regionkey, 'R' r_name",
+        "lineitem": "2L l_orderkey, explode(array(1, 1, 2)) l_linenumber, 3L l_partkey, 5L l_suppkey, 'A' l_returnflag, 'F' l_linestatus, timestamp'1997-02-03' l_shipdate",
+    }
+    for name, columns in base.items():
+        spark.sql(f"select {columns}").write.parquet(f"{tmp_path}/{name}.parquet")
+    written, write = {}, DataFrameWriter.parquet
+
+    def seen(self, path, *rest, **named):
+        written[path] = self._df._jdf.queryExecution().executedPlan().toString()
+        return write(self, path, *rest, **named)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", seen)
+    found = {r["kind"]: r["projected"] for r in graphs.parity(Tables(spark, str(tmp_path))).filter("diff = 0").collect()}
+    assert len(found) == 17 and found["Arm"] == found["HAS_ARM"] == 2 and found["Site"] == 1
+    projected = {path: plan for path, plan in written.items() if "projection-" in path}
+    assert sorted(path.rsplit("=")[-1] for path in projected) == sorted(found)
+    assert not any("Exchange" in plan for plan in projected.values())

@@ -48,52 +48,62 @@ def _stamps(snapshot: str, projected_at: datetime | None) -> list[Column]:
     return [F.lit(True).alias("is_active"), F.lit(snapshot).alias("source_snapshot_id"), *at]
 
 
-def graph_nodes(tables: dict[str, DataFrame], snapshot: str, projected_at: datetime | None = None) -> DataFrame:
-    """(label, node_id, name, is_active, source_snapshot_id): nine projections, no shuffle.
-
-    With ``projected_at`` every row carries that time too.
-    """
-    parts = [
-        tables[table].select(
+def node_parts(tables: dict[str, DataFrame], snapshot: str, projected_at: datetime | None = None) -> dict[str, DataFrame]:
+    """The nodes of each label."""
+    return {
+        label: tables[table].select(
             F.lit(label).alias("label"),
             _node_id(label, tables[table]).alias("node_id"),
             F.col(name).cast("string").alias("name") if name in tables[table].columns else F.lit(None).cast("string").alias("name"),
             *_stamps(snapshot, projected_at),
         )
         for label, (table, _, name) in NODES.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    }
 
 
-def graph_edges(tables: dict[str, DataFrame], snapshot: str, projected_at: datetime | None = None) -> DataFrame:
-    """(src, relationship, dst, is_active, source_snapshot_id) from the foreign keys; ``projected_at`` as for nodes."""
+def graph_nodes(tables: dict[str, DataFrame], snapshot: str, projected_at: datetime | None = None) -> DataFrame:
+    """(label, node_id, name, is_active, source_snapshot_id): nine projections, no shuffle.
+
+    With ``projected_at`` every row carries that time too.
+    """
+    return reduce(DataFrame.unionByName, node_parts(tables, snapshot, projected_at).values())
+
+
+def edge_parts(tables: dict[str, DataFrame], snapshot: str, projected_at: datetime | None = None) -> dict[str, DataFrame]:
+    """The edges of each relationship."""
     stamp = _stamps(snapshot, projected_at)
     sponsor = F.concat_ws(":", F.lit("Sponsor"), F.col("sponsor_id").cast("string"))
     trial = F.concat_ws(":", F.lit("Trial"), F.col("trial_id").cast("string"))
-    parts = [
-        tables["trial"]
+    parts = {
+        "SPONSORS": tables["trial"]
         .filter(F.col("sponsor_id").isNotNull())
         .select(sponsor.alias("src"), F.lit("SPONSORS").alias("relationship"), trial.alias("dst"), *stamp)
-    ]
+    }
     for relationship, label in TRIAL_EDGES.items():
         df = tables[NODES[label][0]]
-        parts.append(
-            df.filter(F.col("trial_id").isNotNull())
-            .select(trial.alias("src"), F.lit(relationship).alias("relationship"), _node_id(label, df).alias("dst"), *stamp)
+        parts[relationship] = df.filter(F.col("trial_id").isNotNull()).select(
+            trial.alias("src"), F.lit(relationship).alias("relationship"), _node_id(label, df).alias("dst"), *stamp
         )
-    return reduce(DataFrame.unionByName, parts)
+    return parts
+
+
+def graph_edges(tables: dict[str, DataFrame], snapshot: str, projected_at: datetime | None = None) -> DataFrame:
+    """(src, relationship, dst, is_active, source_snapshot_id) from the foreign keys; ``projected_at`` as for nodes."""
+    return reduce(DataFrame.unionByName, edge_parts(tables, snapshot, projected_at).values())
 
 
 def project(tables: dict[str, DataFrame], snapshot: str, path: str, projected_at: datetime) -> tuple[DataFrame, DataFrame]:
     """Write nodes and edges below ``path``, by label and relationship; returns them as written.
 
-    Fails closed: nothing is written from an extract with referential breaks.
+    Fails closed: nothing is written from an extract with referential breaks. Each label and relationship is
+    written on its own, so no task has to sort its rows by them first.
     """
     require_intact(tables)
     spark = tables["trial"].sparkSession
-    nodes, edges = graph_nodes(tables, snapshot, projected_at), graph_edges(tables, snapshot, projected_at)
-    for df, name, part in ((nodes, "nodes", "label"), (edges, "edges", "relationship")):
-        df.write.mode("overwrite").partitionBy(part).parquet(f"{path}/{name}")
+    nodes, edges = node_parts(tables, snapshot, projected_at), edge_parts(tables, snapshot, projected_at)
+    for parts, name, part in ((nodes, "nodes", "label"), (edges, "edges", "relationship")):
+        for kind, df in parts.items():
+            df.drop(part).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/{name}/{part}={kind}")
     return read_projection(spark, path)
 
 

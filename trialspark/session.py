@@ -48,13 +48,13 @@ def run_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write to the shared folder and read back.
 
     The result outlives the executors that computed it and starts a new plan; unlike a checkpointed
     RDD, the written table has a known size, so a small one is joined without shuffling the other
-    side.
+    side. ``compression`` is the codec of the files, if not the session's.
     """
     path = run_dir(df.sparkSession, "step")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
