@@ -132,3 +132,32 @@ def test_projection_is_written_from_tables_built_once(spark, tmp_path, monkeypat
     projected = {path: plan for path, plan in written.items() if "projection-" in path}
     assert sorted(path.rsplit("=")[-1] for path in projected) == sorted(found)
     assert not any("Exchange" in plan for plan in projected.values())
+
+
+def test_parity_moves_rows_of_broken_keys_only(spark, tmp_path, monkeypatch):
+    ids = {"trial_id": "id", "sponsor_id": "if(id = 5, null, id % 3)", "nct_id": "concat('N', id)"}
+    trial = spark.range(40).selectExpr(*[f"{v} {k}" for k, v in ids.items()])
+    child = trial.select("trial_id")
+    of = lambda key, name: child.select(F.col("trial_id").alias(key), "trial_id", F.when(F.col("trial_id") % 7 > 0, F.lit("x")).alias(name))
+    tables = {
+        "trial": trial, "sponsor": spark.range(3).selectExpr("id sponsor_id", "'S' sponsor_name"),
+        "arm": of("arm_id", "arm_label"), "intervention": of("intervention_id", "intervention_name"), "condition": of("condition_id", "condition_name"),
+        "biomarker": of("biomarker_id", "biomarker_name"), "endpoint": of("endpoint_id", "endpoint_name"), "publication": of("publication_id", "title"),
+        "site": of("site_id", "facility_name").unionByName(of("site_id", "facility_name")),
+    }
+    nodes, edges = graph.project(tables, "s1", str(tmp_path / "graph"), AT)
+    kept, cut = [], graph.cut_lineage
+    monkeypatch.setattr(graph, "cut_lineage", lambda df: kept.append(cut(df)) or kept[-1])
+    at = F.col("node_id")
+    faulty = nodes.filter(at != "Arm:3").withColumns({
+        "label": F.when(at == "Biomarker:4", "Endpoint").otherwise(F.col("label")),
+        "name": F.when((at == "Site:8") | (at == "Trial:9"), F.lit(None)).otherwise(F.col("name")),
+    }).unionByName(nodes.filter(at == "Publication:6"))
+    stale = edges.withColumn("source_snapshot_id", F.when(F.col("dst") == "Site:11", "s0").otherwise(F.col("source_snapshot_id")))
+    found = {tuple(r) for r in graph.parity_breaks(faulty, stale, tables, "s1", buckets=1).collect()}
+    assert found == {
+        ("Arm", "Arm:3", "missing"), ("Biomarker", "Biomarker:4", "missing"), ("Endpoint", "Biomarker:4", "extra"), ("Publication", "Publication:6", "extra"),
+        ("Site", "Site:8", "different"), ("Trial", "Trial:9", "different"), ("HAS_SITE", "Trial:11 > Site:11", "different"),
+    }
+    # different rows of either side, not all rows of the kinds with a break
+    assert kept[-1].columns == ["row"] and kept[-1].count() == 10
