@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from trialspark.functions import text
-from trialspark.operators import embed, neighbours, textjobs, validate
+from trialspark.operators import embed, geo, neighbours, textjobs, validate
 from trialspark.plans.tables import Tables
 
 
@@ -96,3 +96,26 @@ def test_scores_of_a_large_block_are_bounded():
     best = sorted(range(n), key=lambda i: (-scores[i], i))[:3]
     last = found.slice(127 * 3).sort_by([("points", "descending"), ("vec_id", "ascending")])
     assert last.column("vec_id").to_pylist() == best and last.column("points").to_pylist() == [scores[i] for i in best]
+
+
+def test_catchment_moves_sites_once_and_makes_crowded_tiles_smaller(spark, monkeypatch):
+    # six rows a degree apart along a meridian, one of them twice, a site without a trial and one without a place
+    rows = [(i, i % 3 + 1, float(i), 5.0) for i in range(6)] + [(2, 3, 2.0, 5.0), (7, None, 2.0, 5.0), (8, 1, None, 5.0)]
+    rows += [(20 + i, 9, 40.0, 5.0 + i / 100) for i in range(4)]
+    sites = spark.createDataFrame(rows, "site_id long, trial_id long, latitude double, longitude double")
+    trials = spark.createDataFrame([(i, f"NCT{i}") for i in (1, 2, 3, 9)], "trial_id long, nct_id string")
+    edges, reach = [], geo.cells_in_reach
+    monkeypatch.setattr(geo, "cells_in_reach", lambda df, point, edge, *a: edges.append(edge) or reach(df, point, edge, *a))
+    whole = geo.site_catchment(sites, trials, 120.0)
+    assert set(edges) == {8 * 120.0} and plan(whole).count("Exchange hashpartitioning") <= 3
+    assert "Cogroup" not in plan(whole)
+    edges.clear()
+    parts = geo.site_catchment(sites, trials, 120.0, 2)
+    assert sorted(set(edges)) == [240.0, 480.0, 960.0]
+    # the two neighbours of a degree, a copy and the site without a trial; trials without the own one if it is not met
+    expected = [(0, 1, 1, 1), (1, 2, 4, 2), (2, 3, 4, 3), (2, 3, 4, 3), (3, 1, 4, 2), (4, 2, 2, 2), (5, 3, 1, 1), (8, 1, 0, 0)]
+    expected += [(20 + i, 9, 3, 1) for i in range(4)]
+    for found in (whole, parts):
+        assert sorted((r[0], r[1], r[3], r[4]) for r in found.collect()) == expected
+    nothing = geo.site_catchment(sites.limit(0), trials, 120.0)
+    assert nothing.count() == 0
